@@ -1,0 +1,239 @@
+"""Registered queries: one Spark builder and (where SQL can state it) one
+DuckDB oracle per inventory item.
+
+Every builder takes ``(spark, sf_dir)``, reads the driver's tables (through
+``hopgraph.sources.testdata``) over their whole extent and returns a lazy
+DataFrame.  Builders that exercise a sink write under a fresh folder in the
+shared scratch root and return what they read back.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from hopgraph import oracle as O
+from hopgraph.functions.scalar import day_bounds
+from hopgraph.plans import edges as E
+from hopgraph.plans import events as EV
+from hopgraph.plans import recommend as R
+from hopgraph.session import pin_utc
+from hopgraph.sources import testdata as TD
+
+# Run parameters of the registered queries.
+BASE_ACTOR = "u0"
+FULL = day_bounds("2024-01-01", "2024-01-30")     # the whole span of the testdata
+PART = day_bounds("2024-01-10", "2024-01-20")     # an inner interval, for range operators
+
+Builder = Callable[[SparkSession, str], DataFrame]
+
+
+@dataclass
+class Query:
+    spark: Builder
+    sql: str | None
+
+
+REGISTRY: dict[str, Query] = {}
+
+
+def register(name: str, sql: str | None):
+    def deco(fn: Builder) -> Builder:
+        REGISTRY[name] = Query(fn, sql)
+        return fn
+    return deco
+
+
+class Inputs:
+    """The reference-shaped tables for one (session, sf_dir)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        pin_utc(spark)
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def raw(self, table: str) -> DataFrame:
+        return TD.raw_edges(self.spark, self.sf_dir, table)
+
+    def latest(self, table: str, interval=FULL) -> DataFrame:
+        return E.incremental_edges(self.raw(table), *interval)
+
+    def base(self, table: str) -> DataFrame:
+        return E.base_actor_edges(self.latest(table), BASE_ACTOR)
+
+    def jetstream(self) -> DataFrame:
+        path = TD.landed_jetstream_path(self.spark, self.sf_dir)
+        from hopgraph.sources.ingest import typed_scan
+        from hopgraph.schemas import JETSTREAM
+        return typed_scan(self.spark, path, JETSTREAM)
+
+
+def _inc(*tables: str, interval=FULL):
+    return [O.incremental_cte(t, *interval) for t in tables]
+
+
+EDGE_SELECT = ("did, handle, display_name, avatar, created_at, description, indexed_at, actor, "
+               "_dlt_load_id, _dlt_id, associated__chat__allow_incoming, associated__labeler, "
+               "_dlt_load_time")
+
+# --------------------------------------------------------------------------- M1-M6
+
+
+@register("incremental_followers", O.with_ctes(
+    f"SELECT {EDGE_SELECT} FROM incremental_followers", ["incremental_followers"],
+    _inc("followers")))
+def q_incremental_followers(spark, sf_dir):
+    i = Inputs(spark, sf_dir)
+    return E.incremental_followers(i.raw("followers"), *FULL)
+
+
+@register("incremental_follows", O.with_ctes(
+    f"SELECT {EDGE_SELECT} FROM incremental_follows", ["incremental_follows"], _inc("follows")))
+def q_incremental_follows(spark, sf_dir):
+    i = Inputs(spark, sf_dir)
+    return E.incremental_follows(i.raw("follows"), *FULL)
+
+
+@register("incremental_loads", O.with_ctes(f"""
+SELECT load_id::TEXT AS load_id, schema_name::TEXT AS schema_name, status::BIGINT AS status,
+       inserted_at::TIMESTAMP AS inserted_at, schema_version_hash::TEXT AS schema_version_hash,
+       timezone('UTC', to_timestamp(load_id::DOUBLE)) AS _dlt_load_time
+FROM raw_loads
+WHERE timezone('UTC', to_timestamp(load_id::DOUBLE)) BETWEEN {O.ts_lit(PART[0])} AND {O.ts_lit(PART[1])}""",
+    ["raw_loads"]))
+def q_incremental_loads(spark, sf_dir):
+    pin_utc(spark)
+    return E.incremental_loads(TD.loads(spark, sf_dir), *PART)
+
+
+def _base_sql(table: str) -> str:
+    return O.with_ctes(f"SELECT did, handle, display_name FROM base_actor_{table}",
+                       [f"base_actor_{table}"],
+                       _inc(table) + [O.base_cte(table, BASE_ACTOR)])
+
+
+@register("base_actor_followers", _base_sql("followers"))
+def q_base_actor_followers(spark, sf_dir):
+    return Inputs(spark, sf_dir).base("followers")
+
+
+@register("base_actor_follows", _base_sql("follows"))
+def q_base_actor_follows(spark, sf_dir):
+    return Inputs(spark, sf_dir).base("follows")
+
+
+DIM_SQL = """
+SELECT DISTINCT did, handle, display_name, avatar, description
+FROM (
+  SELECT did, handle, display_name, avatar, description FROM incremental_followers
+  UNION ALL
+  SELECT did, handle, display_name, avatar, description FROM incremental_follows
+)"""
+
+
+@register("dim_profiles", O.with_ctes(DIM_SQL, ["incremental_followers", "incremental_follows"],
+                                      _inc("followers", "follows")))
+def q_dim_profiles(spark, sf_dir):
+    i = Inputs(spark, sf_dir)
+    return E.dim_profiles(i.latest("followers"), i.latest("follows"))
+
+
+# --------------------------------------------------------------------------- M7-M10, M12
+
+def _two_hop_sql(variant: str) -> str:
+    cand, base, excl = R.VARIANTS[variant]
+    body = f"""
+SELECT handle, did, display_name, COUNT(*) AS follower_count
+FROM (
+  SELECT DISTINCT f.did, f.handle, f.display_name
+  FROM incremental_{cand} AS f
+  INNER JOIN base_actor_{base} AS b ON b.handle = f.actor
+  WHERE NOT f.handle IN (SELECT handle FROM base_actor_{excl})
+)
+GROUP BY handle, did, display_name
+ORDER BY follower_count DESC"""
+    tables = sorted({cand, base, excl})
+    return O.with_ctes(body, [f"incremental_{cand}", f"base_actor_{base}", f"base_actor_{excl}"],
+                       _inc(*tables) + [O.base_cte(t, BASE_ACTOR) for t in tables])
+
+
+def _popularity_sql(variant: str) -> str:
+    cand, base, excl = R.VARIANTS[variant]
+    body = f"""
+, hop AS (
+  SELECT f.* FROM incremental_{cand} AS f
+  INNER JOIN base_actor_{base} AS b ON b.handle = f.actor
+  WHERE NOT f.handle IN (SELECT handle FROM base_actor_{excl})
+), counts AS (
+  SELECT handle, did, COUNT(DISTINCT actor) AS follower_count FROM hop GROUP BY handle, did
+), newest AS (
+  SELECT handle, did, display_name FROM hop
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY handle, did
+                             ORDER BY _dlt_load_time DESC, _dlt_id DESC, display_name DESC) = 1
+)
+SELECT c.handle, c.did, n.display_name, c.follower_count
+FROM counts c JOIN newest n
+  ON c.handle IS NOT DISTINCT FROM n.handle AND c.did IS NOT DISTINCT FROM n.did
+ORDER BY follower_count DESC, handle"""
+    tables = sorted({cand, base, excl})
+    head = O.with_ctes("", [f"incremental_{cand}", f"base_actor_{base}", f"base_actor_{excl}"],
+                       _inc(*tables) + [O.base_cte(t, BASE_ACTOR) for t in tables])
+    return head.rstrip() + body
+
+
+def _make_two_hop(variant: str):
+    def build(spark, sf_dir):
+        i = Inputs(spark, sf_dir)
+        return R.recommend(i.raw("followers"), i.raw("follows"), variant, BASE_ACTOR, *FULL)
+    build.__name__ = f"q_{variant}"
+    return build
+
+
+def _make_popularity(variant: str):
+    def build(spark, sf_dir):
+        i = Inputs(spark, sf_dir)
+        return R.popularity_ranked(i.raw("followers"), i.raw("follows"), variant, BASE_ACTOR, *FULL)
+    build.__name__ = f"q_popularity_ranked_{variant}"
+    return build
+
+
+for _v in R.VARIANTS:
+    register(_v, _two_hop_sql(_v))(_make_two_hop(_v))
+for _v in R.VARIANTS:
+    register(f"popularity_ranked_{_v}", _popularity_sql(_v))(_make_popularity(_v))
+
+
+# --------------------------------------------------------------------------- M11
+
+def jetstream_sql(clean: bool) -> str:
+    uri = ("json_extract_string(record['subject'], '$.uri')" if clean
+           else "json_extract(record['subject'], '$.uri')::VARCHAR")
+    # DuckDB 2.0 returns the map value itself, so the reference's [1] is dropped.
+    body = f"""
+SELECT did, kind, make_timestamp(time_us) AS ts, collection, to_json(record) AS record,
+  TRY_STRPTIME(REPLACE(record['createdAt'], '"', ''), '%Y-%m-%dT%H:%M:%S.%gZ') AS createdAt,
+  record['subject'] AS subject,
+  {uri} AS uri,
+  'https://bsky.app/profile/' || SPLIT_PART(SPLIT_PART(uri, '/app.bsky', 1), 'at://', 2) || '/'
+    || SPLIT_PART(SPLIT_PART(uri, '/', 4), '.', -1) || '/' || SPLIT_PART(uri, '/', -1) AS bsky_subject_url
+FROM jetstream
+WHERE ts BETWEEN {O.ts_lit(FULL[0])} AND {O.ts_lit(FULL[1])}"""
+    return O.with_ctes(body, ["jetstream"])
+
+
+def _events_for_compare(df: DataFrame) -> DataFrame:
+    """The map column as JSON text, so both engines render it the same way."""
+    return df.withColumn("record", F.to_json("record"))
+
+
+@register("jetstream_events", jetstream_sql(clean=False))
+def q_jetstream_events(spark, sf_dir):
+    return _events_for_compare(EV.jetstream_events(Inputs(spark, sf_dir).jetstream(), *FULL))
+
+
+@register("jetstream_events_clean", jetstream_sql(clean=True))
+def q_jetstream_events_clean(spark, sf_dir):
+    return _events_for_compare(EV.jetstream_events(Inputs(spark, sf_dir).jetstream(), *FULL,
+                                                   strip_json_quotes=True))
