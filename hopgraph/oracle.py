@@ -20,7 +20,7 @@ def ts_lit(x: dt.datetime) -> str:
     return f"TIMESTAMP '{x.isoformat(sep=' ')}'"
 
 
-def _load_text(ts: str) -> str:
+def load_text(ts: str) -> str:
     return (f"CAST(epoch_us({ts}) // 1000000 AS VARCHAR) || '.' || "
             f"lpad(CAST(epoch_us({ts}) % 1000000 AS VARCHAR), 6, '0')")
 
@@ -44,7 +44,7 @@ _CTES: dict[str, tuple[str, list[str]]] = {
     CASE WHEN f_type <> 'error' THEN f_type END AS description,
     e_ts AS indexed_at,
     'u' || CAST(e_user AS VARCHAR) AS actor,
-    {_load_text('e_ts')} AS _dlt_load_id,
+    {load_text('e_ts')} AS _dlt_load_id,
     'row-' || CAST(e_id AS VARCHAR) AS _dlt_id,
     CASE e_id % 3 WHEN 0 THEN 'all' WHEN 1 THEN 'following' END AS associated__chat__allow_incoming,
     CASE e_id % 10 WHEN 0 THEN TRUE WHEN 1 THEN FALSE END AS associated__labeler,
@@ -59,7 +59,7 @@ _CTES: dict[str, tuple[str, list[str]]] = {
          _dlt_load_id, _dlt_id, associated__chat__allow_incoming, associated__labeler
   FROM raw_edges WHERE tbl = 'follows'""", ["raw_edges"]),
     "raw_loads": (f"""
-  SELECT {_load_text('first_ts')} AS load_id, '{LOAD_SCHEMA_NAME}' AS schema_name,
+  SELECT {load_text('first_ts')} AS load_id, '{LOAD_SCHEMA_NAME}' AS schema_name,
          CAST(0 AS BIGINT) AS status, first_ts AS inserted_at,
          '{LOAD_SCHEMA_HASH}' AS schema_version_hash
   FROM (SELECT CAST(ts AS DATE) AS d, min(ts) AS first_ts FROM events GROUP BY 1)""", []),
@@ -94,8 +94,14 @@ _CTES: dict[str, tuple[str, list[str]]] = {
 }
 
 
-def incremental_cte(table: str, start: dt.datetime, end: dt.datetime, name: str | None = None):
-    """M1/M2 as the reference states it (QUALIFY), with a deterministic tiebreak."""
+def incremental_cte(table: str, start: dt.datetime | None, end: dt.datetime | None,
+                    name: str | None = None):
+    """M1/M2 as the reference states it (QUALIFY), with a deterministic tiebreak.
+
+    Without bounds the range filter is left out (the latest-per-key step alone).
+    """
+    where = ("" if start is None else
+             f"WHERE timezone('UTC', to_timestamp(_dlt_load_id::DOUBLE)) BETWEEN {ts_lit(start)} AND {ts_lit(end)}")
     body = f"""
   SELECT did::TEXT AS did, handle::TEXT AS handle, display_name::TEXT AS display_name,
     avatar::TEXT AS avatar, created_at::TIMESTAMP AS created_at,
@@ -105,7 +111,7 @@ def incremental_cte(table: str, start: dt.datetime, end: dt.datetime, name: str
     associated__labeler::BOOLEAN AS associated__labeler,
     timezone('UTC', to_timestamp(_dlt_load_id::DOUBLE)) AS _dlt_load_time
   FROM raw_{table}
-  WHERE timezone('UTC', to_timestamp(_dlt_load_id::DOUBLE)) BETWEEN {ts_lit(start)} AND {ts_lit(end)}
+  {where}
   QUALIFY ROW_NUMBER() OVER (PARTITION BY handle, actor
                              ORDER BY _dlt_load_time DESC NULLS LAST, _dlt_id DESC NULLS LAST) = 1"""
     return (name or f"incremental_{table}", body, [f"raw_{table}"])

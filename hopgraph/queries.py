@@ -237,3 +237,298 @@ def q_jetstream_events(spark, sf_dir):
 def q_jetstream_events_clean(spark, sf_dir):
     return _events_for_compare(EV.jetstream_events(Inputs(spark, sf_dir).jetstream(), *FULL,
                                                    strip_json_quotes=True))
+
+
+# --------------------------------------------------------------------------- operators P, J, A, W, O, U
+
+from hopgraph.operators import aggregate as A  # noqa: E402
+from hopgraph.operators import joins as J  # noqa: E402
+from hopgraph.operators import projection as P  # noqa: E402
+from hopgraph.operators import setops as U  # noqa: E402
+from hopgraph.operators.window import latest_per_key  # noqa: E402
+from hopgraph.schemas import EDGE, EDGE_KEY  # noqa: E402
+
+_DECL_TYPES = [(f.name, f.dataType) for f in EDGE.fields if f.name != "_dlt_load_time"]
+
+
+@register("typed_projection", O.with_ctes("""
+SELECT did::TEXT AS did, handle::TEXT AS handle, display_name::TEXT AS display_name,
+  avatar::TEXT AS avatar, created_at::TIMESTAMP AS created_at, description::TEXT AS description,
+  indexed_at::TIMESTAMP AS indexed_at, actor::TEXT AS actor, _dlt_load_id::TEXT AS _dlt_load_id,
+  _dlt_id::TEXT AS _dlt_id,
+  associated__chat__allow_incoming::TEXT AS associated__chat__allow_incoming,
+  associated__labeler::BOOLEAN AS associated__labeler
+FROM raw_follows""", ["raw_follows"]))
+def q_typed_projection(spark, sf_dir):
+    return P.typed_projection(Inputs(spark, sf_dir).raw("follows"), dict(_DECL_TYPES))
+
+
+@register("column_subset", O.with_ctes(
+    "SELECT handle AS follower_handle, did, display_name FROM incremental_followers",
+    ["incremental_followers"], _inc("followers")))
+def q_column_subset(spark, sf_dir):
+    return P.column_subset(Inputs(spark, sf_dir).latest("followers"),
+                           {"handle": "follower_handle", "did": "did", "display_name": "display_name"})
+
+
+@register("actor_filter", O.with_ctes(
+    f"SELECT {EDGE_SELECT} FROM incremental_follows WHERE actor = '{BASE_ACTOR}'",
+    ["incremental_follows"], _inc("follows")))
+def q_actor_filter(spark, sf_dir):
+    return P.actor_filter(Inputs(spark, sf_dir).latest("follows"), BASE_ACTOR)
+
+
+@register("time_range_filter", O.with_ctes(f"""
+SELECT handle, actor, _dlt_load_id, _dlt_load_time FROM (
+  SELECT handle, actor, _dlt_load_id,
+         timezone('UTC', to_timestamp(_dlt_load_id::DOUBLE)) AS _dlt_load_time
+  FROM raw_follows)
+WHERE _dlt_load_time BETWEEN {O.ts_lit(PART[0])} AND {O.ts_lit(PART[1])}""", ["raw_follows"]))
+def q_time_range_filter(spark, sf_dir):
+    typed = E.typed_edges(Inputs(spark, sf_dir).raw("follows"))
+    return P.in_range(typed, "_dlt_load_time", *PART).select("handle", "actor", "_dlt_load_id",
+                                                             "_dlt_load_time")
+
+
+@register("sentinel_filter", O.with_ctes(
+    "SELECT handle, actor, did FROM raw_followers WHERE handle <> 'handle.invalid'", ["raw_followers"]))
+def q_sentinel_filter(spark, sf_dir):
+    return P.sentinel_filter(Inputs(spark, sf_dir).raw("followers")).select("handle", "actor", "did")
+
+
+@register("lateral_alias", O.with_ctes(f"""
+SELECT did, make_timestamp(time_us) AS ts,
+  json_extract(record['subject'], '$.uri')::VARCHAR AS uri,
+  'https://bsky.app/profile/' || SPLIT_PART(SPLIT_PART(uri, '/app.bsky', 1), 'at://', 2) || '/'
+    || SPLIT_PART(SPLIT_PART(uri, '/', 4), '.', -1) || '/' || SPLIT_PART(uri, '/', -1) AS bsky_subject_url
+FROM jetstream
+WHERE ts BETWEEN {O.ts_lit(PART[0])} AND {O.ts_lit(PART[1])}""", ["jetstream"]))
+def q_lateral_alias(spark, sf_dir):
+    from hopgraph.functions.scalar import json_field, map_get, micros_to_ts
+    jet = EV.partition_prune(Inputs(spark, sf_dir).jetstream(), *PART)
+    df = P.with_aliases(jet, [
+        ("ts", micros_to_ts("time_us")),
+        ("uri", json_field(map_get("commit.record", "subject"), "uri")),
+        ("bsky_subject_url", lambda: EV.subject_url("uri")),
+    ])
+    return P.in_range(df, "ts", *PART).select("did", "ts", "uri", "bsky_subject_url")
+
+
+@register("struct_field", O.with_ctes("SELECT did, collection, operation FROM jetstream", ["jetstream"]))
+def q_struct_field(spark, sf_dir):
+    jet = Inputs(spark, sf_dir).jetstream()
+    return jet.select("did", P.struct_field("commit.collection"), P.struct_field("commit.operation"))
+
+
+def _base_ctes(*tables: str):
+    return _inc(*tables) + [O.base_cte(t, BASE_ACTOR) for t in tables]
+
+
+@register("edge_join", O.with_ctes("""
+SELECT f.did, f.handle, f.display_name, f.actor
+FROM incremental_follows AS f INNER JOIN base_actor_follows AS b ON f.actor = b.handle""",
+    ["incremental_follows", "base_actor_follows"], _base_ctes("follows")))
+def q_edge_join(spark, sf_dir):
+    i = Inputs(spark, sf_dir)
+    return J.edge_join(i.latest("follows"), i.base("follows")).select("did", "handle", "display_name",
+                                                                      "actor")
+
+
+@register("not_in_exclude", O.with_ctes("""
+SELECT handle, actor, did FROM incremental_followers
+WHERE NOT handle IN (SELECT handle FROM base_actor_follows)""",
+    ["incremental_followers", "base_actor_follows"], _base_ctes("followers", "follows")))
+def q_not_in_exclude(spark, sf_dir):
+    i = Inputs(spark, sf_dir)
+    return J.not_in(i.latest("followers"), "handle", i.base("follows")).select("handle", "actor", "did")
+
+
+@register("distinct_rows", O.with_ctes(
+    "SELECT DISTINCT did, handle, display_name FROM incremental_follows",
+    ["incremental_follows"], _inc("follows")))
+def q_distinct_rows(spark, sf_dir):
+    return A.distinct_rows(Inputs(spark, sf_dir).latest("follows"), ["did", "handle", "display_name"])
+
+
+@register("group_count", O.with_ctes("""
+SELECT handle, did, display_name, COUNT(*) AS follower_count
+FROM incremental_follows GROUP BY handle, did, display_name""",
+    ["incremental_follows"], _inc("follows")))
+def q_group_count(spark, sf_dir):
+    return A.group_count(Inputs(spark, sf_dir).latest("follows"), ["handle", "did", "display_name"])
+
+
+@register("unique_combination_audit", O.with_ctes("""
+SELECT handle, actor, COUNT(*) AS n_rows FROM raw_follows GROUP BY handle, actor HAVING COUNT(*) > 1""",
+    ["raw_follows"]))
+def q_unique_combination_audit(spark, sf_dir):
+    return A.audit_unique(Inputs(spark, sf_dir).raw("follows"), EDGE_KEY)
+
+
+@register("latest_per_key", O.with_ctes(
+    f"SELECT {EDGE_SELECT} FROM latest_followers", ["latest_followers"],
+    [O.incremental_cte("followers", None, None, name="latest_followers")]))
+def q_latest_per_key(spark, sf_dir):
+    typed = E.typed_edges(Inputs(spark, sf_dir).raw("followers"))
+    return latest_per_key(typed, EDGE_KEY, "_dlt_load_time", ["_dlt_id"])
+
+
+@register("popularity_order", O.with_ctes("""
+SELECT handle, COUNT(*) AS follower_count FROM incremental_follows
+GROUP BY handle ORDER BY follower_count DESC, handle""",
+    ["incremental_follows"], _inc("follows")))
+def q_popularity_order(spark, sf_dir):
+    counted = A.group_count(Inputs(spark, sf_dir).latest("follows"), ["handle"])
+    return A.popularity_order(counted)
+
+
+@register("union_all", O.with_ctes("""
+SELECT did, handle, display_name, avatar, description FROM incremental_followers
+UNION ALL
+SELECT did, handle, display_name, avatar, description FROM incremental_follows""",
+    ["incremental_followers", "incremental_follows"], _inc("followers", "follows")))
+def q_union_all(spark, sf_dir):
+    i = Inputs(spark, sf_dir)
+    return U.union_all([i.latest("followers"), i.latest("follows")],
+                       ["did", "handle", "display_name", "avatar", "description"])
+
+
+@register("crawl_frontier", O.with_ctes(f"""
+SELECT handle FROM raw_followers WHERE actor = '{BASE_ACTOR}' AND handle <> 'handle.invalid'
+UNION
+SELECT handle FROM raw_follows WHERE actor = '{BASE_ACTOR}' AND handle <> 'handle.invalid'
+UNION
+SELECT '{BASE_ACTOR}' AS handle""", ["raw_followers", "raw_follows"]))
+def q_crawl_frontier(spark, sf_dir):
+    i = Inputs(spark, sf_dir)
+    return U.crawl_frontier(i.raw("followers"), i.raw("follows"), BASE_ACTOR)
+
+
+# --------------------------------------------------------------------------- scalar functions F1-F13
+
+from hopgraph.functions import scalar as S  # noqa: E402
+
+
+@register("epoch_seconds_to_ts", O.with_ctes("""
+SELECT _dlt_id, _dlt_load_id, timezone('UTC', to_timestamp(_dlt_load_id::DOUBLE)) AS _dlt_load_time
+FROM raw_follows""", ["raw_follows"]))
+def q_epoch_seconds_to_ts(spark, sf_dir):
+    raw = Inputs(spark, sf_dir).raw("follows")
+    return raw.select("_dlt_id", "_dlt_load_id", S.epoch_seconds_to_ts("_dlt_load_id").alias("_dlt_load_time"))
+
+
+@register("micros_to_ts", O.with_ctes(
+    "SELECT did, time_us, make_timestamp(time_us) AS ts FROM jetstream", ["jetstream"]))
+def q_micros_to_ts(spark, sf_dir):
+    jet = Inputs(spark, sf_dir).jetstream()
+    return jet.select("did", "time_us", S.micros_to_ts("time_us").alias("ts"))
+
+
+@register("lenient_ts_parse", O.with_ctes("""
+SELECT time_us, TRY_STRPTIME(REPLACE(record['createdAt'], '"', ''), '%Y-%m-%dT%H:%M:%S.%gZ') AS createdAt
+FROM jetstream""", ["jetstream"]))
+def q_lenient_ts_parse(spark, sf_dir):
+    jet = Inputs(spark, sf_dir).jetstream()
+    text = S.strip_quotes(S.map_get("commit.record", "createdAt"))
+    return jet.select("time_us", S.lenient_ts_parse(text).alias("createdAt"))
+
+
+@register("strip_quotes", O.with_ctes(
+    "SELECT time_us, REPLACE(record['createdAt'], '\"', '') AS created_text FROM jetstream", ["jetstream"]))
+def q_strip_quotes(spark, sf_dir):
+    jet = Inputs(spark, sf_dir).jetstream()
+    return jet.select("time_us", S.strip_quotes(S.map_get("commit.record", "createdAt")).alias("created_text"))
+
+
+_URI_SQL = "json_extract(record['subject'], '$.uri')::VARCHAR"
+
+
+@register("split_part", O.with_ctes(f"""
+SELECT time_us,
+  SPLIT_PART({_URI_SQL}, '/', 4) AS part_4,
+  SPLIT_PART({_URI_SQL}, '/', -1) AS part_last,
+  SPLIT_PART(SPLIT_PART({_URI_SQL}, '/', 4), '.', -1) AS record_kind,
+  SPLIT_PART(SPLIT_PART({_URI_SQL}, '/app.bsky', 1), 'at://', 2) AS subject_did,
+  SPLIT_PART({_URI_SQL}, '/', 9) AS past_end
+FROM jetstream""", ["jetstream"]))
+def q_split_part(spark, sf_dir):
+    jet = Inputs(spark, sf_dir).jetstream()
+    uri = S.json_field(S.map_get("commit.record", "subject"), "uri")
+    return jet.select(
+        "time_us", S.split_part(uri, "/", 4).alias("part_4"), S.split_part(uri, "/", -1).alias("part_last"),
+        S.split_part(S.split_part(uri, "/", 4), ".", -1).alias("record_kind"),
+        S.split_part(S.split_part(uri, "/app.bsky", 1), "at://", 2).alias("subject_did"),
+        S.split_part(uri, "/", 9).alias("past_end"))
+
+
+@register("null_concat", O.with_ctes(f"""
+SELECT time_us, 'https://bsky.app/profile/' || SPLIT_PART(SPLIT_PART({_URI_SQL}, '/app.bsky', 1), 'at://', 2)
+  || '/' || SPLIT_PART(SPLIT_PART({_URI_SQL}, '/', 4), '.', -1) || '/' || SPLIT_PART({_URI_SQL}, '/', -1)
+  AS bsky_subject_url
+FROM jetstream""", ["jetstream"]))
+def q_null_concat(spark, sf_dir):
+    jet = Inputs(spark, sf_dir).jetstream()
+    uri = S.json_field(S.map_get("commit.record", "subject"), "uri")
+    return jet.withColumn("uri", uri).select("time_us", EV.subject_url("uri").alias("bsky_subject_url"))
+
+
+@register("map_get", O.with_ctes("""
+SELECT time_us, record['createdAt'] AS created_raw, record['subject'] AS subject,
+       record['missing'] AS missing
+FROM jetstream""", ["jetstream"]))
+def q_map_get(spark, sf_dir):
+    jet = Inputs(spark, sf_dir).jetstream()
+    rec = "commit.record"
+    return jet.select("time_us", S.map_get(rec, "createdAt").alias("created_raw"),
+                      S.map_get(rec, "subject").alias("subject"), S.map_get(rec, "missing").alias("missing"))
+
+
+@register("json_field", O.with_ctes("""
+SELECT time_us, json_extract(record['subject'], '$.uri')::VARCHAR AS uri_json,
+       json_extract_string(record['subject'], '$.uri') AS uri_text,
+       json_extract_string(record['subject'], '$.cid') AS cid
+FROM jetstream""", ["jetstream"]))
+def q_json_field(spark, sf_dir):
+    jet = Inputs(spark, sf_dir).jetstream()
+    subj = S.map_get("commit.record", "subject")
+    return jet.select("time_us", S.json_field(subj, "uri").alias("uri_json"),
+                      S.json_field(subj, "uri", keep_quotes=False).alias("uri_text"),
+                      S.json_field(subj, "cid", keep_quotes=False).alias("cid"))
+
+
+@register("cast_text", O.with_ctes("""
+SELECT _dlt_id, associated__labeler::TEXT AS labeler_text FROM raw_follows""", ["raw_follows"]))
+def q_cast_text(spark, sf_dir):
+    raw = Inputs(spark, sf_dir).raw("follows")
+    return raw.select("_dlt_id", S.cast_text("associated__labeler").alias("labeler_text"))
+
+
+@register("cast_double", O.with_ctes(
+    "SELECT _dlt_id, _dlt_load_id::DOUBLE AS load_seconds FROM raw_follows", ["raw_follows"]))
+def q_cast_double(spark, sf_dir):
+    raw = Inputs(spark, sf_dir).raw("follows")
+    return raw.select("_dlt_id", S.cast_double("_dlt_load_id").alias("load_seconds"))
+
+
+@register("cast_bigint", O.with_ctes(
+    "SELECT _dlt_id, SPLIT_PART(_dlt_load_id, '.', 1)::BIGINT AS load_whole_seconds FROM raw_follows",
+    ["raw_follows"]))
+def q_cast_bigint(spark, sf_dir):
+    raw = Inputs(spark, sf_dir).raw("follows")
+    return raw.select("_dlt_id", S.cast_bigint(S.split_part("_dlt_load_id", ".", 1)).alias("load_whole_seconds"))
+
+
+@register("cast_bool", O.with_ctes(
+    "SELECT _dlt_id, associated__labeler::TEXT::BOOLEAN AS labeler FROM raw_follows", ["raw_follows"]))
+def q_cast_bool(spark, sf_dir):
+    raw = Inputs(spark, sf_dir).raw("follows")
+    return raw.select("_dlt_id", S.cast_bool(S.cast_text("associated__labeler")).alias("labeler"))
+
+
+@register("cast_ts", O.with_ctes(
+    "SELECT _dlt_id, created_at::TIMESTAMP AS created_at, indexed_at::TIMESTAMP AS indexed_at FROM raw_follows",
+    ["raw_follows"]))
+def q_cast_ts(spark, sf_dir):
+    raw = Inputs(spark, sf_dir).raw("follows")
+    return raw.select("_dlt_id", S.cast_ts("created_at").alias("created_at"),
+                      S.cast_ts("indexed_at").alias("indexed_at"))
