@@ -532,3 +532,206 @@ def q_cast_ts(spark, sf_dir):
     raw = Inputs(spark, sf_dir).raw("follows")
     return raw.select("_dlt_id", S.cast_ts("created_at").alias("created_at"),
                       S.cast_ts("indexed_at").alias("indexed_at"))
+
+
+# --------------------------------------------------------------------------- sources and sinks I1-I9
+
+from hopgraph.schemas import JETSTREAM, JETSTREAM_PARTITIONS, RAW_EDGE_COLUMNS  # noqa: E402
+from hopgraph.session import fresh_path  # noqa: E402
+from hopgraph.sources import external as X  # noqa: E402
+from hopgraph.sources import ingest as I  # noqa: E402
+from hopgraph.sources import loads as L  # noqa: E402
+from hopgraph.sources import pond as PD  # noqa: E402
+
+INGEST_TIME = "2024-12-04T00:00:00.000000"   # fixed crawl time stamped by ``tag_actor``
+
+
+def _pages_sql(kind: str, body: str) -> str:
+    etype = "click" if kind == "follows" else "view"
+    page = O.with_ctes("", ["pairs"]).rstrip()
+    return page + f"""
+, profiles AS (
+  SELECT '{TD.DID_PREFIX}' || CAST(f_user AS VARCHAR) AS did, 'u' || CAST(f_user AS VARCHAR) AS handle,
+    CASE WHEN f_id % 5 = 0 THEN '' ELSE 'User ' || CAST(f_user AS VARCHAR) END AS display_name,
+    '{TD.AVATAR_PREFIX}' || CAST(f_user AS VARCHAR) AS avatar,
+    strftime(f_ts, '%Y-%m-%dT%H:%M:%S.%f') AS created_at,
+    CASE WHEN f_type <> 'error' THEN f_type END AS description,
+    strftime(e_ts, '%Y-%m-%dT%H:%M:%S.%f') AS indexed_at,
+    CASE e_id % 3 WHEN 0 THEN 'all' WHEN 1 THEN 'following' END AS associated__chat__allow_incoming,
+    CASE e_id % 10 WHEN 0 THEN TRUE WHEN 1 THEN FALSE END AS associated__labeler,
+    'u' || CAST(e_user AS VARCHAR) AS request_actor
+  FROM pairs WHERE e_type = '{etype}'
+)
+{body}"""
+
+
+def _pages(spark, sf_dir, kind):
+    path = TD.write_pages(spark, sf_dir)
+    return I.ingest_pages(spark, f"{path}/kind={kind}", kind)
+
+
+@register("ingest_pages", _pages_sql("followers", """
+SELECT did, handle, display_name AS displayName, avatar, created_at AS createdAt, description,
+       indexed_at AS indexedAt, request_actor
+FROM profiles"""))
+def q_ingest_pages(spark, sf_dir):
+    return _pages(spark, sf_dir, "followers").select(
+        "did", "handle", "displayName", "avatar", "createdAt", "description", "indexedAt", "request_actor")
+
+
+@register("flatten_nested", _pages_sql("followers", "SELECT * FROM profiles"))
+def q_flatten_nested(spark, sf_dir):
+    return I.flatten_nested(_pages(spark, sf_dir, "followers"))
+
+
+@register("tag_actor", _pages_sql("follows", f"""
+SELECT request_actor AS actor, handle, did, '{INGEST_TIME}' AS indexed_at FROM profiles"""))
+def q_tag_actor(spark, sf_dir):
+    flat = I.flatten_nested(_pages(spark, sf_dir, "follows"))
+    return I.tag_actor(flat, F.col("request_actor"), ingest_time=INGEST_TIME).select(
+        "actor", "handle", "did", "indexed_at")
+
+
+@register("append_load", O.with_ctes(f"""
+, batch AS (SELECT {O.load_text('max(indexed_at)')} AS load_id FROM raw_follows)
+SELECT did, handle, actor, b.load_id AS _dlt_load_id,
+       substr(sha256(b.load_id || '|' || actor || '|' || handle || '|' || did), 1, 14) AS _dlt_id
+FROM raw_follows, batch AS b""".replace("\n, batch", "batch", 1), ["raw_follows"]).replace(
+    "\nbatch AS", ",\nbatch AS", 1))
+def q_append_load(spark, sf_dir):
+    raw = Inputs(spark, sf_dir).raw("follows").drop("_dlt_load_id", "_dlt_id")
+    load_id = raw.select(S.epoch_seconds_text(F.max("indexed_at"))).scalar()
+    path = fresh_path(spark, "append-load")
+    L.append_load(raw, f"{path}/follows", load_id, ["actor", "handle", "did"],
+                  ledger_path=f"{path}/_dlt_loads")
+    return spark.read.parquet(f"{path}/follows").select("did", "handle", "actor", "_dlt_load_id", "_dlt_id")
+
+
+@register("loads_ledger", O.with_ctes("""
+SELECT load_id, schema_name, status, inserted_at, schema_version_hash FROM raw_loads""", ["raw_loads"]))
+def q_loads_ledger(spark, sf_dir):
+    pin_utc(spark)
+    path = fresh_path(spark, "loads-ledger")
+    L.loads_ledger(TD.loads(spark, sf_dir), path)
+    back = spark.read.parquet(path)
+    return back.withColumn("inserted_at", F.col("inserted_at").cast("timestamp_ntz"))
+
+
+@register("parquet_pond", O.with_ctes(
+    "SELECT * FROM raw_follows", ["raw_follows"]))
+def q_parquet_pond(spark, sf_dir):
+    path = fresh_path(spark, "pond-follows")
+    PD.write_pond(Inputs(spark, sf_dir).raw("follows"), path)
+    back = spark.read.parquet(path).select(*RAW_EDGE_COLUMNS)
+    return (back.withColumn("created_at", S.cast_ts("created_at"))
+                .withColumn("indexed_at", S.cast_ts("indexed_at")))
+
+
+@register("append_external", O.with_ctes(
+    "SELECT did, kind, time_us, collection, year, month, day, hour FROM jetstream", ["jetstream"]))
+def q_append_external(spark, sf_dir):
+    src = TD.landed_jetstream_path(spark, sf_dir)
+    copied = X.append_external(spark, src, fresh_path(spark, "jetstream-copy"), JETSTREAM,
+                               partition_by=["year", "month", "day"], bootstrap=True)
+    return copied.select("did", "kind", "time_us", P.struct_field("commit.collection"),
+                         *JETSTREAM_PARTITIONS)
+
+
+@register("typed_scan", O.with_ctes(
+    "SELECT did, time_us, year, month, day, hour FROM jetstream", ["jetstream"]))
+def q_typed_scan(spark, sf_dir):
+    return Inputs(spark, sf_dir).jetstream().select("did", "time_us", *JETSTREAM_PARTITIONS)
+
+
+@register("crawl_summary", O.with_ctes("""
+SELECT COUNT(*) AS processed, count_if(success) AS successful, count_if(NOT success) AS failed,
+       COUNT(DISTINCT actor) AS actors, round(sum(duration_s), 6) AS total_duration_s,
+       round(avg(duration_s), 6) AS avg_duration_s
+FROM outcomes""", ["outcomes"]))
+def q_crawl_summary(spark, sf_dir):
+    return A.crawl_summary(TD.crawl_outcomes(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------- materialisation K1-K5
+
+from hopgraph.plans import materialize as K  # noqa: E402
+
+SPLIT_DAY_1 = day_bounds("2024-01-01", "2024-01-15")
+SPLIT_DAY_2 = day_bounds("2024-01-16", "2024-01-30")
+
+
+@register("upsert_by_key", O.with_ctes(f"""
+SELECT {EDGE_SELECT} FROM batch_1 AS t
+WHERE NOT EXISTS (SELECT 1 FROM batch_2 AS b WHERE b.handle = t.handle AND b.actor = t.actor)
+UNION ALL
+SELECT {EDGE_SELECT} FROM batch_2""", ["batch_1", "batch_2"],
+    [O.incremental_cte("follows", *SPLIT_DAY_1, name="batch_1"),
+     O.incremental_cte("follows", *SPLIT_DAY_2, name="batch_2")]))
+def q_upsert_by_key(spark, sf_dir):
+    raw = Inputs(spark, sf_dir).raw("follows")
+    table = K.VersionedTable(spark, fresh_path(spark, "upsert-follows"))
+    for interval in (SPLIT_DAY_1, SPLIT_DAY_2):
+        K.upsert_by_key(table, E.incremental_follows(raw, *interval), EDGE_KEY)
+    return table.read()
+
+
+def _event_table(spark, sf_dir, name):
+    return K.VersionedTable(spark, fresh_path(spark, name)), Inputs(spark, sf_dir).jetstream()
+
+
+@register("overwrite_interval", jetstream_sql(clean=False))
+def q_overwrite_interval(spark, sf_dir):
+    table, jet = _event_table(spark, sf_dir, "events-interval")
+    K.overwrite_interval(table, EV.jetstream_events(jet, *FULL), "ts", *FULL)
+    K.overwrite_interval(table, EV.jetstream_events(jet, *PART), "ts", *PART)
+    return _events_for_compare(table.read())
+
+
+@register("partial_interval", jetstream_sql(clean=False))
+def q_partial_interval(spark, sf_dir):
+    import datetime as dt
+    table, jet = _event_table(spark, sf_dir, "events-partial")
+    cut = dt.datetime(2024, 1, 15, 12, 30)           # "now": half-way through an hour
+    hour = cut.replace(minute=0)
+    K.overwrite_interval(table, EV.jetstream_events(jet, FULL[0], cut), "ts", FULL[0], cut)
+    K.overwrite_interval(table, EV.jetstream_events(jet, hour, FULL[1]), "ts", hour, FULL[1])
+    return _events_for_compare(table.read())
+
+
+@register("view_model", O.with_ctes(DIM_SQL, ["incremental_followers", "incremental_follows"],
+                                    _inc("followers", "follows")))
+def q_view_model(spark, sf_dir):
+    i = Inputs(spark, sf_dir)
+    return K.view_model(E.dim_profiles(i.latest("followers"), i.latest("follows")), "dim_profiles")
+
+
+@register("embedded_model", _base_sql("follows"))
+def q_embedded_model(spark, sf_dir):
+    return E.base_actor_edges(Inputs(spark, sf_dir).latest("follows"), BASE_ACTOR)
+
+
+# --------------------------------------------------------------------------- streaming T1-T2
+
+from hopgraph.streaming import edges as SE  # noqa: E402
+from hopgraph.streaming import jetstream as SJ  # noqa: E402
+
+
+@register("jetstream_stream", jetstream_sql(clean=False))
+def q_jetstream_stream(spark, sf_dir):
+    src = TD.landed_jetstream_path(spark, sf_dir)
+    out, ckpt = fresh_path(spark, "stream-events"), fresh_path(spark, "stream-events-ckpt")
+    SJ.jetstream_stream(spark, src, out, ckpt, *FULL, max_files_per_trigger=8).awaitTermination()
+    return _events_for_compare(spark.read.parquet(out))
+
+
+@register("edges_stream_upsert", O.with_ctes(
+    f"SELECT {EDGE_SELECT} FROM incremental_follows", ["incremental_follows"], _inc("follows")))
+def q_edges_stream_upsert(spark, sf_dir):
+    raw = Inputs(spark, sf_dir).raw("follows")
+    table = K.VersionedTable(spark, fresh_path(spark, "stream-follows"))
+    K.upsert_by_key(table, E.incremental_follows(raw, *SPLIT_DAY_1), EDGE_KEY)
+    src = TD.landed_edges_path(spark, sf_dir)
+    SE.edges_stream_upsert(spark, src, table, fresh_path(spark, "stream-follows-ckpt"),
+                           *SPLIT_DAY_2, max_files_per_trigger=2,
+                           schema=TD.LANDED_EDGE, condition=F.col("tbl") == "follows").awaitTermination()
+    return table.read()

@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from hopgraph.schemas import API_PAGE
 
@@ -20,7 +20,7 @@ def ingest_pages(spark: SparkSession, path: str, kind: str, schema: StructType =
     if kind not in ("followers", "follows"):
         raise ValueError(kind)
     if "actor" not in schema.fieldNames():
-        schema = schema.add("actor", "string")
+        schema = StructType(schema.fields + [StructField("actor", StringType(), True)])
     pages = spark.read.schema(schema).json(path)
     return (pages.select(F.explode(kind).alias("p"), F.col("actor").alias("request_actor"))
                  .select("p.*", "request_actor"))

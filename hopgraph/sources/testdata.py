@@ -18,6 +18,7 @@ import threading
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from hopgraph.functions.scalar import epoch_seconds_text
 from hopgraph.schemas import API_PAGE, JETSTREAM, RAW_EDGE, RAW_EDGE_COLUMNS
@@ -37,6 +38,9 @@ LOAD_SCHEMA_NAME = "graph_crawl"
 LOAD_SCHEMA_HASH = hashlib.sha256(RAW_EDGE.json().encode()).hexdigest()
 PAGE_SIZE = 100
 
+# The landed edge files: the raw columns plus the ``tbl`` partition column.
+LANDED_EDGE = StructType(RAW_EDGE.fields + [StructField("tbl", StringType(), True)])
+
 _landed: dict[tuple, str] = {}
 _lock = threading.Lock()
 
@@ -222,8 +226,7 @@ def raw_edges(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     if table not in ("followers", "follows"):
         raise ValueError(table)
     path = landed_edges_path(spark, sf_dir)
-    schema = RAW_EDGE.add("tbl", "string")
-    return (spark.read.schema(schema).option("basePath", path).parquet(path)
+    return (spark.read.schema(LANDED_EDGE).parquet(path)
             .where(F.col("tbl") == table).select(*RAW_EDGE_COLUMNS))
 
 

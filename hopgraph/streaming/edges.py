@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from hopgraph.plans.edges import incremental_edges
 from hopgraph.plans.materialize import VersionedTable, upsert_by_key, upsert_newest
@@ -12,24 +13,31 @@ from hopgraph.schemas import EDGE_KEY, RAW_EDGE
 
 def edges_stream_upsert(spark: SparkSession, source: str, table: VersionedTable, checkpoint: str,
                         start, end, newest_wins: bool = True, available_now: bool = True,
-                        max_files_per_trigger: int | None = None) -> StreamingQuery:
+                        max_files_per_trigger: int | None = None, schema: StructType = RAW_EDGE,
+                        condition: Column | None = None) -> StreamingQuery:
     """Each micro-batch of raw edges -> typed, in range, latest per key -> upsert.
 
     ``newest_wins`` keeps a stored row that is newer than the batch's, so
     files arriving out of time order cannot roll an edge back;
     ``newest_wins=False`` is the plain last-batch-wins upsert (K1).
+    ``condition`` filters the source rows (e.g. on a partition column).
     """
-    reader = spark.readStream.schema(RAW_EDGE)
+    reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.parquet(source)
+    if condition is not None:
+        raw = raw.where(condition)
 
     def sink(batch, _batch_id):
-        latest = incremental_edges(batch, start, end)
-        if newest_wins:
-            upsert_newest(table, latest, EDGE_KEY, "_dlt_load_time")
-        else:
-            upsert_by_key(table, latest, EDGE_KEY)
+        latest = incremental_edges(batch, start, end).persist()
+        try:
+            if newest_wins:
+                upsert_newest(table, latest, EDGE_KEY, "_dlt_load_time")
+            else:
+                upsert_by_key(table, latest, EDGE_KEY)
+        finally:
+            latest.unpersist()
 
     writer = raw.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
