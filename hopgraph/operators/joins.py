@@ -18,16 +18,24 @@ def edge_join(edges: DataFrame, base: DataFrame, base_col: str = "handle",
     return out.drop("_base_key") if how in ("inner", "left", "left_outer") else out
 
 
-def not_in(df: DataFrame, column: str, exclude: DataFrame, exclude_col: str = "handle") -> DataFrame:
+def not_in(df: DataFrame, column: str, exclude: DataFrame, exclude_col: str = "handle",
+           rows: int | None = None, nulls: int | None = None) -> DataFrame:
     """``WHERE NOT column IN (SELECT exclude_col FROM exclude)``, null-aware.
 
     SQL NOT IN keeps a row only when the set is empty, or the value is not
     NULL, not in the set, and the set holds no NULL.  This is an equi
     left-anti join (shuffled or broadcast by size, unlike Spark's own NOT IN
     rewrite, which always broadcasts the set) plus two scalar subqueries over
-    the set, which Spark merges into one global aggregate.
+    the set, which Spark merges into one global aggregate.  When the caller
+    has already measured the set (``rows``, ``nulls``), the guards are literals.
     """
     ex = exclude.select(F.col(exclude_col).alias("_ex_key"))
+    if rows is not None and nulls is not None:
+        if rows == 0:
+            return df
+        if nulls > 0:
+            return df.where(F.lit(False))
+        return df.join(ex, F.col(column) == F.col("_ex_key"), "left_anti").where(F.col(column).isNotNull())
     n_rows = ex.select(F.count(F.lit(1))).scalar()
     n_nulls = ex.select(F.count_if(F.col("_ex_key").isNull())).scalar()
     kept = df.join(ex, F.col(column) == F.col("_ex_key"), "left_anti")

@@ -19,5 +19,5 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_col: str,
     """
     order = [F.col(order_col).desc_nulls_last()] + [F.col(c).desc_nulls_last() for c in tiebreak]
     w = Window.partitionBy(*keys).orderBy(*order)
-    return (df.withColumn("_rn", F.row_number().over(w))
-              .where(F.col("_rn") == 1).drop("_rn"))
+    cols = df.columns
+    return df.select(*cols, F.row_number().over(w).alias("_rn")).where(F.col("_rn") == 1).select(*cols)

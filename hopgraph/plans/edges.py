@@ -22,9 +22,9 @@ BASE_COLUMNS = ["did", "handle", "display_name"]
 
 
 def typed_edges(raw: DataFrame) -> DataFrame:
-    """P1 + F1: declared types, naive timestamps and the parsed load time."""
-    with_time = raw.withColumn("_dlt_load_time", epoch_seconds_to_ts("_dlt_load_id"))
-    return typed_projection(with_time, EDGE)
+    """P1 + F1: declared types, naive timestamps and the parsed load time (one projection)."""
+    cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in EDGE.fields if f.name != "_dlt_load_time"]
+    return raw.select(*cols, epoch_seconds_to_ts("_dlt_load_id").alias("_dlt_load_time"))
 
 
 def incremental_edges(raw: DataFrame, start, end, actors: DataFrame | None = None,

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from hopgraph.operators.aggregate import distinct_rows, group_count, popularity_order
 from hopgraph.operators.joins import edge_join, not_in
-from hopgraph.plans.edges import BASE_COLUMNS, base_actor_edges, incremental_edges
-from hopgraph.session import checked_broadcast
+from hopgraph.operators.projection import actor_filter, in_range
+from hopgraph.plans.edges import BASE_COLUMNS, incremental_edges, typed_edges
+from hopgraph.session import KeySet, measured_keys
 
 VARIANTS = {
     # name: (candidate edge table, base set, excluded set)
@@ -26,28 +27,37 @@ VARIANTS = {
 }
 
 
-def two_hop(edges: DataFrame, base: DataFrame, exclude: DataFrame) -> DataFrame:
+def _exclusion(exclude: DataFrame | KeySet):
+    if isinstance(exclude, KeySet):
+        return exclude.frame, {"rows": exclude.rows, "nulls": exclude.nulls}
+    return exclude, {}
+
+
+def two_hop(edges: DataFrame, base: DataFrame, exclude: DataFrame | KeySet) -> DataFrame:
     """M7-M10 core: edges whose actor is a base handle, minus excluded handles.
 
-    ``base`` and ``exclude`` need a ``handle`` column.  Base handles are
-    de-duplicated first; that leaves the result unchanged because the rows
-    are de-duplicated right after the join.
+    ``base`` and ``exclude`` need a ``handle`` column (``exclude`` may be a
+    measured ``KeySet``).  Base handles are de-duplicated first; that leaves
+    the result unchanged because the rows are de-duplicated right after the
+    join.
     """
+    ex, stats = _exclusion(exclude)
     hop = edge_join(edges, base.select("handle").distinct())
-    kept = not_in(hop, "handle", exclude, "handle")
+    kept = not_in(hop, "handle", ex, "handle", **stats)
     counted = group_count(distinct_rows(kept, BASE_COLUMNS), ["handle", "did", "display_name"])
     return popularity_order(counted.select("handle", "did", "display_name", "follower_count"))
 
 
-def popularity(edges: DataFrame, base: DataFrame, exclude: DataFrame) -> DataFrame:
+def popularity(edges: DataFrame, base: DataFrame, exclude: DataFrame | KeySet) -> DataFrame:
     """M12 core: per (handle, did), how many distinct base-side accounts link to it.
 
     The display name is the newest one (by load time, then row id).  Two
     aggregation levels, each with a map-side partial step, so a very popular
     handle never gathers its raw rows in one task.
     """
+    ex, stats = _exclusion(exclude)
     hop = edge_join(edges, base.select("handle").distinct())
-    kept = not_in(hop, "handle", exclude, "handle")
+    kept = not_in(hop, "handle", ex, "handle", **stats)
     newest = F.struct("_dlt_load_time", "_dlt_id", "display_name")
     per_actor = kept.groupBy("handle", "did", "actor").agg(F.max(newest).alias("newest"))
     per_handle = per_actor.groupBy("handle", "did").agg(
@@ -56,18 +66,23 @@ def popularity(edges: DataFrame, base: DataFrame, exclude: DataFrame) -> DataFra
         "handle", "did", F.col("newest.display_name").alias("display_name"), "follower_count"))
 
 
+def neighbour_handles(raw: DataFrame, base_actor: str, start, end) -> DataFrame:
+    """Distinct handles next to the base actor: the handle column of M4 / M5.
+
+    Latest-per-(handle, actor) keeps exactly one row for every key present,
+    so the set of handles is the same before and after it; no window needed.
+    """
+    typed = in_range(actor_filter(typed_edges(raw), base_actor), "_dlt_load_time", start, end)
+    return typed.select("handle").distinct()
+
+
 def _model(core, raw: dict[str, DataFrame], variant: str, base_actor: str, start, end) -> DataFrame:
     cand_tbl, base_tbl, excl_tbl = VARIANTS[variant]
-    base = base_actor_edges(incremental_edges(raw[base_tbl], start, end), base_actor)
+    base = measured_keys(neighbour_handles(raw[base_tbl], base_actor, start, end), "handle")
     exclude = (base if excl_tbl == base_tbl
-               else base_actor_edges(incremental_edges(raw[excl_tbl], start, end), base_actor))
-    base_h, base_small = checked_broadcast(base.select("handle").distinct())
-    if excl_tbl == base_tbl:
-        excl_h = base_h
-    else:
-        excl_h, _ = checked_broadcast(exclude.select("handle").distinct())
-    edges = incremental_edges(raw[cand_tbl], start, end, actors=base_h, actors_small=base_small)
-    return core(edges, base_h, excl_h)
+               else measured_keys(neighbour_handles(raw[excl_tbl], base_actor, start, end), "handle"))
+    edges = incremental_edges(raw[cand_tbl], start, end, actors=base.frame, actors_small=base.small)
+    return core(edges, base.frame, exclude)
 
 
 def recommend(raw_followers: DataFrame, raw_follows: DataFrame, variant: str,

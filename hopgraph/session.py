@@ -61,6 +61,27 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+class KeySet:
+    """A set of join keys with its measured size and NULL count.
+
+    ``frame`` is broadcast-marked when ``rows`` is within the bound.
+    """
+
+    def __init__(self, frame: DataFrame, column: str, rows: int, nulls: int, small: bool):
+        self.frame, self.column, self.rows, self.nulls, self.small = frame, column, rows, nulls, small
+
+
+def measured_keys(df: DataFrame, column: str, max_rows: int = BROADCAST_MAX_ROWS) -> KeySet:
+    """Count a key set (and its NULLs) in one aggregate; broadcast it only under the bound.
+
+    The count is one small job whose single result row comes back to the
+    driver; beyond the bound the frame stays unmarked and Spark shuffles.
+    """
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(column).isNull()).alias("z")).first()
+    small = row["n"] <= max_rows
+    return KeySet(F.broadcast(df) if small else df, column, row["n"], row["z"], small)
+
+
 def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
     """Mark ``df`` for broadcast only after counting it under the bound.
 
