@@ -43,14 +43,24 @@ def _as_datetime(x) -> dt.datetime:
     return x
 
 
+_EPOCH = dt.datetime(1970, 1, 1)
+
+
+def _micros(x) -> int:
+    return (_as_datetime(x) - _EPOCH) // dt.timedelta(microseconds=1)
+
+
 def partition_prune(jet: DataFrame, start, end) -> DataFrame:
-    """Restrict year/month/day partitions to the days the ts bounds touch.
+    """Scan-level forms of ``ts BETWEEN start AND end``.
 
-    ``ts`` is computed from ``time_us``, so the ts filter alone cannot prune
-    partitions; this extra filter only names partition columns, so Spark
-    resolves it from the directory listing.
+    ``ts`` is computed from ``time_us``, so its filter alone reaches neither
+    the directory listing nor Parquet statistics.  Two equivalent filters do:
+    one on the year/month/day partition columns (pruned from the listing)
+    and a ``time_us`` range (pushed to Parquet row-group statistics).
     """
     cols = set(jet.columns)
+    if "time_us" in cols:
+        jet = jet.where(F.col("time_us").between(F.lit(_micros(start)), F.lit(_micros(end))))
     if not {"year", "month", "day"} <= cols:
         return jet
     day = F.make_date(F.col("year").cast("int"), F.col("month").cast("int"), F.col("day").cast("int"))

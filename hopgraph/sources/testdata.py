@@ -231,13 +231,16 @@ def raw_edges(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def landed_jetstream_path(spark: SparkSession, sf_dir: str) -> str:
-    """The firehose table landed as Parquet, partitioned by year/month/day."""
+    """The firehose table landed as Parquet, partitioned by year/month/day.
+
+    No shuffle: each task writes the days its input covers, sorted by time
+    so ``time_us`` row-group statistics are tight.
+    """
     pin_utc(spark)
 
     def write(path: str) -> None:
         (jetstream_from_events(events(spark, sf_dir))
-         .repartition("year", "month", "day")
-         .sortWithinPartitions("time_us")
+         .sortWithinPartitions("year", "month", "day", "time_us")
          .write.partitionBy("year", "month", "day").parquet(path))
     return _land_once(spark, sf_dir, "jetstream", write)
 

@@ -14,17 +14,20 @@ def jetstream_stream(spark: SparkSession, source: str, target: str, checkpoint:
                      max_files_per_trigger: int | None = None) -> StreamingQuery:
     """M11's projection applied to every new file under ``source``.
 
-    The same transform as batch M11; each micro-batch is appended to
-    ``target`` through ``foreachBatch``, and the checkpoint in the shared
-    folder makes restarts resume where they stopped.
+    The same transform as batch M11.  Each micro-batch is written through
+    ``foreachBatch`` to its own ``batch_id=N`` folder under ``target`` with
+    overwrite, so a batch replayed after a failure replaces its earlier
+    attempt instead of duplicating it; the checkpoint in the shared folder
+    makes restarts resume where they stopped.  Read ``target`` back as one
+    table (``batch_id`` appears as a partition column).
     """
     reader = spark.readStream.schema(JETSTREAM)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     events = jetstream_events(reader.parquet(source), start, end, strip_json_quotes)
 
-    def sink(batch, _batch_id):
-        batch.write.mode("append").parquet(target)
+    def sink(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
 
     writer = events.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
