@@ -212,7 +212,7 @@ def jetstream_sql(clean: bool) -> str:
            else "json_extract(record['subject'], '$.uri')::VARCHAR")
     # DuckDB 2.0 returns the map value itself, so the reference's [1] is dropped.
     body = f"""
-SELECT did, kind, make_timestamp(time_us) AS ts, collection, to_json(record) AS record,
+SELECT did, kind, make_timestamp(time_us) AS ts, collection, to_json(record)::VARCHAR AS record,
   TRY_STRPTIME(REPLACE(record['createdAt'], '"', ''), '%Y-%m-%dT%H:%M:%S.%gZ') AS createdAt,
   record['subject'] AS subject,
   {uri} AS uri,
@@ -644,7 +644,8 @@ def q_typed_scan(spark, sf_dir):
 
 
 @register("crawl_summary", O.with_ctes("""
-SELECT COUNT(*) AS processed, count_if(success) AS successful, count_if(NOT success) AS failed,
+SELECT COUNT(*) AS processed, count_if(success)::BIGINT AS successful,
+       count_if(NOT success)::BIGINT AS failed,
        COUNT(DISTINCT actor) AS actors, round(sum(duration_s), 6) AS total_duration_s,
        round(avg(duration_s), 6) AS avg_duration_s
 FROM outcomes""", ["outcomes"]))

@@ -26,6 +26,11 @@ def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(SQL)
 
 
+FAMILY = {"string": "text", "VARCHAR": "text", "bigint": "int", "BIGINT": "int",
+          "boolean": "bool", "BOOLEAN": "bool", "double": "float", "DOUBLE": "float",
+          "timestamp_ntz": "ts", "TIMESTAMP": "ts"}
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = QUERIES[name](spark, SF_SMALL)
@@ -33,3 +38,7 @@ def test_query_matches_oracle(spark, duck, name):
     res = duck.execute(SQL[name])
     theirs = check.digest([d[0] for d in res.description], res.fetchall())
     assert ours == theirs
+    rel = duck.sql(SQL[name])
+    spark_types = {f.name: FAMILY.get(f.dataType.simpleString()) for f in df.schema.fields}
+    duck_types = {c: FAMILY.get(str(t)) for c, t in zip(rel.columns, rel.types)}
+    assert spark_types == duck_types
