@@ -6,6 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def restrict_actor(edges: DataFrame, keys, edge_col: str = "actor") -> DataFrame:
+    """Edges whose actor is in a measured key set (``hopgraph.session.KeySet``).
+
+    Equal to a semi-join with the set.  A listed set is a literal IN filter
+    (pushed to the Parquet scan); otherwise a semi-join, broadcast when the
+    set was measured small.
+    """
+    values = keys.non_null_values
+    if values is not None:
+        return edges.where(F.col(edge_col).isin(values))
+    k = keys.frame.select(F.col(keys.column).alias("_base_key"))
+    return edges.join(k, F.col(edge_col) == F.col("_base_key"), "left_semi")
+
+
 def edge_join(edges: DataFrame, base: DataFrame, base_col: str = "handle",
               edge_col: str = "actor", how: str = "inner") -> DataFrame:
     """``edges JOIN base ON edges.actor = base.handle``.
@@ -19,7 +33,7 @@ def edge_join(edges: DataFrame, base: DataFrame, base_col: str = "handle",
 
 
 def not_in(df: DataFrame, column: str, exclude: DataFrame, exclude_col: str = "handle",
-           rows: int | None = None, nulls: int | None = None) -> DataFrame:
+           rows: int | None = None, nulls: int | None = None, values: list | None = None) -> DataFrame:
     """``WHERE NOT column IN (SELECT exclude_col FROM exclude)``, null-aware.
 
     SQL NOT IN keeps a row only when the set is empty, or the value is not
@@ -27,7 +41,9 @@ def not_in(df: DataFrame, column: str, exclude: DataFrame, exclude_col: str = "h
     left-anti join (shuffled or broadcast by size, unlike Spark's own NOT IN
     rewrite, which always broadcasts the set) plus two scalar subqueries over
     the set, which Spark merges into one global aggregate.  When the caller
-    has already measured the set (``rows``, ``nulls``), the guards are literals.
+    has already measured the set (``rows``, ``nulls``), the guards are literals,
+    and a set small enough to be listed (``values``) becomes a literal
+    ``NOT IN`` filter that needs no join at all.
     """
     ex = exclude.select(F.col(exclude_col).alias("_ex_key"))
     if rows is not None and nulls is not None:
@@ -35,6 +51,8 @@ def not_in(df: DataFrame, column: str, exclude: DataFrame, exclude_col: str = "h
             return df
         if nulls > 0:
             return df.where(F.lit(False))
+        if values is not None:
+            return df.where(F.col(column).isNotNull() & ~F.col(column).isin(values))
         return df.join(ex, F.col(column) == F.col("_ex_key"), "left_anti").where(F.col(column).isNotNull())
     n_rows = ex.select(F.count(F.lit(1))).scalar()
     n_nulls = ex.select(F.count_if(F.col("_ex_key").isNull())).scalar()

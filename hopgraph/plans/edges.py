@@ -12,11 +12,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hopgraph.functions.scalar import epoch_seconds_to_ts
+from hopgraph.operators.joins import restrict_actor
 from hopgraph.operators.aggregate import distinct_rows
 from hopgraph.operators.projection import actor_filter, in_range, typed_projection
 from hopgraph.operators.setops import union_all
 from hopgraph.operators.window import latest_per_key
 from hopgraph.schemas import EDGE, EDGE_KEY, LOADS, PROFILE_COLUMNS
+from hopgraph.session import KeySet
 
 BASE_COLUMNS = ["did", "handle", "display_name"]
 
@@ -27,26 +29,24 @@ def typed_edges(raw: DataFrame) -> DataFrame:
     return raw.select(*cols, epoch_seconds_to_ts("_dlt_load_id").alias("_dlt_load_time"))
 
 
-def incremental_edges(raw: DataFrame, start, end, actors: DataFrame | None = None,
-                      actor_key: str = "handle", actors_small: bool = False) -> DataFrame:
+def incremental_edges(raw: DataFrame, start, end, actors: KeySet | None = None) -> DataFrame:
     """M1 / M2: typed edges loaded in [start, end], newest row per (handle, actor).
 
-    ``actors`` (optional) restricts the result to edges whose actor is in that
-    frame.  Because ``actor`` is a window partition key, filtering before the
-    window gives the same rows, and only that neighbourhood is shuffled.
-    ``actors_small`` says ``actors`` passed a size check and is broadcast;
-    otherwise the filter is applied after the window, so a hot actor is
-    never gathered into one window task by an actor-keyed shuffle.
+    ``actors`` (optional, a measured key set) restricts the result to edges
+    whose actor is in it.  Because ``actor`` is a window partition key,
+    filtering before the window gives the same rows, and only that
+    neighbourhood is shuffled.  That is done when the set is listed (a literal
+    filter that reaches the scan) or broadcast; a large set is applied after
+    the window, so a hot actor is never gathered into one window task by an
+    actor-keyed shuffle.
     """
     typed = in_range(typed_edges(raw), "_dlt_load_time", start, end)
-    hint = actors is not None and actors_small
-    if hint:
-        typed = typed.join(actors.select(F.col(actor_key).alias("_a")),
-                           F.col("actor") == F.col("_a"), "left_semi")
+    early = actors is not None and actors.small
+    if early:
+        typed = restrict_actor(typed, actors)
     latest = latest_per_key(typed, EDGE_KEY, "_dlt_load_time", ["_dlt_id"])
-    if actors is not None and not hint:
-        latest = latest.join(actors.select(F.col(actor_key).alias("_a")),
-                             F.col("actor") == F.col("_a"), "left_semi")
+    if actors is not None and not early:
+        latest = restrict_actor(latest, actors)
     return latest
 
 

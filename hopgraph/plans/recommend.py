@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hopgraph.operators.aggregate import distinct_rows, group_count, popularity_order
-from hopgraph.operators.joins import edge_join, not_in
+from hopgraph.operators.joins import edge_join, not_in, restrict_actor
 from hopgraph.operators.projection import actor_filter, in_range
 from hopgraph.plans.edges import BASE_COLUMNS, incremental_edges, typed_edges
 from hopgraph.session import KeySet, measured_keys
@@ -29,26 +29,37 @@ VARIANTS = {
 
 def _exclusion(exclude: DataFrame | KeySet):
     if isinstance(exclude, KeySet):
-        return exclude.frame, {"rows": exclude.rows, "nulls": exclude.nulls}
+        return exclude.frame, {"rows": exclude.rows, "nulls": exclude.nulls,
+                               "values": exclude.non_null_values}
     return exclude, {}
 
 
-def two_hop(edges: DataFrame, base: DataFrame, exclude: DataFrame | KeySet) -> DataFrame:
+def _hop(edges: DataFrame, base: DataFrame | KeySet) -> DataFrame:
+    """Edges whose actor is a base handle.
+
+    Base handles are de-duplicated first, which turns the inner join into a
+    semi-join; that leaves the result unchanged because the rows are
+    de-duplicated (or counted distinctly) right after.
+    """
+    if isinstance(base, KeySet):
+        return restrict_actor(edges, base)
+    return edge_join(edges, base.select("handle").distinct())
+
+
+def two_hop(edges: DataFrame, base: DataFrame | KeySet, exclude: DataFrame | KeySet) -> DataFrame:
     """M7-M10 core: edges whose actor is a base handle, minus excluded handles.
 
-    ``base`` and ``exclude`` need a ``handle`` column (``exclude`` may be a
-    measured ``KeySet``).  Base handles are de-duplicated first; that leaves
-    the result unchanged because the rows are de-duplicated right after the
-    join.
+    ``base`` and ``exclude`` are frames with a ``handle`` column or measured
+    ``KeySet``s.
     """
     ex, stats = _exclusion(exclude)
-    hop = edge_join(edges, base.select("handle").distinct())
+    hop = _hop(edges, base)
     kept = not_in(hop, "handle", ex, "handle", **stats)
     counted = group_count(distinct_rows(kept, BASE_COLUMNS), ["handle", "did", "display_name"])
     return popularity_order(counted.select("handle", "did", "display_name", "follower_count"))
 
 
-def popularity(edges: DataFrame, base: DataFrame, exclude: DataFrame | KeySet) -> DataFrame:
+def popularity(edges: DataFrame, base: DataFrame | KeySet, exclude: DataFrame | KeySet) -> DataFrame:
     """M12 core: per (handle, did), how many distinct base-side accounts link to it.
 
     The display name is the newest one (by load time, then row id).  Two
@@ -56,7 +67,7 @@ def popularity(edges: DataFrame, base: DataFrame, exclude: DataFrame | KeySet) -
     handle never gathers its raw rows in one task.
     """
     ex, stats = _exclusion(exclude)
-    hop = edge_join(edges, base.select("handle").distinct())
+    hop = _hop(edges, base)
     kept = not_in(hop, "handle", ex, "handle", **stats)
     newest = F.struct("_dlt_load_time", "_dlt_id", "display_name")
     per_actor = kept.groupBy("handle", "did", "actor").agg(F.max(newest).alias("newest"))
@@ -81,8 +92,8 @@ def _model(core, raw: dict[str, DataFrame], variant: str, base_actor: str, start
     base = measured_keys(neighbour_handles(raw[base_tbl], base_actor, start, end), "handle")
     exclude = (base if excl_tbl == base_tbl
                else measured_keys(neighbour_handles(raw[excl_tbl], base_actor, start, end), "handle"))
-    edges = incremental_edges(raw[cand_tbl], start, end, actors=base.frame, actors_small=base.small)
-    return core(edges, base.frame, exclude)
+    edges = incremental_edges(raw[cand_tbl], start, end, actors=base)
+    return core(edges, base, exclude)
 
 
 def recommend(raw_followers: DataFrame, raw_follows: DataFrame, variant: str,

@@ -110,3 +110,21 @@ def test_flagship_counts(spark):
     assert df.count() == 7
     assert df.columns == ["handle", "did", "display_name", "follower_count"]
     assert df.where(F.col("follower_count") != 1).count() == 0
+
+
+def test_key_set_tiers_agree(spark, monkeypatch):
+    """Literal, broadcast and shuffle plans of the rankings give the same rows."""
+    import hopgraph.session as session
+    from hopgraph.queries import REGISTRY
+    from conftest import SF_SMALL
+
+    def result(name):
+        return sorted(tuple(r) for r in REGISTRY[name].spark(spark, SF_SMALL).collect())
+
+    names = ["followers_of_followers", "follows_of_follows", "popularity_ranked_follows_of_followers"]
+    literal = {n: result(n) for n in names}
+    monkeypatch.setattr(session, "LITERAL_MAX_ROWS", 0)
+    broadcast = {n: result(n) for n in names}
+    monkeypatch.setattr(session, "BROADCAST_MAX_ROWS", 0)
+    shuffled = {n: result(n) for n in names}
+    assert literal == broadcast == shuffled
