@@ -216,7 +216,7 @@ def landed_edges_path(spark: SparkSession, sf_dir: str) -> str:
 
     def write(path: str) -> None:
         (raw_edges_from_events(events(spark, sf_dir))
-         .sortWithinPartitions("actor", "handle")
+         .sortWithinPartitions("tbl", "actor", "handle")
          .write.partitionBy("tbl").parquet(path))
     return _land_once(spark, sf_dir, "edges", write)
 
