@@ -20,8 +20,10 @@ from hopgraph.functions.scalar import day_bounds
 from hopgraph.plans import edges as E
 from hopgraph.plans import events as EV
 from hopgraph.plans import recommend as R
+from hopgraph.schemas import JETSTREAM
 from hopgraph.session import pin_utc
 from hopgraph.sources import testdata as TD
+from hopgraph.sources.ingest import typed_scan
 
 # Run parameters of the registered queries.
 BASE_ACTOR = "u0"
@@ -65,8 +67,6 @@ class Inputs:
 
     def jetstream(self) -> DataFrame:
         path = TD.landed_jetstream_path(self.spark, self.sf_dir)
-        from hopgraph.sources.ingest import typed_scan
-        from hopgraph.schemas import JETSTREAM
         return typed_scan(self.spark, path, JETSTREAM)
 
 
@@ -536,7 +536,7 @@ def q_cast_ts(spark, sf_dir):
 
 # --------------------------------------------------------------------------- sources and sinks I1-I9
 
-from hopgraph.schemas import JETSTREAM, JETSTREAM_PARTITIONS, RAW_EDGE_COLUMNS  # noqa: E402
+from hopgraph.schemas import JETSTREAM_PARTITIONS, RAW_EDGE_COLUMNS  # noqa: E402
 from hopgraph.session import fresh_path  # noqa: E402
 from hopgraph.sources import external as X  # noqa: E402
 from hopgraph.sources import ingest as I  # noqa: E402
@@ -592,12 +592,11 @@ def q_tag_actor(spark, sf_dir):
         "actor", "handle", "did", "indexed_at")
 
 
-@register("append_load", O.with_ctes(f"""
-, batch AS (SELECT {O.load_text('max(indexed_at)')} AS load_id FROM raw_follows)
+@register("append_load", O.with_ctes("""
 SELECT did, handle, actor, b.load_id AS _dlt_load_id,
        substr(sha256(b.load_id || '|' || actor || '|' || handle || '|' || did), 1, 14) AS _dlt_id
-FROM raw_follows, batch AS b""".replace("\n, batch", "batch", 1), ["raw_follows"]).replace(
-    "\nbatch AS", ",\nbatch AS", 1))
+FROM raw_follows, batch AS b""", ["raw_follows", "batch"], [
+    ("batch", f"SELECT {O.load_text('max(indexed_at)')} AS load_id FROM raw_follows", ["raw_follows"])]))
 def q_append_load(spark, sf_dir):
     raw = Inputs(spark, sf_dir).raw("follows").drop("_dlt_load_id", "_dlt_id")
     load_id = raw.select(S.epoch_seconds_text(F.max("indexed_at"))).scalar()
