@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hopgraph.session import KeySet
 
-def restrict_actor(edges: DataFrame, keys, edge_col: str = "actor") -> DataFrame:
-    """Edges whose actor is in a measured key set (``hopgraph.session.KeySet``).
+
+def restrict_actor(edges: DataFrame, keys: KeySet, edge_col: str = "actor") -> DataFrame:
+    """Edges whose actor is in a measured key set.
 
     Equal to a semi-join with the set.  A listed set is a literal IN filter
     (pushed to the Parquet scan); otherwise a semi-join, broadcast when the
@@ -32,28 +34,31 @@ def edge_join(edges: DataFrame, base: DataFrame, base_col: str = "handle",
     return out.drop("_base_key") if how in ("inner", "left", "left_outer") else out
 
 
-def not_in(df: DataFrame, column: str, exclude: DataFrame, exclude_col: str = "handle",
-           rows: int | None = None, nulls: int | None = None, values: list | None = None) -> DataFrame:
+def not_in(df: DataFrame, column: str, exclude: DataFrame | KeySet, exclude_col: str = "handle") -> DataFrame:
     """``WHERE NOT column IN (SELECT exclude_col FROM exclude)``, null-aware.
 
     SQL NOT IN keeps a row only when the set is empty, or the value is not
-    NULL, not in the set, and the set holds no NULL.  This is an equi
-    left-anti join (shuffled or broadcast by size, unlike Spark's own NOT IN
-    rewrite, which always broadcasts the set) plus two scalar subqueries over
-    the set, which Spark merges into one global aggregate.  When the caller
-    has already measured the set (``rows``, ``nulls``), the guards are literals,
-    and a set small enough to be listed (``values``) becomes a literal
-    ``NOT IN`` filter that needs no join at all.
+    NULL, not in the set, and the set holds no NULL.
+
+    With a measured ``KeySet`` the empty / NULL guards are literals, a listed
+    set is a literal ``NOT IN`` filter (no join), and a larger one an equi
+    left-anti join, broadcast only if it was measured small.  With a plain
+    DataFrame the guards are two scalar subqueries over the set (Spark merges
+    them into one aggregate) and Spark picks the anti join by its statistics.
+    Either way there is no forced broadcast: Spark's own NOT IN rewrite
+    always broadcasts the set, whatever its size.
     """
-    ex = exclude.select(F.col(exclude_col).alias("_ex_key"))
-    if rows is not None and nulls is not None:
-        if rows == 0:
+    if isinstance(exclude, KeySet):
+        if exclude.rows == 0:
             return df
-        if nulls > 0:
+        if exclude.nulls > 0:
             return df.where(F.lit(False))
+        values = exclude.non_null_values
         if values is not None:
             return df.where(F.col(column).isNotNull() & ~F.col(column).isin(values))
+        ex = exclude.frame.select(F.col(exclude.column).alias("_ex_key"))
         return df.join(ex, F.col(column) == F.col("_ex_key"), "left_anti").where(F.col(column).isNotNull())
+    ex = exclude.select(F.col(exclude_col).alias("_ex_key"))
     n_rows = ex.select(F.count(F.lit(1))).scalar()
     n_nulls = ex.select(F.count_if(F.col("_ex_key").isNull())).scalar()
     kept = df.join(ex, F.col(column) == F.col("_ex_key"), "left_anti")

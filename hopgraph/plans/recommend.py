@@ -27,13 +27,6 @@ VARIANTS = {
 }
 
 
-def _exclusion(exclude: DataFrame | KeySet):
-    if isinstance(exclude, KeySet):
-        return exclude.frame, {"rows": exclude.rows, "nulls": exclude.nulls,
-                               "values": exclude.non_null_values}
-    return exclude, {}
-
-
 def _hop(edges: DataFrame, base: DataFrame | KeySet) -> DataFrame:
     """Edges whose actor is a base handle.
 
@@ -52,9 +45,7 @@ def two_hop(edges: DataFrame, base: DataFrame | KeySet, exclude: DataFrame | Key
     ``base`` and ``exclude`` are frames with a ``handle`` column or measured
     ``KeySet``s.
     """
-    ex, stats = _exclusion(exclude)
-    hop = _hop(edges, base)
-    kept = not_in(hop, "handle", ex, "handle", **stats)
+    kept = not_in(_hop(edges, base), "handle", exclude, "handle")
     counted = group_count(distinct_rows(kept, BASE_COLUMNS), ["handle", "did", "display_name"])
     return popularity_order(counted.select("handle", "did", "display_name", "follower_count"))
 
@@ -66,9 +57,7 @@ def popularity(edges: DataFrame, base: DataFrame | KeySet, exclude: DataFrame |
     aggregation levels, each with a map-side partial step, so a very popular
     handle never gathers its raw rows in one task.
     """
-    ex, stats = _exclusion(exclude)
-    hop = _hop(edges, base)
-    kept = not_in(hop, "handle", ex, "handle", **stats)
+    kept = not_in(_hop(edges, base), "handle", exclude, "handle")
     newest = F.struct("_dlt_load_time", "_dlt_id", "display_name")
     per_actor = kept.groupBy("handle", "did", "actor").agg(F.max(newest).alias("newest"))
     per_handle = per_actor.groupBy("handle", "did").agg(

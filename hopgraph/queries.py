@@ -21,7 +21,7 @@ from hopgraph.plans import edges as E
 from hopgraph.plans import events as EV
 from hopgraph.plans import recommend as R
 from hopgraph.schemas import JETSTREAM
-from hopgraph.session import pin_utc
+from hopgraph.session import measured_keys, pin_utc
 from hopgraph.sources import testdata as TD
 from hopgraph.sources.ingest import typed_scan
 
@@ -340,7 +340,8 @@ WHERE NOT handle IN (SELECT handle FROM base_actor_follows)""",
     ["incremental_followers", "base_actor_follows"], _base_ctes("followers", "follows")))
 def q_not_in_exclude(spark, sf_dir):
     i = Inputs(spark, sf_dir)
-    return J.not_in(i.latest("followers"), "handle", i.base("follows")).select("handle", "actor", "did")
+    excluded = measured_keys(i.base("follows").select("handle").distinct(), "handle")
+    return J.not_in(i.latest("followers"), "handle", excluded).select("handle", "actor", "did")
 
 
 @register("distinct_rows", O.with_ctes(
