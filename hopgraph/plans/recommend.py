@@ -27,30 +27,33 @@ VARIANTS = {
 }
 
 
-def _hop(edges: DataFrame, base: DataFrame | KeySet) -> DataFrame:
-    """Edges whose actor is a base handle.
+def _hop(edges: DataFrame, base: DataFrame | KeySet | None) -> DataFrame:
+    """Edges whose actor is a base handle (``base=None``: already restricted).
 
     Base handles are de-duplicated first, which turns the inner join into a
     semi-join; that leaves the result unchanged because the rows are
     de-duplicated (or counted distinctly) right after.
     """
+    if base is None:
+        return edges
     if isinstance(base, KeySet):
         return restrict_actor(edges, base)
     return edge_join(edges, base.select("handle").distinct())
 
 
-def two_hop(edges: DataFrame, base: DataFrame | KeySet, exclude: DataFrame | KeySet) -> DataFrame:
+def two_hop(edges: DataFrame, base: DataFrame | KeySet | None, exclude: DataFrame | KeySet) -> DataFrame:
     """M7-M10 core: edges whose actor is a base handle, minus excluded handles.
 
     ``base`` and ``exclude`` are frames with a ``handle`` column or measured
-    ``KeySet``s.
+    ``KeySet``s; ``base=None`` when ``edges`` were already restricted to the
+    base handles (as ``incremental_edges(..., actors=...)`` does).
     """
     kept = not_in(_hop(edges, base), "handle", exclude, "handle")
     counted = group_count(distinct_rows(kept, BASE_COLUMNS), ["handle", "did", "display_name"])
     return popularity_order(counted.select("handle", "did", "display_name", "follower_count"))
 
 
-def popularity(edges: DataFrame, base: DataFrame | KeySet, exclude: DataFrame | KeySet) -> DataFrame:
+def popularity(edges: DataFrame, base: DataFrame | KeySet | None, exclude: DataFrame | KeySet) -> DataFrame:
     """M12 core: per (handle, did), how many distinct base-side accounts link to it.
 
     The display name is the newest one (by load time, then row id).  Two
@@ -66,23 +69,30 @@ def popularity(edges: DataFrame, base: DataFrame | KeySet, exclude: DataFrame |
         "handle", "did", F.col("newest.display_name").alias("display_name"), "follower_count"))
 
 
-def neighbour_handles(raw: DataFrame, base_actor: str, start, end) -> DataFrame:
-    """Distinct handles next to the base actor: the handle column of M4 / M5.
+def neighbour_handles(raw: DataFrame, base_actor: str, start, end, distinct: bool = True) -> DataFrame:
+    """Handles next to the base actor: the handle column of M4 / M5.
 
     Latest-per-(handle, actor) keeps exactly one row for every key present,
     so the set of handles is the same before and after it; no window needed.
     """
     typed = in_range(actor_filter(typed_edges(raw), base_actor), "_dlt_load_time", start, end)
-    return typed.select("handle").distinct()
+    handles = typed.select("handle")
+    return handles.distinct() if distinct else handles
+
+
+def _measured(raw: DataFrame, base_actor: str, start, end) -> KeySet:
+    return measured_keys(neighbour_handles(raw, base_actor, start, end), "handle",
+                         join_source=neighbour_handles(raw, base_actor, start, end, distinct=False))
 
 
 def _model(core, raw: dict[str, DataFrame], variant: str, base_actor: str, start, end) -> DataFrame:
     cand_tbl, base_tbl, excl_tbl = VARIANTS[variant]
-    base = measured_keys(neighbour_handles(raw[base_tbl], base_actor, start, end), "handle")
-    exclude = (base if excl_tbl == base_tbl
-               else measured_keys(neighbour_handles(raw[excl_tbl], base_actor, start, end), "handle"))
+    base = _measured(raw[base_tbl], base_actor, start, end)
+    exclude = base if excl_tbl == base_tbl else _measured(raw[excl_tbl], base_actor, start, end)
+    # incremental_edges restricts the candidates to the base handles, once:
+    # a second semi-join on the same key would stop AQE splitting a hot actor.
     edges = incremental_edges(raw[cand_tbl], start, end, actors=base)
-    return core(edges, base, exclude)
+    return core(edges, None, exclude)
 
 
 def recommend(raw_followers: DataFrame, raw_follows: DataFrame, variant: str,
