@@ -47,9 +47,14 @@ def two_hop(edges: DataFrame, base: DataFrame | KeySet | None, exclude: DataFram
     ``base`` and ``exclude`` are frames with a ``handle`` column or measured
     ``KeySet``s; ``base=None`` when ``edges`` were already restricted to the
     base handles (as ``incremental_edges(..., actors=...)`` does).
+
+    NOT IN runs after the DISTINCT (it filters a grouping column, so the two
+    commute): a hot handle is first collapsed by the map-side partial
+    aggregate, and only distinct rows are shuffled by handle.
     """
-    kept = not_in(_hop(edges, base), "handle", exclude, "handle")
-    counted = group_count(distinct_rows(kept, BASE_COLUMNS), ["handle", "did", "display_name"])
+    distinct = distinct_rows(_hop(edges, base), BASE_COLUMNS)
+    kept = not_in(distinct, "handle", exclude, "handle")
+    counted = group_count(kept, ["handle", "did", "display_name"])
     return popularity_order(counted.select("handle", "did", "display_name", "follower_count"))
 
 
@@ -57,15 +62,20 @@ def popularity(edges: DataFrame, base: DataFrame | KeySet | None, exclude: DataF
     """M12 core: per (handle, did), how many distinct base-side accounts link to it.
 
     The display name is the newest one (by load time, then row id).  Two
-    aggregation levels, each with a map-side partial step, so a very popular
-    handle never gathers its raw rows in one task.
+    aggregation levels.  Level 1, per (handle, did, actor), runs before the
+    base restriction and reuses the latest-per-key partitioning by
+    (handle, actor), so it needs no shuffle of its own and leaves the
+    restriction's shuffle by actor free for AQE to split a hot actor.
+    Level 2 aggregates partially before its shuffle, so a popular handle
+    ships one row per map task; NOT IN filters the aggregated rows last.
+    All three steps filter or group on the same columns, so they commute.
     """
-    kept = not_in(_hop(edges, base), "handle", exclude, "handle")
     newest = F.struct("_dlt_load_time", "_dlt_id", "display_name")
-    per_actor = kept.groupBy("handle", "did", "actor").agg(F.max(newest).alias("newest"))
-    per_handle = per_actor.groupBy("handle", "did").agg(
+    per_actor = edges.groupBy("handle", "did", "actor").agg(F.max(newest).alias("newest"))
+    per_handle = _hop(per_actor, base).groupBy("handle", "did").agg(
         F.count(F.lit(1)).alias("follower_count"), F.max("newest").alias("newest"))
-    return popularity_order(per_handle.select(
+    kept = not_in(per_handle, "handle", exclude, "handle")
+    return popularity_order(kept.select(
         "handle", "did", F.col("newest.display_name").alias("display_name"), "follower_count"))
 
 
@@ -89,10 +99,12 @@ def _model(core, raw: dict[str, DataFrame], variant: str, base_actor: str, start
     cand_tbl, base_tbl, excl_tbl = VARIANTS[variant]
     base = _measured(raw[base_tbl], base_actor, start, end)
     exclude = base if excl_tbl == base_tbl else _measured(raw[excl_tbl], base_actor, start, end)
-    # incremental_edges restricts the candidates to the base handles, once:
-    # a second semi-join on the same key would stop AQE splitting a hot actor.
-    edges = incremental_edges(raw[cand_tbl], start, end, actors=base)
-    return core(edges, None, exclude)
+    # A listed or broadcast base set restricts the candidates before the
+    # latest-per-key window (only the neighbourhood is shuffled); a large one
+    # is applied inside the core, once, after the window.
+    if base.small:
+        return core(incremental_edges(raw[cand_tbl], start, end, actors=base), None, exclude)
+    return core(incremental_edges(raw[cand_tbl], start, end), base, exclude)
 
 
 def recommend(raw_followers: DataFrame, raw_follows: DataFrame, variant: str,

@@ -1,12 +1,14 @@
 """Skew experiment: one account in a third of all edges, shuffle-tier plans.
 
-    python scripts/skew_check.py [sf_dir] [copies] [skew_join: on|off] [users: repeat|unique]
+    python scripts/skew_check.py [sf_dir] [copies] [skew_join: on|off] [users: repeat|unique|fanin]
 
 Derives a skewed event table from the given ``events`` (``copies``
 replicas with shifted ids; user 0 takes every third event, so ``u0`` is both
 the actor and the handle of about a third of all edges; with ``unique`` every
 other event gets a user of its own, so ``u0`` keeps a third of the edges
-even after de-duplication), lands its edges,
+even after de-duplication; with ``fanin`` the base account ``u1`` follows a
+third of all accounts and each of them follows ``u0``, so every two-hop
+candidate points at one handle), lands its edges,
 then runs M2 and the two-hop rankings with the key-set bounds forced to the
 shuffle tier and automatic broadcasts switched off, as if the base set were
 too large for any broadcast.  AQE thresholds are lowered
@@ -44,7 +46,7 @@ def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     copies = int(sys.argv[2]) if len(sys.argv) > 2 else 10
     skew_join = (sys.argv[3] if len(sys.argv) > 3 else "on") == "on"
-    unique_users = (sys.argv[4] if len(sys.argv) > 4 else "repeat") == "unique"
+    mode = sys.argv[4] if len(sys.argv) > 4 else "repeat"
     log_dir = tempfile.mkdtemp(prefix="skew-eventlog-", dir="/tmp")
     from pyspark.sql import functions as F
 
@@ -68,31 +70,39 @@ def main() -> None:
     ev = TD.events(spark, sf_dir)
     span = ev.agg(F.max("event_id")).first()[0] + 1
     skewed = (ev.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
-                .withColumn("event_id", F.col("event_id") + F.col("copy") * F.lit(span))
-                .withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(0))
-                            .otherwise(F.col("event_id") if unique_users else F.col("user_id")))
-                .drop("copy"))
+                .withColumn("event_id", F.col("event_id") + F.col("copy") * F.lit(span)).drop("copy"))
+    if mode == "fanin":
+        # events in threes: u1 -> a_k (a new account), a_k -> u0, u0 -> u1; all follows
+        skewed = (skewed.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(1))
+                                    .when(F.col("event_id") % 3 == 1, F.col("event_id") + F.lit(10))
+                                    .otherwise(F.lit(0)))
+                        .withColumn("event_type", F.lit("click")))
+    else:
+        skewed = skewed.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(0)).otherwise(
+            F.col("event_id") if mode == "unique" else F.col("user_id")))
     path = session.fresh_path(spark, "skewed-edges")
     TD.raw_edges_from_events(skewed).write.partitionBy("tbl").parquet(path)
     raw = spark.read.schema(TD.LANDED_EDGE).parquet(path)
     fo, fl = raw.where("tbl = 'followers'").drop("tbl"), raw.where("tbl = 'follows'").drop("tbl")
-    share = fl.where("actor = 'u0'").count() / fl.count()
-    distinct_share = (fl.where("actor = 'u0'").select("handle").distinct().count()
+    hot = "handle" if mode == "fanin" else "actor"
+    share = fl.where(f"{hot} = 'u0'").count() / fl.count()
+    distinct_share = (fl.where(f"{hot} = 'u0'").select("handle", "actor").distinct().count()
                       / fl.select("handle", "actor").distinct().count())
     interval = day_bounds("2024-01-01", "2024-01-30")
     # the base account: one that follows the hot account, so u0 is in the base set
-    base = fl.where("handle = 'u0'").agg(F.min("actor")).first()[0]
+    base = "u1" if mode == "fanin" else fl.where("handle = 'u0'").agg(F.min("actor")).first()[0]
 
     def rows(df):
         return sorted(tuple(r) for r in df.collect())
 
     literal = rows(recommend(fo, fl, "follows_of_follows", base, *interval))
+    pop_literal = rows(popularity_ranked(fo, fl, "follows_of_follows", base, *interval))
     session.LITERAL_MAX_ROWS, session.BROADCAST_MAX_ROWS = 0, 0
     spark.sparkContext.setJobGroup("measured", "shuffle tier")
     t = time.perf_counter()
     incremental_edges(fl, *interval).write.format("noop").mode("overwrite").save()
     shuffled = rows(recommend(fo, fl, "follows_of_follows", base, *interval))
-    popularity_ranked(fo, fl, "follows_of_follows", base, *interval).write.format("noop").mode("overwrite").save()
+    pop_shuffled = rows(popularity_ranked(fo, fl, "follows_of_follows", base, *interval))
     elapsed = time.perf_counter() - t
     spark.stop()
 
@@ -105,9 +115,10 @@ def main() -> None:
             sr = e["Task Metrics"].get("Shuffle Read Metrics", {})
             read = sr.get("Remote Bytes Read", 0) + sr.get("Local Bytes Read", 0)
             tasks.setdefault(e["Stage ID"], []).append(read)
-    print(f"skew join {'on' if skew_join else 'off'}; actor u0 share of follows: {share:.2%} "
+    print(f"mode {mode}; skew join {'on' if skew_join else 'off'}; {hot} u0 share of follows: {share:.2%} "
           f"(of distinct edges: {distinct_share:.2%}); base account {base}; "
-          f"shuffle-tier results equal literal-tier: {literal == shuffled} ({len(literal)} rows); "
+          f"shuffle-tier results equal literal-tier: {literal == shuffled and pop_literal == pop_shuffled} "
+          f"({len(literal)} and {len(pop_literal)} rows; top M12 row {pop_literal[:1]}); "
           f"shuffle-tier run {elapsed:.1f}s")
     worst = []
     for sid, reads in sorted(tasks.items()):
