@@ -122,10 +122,11 @@ def main() -> None:
           f"shuffle-tier run {elapsed:.1f}s")
     worst = []
     for sid, reads in sorted(tasks.items()):
-        if sum(reads) == 0 or len(reads) < 2:
+        if sum(reads) == 0 or len(reads) < 4:      # a 2-task stage is not a skew signal
             continue
         worst.append((max(reads) / max(1, statistics.median(reads)), sid, len(reads), max(reads), statistics.median(reads), sum(reads)))
-    for ratio, sid, n, mx, med, total in sorted(worst, reverse=True)[:8]:
+    worst.sort(key=lambda w: w[3] / w[5], reverse=True)
+    for ratio, sid, n, mx, med, total in worst[:5]:
         print(f"stage {sid}: {n} tasks, max read {mx/1024:.0f} KiB, median {med/1024:.0f} KiB, "
               f"max/total {mx/total:.1%}  [{stages.get(sid, '')}]")
 
