@@ -61,19 +61,16 @@ def two_hop(edges: DataFrame, base: DataFrame | KeySet | None, exclude: DataFram
 def popularity(edges: DataFrame, base: DataFrame | KeySet | None, exclude: DataFrame | KeySet) -> DataFrame:
     """M12 core: per (handle, did), how many distinct base-side accounts link to it.
 
-    The display name is the newest one (by load time, then row id).  Two
-    aggregation levels.  Level 1, per (handle, did, actor), runs before the
-    base restriction and reuses the latest-per-key partitioning by
-    (handle, actor), so it needs no shuffle of its own and leaves the
-    restriction's shuffle by actor free for AQE to split a hot actor.
-    Level 2 aggregates partially before its shuffle, so a popular handle
-    ships one row per map task; NOT IN filters the aggregated rows last.
-    All three steps filter or group on the same columns, so they commute.
+    ``edges`` hold one row per (handle, actor), as ``incremental_edges``
+    returns them, so counting rows per (handle, did) counts distinct actors.
+    The display name is the newest one (by load time, then row id).  The
+    aggregate is partial before its shuffle, so a popular handle ships one
+    row per map task; NOT IN then filters the aggregated rows (it filters a
+    grouping column, so the two commute).
     """
     newest = F.struct("_dlt_load_time", "_dlt_id", "display_name")
-    per_actor = edges.groupBy("handle", "did", "actor").agg(F.max(newest).alias("newest"))
-    per_handle = _hop(per_actor, base).groupBy("handle", "did").agg(
-        F.count(F.lit(1)).alias("follower_count"), F.max("newest").alias("newest"))
+    per_handle = _hop(edges, base).groupBy("handle", "did").agg(
+        F.count(F.lit(1)).alias("follower_count"), F.max(newest).alias("newest"))
     kept = not_in(per_handle, "handle", exclude, "handle")
     return popularity_order(kept.select(
         "handle", "did", F.col("newest.display_name").alias("display_name"), "follower_count"))
