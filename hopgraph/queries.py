@@ -66,8 +66,7 @@ class Inputs:
         return E.base_actor_edges(self.latest(table), BASE_ACTOR)
 
     def jetstream(self) -> DataFrame:
-        path = TD.landed_jetstream_path(self.spark, self.sf_dir)
-        return typed_scan(self.spark, path, JETSTREAM)
+        return TD.jetstream(self.spark, self.sf_dir)
 
 
 def _inc(*tables: str, interval=FULL):
@@ -640,7 +639,8 @@ def q_append_external(spark, sf_dir):
 @register("typed_scan", O.with_ctes(
     "SELECT did, time_us, year, month, day, hour FROM jetstream", ["jetstream"]))
 def q_typed_scan(spark, sf_dir):
-    return Inputs(spark, sf_dir).jetstream().select("did", "time_us", *JETSTREAM_PARTITIONS)
+    path = TD.landed_jetstream_path(spark, sf_dir)
+    return typed_scan(spark, path, JETSTREAM).select("did", "time_us", *JETSTREAM_PARTITIONS)
 
 
 @register("crawl_summary", O.with_ctes("""

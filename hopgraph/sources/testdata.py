@@ -42,6 +42,7 @@ PAGE_SIZE = 100
 LANDED_EDGE = StructType(RAW_EDGE.fields + [StructField("tbl", StringType(), True)])
 
 _landed: dict[tuple, str] = {}
+_scans: dict[tuple, DataFrame] = {}
 _lock = threading.Lock()
 
 
@@ -221,13 +222,27 @@ def landed_edges_path(spark: SparkSession, sf_dir: str) -> str:
     return _land_once(spark, sf_dir, "edges", write)
 
 
+def _scan(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """One scan DataFrame per (session, landed path): landed files never
+    change, so the directory is listed once."""
+    key = (id(spark), path)
+    with _lock:
+        if key not in _scans:
+            _scans[key] = spark.read.schema(schema).parquet(path)
+        return _scans[key]
+
+
 def raw_edges(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """``raw_http.followers`` / ``raw_http.follows`` (12 declared columns)."""
     if table not in ("followers", "follows"):
         raise ValueError(table)
-    path = landed_edges_path(spark, sf_dir)
-    return (spark.read.schema(LANDED_EDGE).parquet(path)
-            .where(F.col("tbl") == table).select(*RAW_EDGE_COLUMNS))
+    scan = _scan(spark, landed_edges_path(spark, sf_dir), LANDED_EDGE)
+    return scan.where(F.col("tbl") == table).select(*RAW_EDGE_COLUMNS)
+
+
+def jetstream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landed firehose table, scanned with its declared schema."""
+    return _scan(spark, landed_jetstream_path(spark, sf_dir), JETSTREAM)
 
 
 def landed_jetstream_path(spark: SparkSession, sf_dir: str) -> str:
