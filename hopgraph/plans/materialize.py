@@ -1,9 +1,11 @@
 """Materialisation kinds (K1-K5) on plain Parquet.
 
 A ``VersionedTable`` keeps each state in its own folder ``v000001, ...`` and
-a small pointer naming the current one.  Every change reads the current
-version and writes the next, so no job reads and overwrites one path, and a
-failed write leaves the pointer on the last good version.  With a table
+an append-only pointer log; the current version is the highest one logged.
+Every change reads the current version and writes the next, so no job reads
+and overwrites one path.  A failed write leaves the log on the last good
+version (a retry overwrites the unlogged folder), and readers never see the
+pointer disappear, because it is only ever appended to.  With a table
 format that supports MERGE, ``DataFrame.mergeInto`` would replace K1.
 """
 
@@ -29,10 +31,10 @@ class VersionedTable:
 
     def version(self) -> int:
         try:
-            row = self.spark.read.schema("version long").json(self._pointer).first()
+            row = self.spark.read.schema("version long").json(self._pointer).agg(F.max("version")).first()
         except AnalysisException:
             return 0
-        return int(row[0]) if row is not None else 0
+        return int(row[0]) if row is not None and row[0] is not None else 0
 
     def path(self, version: int | None = None) -> str:
         return f"{self.root}/v{(self.version() if version is None else version):06d}"
@@ -43,12 +45,13 @@ class VersionedTable:
 
     def commit(self, df: DataFrame) -> int:
         v = self.version() + 1
-        writer = df.write.mode("errorifexists")
+        # not yet logged, so nobody reads it: a retry after a failure overwrites it
+        writer = df.write.mode("overwrite")
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
         writer.parquet(self.path(v))
         (self.spark.range(1).select(F.lit(v).cast("long").alias("version"))
-         .write.mode("overwrite").json(self._pointer))
+         .write.mode("append").json(self._pointer))
         return v
 
 

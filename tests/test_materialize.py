@@ -65,3 +65,13 @@ def test_interval_overwrite_split_equals_whole(spark, scratch):
     assert split.read().where(F.to_date("t") == F.lit(D[1].date())).count() == 0
     assert split.read().where(F.to_date("t") != F.lit(D[1].date())).count() == \
         whole.read().where(F.to_date("t") != F.lit(D[1].date())).count()
+
+
+def test_versioned_table_recovers_from_unlogged_write(spark, scratch):
+    table = VersionedTable(spark, scratch("recover"))
+    table.commit(frame(spark, [("h", "a", D[0], "v1")]))
+    # a failed attempt left version 2 written but never logged
+    frame(spark, [("junk", "a", D[0], "x")]).write.parquet(table.path(2))
+    assert table.version() == 1 and rows(table.read()) == [("h", "a", D[0], "v1")]
+    assert table.commit(frame(spark, [("h", "a", D[1], "v2")])) == 2
+    assert rows(table.read()) == [("h", "a", D[1], "v2")]
