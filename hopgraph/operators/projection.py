@@ -31,7 +31,8 @@ def actor_filter(df: DataFrame, actor: str, column: str = "actor") -> DataFrame:
     return df.where(F.col(column) == F.lit(actor))
 
 
-def _lit_ts(x: dt.datetime | dt.date | str) -> Column:
+def ts_literal(x: dt.datetime | dt.date | str) -> Column:
+    """A naive timestamp literal; a date means midnight."""
     if isinstance(x, str):
         x = dt.datetime.fromisoformat(x)
     elif isinstance(x, dt.date) and not isinstance(x, dt.datetime):
@@ -45,7 +46,7 @@ def in_range(df: DataFrame, column: str | Column, start, end) -> DataFrame:
     A date bound means midnight of that day (use ``day_bounds`` for whole days).
     """
     c = F.col(column) if isinstance(column, str) else column
-    return df.where(c.between(_lit_ts(start), _lit_ts(end)))
+    return df.where(c.between(ts_literal(start), ts_literal(end)))
 
 
 def sentinel_filter(df: DataFrame, column: str = "handle", sentinel: str = SENTINEL_HANDLE) -> DataFrame:

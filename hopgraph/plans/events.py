@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from hopgraph.functions.scalar import (
     json_field, lenient_ts_parse, map_get, micros_to_ts, null_concat, split_part, strip_quotes,
 )
-from hopgraph.operators.projection import _lit_ts, with_aliases
+from hopgraph.operators.projection import ts_literal, with_aliases
 
 # The public profile URL prefix and the lexicon marker in URIs.
 PROFILE_URL_PREFIX = "https://bsky.app/profile/"
@@ -79,5 +79,5 @@ def jetstream_events(jet: DataFrame, start, end, strip_json_quotes: bool = False
         ("uri", lambda: json_field("subject", "uri", keep_quotes=not strip_json_quotes)),
         ("bsky_subject_url", lambda: subject_url("uri")),
     ])
-    return (projected.where(F.col("ts").between(_lit_ts(start), _lit_ts(end)))
+    return (projected.where(F.col("ts").between(ts_literal(start), ts_literal(end)))
             .select(*EVENT_COLUMNS))

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from hopgraph.operators.projection import _lit_ts
+from hopgraph.operators.projection import ts_literal
 from hopgraph.session import checked_broadcast
 
 
@@ -93,7 +93,7 @@ def overwrite_interval(table: VersionedTable, batch: DataFrame, time_col: str, s
     rows outside it are ignored.  An interval the batch leaves empty is
     emptied, which dynamic partition overwrite would not do.
     """
-    inside = F.col(time_col).between(_lit_ts(start), _lit_ts(end))
+    inside = F.col(time_col).between(ts_literal(start), ts_literal(end))
     fresh = batch.where(inside)
     target = table.read()
     if target is None:

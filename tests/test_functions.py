@@ -88,3 +88,18 @@ def test_casts(spark):
 def test_day_bounds():
     lo, hi = S.day_bounds("2024-01-01", "2024-01-02")
     assert lo == dt.datetime(2024, 1, 1) and hi == dt.datetime(2024, 1, 2, 23, 59, 59, 999999)
+
+
+def test_bad_double_text_errors_under_ansi(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+    from py4j.protocol import Py4JJavaError
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        one(spark, S.cast_double("x"), "not a number")
+
+
+def test_split_part_index_zero_is_rejected():
+    import pytest
+    with pytest.raises(ValueError):
+        S.split_part("x", ".", 0)
