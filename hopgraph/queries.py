@@ -9,6 +9,7 @@ shared scratch root and return what they read back.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -16,14 +17,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hopgraph import oracle as O
+from hopgraph.functions import scalar as S
 from hopgraph.functions.scalar import day_bounds
+from hopgraph.operators import aggregate as A
+from hopgraph.operators import joins as J
+from hopgraph.operators import projection as P
+from hopgraph.operators import setops as U
+from hopgraph.operators.window import latest_per_key
 from hopgraph.plans import edges as E
 from hopgraph.plans import events as EV
+from hopgraph.plans import materialize as K
 from hopgraph.plans import recommend as R
-from hopgraph.schemas import JETSTREAM
-from hopgraph.session import measured_keys, pin_utc
+from hopgraph.schemas import EDGE, EDGE_KEY, JETSTREAM, JETSTREAM_PARTITIONS, RAW_EDGE_COLUMNS
+from hopgraph.session import fresh_path, measured_keys, pin_utc
+from hopgraph.sources import external as X
+from hopgraph.sources import ingest as I
+from hopgraph.sources import loads as L
+from hopgraph.sources import pond as PD
 from hopgraph.sources import testdata as TD
 from hopgraph.sources.ingest import typed_scan
+from hopgraph.streaming import edges as SE
+from hopgraph.streaming import jetstream as SJ
 
 # Run parameters of the registered queries.
 BASE_ACTOR = "u0"
@@ -240,12 +254,6 @@ def q_jetstream_events_clean(spark, sf_dir):
 
 # --------------------------------------------------------------------------- operators P, J, A, W, O, U
 
-from hopgraph.operators import aggregate as A  # noqa: E402
-from hopgraph.operators import joins as J  # noqa: E402
-from hopgraph.operators import projection as P  # noqa: E402
-from hopgraph.operators import setops as U  # noqa: E402
-from hopgraph.operators.window import latest_per_key  # noqa: E402
-from hopgraph.schemas import EDGE, EDGE_KEY  # noqa: E402
 
 _DECL_TYPES = [(f.name, f.dataType) for f in EDGE.fields if f.name != "_dlt_load_time"]
 
@@ -303,11 +311,10 @@ SELECT did, make_timestamp(time_us) AS ts,
 FROM jetstream
 WHERE ts BETWEEN {O.ts_lit(PART[0])} AND {O.ts_lit(PART[1])}""", ["jetstream"]))
 def q_lateral_alias(spark, sf_dir):
-    from hopgraph.functions.scalar import json_field, map_get, micros_to_ts
     jet = EV.partition_prune(Inputs(spark, sf_dir).jetstream(), *PART)
     df = P.with_aliases(jet, [
-        ("ts", micros_to_ts("time_us")),
-        ("uri", json_field(map_get("commit.record", "subject"), "uri")),
+        ("ts", S.micros_to_ts("time_us")),
+        ("uri", S.json_field(S.map_get("commit.record", "subject"), "uri")),
         ("bsky_subject_url", lambda: EV.subject_url("uri")),
     ])
     return P.in_range(df, "ts", *PART).select("did", "ts", "uri", "bsky_subject_url")
@@ -406,8 +413,6 @@ def q_crawl_frontier(spark, sf_dir):
 
 # --------------------------------------------------------------------------- scalar functions F1-F13
 
-from hopgraph.functions import scalar as S  # noqa: E402
-
 
 @register("epoch_seconds_to_ts", O.with_ctes("""
 SELECT _dlt_id, _dlt_load_id, timezone('UTC', to_timestamp(_dlt_load_id::DOUBLE)) AS _dlt_load_time
@@ -536,12 +541,6 @@ def q_cast_ts(spark, sf_dir):
 
 # --------------------------------------------------------------------------- sources and sinks I1-I9
 
-from hopgraph.schemas import JETSTREAM_PARTITIONS, RAW_EDGE_COLUMNS  # noqa: E402
-from hopgraph.session import fresh_path  # noqa: E402
-from hopgraph.sources import external as X  # noqa: E402
-from hopgraph.sources import ingest as I  # noqa: E402
-from hopgraph.sources import loads as L  # noqa: E402
-from hopgraph.sources import pond as PD  # noqa: E402
 
 INGEST_TIME = "2024-12-04T00:00:00.000000"   # fixed crawl time stamped by ``tag_actor``
 
@@ -655,7 +654,6 @@ def q_crawl_summary(spark, sf_dir):
 
 # --------------------------------------------------------------------------- materialisation K1-K5
 
-from hopgraph.plans import materialize as K  # noqa: E402
 
 SPLIT_DAY_1 = day_bounds("2024-01-01", "2024-01-15")
 SPLIT_DAY_2 = day_bounds("2024-01-16", "2024-01-30")
@@ -690,7 +688,6 @@ def q_overwrite_interval(spark, sf_dir):
 
 @register("partial_interval", jetstream_sql(clean=False))
 def q_partial_interval(spark, sf_dir):
-    import datetime as dt
     table, jet = _event_table(spark, sf_dir, "events-partial")
     cut = dt.datetime(2024, 1, 15, 12, 30)           # "now": half-way through an hour
     hour = cut.replace(minute=0)
@@ -713,9 +710,6 @@ def q_embedded_model(spark, sf_dir):
 
 # --------------------------------------------------------------------------- streaming T1-T2
 
-from hopgraph.streaming import edges as SE  # noqa: E402
-from hopgraph.streaming import jetstream as SJ  # noqa: E402
-
 
 @register("jetstream_stream", jetstream_sql(clean=False))
 def q_jetstream_stream(spark, sf_dir):
