@@ -10,6 +10,7 @@ shared scratch root and return what they read back.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -696,6 +697,29 @@ def q_partial_interval(spark, sf_dir):
     return _events_for_compare(table.read())
 
 
+def _hourly(spark, name):
+    return K.HourlyTable(spark, f"{name}_{uuid.uuid4().hex[:10]}", "ts")
+
+
+@register("overwrite_interval_hourly", jetstream_sql(clean=False))
+def q_overwrite_interval_hourly(spark, sf_dir):
+    jet = Inputs(spark, sf_dir).jetstream()
+    table = _hourly(spark, "events_interval")
+    table.reload(lambda lo, hi: EV.jetstream_events(jet, lo, hi), *FULL)
+    table.reload(lambda lo, hi: EV.jetstream_events(jet, lo, hi), *PART)
+    return _events_for_compare(table.read())
+
+
+@register("partial_interval_hourly", jetstream_sql(clean=False))
+def q_partial_interval_hourly(spark, sf_dir):
+    jet = Inputs(spark, sf_dir).jetstream()
+    table = _hourly(spark, "events_partial")
+    cut = dt.datetime(2024, 1, 15, 12, 30)           # "now": half-way through an hour
+    table.reload(lambda lo, hi: EV.jetstream_events(jet, lo, min(hi, cut)), FULL[0], cut)
+    table.reload(lambda lo, hi: EV.jetstream_events(jet, lo, hi), cut, FULL[1])
+    return _events_for_compare(table.read())
+
+
 @register("view_model", O.with_ctes(DIM_SQL, ["incremental_followers", "incremental_follows"],
                                     _inc("followers", "follows")))
 def q_view_model(spark, sf_dir):

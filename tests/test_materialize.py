@@ -75,3 +75,21 @@ def test_versioned_table_recovers_from_unlogged_write(spark, scratch):
     assert table.version() == 1 and rows(table.read()) == [("h", "a", D[0], "v1")]
     assert table.commit(frame(spark, [("h", "a", D[1], "v2")])) == 2
     assert rows(table.read()) == [("h", "a", D[1], "v2")]
+
+
+def test_hourly_reload_touches_only_its_hours(spark):
+    import uuid
+    from hopgraph.plans.materialize import HourlyTable
+    table = HourlyTable(spark, f"t_{uuid.uuid4().hex[:8]}", "t")
+    hours = [dt.datetime(2024, 1, 1, h, 15) for h in range(6)]
+
+    def source(tag, skip=()):
+        data = [(f"h{i}", "a", t, f"{tag}{i}") for i, t in enumerate(hours) if i not in skip]
+        df = frame(spark, data)
+        return lambda lo, hi: df.where(F.col("t").between(F.lit(lo), F.lit(hi)))
+
+    table.reload(source("v1-"), hours[0], hours[-1])
+    assert sorted(r["v"] for r in table.read().collect()) == [f"v1-{i}" for i in range(6)]
+    # reload 02:30..03:10 (widened to hours 2 and 3); hour 3 now has no rows in the source
+    table.reload(source("v2-", skip={3}), dt.datetime(2024, 1, 1, 2, 30), dt.datetime(2024, 1, 1, 3, 10))
+    assert sorted(r["v"] for r in table.read().collect()) == ["v1-0", "v1-1", "v1-4", "v1-5", "v2-2"]
