@@ -28,6 +28,8 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        # listed key sets (up to LITERAL_MAX_ROWS) stay exact IN filters in Parquet
+        .config("spark.sql.parquet.pushdown.inFilterThreshold", str(LITERAL_MAX_ROWS))
     )
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
