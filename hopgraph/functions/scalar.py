@@ -111,6 +111,15 @@ def cast_ts(x: ColumnOrName) -> Column:
     return _c(x).cast("timestamp_ntz")
 
 
+def as_datetime(x) -> dt.datetime:
+    """A bound given as datetime, date (midnight) or ISO text, as a naive datetime."""
+    if isinstance(x, str):
+        return dt.datetime.fromisoformat(x)
+    if isinstance(x, dt.date) and not isinstance(x, dt.datetime):
+        return dt.datetime.combine(x, dt.time.min)
+    return x
+
+
 def day_bounds(first_day: str | dt.date, last_day: str | dt.date) -> tuple[dt.datetime, dt.datetime]:
     """Whole-day inclusive bounds: 00:00:00.000000 to 23:59:59.999999."""
     d1 = dt.date.fromisoformat(str(first_day))

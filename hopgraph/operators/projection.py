@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
+from hopgraph.functions.scalar import as_datetime
+
 SENTINEL_HANDLE = "handle.invalid"
 
 
@@ -33,11 +35,7 @@ def actor_filter(df: DataFrame, actor: str, column: str = "actor") -> DataFrame:
 
 def ts_literal(x: dt.datetime | dt.date | str) -> Column:
     """A naive timestamp literal; a date means midnight."""
-    if isinstance(x, str):
-        x = dt.datetime.fromisoformat(x)
-    elif isinstance(x, dt.date) and not isinstance(x, dt.datetime):
-        x = dt.datetime.combine(x, dt.time.min)
-    return F.lit(x).cast("timestamp_ntz")
+    return F.lit(as_datetime(x)).cast("timestamp_ntz")
 
 
 def in_range(df: DataFrame, column: str | Column, start, end) -> DataFrame:

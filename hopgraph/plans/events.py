@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hopgraph.functions.scalar import (
-    json_field, lenient_ts_parse, map_get, micros_to_ts, null_concat, split_part, strip_quotes,
+    as_datetime, json_field, lenient_ts_parse, map_get, micros_to_ts, null_concat, split_part, strip_quotes,
 )
 from hopgraph.operators.projection import ts_literal, with_aliases
 
@@ -35,19 +35,11 @@ def subject_url(uri: str = "uri"):
         split_part(uri, "/", -1))
 
 
-def _as_datetime(x) -> dt.datetime:
-    if isinstance(x, str):
-        return dt.datetime.fromisoformat(x)
-    if isinstance(x, dt.date) and not isinstance(x, dt.datetime):
-        return dt.datetime.combine(x, dt.time.min)
-    return x
-
-
 _EPOCH = dt.datetime(1970, 1, 1)
 
 
 def _micros(x) -> int:
-    return (_as_datetime(x) - _EPOCH) // dt.timedelta(microseconds=1)
+    return (as_datetime(x) - _EPOCH) // dt.timedelta(microseconds=1)
 
 
 def partition_prune(jet: DataFrame, start, end) -> DataFrame:
@@ -64,7 +56,7 @@ def partition_prune(jet: DataFrame, start, end) -> DataFrame:
     if not {"year", "month", "day"} <= cols:
         return jet
     day = F.make_date(F.col("year").cast("int"), F.col("month").cast("int"), F.col("day").cast("int"))
-    return jet.where(day.between(F.lit(_as_datetime(start).date()), F.lit(_as_datetime(end).date())))
+    return jet.where(day.between(F.lit(as_datetime(start).date()), F.lit(as_datetime(end).date())))
 
 
 def jetstream_events(jet: DataFrame, start, end, strip_json_quotes: bool = False) -> DataFrame:

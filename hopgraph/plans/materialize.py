@@ -18,9 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from hopgraph.functions.scalar import as_datetime
 from hopgraph.operators.projection import ts_literal
-from hopgraph.plans.events import _as_datetime
-from hopgraph.session import checked_broadcast
+from hopgraph.session import checked_broadcast, scratch_root
 
 
 class VersionedTable:
@@ -130,15 +130,14 @@ class HourlyTable:
     PARTS = ["_day", "_hour"]
 
     def __init__(self, spark: SparkSession, name: str, time_col: str, database: str = "hopgraph_tables"):
-        from hopgraph.session import scratch_root
         self.spark, self.time_col = spark, time_col
         self.qualified = f"{database}.{name}"
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{scratch_root(spark)}/warehouse'")
 
     @staticmethod
     def hour_bounds(start, end) -> tuple[dt.datetime, dt.datetime]:
-        lo = _as_datetime(start).replace(minute=0, second=0, microsecond=0)
-        hi = _as_datetime(end).replace(minute=59, second=59, microsecond=999999)
+        lo = as_datetime(start).replace(minute=0, second=0, microsecond=0)
+        hi = as_datetime(end).replace(minute=59, second=59, microsecond=999999)
         return lo, hi
 
     def _with_parts(self, df: DataFrame) -> DataFrame:
