@@ -144,11 +144,16 @@ class HourlyTable:
         t = F.col(self.time_col)
         return df.withColumn("_day", F.to_date(t)).withColumn("_hour", F.hour(t))
 
-    def _partitions(self) -> list[tuple[dt.date, int]]:
-        out = []
-        for (spec,) in self.spark.sql(f"SHOW PARTITIONS {self.qualified}").collect():
-            kv = dict(p.split("=", 1) for p in spec.split("/"))
-            out.append((dt.date.fromisoformat(kv["_day"]), int(kv["_hour"])))
+    def _partitions(self, first: dt.date, last: dt.date) -> list[tuple[dt.date, int]]:
+        """Catalog partitions of the days first..last (metadata only, at most 24 per day)."""
+        out, day = [], first
+        while day <= last:
+            rows = self.spark.sql(
+                f"SHOW PARTITIONS {self.qualified} PARTITION (_day = DATE'{day.isoformat()}')").collect()
+            for (spec,) in rows:
+                kv = dict(p.split("=", 1) for p in spec.split("/"))
+                out.append((dt.date.fromisoformat(kv["_day"]), int(kv["_hour"])))
+            day += dt.timedelta(days=1)
         return out
 
     def reload(self, build, start, end) -> None:
@@ -157,7 +162,7 @@ class HourlyTable:
         batch = self._with_parts(build(lo, hi))
         if not self.spark.catalog.tableExists(self.qualified):
             batch.limit(0).write.format("parquet").partitionBy(*self.PARTS).saveAsTable(self.qualified)
-        inside = [(d, h) for d, h in self._partitions()
+        inside = [(d, h) for d, h in self._partitions(lo.date(), hi.date())
                   if lo <= dt.datetime.combine(d, dt.time(h)) <= hi]
         if inside:
             specs = ", ".join(f"PARTITION (_day = DATE'{d.isoformat()}', _hour = {h})" for d, h in inside)
