@@ -89,7 +89,7 @@ def neighbour_handles(raw: DataFrame, base_actor: str, start, end, distinct: boo
 
 def _measured(raw: DataFrame, base_actor: str, start, end) -> KeySet:
     return measured_keys(neighbour_handles(raw, base_actor, start, end), "handle",
-                         join_source=neighbour_handles(raw, base_actor, start, end, distinct=False))
+                         join_source=lambda: neighbour_handles(raw, base_actor, start, end, distinct=False))
 
 
 def _model(core, raw: dict[str, DataFrame], variant: str, base_actor: str, start, end) -> DataFrame:

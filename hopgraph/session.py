@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,17 +87,19 @@ class KeySet:
 
 
 def measured_keys(df: DataFrame, column: str, max_rows: int | None = None,
-                  literal_max: int | None = None, join_source: DataFrame | None = None) -> KeySet:
+                  literal_max: int | None = None,
+                  join_source: Callable[[], DataFrame] | None = None) -> KeySet:
     """Measure a distinct key set and pick how joins against it will run.
 
     First at most ``literal_max + 1`` keys are fetched; if that is all of
     them, the keys themselves are kept for literal filters.  Otherwise one
     aggregate counts the set and its NULLs (a single row to the driver), and
     the frame is broadcast only under ``max_rows``; beyond that Spark
-    shuffles.  ``join_source`` (optional) is the same keys before
-    de-duplication: semi and anti joins do not need distinct keys, and in the
-    shuffle tier a plain shuffle of it lets AQE split a skewed partition,
-    which it cannot do through the final aggregate of a ``distinct``.
+    shuffles.  ``join_source`` (optional) builds the same keys before
+    de-duplication, used only in the shuffle tier: semi and anti joins do not
+    need distinct keys, and a plain shuffle of them lets AQE split a skewed
+    partition, which it cannot do through the final aggregate of a
+    ``distinct``.
     """
     max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
     literal_max = LITERAL_MAX_ROWS if literal_max is None else literal_max
@@ -106,7 +109,7 @@ def measured_keys(df: DataFrame, column: str, max_rows: int | None = None,
         return KeySet(F.broadcast(df), column, len(values), sum(v is None for v in values), True, values)
     row = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(column).isNull()).alias("z")).first()
     small = row["n"] <= max_rows
-    frame = F.broadcast(df) if small else (join_source if join_source is not None else df)
+    frame = F.broadcast(df) if small else (join_source() if join_source is not None else df)
     return KeySet(frame, column, row["n"], row["z"], small)
 
 
