@@ -9,6 +9,8 @@ is kept, and ``popularity_ranked`` gives the count the views intend.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -94,8 +96,14 @@ def _measured(raw: DataFrame, base_actor: str, start, end) -> KeySet:
 
 def _model(core, raw: dict[str, DataFrame], variant: str, base_actor: str, start, end) -> DataFrame:
     cand_tbl, base_tbl, excl_tbl = VARIANTS[variant]
-    base = _measured(raw[base_tbl], base_actor, start, end)
-    exclude = base if excl_tbl == base_tbl else _measured(raw[excl_tbl], base_actor, start, end)
+    if excl_tbl == base_tbl:
+        base = exclude = _measured(raw[base_tbl], base_actor, start, end)
+    else:
+        # two independent measuring jobs: submit them together
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            fb = pool.submit(_measured, raw[base_tbl], base_actor, start, end)
+            fx = pool.submit(_measured, raw[excl_tbl], base_actor, start, end)
+            base, exclude = fb.result(), fx.result()
     # A listed or broadcast base set restricts the candidates before the
     # latest-per-key window (only the neighbourhood is shuffled); a large one
     # is applied inside the core, once, after the window.
