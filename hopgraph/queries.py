@@ -675,6 +675,21 @@ def q_upsert_by_key(spark, sf_dir):
     return table.read()
 
 
+@register("upsert_by_key_bucketed", O.with_ctes(f"""
+SELECT {EDGE_SELECT} FROM batch_1 AS t
+WHERE NOT EXISTS (SELECT 1 FROM batch_2 AS b WHERE b.handle = t.handle AND b.actor = t.actor)
+UNION ALL
+SELECT {EDGE_SELECT} FROM batch_2""", ["batch_1", "batch_2"],
+    [O.incremental_cte("follows", *SPLIT_DAY_1, name="batch_1"),
+     O.incremental_cte("follows", *SPLIT_DAY_2, name="batch_2")]))
+def q_upsert_by_key_bucketed(spark, sf_dir):
+    raw = Inputs(spark, sf_dir).raw("follows")
+    table = K.BucketedTable(spark, f"follows_{uuid.uuid4().hex[:10]}", EDGE_KEY, buckets=16)
+    for interval in (SPLIT_DAY_1, SPLIT_DAY_2):
+        table.upsert(E.incremental_follows(raw, *interval))
+    return table.read()
+
+
 def _event_table(spark, sf_dir, name):
     return K.VersionedTable(spark, fresh_path(spark, name)), Inputs(spark, sf_dir).jetstream()
 

@@ -93,3 +93,31 @@ def test_hourly_reload_touches_only_its_hours(spark):
     # reload 02:30..03:10 (widened to hours 2 and 3); hour 3 now has no rows in the source
     table.reload(source("v2-", skip={3}), dt.datetime(2024, 1, 1, 2, 30), dt.datetime(2024, 1, 1, 3, 10))
     assert sorted(r["v"] for r in table.read().collect()) == ["v1-0", "v1-1", "v1-4", "v1-5", "v2-2"]
+
+
+def test_bucketed_upsert_rewrites_only_touched_buckets(spark):
+    import uuid
+    from hopgraph.plans.materialize import BucketedTable
+    table = BucketedTable(spark, f"b_{uuid.uuid4().hex[:8]}", ["handle", "actor"], buckets=8)
+    first = frame(spark, [(f"h{i}", "a", D[0], f"old{i}") for i in range(40)])
+    assert len(table.upsert(first)) == 8
+
+    def locations():
+        rows = spark.sql(f"SHOW PARTITIONS {table.qualified}").collect()
+        out = {}
+        for (spec,) in rows:
+            desc = spark.sql(f"DESCRIBE FORMATTED {table.qualified} PARTITION ({spec.replace('=', ' = ')})")
+            out[spec] = desc.where("col_name = 'Location'").first()["data_type"]
+        return out
+
+    before = locations()
+    touched = table.upsert(frame(spark, [("h3", "a", D[2], "new3")]))
+    after = locations()
+    assert len(touched) == 1
+    changed = {k for k in before if before[k] != after[k]}
+    assert changed == {f"_bucket={touched[0]}"}
+    got = {r["handle"]: r["v"] for r in table.read().collect()}
+    assert len(got) == 40 and got["h3"] == "new3" and got["h4"] == "old4"
+    once = rows(table.read())
+    table.upsert(frame(spark, [("h3", "a", D[2], "new3")]))        # replaying changes nothing
+    assert rows(table.read()) == once
