@@ -205,8 +205,13 @@ class BucketedTable:
         rows = self.spark.sql(f"SHOW PARTITIONS {self.qualified}").collect()   # at most `buckets` rows
         return {int(spec.split("=", 1)[1]) for (spec,) in rows}
 
-    def upsert(self, batch: DataFrame) -> list[int]:
-        """Apply ``batch``; returns the buckets it rewrote."""
+    def upsert(self, batch: DataFrame, order_col: str | None = None) -> list[int]:
+        """Apply ``batch``; returns the buckets it rewrote.
+
+        With ``order_col`` a stored row that is newer than the batch row of
+        the same key is kept (newest wins), for batches that may arrive out
+        of time order.
+        """
         b = self._with_bucket(batch)
         if not self.spark.catalog.tableExists(self.qualified):
             b.limit(0).write.format("parquet").partitionBy("_bucket").saveAsTable(self.qualified)
@@ -215,6 +220,11 @@ class BucketedTable:
             return []
         existing = self._existing()
         stored = self.spark.table(self.qualified).where(F.col("_bucket").isin(touched))
+        if order_col is not None:
+            newer = stored.select(*self.keys, F.col(order_col).alias("_stored_t"))
+            stale = (b.join(newer, self.keys).where(F.col("_stored_t") > F.col(order_col))
+                      .select(*self.keys))
+            b = b.join(stale, self.keys, "left_anti")
         batch_keys, _ = checked_broadcast(b.select(*self.keys).distinct())
         merged = (stored.join(batch_keys, self.keys, "left_anti")
                         .unionByName(b.select(*stored.columns)))

@@ -769,3 +769,16 @@ def q_edges_stream_upsert(spark, sf_dir):
                            *SPLIT_DAY_2, max_files_per_trigger=2,
                            schema=TD.LANDED_EDGE, condition=F.col("tbl") == "follows").awaitTermination()
     return table.read()
+
+
+@register("edges_stream_upsert_bucketed", O.with_ctes(
+    f"SELECT {EDGE_SELECT} FROM incremental_follows", ["incremental_follows"], _inc("follows")))
+def q_edges_stream_upsert_bucketed(spark, sf_dir):
+    raw = Inputs(spark, sf_dir).raw("follows")
+    table = K.BucketedTable(spark, f"stream_follows_{uuid.uuid4().hex[:10]}", EDGE_KEY, buckets=16)
+    table.upsert(E.incremental_follows(raw, *SPLIT_DAY_1))
+    src = TD.landed_edges_path(spark, sf_dir)
+    SE.edges_stream_upsert(spark, src, table, fresh_path(spark, "stream-follows-bucketed-ckpt"),
+                           *SPLIT_DAY_2, max_files_per_trigger=2,
+                           schema=TD.LANDED_EDGE, condition=F.col("tbl") == "follows").awaitTermination()
+    return table.read()

@@ -42,8 +42,11 @@ def test_edge_stream_in_time_order_equals_batch(spark, scratch):
         lo, hi = day_bounds(d1, d2)
         raw.where(epoch_seconds_to_ts("_dlt_load_id").between(F.lit(lo), F.lit(hi))) \
            .write.parquet(f"{src}/{d1}")
-    for newest in (True, False):
-        table = VersionedTable(spark, scratch("t2-table"))
+    import uuid
+    from hopgraph.plans.materialize import BucketedTable
+    for newest, bucketed in ((True, False), (False, False), (True, True)):
+        table = (BucketedTable(spark, f"t2_{uuid.uuid4().hex[:8]}", EDGE_KEY, buckets=8) if bucketed
+                 else VersionedTable(spark, scratch("t2-table")))
         for d1, _ in days:
             q = edges_stream_upsert(spark, f"{src}/{d1}", table, scratch("t2-ckpt"), *FULL,
                                     newest_wins=newest, max_files_per_trigger=2)
@@ -63,6 +66,12 @@ def test_edge_stream_out_of_order_needs_newest_wins(spark, scratch):
     for part in ("first", "second"):
         edges_stream_upsert(spark, f"{src}/{part}", table, scratch("t2-ooo-ckpt"), *FULL).awaitTermination()
     assert [r["display_name"] for r in table.read().collect()] == ["new"]
+    import uuid
+    from hopgraph.plans.materialize import BucketedTable
+    bucketed = BucketedTable(spark, f"t2o_{uuid.uuid4().hex[:8]}", EDGE_KEY, buckets=4)
+    for part in ("first", "second"):
+        edges_stream_upsert(spark, f"{src}/{part}", bucketed, scratch("t2-ooo-bckpt"), *FULL).awaitTermination()
+    assert [r["display_name"] for r in bucketed.read().collect()] == ["new"]
     plain = VersionedTable(spark, scratch("t2-ooo-plain"))
     for part in ("first", "second"):
         upsert_by_key(plain, incremental_follows(spark.read.parquet(f"{src}/{part}"), *FULL), EDGE_KEY)
