@@ -23,10 +23,13 @@ from hopgraph.session import KeySet
 BASE_COLUMNS = ["did", "handle", "display_name"]
 
 
-def typed_edges(raw: DataFrame) -> DataFrame:
-    """P1 + F1: declared types, naive timestamps and the parsed load time (one projection)."""
+def typed_edges(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """P1 + F1: declared types, naive timestamps and the parsed load time (one projection).
+
+    ``keep`` names extra columns carried through unchanged (e.g. a table tag).
+    """
     cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in EDGE.fields if f.name != "_dlt_load_time"]
-    return raw.select(*cols, epoch_seconds_to_ts("_dlt_load_id").alias("_dlt_load_time"))
+    return raw.select(*cols, epoch_seconds_to_ts("_dlt_load_id").alias("_dlt_load_time"), *keep)
 
 
 def incremental_edges(raw: DataFrame, start, end, actors: KeySet | None = None) -> DataFrame:
@@ -80,3 +83,14 @@ def base_actor_edges(edges: DataFrame, base_actor: str) -> DataFrame:
 def dim_profiles(followers: DataFrame, follows: DataFrame) -> DataFrame:
     """M6: distinct profiles across both edge tables (not one row per did)."""
     return distinct_rows(union_all([followers, follows], PROFILE_COLUMNS), PROFILE_COLUMNS)
+
+
+def dim_profiles_tagged(raw_both: DataFrame, start, end, tag: str = "tbl") -> DataFrame:
+    """M6 from both raw edge tables stored as one, told apart by ``tag``.
+
+    Latest-per-key keyed by (tag, handle, actor) equals the two tables'
+    latest rows side by side, so one scan and one window replace two.
+    """
+    typed = in_range(typed_edges(raw_both, keep=(tag,)), "_dlt_load_time", start, end)
+    latest = latest_per_key(typed, [tag, *EDGE_KEY], "_dlt_load_time", ["_dlt_id"])
+    return distinct_rows(latest, PROFILE_COLUMNS)

@@ -150,8 +150,8 @@ FROM (
 @register("dim_profiles", O.with_ctes(DIM_SQL, ["incremental_followers", "incremental_follows"],
                                       _inc("followers", "follows")))
 def q_dim_profiles(spark, sf_dir):
-    i = Inputs(spark, sf_dir)
-    return E.dim_profiles(i.latest("followers"), i.latest("follows"))
+    pin_utc(spark)
+    return E.dim_profiles_tagged(TD.raw_edges_tagged(spark, sf_dir), *FULL)
 
 
 # --------------------------------------------------------------------------- M7-M10, M12
@@ -738,8 +738,8 @@ def q_partial_interval_hourly(spark, sf_dir):
 @register("view_model", O.with_ctes(DIM_SQL, ["incremental_followers", "incremental_follows"],
                                     _inc("followers", "follows")))
 def q_view_model(spark, sf_dir):
-    i = Inputs(spark, sf_dir)
-    return K.view_model(E.dim_profiles(i.latest("followers"), i.latest("follows")), "dim_profiles")
+    pin_utc(spark)
+    return K.view_model(E.dim_profiles_tagged(TD.raw_edges_tagged(spark, sf_dir), *FULL), "dim_profiles")
 
 
 @register("embedded_model", _base_sql("follows"))

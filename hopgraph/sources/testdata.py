@@ -240,6 +240,11 @@ def raw_edges(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return scan.where(F.col("tbl") == table).select(*RAW_EDGE_COLUMNS)
 
 
+def raw_edges_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both raw edge tables in one scan, with their ``tbl`` tag."""
+    return _scan(spark, landed_edges_path(spark, sf_dir), LANDED_EDGE)
+
+
 def jetstream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The landed firehose table, scanned with its declared schema."""
     return _scan(spark, landed_jetstream_path(spark, sf_dir), JETSTREAM)

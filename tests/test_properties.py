@@ -5,7 +5,9 @@ import datetime as dt
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from hopgraph.plans.edges import dim_profiles, incremental_edges
+from pyspark.sql import functions as F
+
+from hopgraph.plans.edges import dim_profiles, dim_profiles_tagged, incremental_edges
 from hopgraph.plans.recommend import VARIANTS, popularity_ranked, recommend
 from hopgraph.schemas import RAW_EDGE
 
@@ -98,3 +100,6 @@ def test_latest_and_dim_match_brute_force(spark, rows):
     dims = {(r["did"], r["handle"], r["display_name"]) for r in dim_profiles(lf, ll).collect()}
     want = {(r["did"], r["handle"], r["name"]) for t in ("followers", "follows") for r in latest(rows, t)}
     assert dims == want
+    both = fo.withColumn("tbl", F.lit("followers")).unionByName(fl.withColumn("tbl", F.lit("follows")))
+    tagged = {(r["did"], r["handle"], r["display_name"]) for r in dim_profiles_tagged(both, START, END).collect()}
+    assert tagged == want
