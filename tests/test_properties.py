@@ -103,3 +103,31 @@ def test_latest_and_dim_match_brute_force(spark, rows):
     both = fo.withColumn("tbl", F.lit("followers")).unionByName(fl.withColumn("tbl", F.lit("follows")))
     tagged = {(r["did"], r["handle"], r["display_name"]) for r in dim_profiles_tagged(both, START, END).collect()}
     assert tagged == want
+
+
+upsert_row = st.tuples(st.one_of(st.sampled_from(["h1", "h2", "h3", "h4"]), st.none()),
+                       st.sampled_from(["a", "b"]), st.integers(0, 9))
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(batches=st.lists(st.lists(upsert_row, min_size=0, max_size=6, unique_by=lambda r: (r[0], r[1])),
+                        min_size=1, max_size=3))
+def test_bucketed_and_versioned_upserts_match_brute_force(spark, batches):
+    import uuid
+    from hopgraph.plans.materialize import BucketedTable, VersionedTable, upsert_by_key
+    from hopgraph.session import fresh_path
+    bucketed = BucketedTable(spark, f"p_{uuid.uuid4().hex[:8]}", ["handle", "actor"], buckets=3)
+    versioned = VersionedTable(spark, fresh_path(spark, "prop-upsert"))
+    model: list[tuple] = []
+    for batch in batches:
+        df = spark.createDataFrame(batch, "handle string, actor string, v int")
+        bucketed.upsert(df)
+        upsert_by_key(versioned, df, ["handle", "actor"])
+        keys = {(h, a) for h, a, _ in batch if h is not None}
+        # NULL keys never match, so they are never replaced
+        model = [r for r in model if r[0] is None or (r[0], r[1]) not in keys] + list(batch)
+    want = sorted(model, key=repr)
+    got_b = sorted((tuple(r) for r in bucketed.read().select("handle", "actor", "v").collect()), key=repr) \
+        if spark.catalog.tableExists(bucketed.qualified) else []
+    got_v = sorted((tuple(r) for r in versioned.read().collect()), key=repr)
+    assert got_b == want and got_v == want
