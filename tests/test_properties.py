@@ -131,3 +131,37 @@ def test_bucketed_and_versioned_upserts_match_brute_force(spark, batches):
         if spark.catalog.tableExists(bucketed.qualified) else []
     got_v = sorted((tuple(r) for r in versioned.read().collect()), key=repr)
     assert got_b == want and got_v == want
+
+
+reload_step = st.tuples(
+    st.sets(st.integers(0, 11), max_size=12),          # which source rows exist in this version
+    st.integers(0, 5 * 60), st.integers(0, 5 * 60),    # interval bounds, minutes after T0
+)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(steps=st.lists(reload_step, min_size=1, max_size=3))
+def test_interval_reloads_match_brute_force(spark, steps):
+    import uuid
+    from hopgraph.plans.materialize import HourlyTable, VersionedTable, overwrite_interval
+    from hopgraph.session import fresh_path
+    times = [T0 + dt.timedelta(minutes=25 * i) for i in range(12)]       # spread over 5 hours
+    hourly = HourlyTable(spark, f"r_{uuid.uuid4().hex[:8]}", "t")
+    generic = VersionedTable(spark, fresh_path(spark, "prop-interval"))
+    model_g: set = set()
+    model_h: set = set()
+    for present, a, b in steps:
+        lo, hi = sorted((T0 + dt.timedelta(minutes=a), T0 + dt.timedelta(minutes=b)))
+        rows = [(f"r{i}", times[i]) for i in sorted(present)]
+        src = spark.createDataFrame(rows, "k string, t timestamp_ntz")
+
+        def build(x, y, src=src):
+            return src.where(F.col("t").between(F.lit(x), F.lit(y)))
+
+        overwrite_interval(generic, src, "t", lo, hi)
+        hourly.reload(build, lo, hi)
+        wlo, whi = HourlyTable.hour_bounds(lo, hi)
+        model_g = {r for r in model_g if not lo <= r[1] <= hi} | {r for r in rows if lo <= r[1] <= hi}
+        model_h = {r for r in model_h if not wlo <= r[1] <= whi} | {r for r in rows if wlo <= r[1] <= whi}
+    assert {tuple(r) for r in generic.read().collect()} == model_g
+    assert {tuple(r) for r in hourly.read().collect()} == model_h
