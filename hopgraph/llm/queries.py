@@ -2,16 +2,33 @@
 
 from __future__ import annotations
 
-from hopgraph.llm import decontaminate, mixing, near_dedup, quality_rules, sharding
+from hopgraph.llm import (
+    decontaminate,
+    html_labeller,
+    line_dedup,
+    mixing,
+    near_dedup,
+    quality_classifier,
+    quality_rules,
+    sharding,
+    token_counts,
+    toxicity,
+)
 
 QUERIES = {
+    "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_mixing": mixing.op2_mixing,
     "op3_sharding": sharding.op3_sharding,
+    "op4_quality_classifier": quality_classifier.op4_quality_classifier,
     "op5_near_dedup": near_dedup.op5_near_dedup,
     "op6_decontamination": decontaminate.op6_decontamination,
+    "op7_html_extraction": html_labeller.op7_html_extraction,
+    "op8_token_counts": token_counts.op8_token_counts,
+    "op9_toxicity": toxicity.op9_toxicity,
     "op10_quality_rules": quality_rules.op10_quality_rules,
 }
 ORACLE_SQL = {
+    "op1_line_dedup": line_dedup.SQL,
     "op2_mixing": mixing.SQL,
     "op10_quality_rules": quality_rules.SQL,
 }
