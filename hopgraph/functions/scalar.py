@@ -49,9 +49,10 @@ def micros_to_ts(us: ColumnOrName) -> Column:
 def lenient_ts_parse(text: ColumnOrName) -> Column:
     """TRY_STRPTIME(s, '%Y-%m-%dT%H:%M:%S.%gZ').
 
-    Needs a 1-3 digit fraction and a literal Z; anything else gives NULL.
+    Needs a 1-3 digit fraction and a literal Z; unpadded parts and spaces
+    around the text are read, anything else gives NULL.
     """
-    return F.try_to_timestamp(_c(text), F.lit("yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")).cast("timestamp_ntz")
+    return F.try_to_timestamp(F.trim(_c(text)), F.lit("yyyy-M-d'T'H:m:s.SSS'Z'")).cast("timestamp_ntz")
 
 
 def strip_quotes(text: ColumnOrName) -> Column:
@@ -79,11 +80,13 @@ def map_get(m: ColumnOrName, key: str) -> Column:
 def json_field(json_text: ColumnOrName, field: str, keep_quotes: bool = True) -> Column:
     """F8: JSON ``.field`` of a JSON text; NULL when the text is not an object.
 
-    The reference returns the value as JSON, so a string keeps its quotes;
+    The reference returns the value as JSON: a string keeps its quotes, and
+    numbers, booleans, nulls, objects and arrays keep their JSON text.
     ``keep_quotes=False`` returns the bare string.
     """
-    value = F.get_json_object(_c(json_text), f"$.{field}")
-    return F.concat(F.lit('"'), value, F.lit('"')) if keep_quotes else value
+    if not keep_quotes:
+        return F.get_json_object(_c(json_text), f"$.{field}")
+    return F.to_json(F.try_variant_get(F.try_parse_json(_c(json_text)), f"$.{field}", "variant"))
 
 
 def cast_text(x: ColumnOrName) -> Column:

@@ -5,20 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hopgraph.session import KeySet
 
+def restrict_actor(edges: DataFrame, keys: DataFrame, key_col: str = "handle", edge_col: str = "actor") -> DataFrame:
+    """Edges whose actor is among ``keys``: a lazy semi-join.
 
-def restrict_actor(edges: DataFrame, keys: KeySet, edge_col: str = "actor") -> DataFrame:
-    """Edges whose actor is in a measured key set.
-
-    Equal to a semi-join with the set.  A listed set is a literal IN filter
-    (pushed to the Parquet scan); otherwise a semi-join, broadcast when the
-    set was measured small.
+    Spark broadcasts the keys by their bytes, or shuffles both sides and
+    splits a skewed actor.
     """
-    values = keys.non_null_values
-    if values is not None:
-        return edges.where(F.col(edge_col).isin(values))
-    k = keys.frame.select(F.col(keys.column).alias("_base_key"))
+    k = keys.select(F.col(key_col).alias("_base_key"))
     return edges.join(k, F.col(edge_col) == F.col("_base_key"), "left_semi")
 
 
@@ -27,37 +21,24 @@ def edge_join(edges: DataFrame, base: DataFrame, base_col: str = "handle",
     """``edges JOIN base ON edges.actor = base.handle``.
 
     Returns the edge columns only.  Whether ``base`` is broadcast is decided
-    by the caller (``hopgraph.session.checked_broadcast``) or by AQE.
+    by Spark (its bytes) or by AQE.
     """
     b = base.select(F.col(base_col).alias("_base_key"))
     out = edges.join(b, F.col(edge_col) == F.col("_base_key"), how)
     return out.drop("_base_key") if how in ("inner", "left", "left_outer") else out
 
 
-def not_in(df: DataFrame, column: str, exclude: DataFrame | KeySet, exclude_col: str = "handle") -> DataFrame:
+def not_in(df: DataFrame, column: str, exclude: DataFrame, exclude_col: str = "handle") -> DataFrame:
     """``WHERE NOT column IN (SELECT exclude_col FROM exclude)``, null-aware.
 
     SQL NOT IN keeps a row only when the set is empty, or the value is not
     NULL, not in the set, and the set holds no NULL.
 
-    With a measured ``KeySet`` the empty / NULL guards are literals, a listed
-    set is a literal ``NOT IN`` filter (no join), and a larger one an equi
-    left-anti join, broadcast only if it was measured small.  With a plain
-    DataFrame the guards are two scalar subqueries over the set (Spark merges
-    them into one aggregate) and Spark picks the anti join by its statistics.
-    Either way there is no forced broadcast: Spark's own NOT IN rewrite
-    always broadcasts the set, whatever its size.
+    The empty / NULL guards are two scalar subqueries over the set (Spark
+    merges them into one aggregate), evaluated when the query runs, and Spark
+    picks the anti join by its statistics.  There is no forced broadcast:
+    Spark's own NOT IN rewrite always broadcasts the set, whatever its size.
     """
-    if isinstance(exclude, KeySet):
-        if exclude.rows == 0:
-            return df
-        if exclude.nulls > 0:
-            return df.where(F.lit(False))
-        values = exclude.non_null_values
-        if values is not None:
-            return df.where(F.col(column).isNotNull() & ~F.col(column).isin(values))
-        ex = exclude.frame.select(F.col(exclude.column).alias("_ex_key"))
-        return df.join(ex, F.col(column) == F.col("_ex_key"), "left_anti").where(F.col(column).isNotNull())
     ex = exclude.select(F.col(exclude_col).alias("_ex_key"))
     n_rows = ex.select(F.count(F.lit(1))).scalar()
     n_nulls = ex.select(F.count_if(F.col("_ex_key").isNull())).scalar()

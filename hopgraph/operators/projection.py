@@ -48,8 +48,8 @@ def in_range(df: DataFrame, column: str | Column, start, end) -> DataFrame:
 
 
 def sentinel_filter(df: DataFrame, column: str = "handle", sentinel: str = SENTINEL_HANDLE) -> DataFrame:
-    """P5: drop placeholder accounts (``handle.invalid``); NULL compares unknown and drops too."""
-    return df.where(F.col(column) != F.lit(sentinel))
+    """P5: drop placeholder accounts (``handle.invalid``); a NULL handle is no placeholder and stays."""
+    return df.where(~F.col(column).eqNullSafe(F.lit(sentinel)))
 
 
 def with_aliases(df: DataFrame, steps: Iterable[tuple[str, Callable[[], Column] | Column]]) -> DataFrame:

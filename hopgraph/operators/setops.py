@@ -26,7 +26,7 @@ def crawl_frontier(followers: DataFrame, follows: DataFrame, base_actor: str,
     adjacent = union_all([followers.where(F.col("actor") == base_actor),
                           follows.where(F.col("actor") == base_actor)], ["handle"])
     if drop_invalid:
-        adjacent = adjacent.where(F.col("handle") != F.lit(SENTINEL_HANDLE))
+        adjacent = adjacent.where(~F.col("handle").eqNullSafe(F.lit(SENTINEL_HANDLE)))
     if include_base:
         base = followers.sparkSession.range(1).select(F.lit(base_actor).alias("handle"))
         adjacent = adjacent.unionByName(base)

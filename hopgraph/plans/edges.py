@@ -18,7 +18,6 @@ from hopgraph.operators.projection import actor_filter, in_range, typed_projecti
 from hopgraph.operators.setops import union_all
 from hopgraph.operators.window import latest_per_key
 from hopgraph.schemas import EDGE, EDGE_KEY, LOADS, PROFILE_COLUMNS
-from hopgraph.session import KeySet
 
 BASE_COLUMNS = ["did", "handle", "display_name"]
 
@@ -32,25 +31,19 @@ def typed_edges(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return raw.select(*cols, epoch_seconds_to_ts("_dlt_load_id").alias("_dlt_load_time"), *keep)
 
 
-def incremental_edges(raw: DataFrame, start, end, actors: KeySet | None = None) -> DataFrame:
+def incremental_edges(raw: DataFrame, start, end, actors: DataFrame | None = None) -> DataFrame:
     """M1 / M2: typed edges loaded in [start, end], newest row per (handle, actor).
 
-    ``actors`` (optional, a measured key set) restricts the result to edges
-    whose actor is in it.  Because ``actor`` is a window partition key,
-    filtering before the window gives the same rows, and only that
-    neighbourhood is shuffled.  That is done when the set is listed (a literal
-    filter that reaches the scan) or broadcast; a large set is applied after
-    the window, so a hot actor is never gathered into one window task by an
-    actor-keyed shuffle.
+    ``actors`` (optional, a frame with a ``handle`` column) restricts the
+    result to edges whose actor is in it.  Because ``actor`` is a window
+    partition key, filtering before the window gives the same rows, and only
+    that neighbourhood is shuffled.  The window still clusters by both keys
+    (``pin_session``), so a hot actor is not gathered into one task.
     """
     typed = in_range(typed_edges(raw), "_dlt_load_time", start, end)
-    early = actors is not None and actors.small
-    if early:
+    if actors is not None:
         typed = restrict_actor(typed, actors)
-    latest = latest_per_key(typed, EDGE_KEY, "_dlt_load_time", ["_dlt_id"])
-    if actors is not None and not early:
-        latest = restrict_actor(latest, actors)
-    return latest
+    return latest_per_key(typed, EDGE_KEY, "_dlt_load_time", ["_dlt_id"])
 
 
 def incremental_followers(raw_followers: DataFrame, start, end) -> DataFrame:

@@ -42,27 +42,29 @@ def _micros(x) -> int:
     return (as_datetime(x) - _EPOCH) // dt.timedelta(microseconds=1)
 
 
-def partition_prune(jet: DataFrame, start, end) -> DataFrame:
+def partition_prune(jet: DataFrame, start, end, derived_days: bool = False) -> DataFrame:
     """Scan-level forms of ``ts BETWEEN start AND end``.
 
-    ``ts`` is computed from ``time_us``, so its filter alone reaches neither
-    the directory listing nor Parquet statistics.  Two equivalent filters do:
-    one on the year/month/day partition columns (pruned from the listing)
-    and a ``time_us`` range (pushed to Parquet row-group statistics).
+    ``ts`` is computed from ``time_us``, so its filter alone does not reach
+    Parquet statistics; the equal ``time_us`` range does.  With
+    ``derived_days`` the year/month/day partition columns are pruned as well.
+    That is right only for a table whose writer derived them from
+    ``time_us``: elsewhere they may be NULL or hold the ingest day.
     """
     cols = set(jet.columns)
     if "time_us" in cols:
         jet = jet.where(F.col("time_us").between(F.lit(_micros(start)), F.lit(_micros(end))))
-    if not {"year", "month", "day"} <= cols:
+    if not derived_days or not {"year", "month", "day"} <= cols:
         return jet
     day = F.make_date(F.col("year").cast("int"), F.col("month").cast("int"), F.col("day").cast("int"))
     return jet.where(day.between(F.lit(as_datetime(start).date()), F.lit(as_datetime(end).date())))
 
 
-def jetstream_events(jet: DataFrame, start, end, strip_json_quotes: bool = False) -> DataFrame:
+def jetstream_events(jet: DataFrame, start, end, strip_json_quotes: bool = False,
+                     derived_days: bool = False) -> DataFrame:
     """Did, kind, ts, collection, record, createdAt, subject, uri, bsky_subject_url."""
     rec = F.col("commit.record")
-    projected = with_aliases(partition_prune(jet, start, end), [
+    projected = with_aliases(partition_prune(jet, start, end, derived_days), [
         ("ts", micros_to_ts("time_us")),
         ("collection", F.col("commit.collection")),
         ("record", rec),

@@ -21,7 +21,7 @@ from pyspark.sql.utils import AnalysisException
 
 from hopgraph.functions.scalar import as_datetime
 from hopgraph.operators.projection import ts_literal
-from hopgraph.session import checked_broadcast, scratch_root
+from hopgraph.session import scratch_root
 
 
 class VersionedTable:
@@ -35,7 +35,9 @@ class VersionedTable:
     def version(self) -> int:
         try:
             row = self.spark.read.schema("version long").json(self._pointer).agg(F.max("version")).first()
-        except AnalysisException:
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return 0
         return int(row[0]) if row is not None and row[0] is not None else 0
 
@@ -63,12 +65,12 @@ def upsert_by_key(table: VersionedTable, batch: DataFrame, keys: Sequence[str])
 
     Nothing compares with stored rows beyond the key, so re-running an old
     interval puts old rows back, as the reference does.  NULL keys never
-    match.  The batch's keys are broadcast only when their count is checked.
+    match.
     """
     target = table.read()
     if target is None:
         return table.commit(batch)
-    batch_keys, _ = checked_broadcast(batch.select(*keys).distinct())
+    batch_keys = batch.select(*keys).distinct()
     kept = target.join(batch_keys, list(keys), "left_anti")
     return table.commit(kept.unionByName(batch))
 
@@ -116,12 +118,11 @@ class HourlyTable:
 
     A managed catalog table partitioned by ``(_day, _hour)`` of a time
     column, in a database located in the shared scratch folder.  ``reload``
-    widens the interval to whole hours, drops the table's partitions inside
-    it (one ``ALTER TABLE ... DROP PARTITION`` listing them, which also clears
-    hours the new batch leaves empty) and appends the batch.  Work and
-    rewritten data are proportional to the interval, not the table.  Like
-    the reference's delete + insert, a reader between the two steps sees the
-    interval empty.
+    widens the interval to whole hours, clips the batch to them, overwrites
+    the hours that the batch holds (dynamic partition overwrite) and only then
+    drops the interval's hours that it leaves empty.  Work and rewritten data
+    are proportional to the interval, not the table, and a failed write leaves
+    the stored hours in place.
 
     Widening to whole hours recomputes the rows of the partial first / last
     hour from the source; for a pure projection of the source (such as M11)
@@ -160,16 +161,29 @@ class HourlyTable:
     def reload(self, build, start, end) -> None:
         """Replace the hours of [start, end] with ``build(lo, hi)``'s rows."""
         lo, hi = self.hour_bounds(start, end)
-        batch = self._with_parts(build(lo, hi))
+        batch = self._with_parts(build(lo, hi).where(
+            F.col(self.time_col).between(ts_literal(lo), ts_literal(hi))))
         if not self.spark.catalog.tableExists(self.qualified):
             batch.limit(0).write.format("parquet").partitionBy(*self.PARTS).saveAsTable(self.qualified)
         inside = [(d, h) for d, h in self._partitions(lo.date(), hi.date())
                   if lo <= dt.datetime.combine(d, dt.time(h)) <= hi]
-        if inside:
-            specs = ", ".join(f"PARTITION (_day = DATE'{d.isoformat()}', _hour = {h})" for d, h in inside)
-            self.spark.sql(f"ALTER TABLE {self.qualified} DROP IF EXISTS {specs}")
+        run = uuid.uuid4().hex
         columns = self.spark.table(self.qualified).columns
-        batch.select(*columns).write.insertInto(self.qualified)
+        staged = f"{scratch_root(self.spark)}/hourly_batches/{run}"
+        batch.select(*columns).write.parquet(staged)          # the batch is computed once
+        batch = self.spark.read.schema(batch.select(*columns).schema).parquet(staged)
+        filled = {(r["_day"], r["_hour"]) for r in batch.select(*self.PARTS).distinct().collect()}   # hours
+        mode = "spark.sql.sources.partitionOverwriteMode"
+        before = self.spark.conf.get(mode)
+        self.spark.conf.set(mode, "dynamic")       # insertInto takes it from the session only
+        try:
+            batch.write.insertInto(self.qualified, overwrite=True)
+        finally:
+            self.spark.conf.set(mode, before)
+        empty = [x for x in inside if x not in filled]
+        if empty:
+            specs = ", ".join(f"PARTITION (_day = DATE'{d.isoformat()}', _hour = {h})" for d, h in empty)
+            self.spark.sql(f"ALTER TABLE {self.qualified} DROP IF EXISTS {specs}")
 
     def read(self) -> DataFrame:
         return self.spark.table(self.qualified).drop(*self.PARTS)
@@ -201,6 +215,13 @@ class BucketedTable:
     def _with_bucket(self, df: DataFrame) -> DataFrame:
         return df.withColumn("_bucket", F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
 
+    def _check_layout(self) -> None:
+        """Reject another bucket count or other keys than the table was made with."""
+        stored = dict(self.spark.sql(f"SHOW TBLPROPERTIES {self.qualified}").collect())
+        made = stored.get("hopgraph.buckets"), stored.get("hopgraph.keys")
+        if made != (str(self.buckets), ",".join(self.keys)):
+            raise ValueError(f"{self.qualified} has (buckets, keys) {made}, not {self.buckets}, {self.keys}")
+
     def _existing(self) -> set[int]:
         rows = self.spark.sql(f"SHOW PARTITIONS {self.qualified}").collect()   # at most `buckets` rows
         return {int(spec.split("=", 1)[1]) for (spec,) in rows}
@@ -215,6 +236,9 @@ class BucketedTable:
         b = self._with_bucket(batch)
         if not self.spark.catalog.tableExists(self.qualified):
             b.limit(0).write.format("parquet").partitionBy("_bucket").saveAsTable(self.qualified)
+            self.spark.sql(f"ALTER TABLE {self.qualified} SET TBLPROPERTIES "
+                           f"('hopgraph.buckets' = '{self.buckets}', 'hopgraph.keys' = '{','.join(self.keys)}')")
+        self._check_layout()
         touched = sorted(r[0] for r in b.select("_bucket").distinct().collect())   # at most `buckets`
         if not touched:
             return []
@@ -225,11 +249,11 @@ class BucketedTable:
             stale = (b.join(newer, self.keys).where(F.col("_stored_t") > F.col(order_col))
                       .select(*self.keys))
             b = b.join(stale, self.keys, "left_anti")
-        batch_keys, _ = checked_broadcast(b.select(*self.keys).distinct())
+        batch_keys = b.select(*self.keys).distinct()
         merged = (stored.join(batch_keys, self.keys, "left_anti")
                         .unionByName(b.select(*stored.columns)))
         path = f"{self.versions}/{uuid.uuid4().hex}"
-        merged.write.partitionBy("_bucket").parquet(path)
+        merged.repartition("_bucket", F.pmod(F.xxhash64(*self.keys, F.lit("file")), F.lit(4))).write.partitionBy("_bucket").parquet(path)
         added = [k for k in touched if k not in existing]
         if added:
             specs = " ".join(f"PARTITION (_bucket = {k}) LOCATION '{path}/_bucket={k}'" for k in added)

@@ -9,16 +9,13 @@ is kept, and ``popularity_ranked`` gives the count the views intend.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hopgraph.operators.aggregate import distinct_rows, group_count, popularity_order
-from hopgraph.operators.joins import edge_join, not_in, restrict_actor
+from hopgraph.operators.joins import edge_join, not_in
 from hopgraph.operators.projection import actor_filter, in_range
 from hopgraph.plans.edges import BASE_COLUMNS, incremental_edges, typed_edges
-from hopgraph.session import KeySet, measured_keys
 
 VARIANTS = {
     # name: (candidate edge table, base set, excluded set)
@@ -29,7 +26,7 @@ VARIANTS = {
 }
 
 
-def _hop(edges: DataFrame, base: DataFrame | KeySet | None) -> DataFrame:
+def _hop(edges: DataFrame, base: DataFrame | None) -> DataFrame:
     """Edges whose actor is a base handle (``base=None``: already restricted).
 
     Base handles are de-duplicated first, which turns the inner join into a
@@ -38,17 +35,15 @@ def _hop(edges: DataFrame, base: DataFrame | KeySet | None) -> DataFrame:
     """
     if base is None:
         return edges
-    if isinstance(base, KeySet):
-        return restrict_actor(edges, base)
     return edge_join(edges, base.select("handle").distinct())
 
 
-def two_hop(edges: DataFrame, base: DataFrame | KeySet | None, exclude: DataFrame | KeySet) -> DataFrame:
+def two_hop(edges: DataFrame, base: DataFrame | None, exclude: DataFrame) -> DataFrame:
     """M7-M10 core: edges whose actor is a base handle, minus excluded handles.
 
-    ``base`` and ``exclude`` are frames with a ``handle`` column or measured
-    ``KeySet``s; ``base=None`` when ``edges`` were already restricted to the
-    base handles (as ``incremental_edges(..., actors=...)`` does).
+    ``base`` and ``exclude`` are frames with a ``handle`` column; ``base=None``
+    when ``edges`` were already restricted to the base handles (as
+    ``incremental_edges(..., actors=...)`` does).
 
     NOT IN runs after the DISTINCT (it filters a grouping column, so the two
     commute): a hot handle is first collapsed by the map-side partial
@@ -60,7 +55,7 @@ def two_hop(edges: DataFrame, base: DataFrame | KeySet | None, exclude: DataFram
     return popularity_order(counted.select("handle", "did", "display_name", "follower_count"))
 
 
-def popularity(edges: DataFrame, base: DataFrame | KeySet | None, exclude: DataFrame | KeySet) -> DataFrame:
+def popularity(edges: DataFrame, base: DataFrame | None, exclude: DataFrame) -> DataFrame:
     """M12 core: per (handle, did), how many distinct base-side accounts link to it.
 
     ``edges`` hold one row per (handle, actor), as ``incremental_edges``
@@ -78,38 +73,27 @@ def popularity(edges: DataFrame, base: DataFrame | KeySet | None, exclude: DataF
         "handle", "did", F.col("newest.display_name").alias("display_name"), "follower_count"))
 
 
-def neighbour_handles(raw: DataFrame, base_actor: str, start, end, distinct: bool = True) -> DataFrame:
+def neighbour_handles(raw: DataFrame, base_actor: str, start, end) -> DataFrame:
     """Handles next to the base actor: the handle column of M4 / M5.
 
     Latest-per-(handle, actor) keeps exactly one row for every key present,
     so the set of handles is the same before and after it; no window needed.
     """
     typed = in_range(actor_filter(typed_edges(raw), base_actor), "_dlt_load_time", start, end)
-    handles = typed.select("handle")
-    return handles.distinct() if distinct else handles
-
-
-def _measured(raw: DataFrame, base_actor: str, start, end) -> KeySet:
-    return measured_keys(neighbour_handles(raw, base_actor, start, end), "handle",
-                         join_source=lambda: neighbour_handles(raw, base_actor, start, end, distinct=False))
+    return typed.select("handle")
 
 
 def _model(core, raw: dict[str, DataFrame], variant: str, base_actor: str, start, end) -> DataFrame:
+    """One lazy plan: nothing is measured or fetched while it is built.
+
+    The candidates are restricted to the base handles by a semi-join before
+    the latest-per-key window (``actor`` is one of its keys), so only the
+    neighbourhood is shuffled; Spark picks a broadcast by bytes.
+    """
     cand_tbl, base_tbl, excl_tbl = VARIANTS[variant]
-    if excl_tbl == base_tbl:
-        base = exclude = _measured(raw[base_tbl], base_actor, start, end)
-    else:
-        # two independent measuring jobs: submit them together
-        with ThreadPoolExecutor(max_workers=2) as pool:
-            fb = pool.submit(_measured, raw[base_tbl], base_actor, start, end)
-            fx = pool.submit(_measured, raw[excl_tbl], base_actor, start, end)
-            base, exclude = fb.result(), fx.result()
-    # A listed or broadcast base set restricts the candidates before the
-    # latest-per-key window (only the neighbourhood is shuffled); a large one
-    # is applied inside the core, once, after the window.
-    if base.small:
-        return core(incremental_edges(raw[cand_tbl], start, end, actors=base), None, exclude)
-    return core(incremental_edges(raw[cand_tbl], start, end), base, exclude)
+    base = neighbour_handles(raw[base_tbl], base_actor, start, end)
+    exclude = neighbour_handles(raw[excl_tbl], base_actor, start, end)
+    return core(incremental_edges(raw[cand_tbl], start, end, actors=base), None, exclude)
 
 
 def recommend(raw_followers: DataFrame, raw_follows: DataFrame, variant: str,

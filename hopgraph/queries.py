@@ -30,7 +30,7 @@ from hopgraph.plans import events as EV
 from hopgraph.plans import materialize as K
 from hopgraph.plans import recommend as R
 from hopgraph.schemas import EDGE, EDGE_KEY, JETSTREAM, JETSTREAM_PARTITIONS, RAW_EDGE_COLUMNS
-from hopgraph.session import fresh_path, measured_keys, pin_utc
+from hopgraph.session import fresh_path, pin_session, pin_utc
 from hopgraph.sources import external as X
 from hopgraph.sources import ingest as I
 from hopgraph.sources import loads as L
@@ -42,7 +42,7 @@ from hopgraph.streaming import jetstream as SJ
 
 # Run parameters of the registered queries.
 BASE_ACTOR = "u0"
-FULL = day_bounds("2024-01-01", "2024-01-30")     # the whole span of the testdata
+FULL = day_bounds("1900-01-01", "2999-12-31")     # all rows, whatever span the data has
 PART = day_bounds("2024-01-10", "2024-01-20")     # an inner interval, for range operators
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -68,7 +68,7 @@ class Inputs:
     """The reference-shaped tables for one (session, sf_dir)."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        pin_utc(spark)
+        pin_session(spark)
         self.spark, self.sf_dir = spark, sf_dir
 
     def raw(self, table: str) -> DataFrame:
@@ -298,10 +298,20 @@ def q_time_range_filter(spark, sf_dir):
                                                              "_dlt_load_time")
 
 
+_MARKED_SQL = ("CASE WHEN handle LIKE '%7%' THEN 'handle.invalid' WHEN handle LIKE '%3%' THEN NULL ELSE handle END")
+
+
+def _marked_handles(raw: DataFrame) -> DataFrame:
+    """Edges with placeholder and NULL handles in place of some (the crawl leaves such rows)."""
+    return raw.withColumn("handle", F.expr(_MARKED_SQL))
+
+
 @register("sentinel_filter", O.with_ctes(
-    "SELECT handle, actor, did FROM raw_followers WHERE handle <> 'handle.invalid'", ["raw_followers"]))
+    f"SELECT * FROM (SELECT {_MARKED_SQL} AS handle, actor, did FROM raw_followers) "
+    "WHERE handle IS DISTINCT FROM 'handle.invalid'", ["raw_followers"]))
 def q_sentinel_filter(spark, sf_dir):
-    return P.sentinel_filter(Inputs(spark, sf_dir).raw("followers")).select("handle", "actor", "did")
+    marked = _marked_handles(Inputs(spark, sf_dir).raw("followers"))
+    return P.sentinel_filter(marked).select("handle", "actor", "did")
 
 
 @register("lateral_alias", O.with_ctes(f"""
@@ -310,15 +320,15 @@ SELECT did, make_timestamp(time_us) AS ts,
   'https://bsky.app/profile/' || SPLIT_PART(SPLIT_PART(uri, '/app.bsky', 1), 'at://', 2) || '/'
     || SPLIT_PART(SPLIT_PART(uri, '/', 4), '.', -1) || '/' || SPLIT_PART(uri, '/', -1) AS bsky_subject_url
 FROM jetstream
-WHERE ts BETWEEN {O.ts_lit(PART[0])} AND {O.ts_lit(PART[1])}""", ["jetstream"]))
+WHERE ts BETWEEN {O.ts_lit(FULL[0])} AND {O.ts_lit(FULL[1])}""", ["jetstream"]))
 def q_lateral_alias(spark, sf_dir):
-    jet = EV.partition_prune(Inputs(spark, sf_dir).jetstream(), *PART)
+    jet = EV.partition_prune(Inputs(spark, sf_dir).jetstream(), *FULL)
     df = P.with_aliases(jet, [
         ("ts", S.micros_to_ts("time_us")),
         ("uri", S.json_field(S.map_get("commit.record", "subject"), "uri")),
         ("bsky_subject_url", lambda: EV.subject_url("uri")),
     ])
-    return P.in_range(df, "ts", *PART).select("did", "ts", "uri", "bsky_subject_url")
+    return P.in_range(df, "ts", *FULL).select("did", "ts", "uri", "bsky_subject_url")
 
 
 @register("struct_field", O.with_ctes("SELECT did, collection, operation FROM jetstream", ["jetstream"]))
@@ -347,7 +357,7 @@ WHERE NOT handle IN (SELECT handle FROM base_actor_follows)""",
     ["incremental_followers", "base_actor_follows"], _base_ctes("followers", "follows")))
 def q_not_in_exclude(spark, sf_dir):
     i = Inputs(spark, sf_dir)
-    excluded = measured_keys(i.base("follows").select("handle").distinct(), "handle")
+    excluded = i.base("follows").select("handle")
     return J.not_in(i.latest("followers"), "handle", excluded).select("handle", "actor", "did")
 
 
@@ -402,9 +412,9 @@ def q_union_all(spark, sf_dir):
 
 
 @register("crawl_frontier", O.with_ctes(f"""
-SELECT handle FROM raw_followers WHERE actor = '{BASE_ACTOR}' AND handle <> 'handle.invalid'
+SELECT handle FROM raw_followers WHERE actor = '{BASE_ACTOR}' AND handle IS DISTINCT FROM 'handle.invalid'
 UNION
-SELECT handle FROM raw_follows WHERE actor = '{BASE_ACTOR}' AND handle <> 'handle.invalid'
+SELECT handle FROM raw_follows WHERE actor = '{BASE_ACTOR}' AND handle IS DISTINCT FROM 'handle.invalid'
 UNION
 SELECT '{BASE_ACTOR}' AS handle""", ["raw_followers", "raw_follows"]))
 def q_crawl_frontier(spark, sf_dir):
@@ -594,7 +604,7 @@ def q_tag_actor(spark, sf_dir):
 
 @register("append_load", O.with_ctes("""
 SELECT did, handle, actor, b.load_id AS _dlt_load_id,
-       substr(sha256(b.load_id || '|' || actor || '|' || handle || '|' || did), 1, 14) AS _dlt_id
+       sha256(json_object('c0', b.load_id, 'c1', actor, 'c2', handle, 'c3', did)::VARCHAR) AS _dlt_id
 FROM raw_follows, batch AS b""", ["raw_follows", "batch"], [
     ("batch", f"SELECT {O.load_text('max(indexed_at)')} AS load_id FROM raw_follows", ["raw_follows"])]))
 def q_append_load(spark, sf_dir):
@@ -712,6 +722,12 @@ def q_partial_interval(spark, sf_dir):
     return _events_for_compare(table.read())
 
 
+def _time_bounds(jet: DataFrame):
+    """The first and last event time of the data (hourly tables list their days)."""
+    row = jet.agg(F.min(S.micros_to_ts("time_us")), F.max(S.micros_to_ts("time_us"))).first()
+    return tuple(row) if row[0] is not None else PART
+
+
 def _hourly(spark, name):
     return K.HourlyTable(spark, f"{name}_{uuid.uuid4().hex[:10]}", "ts")
 
@@ -720,7 +736,7 @@ def _hourly(spark, name):
 def q_overwrite_interval_hourly(spark, sf_dir):
     jet = Inputs(spark, sf_dir).jetstream()
     table = _hourly(spark, "events_interval")
-    table.reload(lambda lo, hi: EV.jetstream_events(jet, lo, hi), *FULL)
+    table.reload(lambda lo, hi: EV.jetstream_events(jet, lo, hi), *_time_bounds(jet))
     table.reload(lambda lo, hi: EV.jetstream_events(jet, lo, hi), *PART)
     return _events_for_compare(table.read())
 
@@ -729,9 +745,10 @@ def q_overwrite_interval_hourly(spark, sf_dir):
 def q_partial_interval_hourly(spark, sf_dir):
     jet = Inputs(spark, sf_dir).jetstream()
     table = _hourly(spark, "events_partial")
+    first, last = _time_bounds(jet)
     cut = dt.datetime(2024, 1, 15, 12, 30)           # "now": half-way through an hour
-    table.reload(lambda lo, hi: EV.jetstream_events(jet, lo, min(hi, cut)), FULL[0], cut)
-    table.reload(lambda lo, hi: EV.jetstream_events(jet, lo, hi), cut, FULL[1])
+    table.reload(lambda lo, hi: EV.jetstream_events(jet, lo, min(hi, cut)), first, cut)
+    table.reload(lambda lo, hi: EV.jetstream_events(jet, lo, hi), cut, last)
     return _events_for_compare(table.read())
 
 

@@ -1,21 +1,10 @@
-"""Session helpers: UTC pinning, the shared scratch folder, checked broadcasts."""
+"""Session helpers: settings the plans rely on and the shared scratch folder."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# A broadcast side must hold at most this many rows.  Handles are short
-# strings, so 2M rows stay well under 200 MB per executor.
-BROADCAST_MAX_ROWS = 2_000_000
-# Key sets up to this size become literal IN filters, which reach the
-# Parquet scan (row-group statistics) instead of a join.
-LITERAL_MAX_ROWS = 4096
-
+from pyspark.sql import SparkSession
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "hopgraph", extra: dict | None = None) -> SparkSession:
@@ -29,8 +18,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        # listed key sets (up to LITERAL_MAX_ROWS) stay exact IN filters in Parquet
-        .config("spark.sql.parquet.pushdown.inFilterThreshold", str(LITERAL_MAX_ROWS))
+        .config("spark.sql.requireAllClusterKeysForDistribution", "true")
     )
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
@@ -45,6 +33,12 @@ def pin_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def pin_session(spark: SparkSession) -> None:
+    """UTC, and windows that cluster by all their keys (a hot actor's rows stay spread)."""
+    pin_utc(spark)
+    spark.conf.set("spark.sql.requireAllClusterKeysForDistribution", "true")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -65,61 +59,3 @@ def scratch_root(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unused directory under the scratch root."""
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-class KeySet:
-    """A set of join keys with its measured size and NULL count.
-
-    Three tiers by size: ``values`` (the keys themselves, at most
-    ``LITERAL_MAX_ROWS``) for literal IN filters; ``small`` (at most
-    ``BROADCAST_MAX_ROWS``) with ``frame`` broadcast-marked; otherwise
-    ``frame`` is left for Spark to shuffle.
-    """
-
-    def __init__(self, frame: DataFrame, column: str, rows: int, nulls: int, small: bool,
-                 values: list | None = None):
-        self.frame, self.column, self.rows, self.nulls, self.small = frame, column, rows, nulls, small
-        self.values = values
-
-    @property
-    def non_null_values(self) -> list | None:
-        return None if self.values is None else [v for v in self.values if v is not None]
-
-
-def measured_keys(df: DataFrame, column: str, max_rows: int | None = None,
-                  literal_max: int | None = None,
-                  join_source: Callable[[], DataFrame] | None = None) -> KeySet:
-    """Measure a distinct key set and pick how joins against it will run.
-
-    First at most ``literal_max + 1`` keys are fetched; if that is all of
-    them, the keys themselves are kept for literal filters.  Otherwise one
-    aggregate counts the set and its NULLs (a single row to the driver), and
-    the frame is broadcast only under ``max_rows``; beyond that Spark
-    shuffles.  ``join_source`` (optional) builds the same keys before
-    de-duplication, used only in the shuffle tier: semi and anti joins do not
-    need distinct keys, and a plain shuffle of them lets AQE split a skewed
-    partition, which it cannot do through the final aggregate of a
-    ``distinct``.
-    """
-    max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
-    literal_max = LITERAL_MAX_ROWS if literal_max is None else literal_max
-    head = df.select(column).limit(literal_max + 1).collect() if literal_max > 0 else []
-    if literal_max > 0 and len(head) <= literal_max:
-        values = [r[0] for r in head]
-        return KeySet(F.broadcast(df), column, len(values), sum(v is None for v in values), True, values)
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(column).isNull()).alias("z")).first()
-    small = row["n"] <= max_rows
-    frame = F.broadcast(df) if small else (join_source() if join_source is not None else df)
-    return KeySet(frame, column, row["n"], row["z"], small)
-
-
-def checked_broadcast(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
-    """Mark ``df`` for broadcast only after counting it under the bound.
-
-    ``limit(max_rows + 1)`` keeps the check itself bounded.  Beyond the bound
-    the frame is returned unmarked and Spark shuffles (AQE may still choose a
-    broadcast from runtime statistics, or split skewed partitions).
-    """
-    max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
-    small = df.limit(max_rows + 1).count() <= max_rows
-    return (F.broadcast(df), True) if small else (df, False)

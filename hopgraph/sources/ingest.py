@@ -15,13 +15,14 @@ def ingest_pages(spark: SparkSession, path: str, kind: str, schema: StructType =
     """Landed API pages ``{followers|follows: [profile...], cursor}`` -> one row per profile.
 
     The request actor, when the landing kept it as a top-level ``actor``
-    field, is carried as ``request_actor``.
+    field, is carried as ``request_actor``.  A malformed page fails the read
+    rather than vanish.
     """
     if kind not in ("followers", "follows"):
         raise ValueError(kind)
     if "actor" not in schema.fieldNames():
         schema = StructType(schema.fields + [StructField("actor", StringType(), True)])
-    pages = spark.read.schema(schema).json(path)
+    pages = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
     return (pages.select(F.explode(kind).alias("p"), F.col("actor").alias("request_actor"))
                  .select("p.*", "request_actor"))
 

@@ -5,20 +5,22 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hopgraph.operators.projection import typed_projection
 from hopgraph.schemas import LOADS
 
 
-def row_id(columns: Sequence[str | Column], width: int = 14) -> Column:
-    """Deterministic row id: a sha-256 prefix of the load id and key columns.
+def row_id(columns: Sequence[str | Column]) -> Column:
+    """Deterministic row id: sha-256 over the load id and key columns.
 
-    Stable across task retries, unlike a random id.
+    Stable across task retries, unlike a random id.  The fields are hashed as
+    one JSON object, so NULLs keep their place and no separator can be forged.
     """
-    cols = [F.col(c) if isinstance(c, str) else c for c in columns]
-    return F.substring(F.sha2(F.concat_ws("|", *cols), 256), 1, width)
+    cols = [(F.col(c) if isinstance(c, str) else c).alias(f"c{i}") for i, c in enumerate(columns)]
+    return F.sha2(F.to_json(F.struct(*cols)), 256)
 
 
 def schema_hash(df: DataFrame) -> str:
@@ -32,14 +34,18 @@ def append_load(df: DataFrame, path: str, load_id: str | Column, id_columns: Seq
 
     ``load_id`` is epoch-seconds text, either a literal or a scalar Column
     (for example ``batch.select(...).scalar()``).  With ``ledger_path`` the
-    load is recorded there (I5).  Returns the appended rows as written.
+    load is recorded there (I5), and a load that the ledger already lists is
+    not appended again, so a retried call adds nothing.  Returns the load's
+    rows.
     """
     lid = F.lit(load_id) if isinstance(load_id, str) else load_id
     out = (df.withColumn("_dlt_load_id", lid)
              .withColumn("_dlt_id", row_id(["_dlt_load_id", *id_columns])))
+    spark = df.sparkSession
+    if ledger_path is not None and _listed(spark, ledger_path, lid):
+        return out
     out.write.mode("append").parquet(path)
     if ledger_path is not None:
-        spark = df.sparkSession
         entry = spark.range(1).select(
             lid.alias("load_id"), F.lit(schema_name).alias("schema_name"),
             F.lit(0).cast("bigint").alias("status"),
@@ -49,6 +55,17 @@ def append_load(df: DataFrame, path: str, load_id: str | Column, id_columns: Seq
     return out
 
 
+def _listed(spark: SparkSession, ledger_path: str, load_id: Column) -> bool:
+    """Whether the ledger already has an entry of this load."""
+    try:
+        ledger = spark.read.schema(LOADS).parquet(ledger_path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return not ledger.where(F.col("load_id") == load_id).isEmpty()
+
+
 def loads_ledger(entries: DataFrame, path: str) -> None:
     """Append ledger rows (load_id, schema_name, status, inserted_at, schema_version_hash)."""
     typed_projection(entries, LOADS).write.mode("append").parquet(path)

@@ -97,7 +97,6 @@ def main() -> None:
 
     literal = rows(recommend(fo, fl, "follows_of_follows", base, *interval))
     pop_literal = rows(popularity_ranked(fo, fl, "follows_of_follows", base, *interval))
-    session.LITERAL_MAX_ROWS, session.BROADCAST_MAX_ROWS = 0, 0
     spark.sparkContext.setJobGroup("measured", "shuffle tier")
     t = time.perf_counter()
     incremental_edges(fl, *interval).write.format("noop").mode("overwrite").save()

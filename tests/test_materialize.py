@@ -1,10 +1,12 @@
 """Materialisation properties: replayed upserts, split intervals, versioned writes."""
 
 import datetime as dt
+import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
-from hopgraph.plans.materialize import VersionedTable, overwrite_interval, upsert_by_key, upsert_newest
+from hopgraph.plans.materialize import BucketedTable, HourlyTable, VersionedTable, overwrite_interval, upsert_by_key, upsert_newest
 
 SCHEMA = "handle string, actor string, t timestamp_ntz, v string"
 
@@ -121,3 +123,37 @@ def test_bucketed_upsert_rewrites_only_touched_buckets(spark):
     once = rows(table.read())
     table.upsert(frame(spark, [("h3", "a", D[2], "new3")]))        # replaying changes nothing
     assert rows(table.read()) == once
+
+
+def test_bucket_count_is_stored(spark):
+    """Reopening a bucketed table with another bucket count is refused, so no key is written twice."""
+    name = f"layout_{uuid.uuid4().hex[:8]}"
+    batch = spark.range(20).selectExpr("id AS k", "id AS v")
+    BucketedTable(spark, name, ["k"], buckets=16).upsert(batch)
+    with pytest.raises(ValueError):
+        BucketedTable(spark, name, ["k"], buckets=64).upsert(batch)
+    BucketedTable(spark, name, ["k"], buckets=16).upsert(batch)
+    assert BucketedTable(spark, name, ["k"], buckets=16).read().count() == 20
+
+
+def test_hourly_reload_clips_and_empties(spark):
+    """Rows outside the interval are not reloaded; hours the batch leaves empty are cleared."""
+    rows = spark.createDataFrame([(dt.datetime(2024, 1, 1, h, 30), h) for h in range(4)],
+                                 "ts timestamp_ntz, v int")
+    table = HourlyTable(spark, f"clip_{uuid.uuid4().hex[:8]}", "ts")
+    table.reload(lambda lo, hi: rows, dt.datetime(2024, 1, 1, 0), dt.datetime(2024, 1, 1, 3))
+    assert table.read().count() == 4
+    table.reload(lambda lo, hi: rows, dt.datetime(2024, 1, 1, 1), dt.datetime(2024, 1, 1, 1, 59))
+    assert table.read().count() == 4
+    table.reload(lambda lo, hi: rows.limit(0), dt.datetime(2024, 1, 1, 1), dt.datetime(2024, 1, 1, 2))
+    assert sorted(r.v for r in table.read().collect()) == [0, 3]
+
+
+def test_hourly_reload_keeps_hours_when_the_batch_fails(spark):
+    rows = spark.createDataFrame([(dt.datetime(2024, 1, 1, 1, 30), 1)], "ts timestamp_ntz, v int")
+    table = HourlyTable(spark, f"fail_{uuid.uuid4().hex[:8]}", "ts")
+    bounds = dt.datetime(2024, 1, 1, 1), dt.datetime(2024, 1, 1, 1, 59)
+    table.reload(lambda lo, hi: rows, *bounds)
+    with pytest.raises(Exception, match="broken batch"):
+        table.reload(lambda lo, hi: rows.withColumn("v", F.raise_error(F.lit("broken batch")).cast("int")), *bounds)
+    assert table.read().count() == 1

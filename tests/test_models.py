@@ -5,6 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from hopgraph.plans.edges import base_actor_edges, dim_profiles, incremental_edges
+from hopgraph.plans.materialize import view_model
 from hopgraph.plans.recommend import popularity_ranked, recommend
 from hopgraph.schemas import EDGE, RAW_EDGE
 
@@ -112,9 +113,8 @@ def test_flagship_counts(spark):
     assert df.where(F.col("follower_count") != 1).count() == 0
 
 
-def test_key_set_tiers_agree(spark, monkeypatch):
-    """Literal, broadcast and shuffle plans of the rankings give the same rows."""
-    import hopgraph.session as session
+def test_join_strategies_agree(spark):
+    """Broadcast and shuffle plans of the rankings give the same rows."""
     from hopgraph.queries import REGISTRY
     from conftest import SF_SMALL
 
@@ -122,9 +122,27 @@ def test_key_set_tiers_agree(spark, monkeypatch):
         return sorted(tuple(r) for r in REGISTRY[name].spark(spark, SF_SMALL).collect())
 
     names = ["followers_of_followers", "follows_of_follows", "popularity_ranked_follows_of_followers"]
-    literal = {n: result(n) for n in names}
-    monkeypatch.setattr(session, "LITERAL_MAX_ROWS", 0)
-    broadcast = {n: result(n) for n in names}
-    monkeypatch.setattr(session, "BROADCAST_MAX_ROWS", 0)
-    shuffled = {n: result(n) for n in names}
-    assert literal == broadcast == shuffled
+    default = {n: result(n) for n in names}
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    before = spark.conf.get(keys[0])
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        assert default == {n: result(n) for n in names}
+    finally:
+        spark.conf.set(keys[0], before)
+        spark.conf.unset(keys[1])
+
+
+def test_building_a_ranking_runs_no_job(spark):
+    """The two-hop views are one lazy plan: base and excluded sets are read when the view is."""
+    edges = raw_edges(spark, [("me", "a"), ("a", "x"), ("b", "y")])
+    sc = spark.sparkContext
+    sc.setJobGroup("build-only", "building")
+    try:
+        df = view_model(recommend(edges, edges, "follows_of_follows", "me", *BOUNDS), "two_hop_view")
+        popularity_ranked(edges, edges, "follows_of_followers", "me", *BOUNDS)
+        assert list(sc.statusTracker().getJobIdsForGroup("build-only")) == []
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert [r["handle"] for r in df.collect()] == ["x"]

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from hopgraph.operators import (
     audit_unique, crawl_frontier, edge_join, in_range, latest_per_key, not_in, sentinel_filter,
 )
-from hopgraph.session import checked_broadcast
 from hopgraph.sources.ingest import flatten_nested, snake_case, tag_actor
 
 
@@ -85,12 +84,6 @@ def test_frontier_flags(spark):
     assert kept(sentinel_filter(fo)) == ["a", "q"]
 
 
-def test_checked_broadcast(spark):
-    df = spark.range(10).withColumnRenamed("id", "handle")
-    assert checked_broadcast(df, max_rows=100)[1] is True
-    assert checked_broadcast(df, max_rows=5)[1] is False
-
-
 def test_flatten_and_tag(spark):
     assert snake_case("displayName") == "display_name" and snake_case("allowIncoming") == "allow_incoming"
     df = spark.createDataFrame(

@@ -2,6 +2,7 @@
 
 import glob
 
+import pytest
 from pyspark.sql import functions as F
 
 from hopgraph.schemas import JETSTREAM
@@ -38,7 +39,7 @@ def test_append_load_ids_and_ledger(spark, scratch):
                 inserted_at=F.lit("2024-01-01 00:01:40").cast("timestamp"))
     rows = spark.read.parquet(f"{base}/t")
     assert rows.count() == 4 and rows.select("_dlt_id").distinct().count() == 4
-    assert {len(r[0]) for r in rows.select("_dlt_id").collect()} == {14}
+    assert {len(r[0]) for r in rows.select("_dlt_id").collect()} == {64}
     ledger = spark.read.parquet(f"{base}/ledger").orderBy("load_id").collect()
     assert [r["load_id"] for r in ledger] == ["1704067200.000001", "1704067300.000002"]
     assert {r["status"] for r in ledger} == {0} and len({r["schema_version_hash"] for r in ledger}) == 1
@@ -66,3 +67,24 @@ def test_external_copy_bootstrap_and_append(spark, scratch):
     # bootstrapping again is a no-op; appending again duplicates every row (no dedup)
     assert append_external(spark, src, dst, JETSTREAM, ["year", "month", "day"], bootstrap=True).count() == n
     assert append_external(spark, src, dst, JETSTREAM, ["year", "month", "day"]).count() == 2 * n
+
+
+def test_malformed_page_fails(spark, tmp_path):
+    """A page that is no JSON fails the read instead of vanishing."""
+    (tmp_path / "pages.json").write_text('{"followers":[{"did":"d1","handle":"a"}],"cursor":"c"}\n{"followers":[{"did"\n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        ingest_pages(spark, str(tmp_path), "followers").collect()
+
+
+def test_row_ids_keep_nulls_apart(spark):
+    df = spark.createDataFrame([("a", "b", None), ("a", None, "b")], "x string, y string, z string")
+    ids = [r[0] for r in df.select(row_id(["x", "y", "z"])).collect()]
+    assert len(set(ids)) == 2 and all(len(i) == 64 for i in ids)
+
+
+def test_listed_load_is_not_appended_again(spark, scratch):
+    df = spark.createDataFrame([("u0", "a"), ("u0", "b")], "actor string, handle string")
+    path, ledger = scratch("again"), scratch("again-ledger")
+    for _ in range(2):
+        append_load(df, path, "1704067200.000001", ["actor", "handle"], ledger_path=ledger)
+    assert spark.read.parquet(path).count() == 2 and spark.read.parquet(ledger).count() == 1
