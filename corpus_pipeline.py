@@ -42,7 +42,9 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def shard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their shard: contiguous in doc_id order, near-equal in bytes."""
-    return shard_documents(docs).selectExpr("_row.*", "size AS shard_size", "crc AS shard_crc32", "shard", "slot")
+    own = {"size": "shard_size", "crc": "shard_crc32", "shard": "shard", "slot": "slot"}
+    rows = [f"_row.`{c}`" for c in docs.columns if c.lower() not in own.values()]     # the new columns win
+    return shard_documents(docs).selectExpr(*rows, *[f"{a} AS {b}" for a, b in own.items()])
 
 
 STAGES = [

@@ -91,8 +91,7 @@ def mix(docs: DataFrame, targets: dict | None = None, budget: float = BUDGET, ro
     the token totals, then for the draw) and never shuffled: only cell totals
     are, and the table of cell probabilities is joined by its measured size.
     """
-    df = docs.withColumn("_t", topic_of(F.col("text")) if topic is None else topic).select(
-        F.struct(*[F.col(c) for c in docs.columns]).alias("_row"), F.col("_t").alias("topic"))
+    df = docs.select(F.struct("*").alias("_row"), (topic_of(F.col("text")) if topic is None else topic).alias("topic"))
     keyed = df.select("_row", "topic", F.col("_row.source").alias("source"), F.col("_row.lang").alias("lang"))
     keyed = keyed.select("_row", F.col("topic").alias("topic_name"), *[_value(c).alias(c) for c in DIMS],
                          F.size(words_of(F.col("_row.text"))).cast("long").alias("tokens"))
