@@ -59,6 +59,7 @@ def removals(docs: DataFrame) -> DataFrame:
 def line_dedup(docs: DataFrame) -> DataFrame:
     """``_row`` with ``n_lines``, ``n_removed`` and the cleaned ``text``, for every row of ``docs``."""
     gone = written(removals(docs.select("doc_id", "text")), "line-removals").select(F.col("k").alias("_k"), "js")
+    gone = gone.hint("merge")        # removals grow with the corpus: one plan at every size
     df = docs.select(F.struct("*").alias("_row"))
     key = F.struct(F.col("_row.doc_id").alias("doc_id"), F.xxhash64("_row.text").alias("t"))
     df = df.join(gone, key.eqNullSafe(F.col("_k")), "left")
