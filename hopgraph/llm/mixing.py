@@ -67,20 +67,22 @@ def rake(cells: DataFrame, targets: dict | None = None, rounds: int = ROUNDS,
     """Cells (``DIMS``, ``tokens``) with ``weight``: shares raked to every marginal.
 
     One step is a partial aggregate over a marginal and a join back to the
-    cells; each round is written to the shared folder.  Nothing is gathered:
-    sources may be as many as hosts.
+    cells.  Every step is written to the shared folder, so all steps run the
+    same small plan.  Nothing is gathered: sources may be as many as hosts.
     """
     targets = targets or {}
-    goal = {d: written(marginal_targets(cells, d, targets.get(d), temper), f"mix-target-{d}") for d in DIMS}
     whole = cells.agg(F.sum("tokens").cast("double").alias("s")).scalar()
     df = cells.where("tokens > 0").withColumn("weight", F.col("tokens") / whole)
+    for d in DIMS:
+        goal = marginal_targets(cells, d, targets.get(d), temper)
+        df = df.join(goal.withColumnRenamed("target", f"{d}_target"), d)
+    df = written(df, "mix-round")
     for _ in range(rounds):
         for d in DIMS:
-            factor = (df.groupBy(d).agg(F.sum("weight").alias("s")).join(goal[d], d)
-                      .select(d, (F.col("target") / F.col("s")).alias("k")))
-            df = df.join(factor, d).withColumn("weight", F.col("weight") * F.col("k")).drop("k")
-        df = written(df, "mix-round")
-    return df
+            sums = df.groupBy(d).agg(F.sum("weight").alias("s"))
+            df = written(df.join(sums, d).withColumn("weight", F.col("weight") * F.col(f"{d}_target") / F.col("s"))
+                         .drop("s"), "mix-round")
+    return df.drop(*[f"{d}_target" for d in DIMS])
 
 
 def mix(docs: DataFrame, targets: dict | None = None, budget: float = BUDGET, rounds: int = ROUNDS,
