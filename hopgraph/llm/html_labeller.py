@@ -321,8 +321,10 @@ def _extractor(shared) -> Callable:
 
 def extract_pages(pages: DataFrame) -> DataFrame:
     """(``page_id``, ``url``, ``text``, ``n_chars``) for every row of ``pages``; map-side only after the fit."""
-    sample = (pages.where(F.length("html") <= TRAIN_CHARS)
-              .select("html", F.xxhash64("html").alias("h")).orderBy("h").limit(TRAIN_PAGES))
+    # a hash draws about the sample's size first, so that no task sends a full sample of its own
+    share = int((1 << 30) * min(1.0, 1.5 * TRAIN_PAGES / max(1, pages.count())))
+    sample = (pages.where(F.length("html") <= TRAIN_CHARS).select("html", F.xxhash64("html").alias("h"))
+              .where(F.pmod("h", F.lit(1 << 30)) < share).orderBy("h").limit(TRAIN_PAGES))
     model = fit([r["html"] for r in sample.collect()])
     shared = pages.sparkSession.sparkContext.broadcast(model)
     return pages.select("page_id", "url", "html").mapInArrow(
