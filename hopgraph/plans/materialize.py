@@ -1,12 +1,9 @@
-"""Materialisation kinds (K1-K5) on plain Parquet.
-
-A ``VersionedTable`` keeps each state in its own folder ``v000001, ...`` and
-an append-only pointer log; the current version is the highest one logged.
-Every change reads the current version and writes the next, so no job reads
-and overwrites one path.  A failed write leaves the log on the last good
-version (a retry overwrites the unlogged folder), and readers never see the
-pointer disappear, because it is only ever appended to.  With a table
-format that supports MERGE, ``DataFrame.mergeInto`` would replace K1.
+"""Materialisation kinds (K1-K5).
+
+The row logic of upserts and interval reloads is plain DataFrame transforms
+over (stored rows, batch); the caller writes what they return.  Two catalog
+tables apply it to the partitions that a batch touches: ``BucketedTable``
+(keyed upserts) and ``HourlyTable`` (interval reloads).
 """
 
 from __future__ import annotations
@@ -17,94 +14,44 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from hopgraph.functions.scalar import as_datetime
+from hopgraph.operators.aggregate import audit_unique
 from hopgraph.operators.projection import ts_literal
 from hopgraph.session import scratch_root
 
 
-class VersionedTable:
-    def __init__(self, spark: SparkSession, root: str, partition_by: Sequence[str] = ()):
-        self.spark, self.root, self.partition_by = spark, root.rstrip("/"), list(partition_by)
-
-    @property
-    def _pointer(self) -> str:
-        return f"{self.root}/_pointer"
-
-    def version(self) -> int:
-        try:
-            row = self.spark.read.schema("version long").json(self._pointer).agg(F.max("version")).first()
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return 0
-        return int(row[0]) if row is not None and row[0] is not None else 0
-
-    def path(self, version: int | None = None) -> str:
-        return f"{self.root}/v{(self.version() if version is None else version):06d}"
-
-    def read(self) -> DataFrame | None:
-        v = self.version()
-        return self.spark.read.parquet(self.path(v)) if v else None
-
-    def commit(self, df: DataFrame) -> int:
-        v = self.version() + 1
-        # not yet logged, so nobody reads it: a retry after a failure overwrites it
-        writer = df.write.mode("overwrite")
-        if self.partition_by:
-            writer = writer.partitionBy(*self.partition_by)
-        writer.parquet(self.path(v))
-        (self.spark.range(1).select(F.lit(v).cast("long").alias("version"))
-         .write.mode("append").json(self._pointer))
-        return v
-
-
-def upsert_by_key(table: VersionedTable, batch: DataFrame, keys: Sequence[str]) -> int:
-    """K1: batch rows replace stored rows with the same key (last batch wins).
+def upsert_by_key(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """K1: ``target`` with the batch rows in place of rows of the same key (last batch wins).
 
     Nothing compares with stored rows beyond the key, so re-running an old
     interval puts old rows back, as the reference does.  NULL keys never
     match.
     """
-    target = table.read()
-    if target is None:
-        return table.commit(batch)
-    batch_keys = batch.select(*keys).distinct()
-    kept = target.join(batch_keys, list(keys), "left_anti")
-    return table.commit(kept.unionByName(batch))
+    kept = target.join(batch.select(*keys).distinct(), list(keys), "left_anti")
+    return kept.select(*target.columns).unionByName(batch.select(*target.columns))
 
 
-def upsert_newest(table: VersionedTable, batch: DataFrame, keys: Sequence[str], order_col: str) -> int:
+def upsert_newest(target: DataFrame, batch: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
     """Upsert where a stored row survives when it is newer than the batch row.
 
     For micro-batches whose files may arrive out of time order.
     """
-    target = table.read()
-    if target is None:
-        return table.commit(batch)
     stored = target.select(*keys, F.col(order_col).alias("_stored_t"))
     stale = (batch.join(stored, list(keys))
                   .where(F.col("_stored_t") > F.col(order_col)).select(*keys))
-    fresh = batch.join(stale, list(keys), "left_anti")
-    kept = target.join(fresh.select(*keys).distinct(), list(keys), "left_anti")
-    return table.commit(kept.unionByName(fresh))
+    return upsert_by_key(target, batch.join(stale, list(keys), "left_anti"), keys)
 
 
-def overwrite_interval(table: VersionedTable, batch: DataFrame, time_col: str, start, end) -> int:
-    """K2: replace the rows of one time interval [start, end] with ``batch``.
+def overwrite_interval(target: DataFrame, batch: DataFrame, time_col: str, start, end) -> DataFrame:
+    """K2: ``target`` with the rows of one time interval [start, end] replaced by ``batch``'s.
 
     Stored rows outside the interval (or with a NULL time) are kept; batch
     rows outside it are ignored.  An interval the batch leaves empty is
-    emptied, which dynamic partition overwrite would not do.
+    emptied.
     """
     inside = F.col(time_col).between(ts_literal(start), ts_literal(end))
-    fresh = batch.where(inside)
-    target = table.read()
-    if target is None:
-        return table.commit(fresh)
-    kept = target.where(~inside | F.col(time_col).isNull())
-    return table.commit(kept.unionByName(fresh))
+    return target.where(~inside | F.col(time_col).isNull()).unionByName(batch.where(inside))
 
 
 def view_model(df: DataFrame, name: str) -> DataFrame:
@@ -226,6 +173,12 @@ class BucketedTable:
         rows = self.spark.sql(f"SHOW PARTITIONS {self.qualified}").collect()   # at most `buckets` rows
         return {int(spec.split("=", 1)[1]) for (spec,) in rows}
 
+    def _audit(self, rows: DataFrame) -> None:
+        """A3 as a gate: repeated keys fail the upsert before the table points at its rows."""
+        repeated = audit_unique(rows.dropna(subset=self.keys), self.keys).take(1)
+        if repeated:
+            raise ValueError(f"{self.qualified}: key {repeated[0].asDict()} is not unique")
+
     def upsert(self, batch: DataFrame, order_col: str | None = None) -> list[int]:
         """Apply ``batch``; returns the buckets it rewrote.
 
@@ -233,7 +186,13 @@ class BucketedTable:
         the same key is kept (newest wins), for batches that may arrive out
         of time order.
         """
-        b = self._with_bucket(batch)
+        b = self._with_bucket(batch).persist()         # read for the bucket list, the keys and the write
+        try:
+            return self._apply(b, order_col)
+        finally:
+            b.unpersist()
+
+    def _apply(self, b: DataFrame, order_col: str | None) -> list[int]:
         if not self.spark.catalog.tableExists(self.qualified):
             b.limit(0).write.format("parquet").partitionBy("_bucket").saveAsTable(self.qualified)
             self.spark.sql(f"ALTER TABLE {self.qualified} SET TBLPROPERTIES "
@@ -244,16 +203,12 @@ class BucketedTable:
             return []
         existing = self._existing()
         stored = self.spark.table(self.qualified).where(F.col("_bucket").isin(touched))
-        if order_col is not None:
-            newer = stored.select(*self.keys, F.col(order_col).alias("_stored_t"))
-            stale = (b.join(newer, self.keys).where(F.col("_stored_t") > F.col(order_col))
-                      .select(*self.keys))
-            b = b.join(stale, self.keys, "left_anti")
-        batch_keys = b.select(*self.keys).distinct()
-        merged = (stored.join(batch_keys, self.keys, "left_anti")
-                        .unionByName(b.select(*stored.columns)))
+        merged = (upsert_by_key(stored, b, self.keys) if order_col is None
+                  else upsert_newest(stored, b, self.keys, order_col))
         path = f"{self.versions}/{uuid.uuid4().hex}"
-        merged.repartition("_bucket", F.pmod(F.xxhash64(*self.keys, F.lit("file")), F.lit(4))).write.partitionBy("_bucket").parquet(path)
+        part = F.pmod(F.xxhash64(*self.keys, F.lit("file")), F.lit(4))
+        merged.repartition("_bucket", part).write.partitionBy("_bucket").parquet(path)
+        self._audit(self.spark.read.schema(stored.schema).parquet(path))
         added = [k for k in touched if k not in existing]
         if added:
             specs = " ".join(f"PARTITION (_bucket = {k}) LOCATION '{path}/_bucket={k}'" for k in added)

@@ -670,6 +670,13 @@ SPLIT_DAY_1 = day_bounds("2024-01-01", "2024-01-15")
 SPLIT_DAY_2 = day_bounds("2024-01-16", "2024-01-30")
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a fresh folder of the scratch root and read back."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @register("upsert_by_key", O.with_ctes(f"""
 SELECT {EDGE_SELECT} FROM batch_1 AS t
 WHERE NOT EXISTS (SELECT 1 FROM batch_2 AS b WHERE b.handle = t.handle AND b.actor = t.actor)
@@ -679,10 +686,8 @@ SELECT {EDGE_SELECT} FROM batch_2""", ["batch_1", "batch_2"],
      O.incremental_cte("follows", *SPLIT_DAY_2, name="batch_2")]))
 def q_upsert_by_key(spark, sf_dir):
     raw = Inputs(spark, sf_dir).raw("follows")
-    table = K.VersionedTable(spark, fresh_path(spark, "upsert-follows"))
-    for interval in (SPLIT_DAY_1, SPLIT_DAY_2):
-        K.upsert_by_key(table, E.incremental_follows(raw, *interval), EDGE_KEY)
-    return table.read()
+    stored = _stored(E.incremental_follows(raw, *SPLIT_DAY_1), "upsert-follows")
+    return _stored(K.upsert_by_key(stored, E.incremental_follows(raw, *SPLIT_DAY_2), EDGE_KEY), "upsert-follows")
 
 
 @register("upsert_by_key_bucketed", O.with_ctes(f"""
@@ -700,26 +705,22 @@ def q_upsert_by_key_bucketed(spark, sf_dir):
     return table.read()
 
 
-def _event_table(spark, sf_dir, name):
-    return K.VersionedTable(spark, fresh_path(spark, name)), Inputs(spark, sf_dir).jetstream()
-
-
 @register("overwrite_interval", jetstream_sql(clean=False))
 def q_overwrite_interval(spark, sf_dir):
-    table, jet = _event_table(spark, sf_dir, "events-interval")
-    K.overwrite_interval(table, EV.jetstream_events(jet, *FULL), "ts", *FULL)
-    K.overwrite_interval(table, EV.jetstream_events(jet, *PART), "ts", *PART)
-    return _events_for_compare(table.read())
+    jet = Inputs(spark, sf_dir).jetstream()
+    stored = _stored(EV.jetstream_events(jet, *FULL), "events-interval")
+    reloaded = K.overwrite_interval(stored, EV.jetstream_events(jet, *PART), "ts", *PART)
+    return _events_for_compare(_stored(reloaded, "events-interval"))
 
 
 @register("partial_interval", jetstream_sql(clean=False))
 def q_partial_interval(spark, sf_dir):
-    table, jet = _event_table(spark, sf_dir, "events-partial")
+    jet = Inputs(spark, sf_dir).jetstream()
     cut = dt.datetime(2024, 1, 15, 12, 30)           # "now": half-way through an hour
     hour = cut.replace(minute=0)
-    K.overwrite_interval(table, EV.jetstream_events(jet, FULL[0], cut), "ts", FULL[0], cut)
-    K.overwrite_interval(table, EV.jetstream_events(jet, hour, FULL[1]), "ts", hour, FULL[1])
-    return _events_for_compare(table.read())
+    stored = _stored(EV.jetstream_events(jet, FULL[0], cut), "events-partial")
+    reloaded = K.overwrite_interval(stored, EV.jetstream_events(jet, hour, FULL[1]), "ts", hour, FULL[1])
+    return _events_for_compare(_stored(reloaded, "events-partial"))
 
 
 def _time_bounds(jet: DataFrame):
@@ -779,8 +780,8 @@ def q_jetstream_stream(spark, sf_dir):
     f"SELECT {EDGE_SELECT} FROM incremental_follows", ["incremental_follows"], _inc("follows")))
 def q_edges_stream_upsert(spark, sf_dir):
     raw = Inputs(spark, sf_dir).raw("follows")
-    table = K.VersionedTable(spark, fresh_path(spark, "stream-follows"))
-    K.upsert_by_key(table, E.incremental_follows(raw, *SPLIT_DAY_1), EDGE_KEY)
+    table = K.BucketedTable(spark, f"follows_live_{uuid.uuid4().hex[:10]}", EDGE_KEY, buckets=4)
+    table.upsert(E.incremental_follows(raw, *SPLIT_DAY_1))
     src = TD.landed_edges_path(spark, sf_dir)
     SE.edges_stream_upsert(spark, src, table, fresh_path(spark, "stream-follows-ckpt"),
                            *SPLIT_DAY_2, max_files_per_trigger=2,

@@ -7,12 +7,11 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from hopgraph.plans.edges import incremental_edges
-from hopgraph.plans.materialize import BucketedTable, VersionedTable, upsert_by_key, upsert_newest
-from hopgraph.schemas import EDGE_KEY, RAW_EDGE
+from hopgraph.plans.materialize import BucketedTable
+from hopgraph.schemas import RAW_EDGE
 
 
-def edges_stream_upsert(spark: SparkSession, source: str, table: VersionedTable | BucketedTable,
-                        checkpoint: str,
+def edges_stream_upsert(spark: SparkSession, source: str, table: BucketedTable, checkpoint: str,
                         start, end, newest_wins: bool = True, available_now: bool = True,
                         max_files_per_trigger: int | None = None, schema: StructType = RAW_EDGE,
                         condition: Column | None = None) -> StreamingQuery:
@@ -22,8 +21,7 @@ def edges_stream_upsert(spark: SparkSession, source: str, table: VersionedTable
     files arriving out of time order cannot roll an edge back;
     ``newest_wins=False`` is the plain last-batch-wins upsert (K1).
     ``condition`` filters the source rows (e.g. on a partition column).
-    A ``BucketedTable`` target rewrites only the key buckets each micro-batch
-    touches; a ``VersionedTable`` is rewritten whole.
+    Each micro-batch rewrites only the key buckets that it touches.
     """
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
@@ -33,16 +31,7 @@ def edges_stream_upsert(spark: SparkSession, source: str, table: VersionedTable
         raw = raw.where(condition)
 
     def sink(batch, _batch_id):
-        latest = incremental_edges(batch, start, end).persist()
-        try:
-            if isinstance(table, BucketedTable):
-                table.upsert(latest, "_dlt_load_time" if newest_wins else None)
-            elif newest_wins:
-                upsert_newest(table, latest, EDGE_KEY, "_dlt_load_time")
-            else:
-                upsert_by_key(table, latest, EDGE_KEY)
-        finally:
-            latest.unpersist()
+        table.upsert(incremental_edges(batch, start, end), "_dlt_load_time" if newest_wins else None)
 
     writer = raw.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

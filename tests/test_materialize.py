@@ -6,7 +6,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from hopgraph.plans.materialize import BucketedTable, HourlyTable, VersionedTable, overwrite_interval, upsert_by_key, upsert_newest
+from hopgraph.plans.materialize import BucketedTable, HourlyTable, overwrite_interval, upsert_by_key, upsert_newest
 
 SCHEMA = "handle string, actor string, t timestamp_ntz, v string"
 
@@ -22,61 +22,49 @@ def frame(spark, data):
 D = [dt.datetime(2024, 1, d) for d in range(1, 6)]
 
 
-def test_upsert_replay_and_last_batch_wins(spark, scratch):
-    table = VersionedTable(spark, scratch("upsert"))
+def test_upsert_replay_and_last_batch_wins(spark):
+    keys = ["handle", "actor"]
     b1 = frame(spark, [("h", "a", D[0], "old"), ("k", "a", D[0], "k1"), (None, "a", D[0], "n1")])
     b2 = frame(spark, [("h", "a", D[2], "new"), (None, "a", D[2], "n2")])
-    assert upsert_by_key(table, b1, ["handle", "actor"]) == 1
-    upsert_by_key(table, b2, ["handle", "actor"])
-    after = rows(table.read())
+    second = upsert_by_key(b1, b2, keys)
+    after = rows(second)
     assert ("h", "a", D[2], "new") in after and ("h", "a", D[0], "old") not in after
     assert len([r for r in after if r[0] is None]) == 2                # NULL keys never match
-    upsert_by_key(table, b2, ["handle", "actor"])      # replay: only the NULL-key row comes again
-    assert len(rows(table.read())) == len(after) + 1
-    table2 = VersionedTable(spark, scratch("upsert2"))
-    upsert_by_key(table2, b1.where(F.col("handle").isNotNull()), ["handle", "actor"])
-    upsert_by_key(table2, b2.where(F.col("handle").isNotNull()), ["handle", "actor"])
-    once = rows(table2.read())
-    upsert_by_key(table2, b2.where(F.col("handle").isNotNull()), ["handle", "actor"])
-    assert rows(table2.read()) == once
+    assert upsert_by_key(second, b2, keys).count() == len(after) + 1   # replay: only the NULL-key row comes again
+    b1, b2 = b1.dropna(subset=["handle"]), b2.dropna(subset=["handle"])
+    second = upsert_by_key(b1, b2, keys)
+    assert rows(upsert_by_key(second, b2, keys)) == rows(second)
     # Re-running the old batch puts the old row back.
-    upsert_by_key(table2, b1.where(F.col("handle").isNotNull()), ["handle", "actor"])
-    assert ("h", "a", D[0], "old") in rows(table2.read())
-    assert table2.version() == 4
+    assert ("h", "a", D[0], "old") in rows(upsert_by_key(second, b1, keys))
 
 
-def test_upsert_newest_ignores_stale_batch(spark, scratch):
-    table = VersionedTable(spark, scratch("newest"))
-    upsert_newest(table, frame(spark, [("h", "a", D[2], "new")]), ["handle", "actor"], "t")
-    upsert_newest(table, frame(spark, [("h", "a", D[0], "old"), ("k", "a", D[0], "k")]), ["handle", "actor"], "t")
-    assert rows(table.read()) == [("h", "a", D[2], "new"), ("k", "a", D[0], "k")]
+def test_upsert_newest_ignores_stale_batch(spark):
+    stored = frame(spark, [("h", "a", D[2], "new")])
+    batch = frame(spark, [("h", "a", D[0], "old"), ("k", "a", D[0], "k")])
+    assert rows(upsert_newest(stored, batch, ["handle", "actor"], "t")) == [("h", "a", D[2], "new"), ("k", "a", D[0], "k")]
 
 
-def test_interval_overwrite_split_equals_whole(spark, scratch):
-    data = [(f"h{i}", "a", dt.datetime(2024, 1, 1 + i % 5, i % 24), f"v{i}") for i in range(40)]
-    src = frame(spark, data)
-    whole = VersionedTable(spark, scratch("whole"))
-    overwrite_interval(whole, src, "t", D[0], D[4].replace(hour=23))
-    split = VersionedTable(spark, scratch("split"))
+def test_interval_overwrite_split_equals_whole(spark):
+    src = frame(spark, [(f"h{i}", "a", dt.datetime(2024, 1, 1 + i % 5, i % 24), f"v{i}") for i in range(40)])
+    empty = src.where("false")
+    last = D[4].replace(hour=23)
+    whole = overwrite_interval(empty, src, "t", D[0], last)
     cut = dt.datetime(2024, 1, 3, 12, 30)
-    overwrite_interval(split, src, "t", D[0], cut)
-    overwrite_interval(split, src, "t", cut.replace(minute=0), D[4].replace(hour=23))
-    assert rows(split.read()) == rows(whole.read())
+    split = overwrite_interval(empty, src, "t", D[0], cut)
+    split = overwrite_interval(split, src, "t", cut.replace(minute=0), last)
+    assert rows(split) == rows(whole)
     # An interval the batch leaves empty is emptied (no stale partition).
-    overwrite_interval(split, src.where("false"), "t", D[1], D[1].replace(hour=23))
-    assert split.read().where(F.to_date("t") == F.lit(D[1].date())).count() == 0
-    assert split.read().where(F.to_date("t") != F.lit(D[1].date())).count() == \
-        whole.read().where(F.to_date("t") != F.lit(D[1].date())).count()
-
-
-def test_versioned_table_recovers_from_unlogged_write(spark, scratch):
-    table = VersionedTable(spark, scratch("recover"))
-    table.commit(frame(spark, [("h", "a", D[0], "v1")]))
-    # a failed attempt left version 2 written but never logged
-    frame(spark, [("junk", "a", D[0], "x")]).write.parquet(table.path(2))
-    assert table.version() == 1 and rows(table.read()) == [("h", "a", D[0], "v1")]
-    assert table.commit(frame(spark, [("h", "a", D[1], "v2")])) == 2
-    assert rows(table.read()) == [("h", "a", D[1], "v2")]
+    cleared = overwrite_interval(split, empty, "t", D[1], D[1].replace(hour=23))
+    assert rows(cleared) == rows(whole.where(F.to_date("t") != F.lit(D[1].date())))
+
+
+def test_repeated_key_fails_the_upsert(spark):
+    """The uniqueness audit runs before the table points at the new rows."""
+    table = BucketedTable(spark, f"audit_{uuid.uuid4().hex[:8]}", ["handle", "actor"], buckets=4)
+    table.upsert(frame(spark, [("h", "a", D[0], "v1")]))
+    with pytest.raises(ValueError, match="not unique"):
+        table.upsert(frame(spark, [("h", "a", D[1], "x"), ("h", "a", D[2], "y")]))
+    assert rows(table.read()) == [("h", "a", D[0], "v1")]
 
 
 def test_hourly_reload_touches_only_its_hours(spark):

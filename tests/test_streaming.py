@@ -1,12 +1,13 @@
 """Streams equal their batch counterparts."""
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
 from hopgraph.plans.edges import incremental_follows
 from hopgraph.plans.events import jetstream_events
-from hopgraph.plans.materialize import VersionedTable, upsert_by_key
+from hopgraph.plans.materialize import BucketedTable, upsert_by_key
 from hopgraph.queries import FULL
 from hopgraph.schemas import EDGE_KEY, JETSTREAM, RAW_EDGE
 from hopgraph.sources import testdata as TD
@@ -42,11 +43,8 @@ def test_edge_stream_in_time_order_equals_batch(spark, scratch):
         lo, hi = day_bounds(d1, d2)
         raw.where(epoch_seconds_to_ts("_dlt_load_id").between(F.lit(lo), F.lit(hi))) \
            .write.parquet(f"{src}/{d1}")
-    import uuid
-    from hopgraph.plans.materialize import BucketedTable
-    for newest, bucketed in ((True, False), (False, False), (True, True)):
-        table = (BucketedTable(spark, f"t2_{uuid.uuid4().hex[:8]}", EDGE_KEY, buckets=8) if bucketed
-                 else VersionedTable(spark, scratch("t2-table")))
+    for newest in (True, False):
+        table = BucketedTable(spark, f"t2_{uuid.uuid4().hex[:8]}", EDGE_KEY, buckets=8)
         for d1, _ in days:
             q = edges_stream_upsert(spark, f"{src}/{d1}", table, scratch("t2-ckpt"), *FULL,
                                     newest_wins=newest, max_files_per_trigger=2)
@@ -62,17 +60,9 @@ def test_edge_stream_out_of_order_needs_newest_wins(spark, scratch):
     src = scratch("t2-ooo")
     raw("1704200000.000000", "new").write.parquet(f"{src}/first")
     raw("1704100000.000000", "old").write.parquet(f"{src}/second")
-    table = VersionedTable(spark, scratch("t2-ooo-table"))
-    for part in ("first", "second"):
-        edges_stream_upsert(spark, f"{src}/{part}", table, scratch("t2-ooo-ckpt"), *FULL).awaitTermination()
-    assert [r["display_name"] for r in table.read().collect()] == ["new"]
-    import uuid
-    from hopgraph.plans.materialize import BucketedTable
     bucketed = BucketedTable(spark, f"t2o_{uuid.uuid4().hex[:8]}", EDGE_KEY, buckets=4)
     for part in ("first", "second"):
         edges_stream_upsert(spark, f"{src}/{part}", bucketed, scratch("t2-ooo-bckpt"), *FULL).awaitTermination()
     assert [r["display_name"] for r in bucketed.read().collect()] == ["new"]
-    plain = VersionedTable(spark, scratch("t2-ooo-plain"))
-    for part in ("first", "second"):
-        upsert_by_key(plain, incremental_follows(spark.read.parquet(f"{src}/{part}"), *FULL), EDGE_KEY)
-    assert [r["display_name"] for r in plain.read().collect()] == ["old"]     # D7: last batch wins
+    new, old = (incremental_follows(spark.read.parquet(f"{src}/{part}"), *FULL) for part in ("first", "second"))
+    assert [r["display_name"] for r in upsert_by_key(new, old, EDGE_KEY).collect()] == ["old"]     # D7: last batch wins
