@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -9,6 +10,15 @@ from hopgraph.plans.events import jetstream_events
 from hopgraph.schemas import JETSTREAM
 
 
+def _has_files(spark: SparkSession, path: str) -> bool:
+    try:
+        return bool(spark.read.text(path).inputFiles())
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+
+
 def jetstream_stream(spark: SparkSession, source: str, target: str, checkpoint: str, start, end,
                      strip_json_quotes: bool = False, available_now: bool = True,
                      max_files_per_trigger: int | None = None) -> StreamingQuery:
@@ -19,8 +29,11 @@ def jetstream_stream(spark: SparkSession, source: str, target: str, checkpoint:
     overwrite, so a batch replayed after a failure replaces its earlier
     attempt instead of duplicating it; the checkpoint in the shared folder
     makes restarts resume where they stopped.  Read ``target`` back as one
-    table (``batch_id`` appears as a partition column).
+    table (``batch_id`` appears as a partition column).  Batch numbers belong
+    to their checkpoint, so a new checkpoint with a filled target is refused.
     """
+    if _has_files(spark, target) and not _has_files(spark, f"{checkpoint}/metadata"):
+        raise ValueError(f"{target} holds batches of another checkpoint than {checkpoint}")
     reader = spark.readStream.schema(JETSTREAM)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

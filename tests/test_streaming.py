@@ -3,6 +3,7 @@
 import datetime as dt
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
 from hopgraph.plans.edges import incremental_follows
@@ -32,6 +33,9 @@ def test_jetstream_stream_equals_batch(spark, scratch):
     # A restart with the same checkpoint finds nothing new.
     jetstream_stream(spark, src, out, ckpt, *FULL).awaitTermination()
     assert spark.read.parquet(out).count() == batch.count()
+    # Another checkpoint would number its batches anew over the stored ones.
+    with pytest.raises(ValueError, match="another checkpoint"):
+        jetstream_stream(spark, src, out, scratch("t1-ckpt-new"), *FULL)
 
 
 def test_edge_stream_in_time_order_equals_batch(spark, scratch):
