@@ -12,11 +12,13 @@ def write_pond(df: DataFrame, path: str, target_bytes: int = TARGET_FILE_BYTES)
     """Write ``df`` as Parquet files of about ``target_bytes`` of row text each.
 
     Row size is estimated as the length of each row's JSON text, like the
-    crawler's string-length estimate.  The average becomes a
-    ``maxRecordsPerFile`` cap, so files are cut inside each write task with no
-    shuffle.  Returns the records-per-file cap used.
+    crawler's string-length estimate.  The total gives the number of write
+    tasks, so small inputs are packed together; the average becomes a
+    ``maxRecordsPerFile`` cap.  Returns the records-per-file cap used.
     """
-    avg = df.select(F.avg(F.length(F.to_json(F.struct(*df.columns))))).first()[0] or 1.0
-    per_file = max(1, int(target_bytes // max(1.0, avg)))
-    df.write.option("maxRecordsPerFile", per_file).parquet(path)
+    text = F.length(F.to_json(F.struct(*df.columns)))
+    total, avg = df.select(F.sum(text), F.avg(text)).first()
+    per_file = max(1, int(target_bytes // max(1.0, avg or 1.0)))
+    files = max(1, -(-(total or 0) // target_bytes))
+    df.repartition(files).write.option("maxRecordsPerFile", per_file).parquet(path)
     return per_file

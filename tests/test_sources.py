@@ -57,6 +57,9 @@ def test_pond_cuts_files_by_size(spark, scratch):
     assert per_file < raw.count() and len(files) >= raw.count() // per_file
     back = spark.read.parquet(path)
     assert sorted(back.collect()) == sorted(raw.collect())
+    packed = scratch("pond-packed")
+    write_pond(raw.repartition(8), packed)              # far below one file's size
+    assert len(glob.glob(local(packed) + "/*.parquet")) == 1
 
 
 def test_external_copy_bootstrap_and_append(spark, scratch):
