@@ -71,11 +71,11 @@ class Inputs:
         pin_session(spark)
         self.spark, self.sf_dir = spark, sf_dir
 
-    def raw(self, table: str) -> DataFrame:
-        return TD.raw_edges(self.spark, self.sf_dir, table)
+    def raw(self, table: str, interval: tuple | None = None) -> DataFrame:
+        return TD.raw_edges(self.spark, self.sf_dir, table, interval)
 
     def latest(self, table: str, interval=FULL) -> DataFrame:
-        return E.incremental_edges(self.raw(table), *interval)
+        return E.incremental_edges(self.raw(table, interval), *interval)
 
     def base(self, table: str) -> DataFrame:
         return E.base_actor_edges(self.latest(table), BASE_ACTOR)
@@ -100,14 +100,14 @@ EDGE_SELECT = ("did, handle, display_name, avatar, created_at, description, inde
     _inc("followers")))
 def q_incremental_followers(spark, sf_dir):
     i = Inputs(spark, sf_dir)
-    return E.incremental_followers(i.raw("followers"), *FULL)
+    return E.incremental_followers(i.raw("followers", FULL), *FULL)
 
 
 @register("incremental_follows", O.with_ctes(
     f"SELECT {EDGE_SELECT} FROM incremental_follows", ["incremental_follows"], _inc("follows")))
 def q_incremental_follows(spark, sf_dir):
     i = Inputs(spark, sf_dir)
-    return E.incremental_follows(i.raw("follows"), *FULL)
+    return E.incremental_follows(i.raw("follows", FULL), *FULL)
 
 
 @register("incremental_loads", O.with_ctes(f"""
@@ -151,7 +151,7 @@ FROM (
                                       _inc("followers", "follows")))
 def q_dim_profiles(spark, sf_dir):
     pin_utc(spark)
-    return E.dim_profiles_tagged(TD.raw_edges_tagged(spark, sf_dir), *FULL)
+    return E.dim_profiles_tagged(TD.raw_edges_tagged(spark, sf_dir, FULL), *FULL)
 
 
 # --------------------------------------------------------------------------- M7-M10, M12
@@ -200,7 +200,7 @@ ORDER BY follower_count DESC, handle"""
 def _make_two_hop(variant: str):
     def build(spark, sf_dir):
         i = Inputs(spark, sf_dir)
-        return R.recommend(i.raw("followers"), i.raw("follows"), variant, BASE_ACTOR, *FULL)
+        return R.recommend(i.raw("followers", FULL), i.raw("follows", FULL), variant, BASE_ACTOR, *FULL)
     build.__name__ = f"q_{variant}"
     return build
 
@@ -208,7 +208,7 @@ def _make_two_hop(variant: str):
 def _make_popularity(variant: str):
     def build(spark, sf_dir):
         i = Inputs(spark, sf_dir)
-        return R.popularity_ranked(i.raw("followers"), i.raw("follows"), variant, BASE_ACTOR, *FULL)
+        return R.popularity_ranked(i.raw("followers", FULL), i.raw("follows", FULL), variant, BASE_ACTOR, *FULL)
     build.__name__ = f"q_popularity_ranked_{variant}"
     return build
 
@@ -293,7 +293,7 @@ SELECT handle, actor, _dlt_load_id, _dlt_load_time FROM (
   FROM raw_follows)
 WHERE _dlt_load_time BETWEEN {O.ts_lit(PART[0])} AND {O.ts_lit(PART[1])}""", ["raw_follows"]))
 def q_time_range_filter(spark, sf_dir):
-    typed = E.typed_edges(Inputs(spark, sf_dir).raw("follows"))
+    typed = E.typed_edges(Inputs(spark, sf_dir).raw("follows", PART))
     return P.in_range(typed, "_dlt_load_time", *PART).select("handle", "actor", "_dlt_load_id",
                                                              "_dlt_load_time")
 
@@ -784,7 +784,7 @@ def q_edges_stream_upsert(spark, sf_dir):
     table.upsert(E.incremental_follows(raw, *SPLIT_DAY_1))
     src = TD.landed_edges_path(spark, sf_dir)
     SE.edges_stream_upsert(spark, src, table, fresh_path(spark, "stream-follows-ckpt"),
-                           *SPLIT_DAY_2, max_files_per_trigger=2,
+                           *SPLIT_DAY_2, max_files_per_trigger=16,
                            schema=TD.LANDED_EDGE, condition=F.col("tbl") == "follows").awaitTermination()
     return table.read()
 
@@ -797,6 +797,6 @@ def q_edges_stream_upsert_bucketed(spark, sf_dir):
     table.upsert(E.incremental_follows(raw, *SPLIT_DAY_1))
     src = TD.landed_edges_path(spark, sf_dir)
     SE.edges_stream_upsert(spark, src, table, fresh_path(spark, "stream-follows-bucketed-ckpt"),
-                           *SPLIT_DAY_2, max_files_per_trigger=2,
+                           *SPLIT_DAY_2, max_files_per_trigger=16,
                            schema=TD.LANDED_EDGE, condition=F.col("tbl") == "follows").awaitTermination()
     return table.read()

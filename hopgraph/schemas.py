@@ -33,6 +33,9 @@ RAW_EDGE_COLUMNS = [f.name for f in RAW_EDGE.fields]
 PROFILE_COLUMNS = ["did", "handle", "display_name", "avatar", "description"]
 EDGE_KEY = ["handle", "actor"]
 
+# Partition column of tables landed by load: the day of the load time.
+LOAD_DATE = "_dlt_load_date"
+
 # Load ledger.
 LOADS = _s(
     ("load_id", StringType()), ("schema_name", StringType()), ("status", LongType()),

@@ -9,8 +9,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hopgraph.operators.projection import typed_projection
-from hopgraph.schemas import LOADS
+from hopgraph.functions.scalar import epoch_seconds_to_ts
+from hopgraph.operators.projection import ts_literal, typed_projection
+from hopgraph.schemas import LOAD_DATE, LOADS
 
 
 def row_id(columns: Sequence[str | Column]) -> Column:
@@ -23,6 +24,22 @@ def row_id(columns: Sequence[str | Column]) -> Column:
     return F.sha2(F.to_json(F.struct(*cols)), 256)
 
 
+def load_date(load_id: str | Column = "_dlt_load_id") -> Column:
+    """The day of a load, from the same expression as its load time (F1)."""
+    return F.to_date(epoch_seconds_to_ts(load_id)).alias(LOAD_DATE)
+
+
+def loads_between(landed: DataFrame, start, end) -> DataFrame:
+    """Rows of the loads whose day touches [start, end], without the day column.
+
+    For tables that ``append_load`` (or another writer using ``load_date``)
+    partitioned by ``LOAD_DATE``: the days become a partition filter.  The
+    exact load-time range still has to follow.
+    """
+    day = lambda x: ts_literal(x).cast("date")
+    return landed.where(F.col(LOAD_DATE).between(day(start), day(end))).drop(LOAD_DATE)
+
+
 def schema_hash(df: DataFrame) -> str:
     return hashlib.sha256(df.schema.json().encode()).hexdigest()
 
@@ -35,8 +52,10 @@ def append_load(df: DataFrame, path: str, load_id: str | Column, id_columns: Seq
     ``load_id`` is epoch-seconds text, either a literal or a scalar Column
     (for example ``batch.select(...).scalar()``).  With ``ledger_path`` the
     load is recorded there (I5), and a load that the ledger already lists is
-    not appended again, so a retried call adds nothing.  Returns the load's
-    rows.
+    not appended again, so a retried call adds nothing.  The files are
+    partitioned by the load's day (``LOAD_DATE``), for ``loads_between``; a
+    load id that is no number fails before anything is written.
+    Returns the load's rows.
     """
     lid = F.lit(load_id) if isinstance(load_id, str) else load_id
     out = (df.withColumn("_dlt_load_id", lid)
@@ -44,7 +63,7 @@ def append_load(df: DataFrame, path: str, load_id: str | Column, id_columns: Seq
     spark = df.sparkSession
     if ledger_path is not None and _listed(spark, ledger_path, lid):
         return out
-    out.write.mode("append").parquet(path)
+    out.withColumn(LOAD_DATE, load_date()).write.mode("append").partitionBy(LOAD_DATE).parquet(path)
     if ledger_path is not None:
         entry = spark.range(1).select(
             lid.alias("load_id"), F.lit(schema_name).alias("schema_name"),

@@ -18,11 +18,12 @@ import threading
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from hopgraph.functions.scalar import epoch_seconds_text
-from hopgraph.schemas import API_PAGE, JETSTREAM, RAW_EDGE, RAW_EDGE_COLUMNS
+from hopgraph.schemas import API_PAGE, JETSTREAM, LOAD_DATE, RAW_EDGE, RAW_EDGE_COLUMNS
 from hopgraph.session import fresh_path, pin_utc
+from hopgraph.sources.loads import load_date, loads_between
 
 # Fixed values of the derived data (chosen here, mirrored by the SQL oracle).
 AVATAR_PREFIX = "https://cdn.example.org/avatar/"
@@ -38,8 +39,9 @@ LOAD_SCHEMA_NAME = "graph_crawl"
 LOAD_SCHEMA_HASH = hashlib.sha256(RAW_EDGE.json().encode()).hexdigest()
 PAGE_SIZE = 100
 
-# The landed edge files: the raw columns plus the ``tbl`` partition column.
-LANDED_EDGE = StructType(RAW_EDGE.fields + [StructField("tbl", StringType(), True)])
+# The landed edge files: the raw columns plus the ``tbl`` and load-day partition columns.
+LANDED_EDGE = StructType(RAW_EDGE.fields + [StructField("tbl", StringType(), True),
+                                            StructField(LOAD_DATE, DateType(), True)])
 
 _landed: dict[tuple, str] = {}
 _scans: dict[tuple, DataFrame] = {}
@@ -208,17 +210,19 @@ def _land_once(spark: SparkSession, sf_dir: str, what: str, write) -> str:
 
 
 def landed_edges_path(spark: SparkSession, sf_dir: str) -> str:
-    """Raw followers/follows landed as Parquet, partitioned by ``tbl``.
+    """Raw followers/follows landed as Parquet, partitioned by ``tbl`` and load day.
 
-    Rows are clustered by actor inside each file so Parquet min/max statistics
-    let an ``actor = ...`` scan skip row groups.
+    A rebalance brings a day's rows together (and splits a large day), so the
+    days hold few files.  Rows are clustered by actor inside each file so
+    Parquet min/max statistics let an ``actor = ...`` scan skip row groups.
     """
     pin_utc(spark)
 
     def write(path: str) -> None:
-        (raw_edges_from_events(events(spark, sf_dir))
-         .sortWithinPartitions("tbl", "actor", "handle")
-         .write.partitionBy("tbl").parquet(path))
+        (raw_edges_from_events(events(spark, sf_dir)).withColumn(LOAD_DATE, load_date())
+         .hint("rebalance", "tbl", LOAD_DATE)
+         .sortWithinPartitions("tbl", LOAD_DATE, "actor", "handle")
+         .write.partitionBy("tbl", LOAD_DATE).parquet(path))
     return _land_once(spark, sf_dir, "edges", write)
 
 
@@ -232,17 +236,21 @@ def _scan(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
         return _scans[key]
 
 
-def raw_edges(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """``raw_http.followers`` / ``raw_http.follows`` (12 declared columns)."""
+def raw_edges(spark: SparkSession, sf_dir: str, table: str, interval: tuple | None = None) -> DataFrame:
+    """``raw_http.followers`` / ``raw_http.follows`` (12 declared columns).
+
+    ``interval`` (start, end) reads only the load days that it touches.
+    """
     if table not in ("followers", "follows"):
         raise ValueError(table)
     scan = _scan(spark, landed_edges_path(spark, sf_dir), LANDED_EDGE)
-    return scan.where(F.col("tbl") == table).select(*RAW_EDGE_COLUMNS)
+    rows = scan.where(F.col("tbl") == table)
+    return (rows if interval is None else loads_between(rows, *interval)).select(*RAW_EDGE_COLUMNS)
 
 
-def raw_edges_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both raw edge tables in one scan, with their ``tbl`` tag."""
-    return _scan(spark, landed_edges_path(spark, sf_dir), LANDED_EDGE)
+def raw_edges_tagged(spark: SparkSession, sf_dir: str, interval: tuple) -> DataFrame:
+    """Both raw edge tables in one scan, with their ``tbl`` tag: the load days that ``interval`` touches."""
+    return loads_between(_scan(spark, landed_edges_path(spark, sf_dir), LANDED_EDGE), *interval)
 
 
 def jetstream(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,13 +3,16 @@
 import glob
 
 import pytest
+from pyspark.errors import NumberFormatException
 from pyspark.sql import functions as F
 
-from hopgraph.schemas import JETSTREAM
+from hopgraph.functions.scalar import day_bounds
+from hopgraph.plans import edges as E
+from hopgraph.schemas import JETSTREAM, LOAD_DATE
 from hopgraph.sources import testdata as TD
 from hopgraph.sources.external import append_external
 from hopgraph.sources.ingest import flatten_nested, ingest_pages
-from hopgraph.sources.loads import append_load, row_id
+from hopgraph.sources.loads import append_load, loads_between, row_id
 from hopgraph.sources.pond import write_pond
 
 from conftest import SF_SMALL
@@ -49,6 +52,32 @@ def test_append_load_ids_and_ledger(spark, scratch):
     assert sorted(r[0] for r in again) == sorted(r[0] for r in first)
 
 
+def test_load_days_prune_the_scan_and_keep_the_exact_range(spark, scratch):
+    start, end = day_bounds("2024-01-10", "2024-01-10")
+    plan = E.incremental_follows(TD.raw_edges(spark, SF_SMALL, "follows", (start, end)), start, end)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in text.splitlines() if "FileScan" in line or "PartitionFilters" in line)
+    assert f"{LOAD_DATE}" in scan.split("PartitionFilters")[1].split("PushedFilters")[0]
+    whole = E.incremental_follows(TD.raw_edges(spark, SF_SMALL, "follows"), start, end)
+    rows = sorted(plan.collect(), key=str)
+    assert rows and rows == sorted(whole.collect(), key=str)
+
+
+def test_append_load_days(spark, scratch):
+    path = scratch("load-days") + "/t"
+    df = spark.createDataFrame([("a", "x")], "actor string, handle string")
+    # the last microsecond of a day and the first of the next
+    for load in ("1704153599.999999", "1704153600.0"):
+        append_load(df, path, load, ["actor", "handle"])
+    # an id that is no time, which M1 could not read, is refused before it is written
+    with pytest.raises(NumberFormatException):
+        append_load(df, path, "manual", ["actor", "handle"])
+    landed = spark.read.parquet(path)
+    day = lambda d: [r[0] for r in loads_between(landed, *day_bounds(d, d)).select("_dlt_load_id").collect()]
+    assert day("2024-01-01") == ["1704153599.999999"] and day("2024-01-02") == ["1704153600.0"]
+    assert landed.count() == 2 and LOAD_DATE not in loads_between(landed, *day_bounds("2024-01-01", "2024-01-02")).columns
+
+
 def test_pond_cuts_files_by_size(spark, scratch):
     raw = TD.raw_edges(spark, SF_SMALL, "follows").coalesce(1)
     path = scratch("pond")
