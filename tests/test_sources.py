@@ -1,5 +1,6 @@
 """Sources and sinks: landed pages, load bookkeeping, size-cut files, external copies."""
 
+import datetime as dt
 import glob
 
 import pytest
@@ -53,14 +54,20 @@ def test_append_load_ids_and_ledger(spark, scratch):
 
 
 def test_load_days_prune_the_scan_and_keep_the_exact_range(spark, scratch):
-    start, end = day_bounds("2024-01-10", "2024-01-10")
-    plan = E.incremental_follows(TD.raw_edges(spark, SF_SMALL, "follows", (start, end)), start, end)
-    text = plan._jdf.queryExecution().executedPlan().toString()
-    scan = next(line for line in text.splitlines() if "FileScan" in line or "PartitionFilters" in line)
-    assert f"{LOAD_DATE}" in scan.split("PartitionFilters")[1].split("PushedFilters")[0]
-    whole = E.incremental_follows(TD.raw_edges(spark, SF_SMALL, "follows"), start, end)
-    rows = sorted(plan.collect(), key=str)
-    assert rows and rows == sorted(whole.collect(), key=str)
+    path = scratch("loads-pruned") + "/t"
+    raw = TD.raw_edges(spark, SF_SMALL, "follows").drop("_dlt_load_id", "_dlt_id")
+    for load in ("1704800000.5", "1704844800.25", "1704884400.0", "1704931200.0"):     # Jan 9, 10 (twice), 11
+        append_load(raw, path, load, ["actor", "handle", "did"])
+    landed = spark.read.parquet(path)
+    start, end = dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 10, 6)                # the first load of the day
+    pruned = E.incremental_follows(loads_between(landed, start, end), start, end)
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    filters = [line.split("PartitionFilters")[1].split("PushedFilters")[0]
+               for line in plan.splitlines() if "PartitionFilters" in line]
+    assert filters and all(LOAD_DATE in f for f in filters)
+    rows = sorted(pruned.collect(), key=str)
+    assert {r["_dlt_load_id"] for r in rows} == {"1704844800.25"}
+    assert rows == sorted(E.incremental_follows(landed.drop(LOAD_DATE), start, end).collect(), key=str)
 
 
 def test_append_load_days(spark, scratch):
