@@ -5,7 +5,7 @@
    smallest id stands for it), so copies are never paired.
 2. Inverted lists of the retained values: a pair at the threshold shares at
    least ``overlap_bound`` of its retained values (4 standard deviations below
-   the mean; exact for sets smaller than the sketch).  So it shares one of the
+   the mean; for sets smaller than the sketch the least over all partners).  So it shares one of the
    rarest ``n - bound + 1`` values of either side, and only those are listed:
    values of passages that many documents hold never form a list unless a
    document holds little else.  Lists connect their members through the
@@ -48,10 +48,16 @@ DENSE = 1 << 22               # cells of one incidence matrix
 
 
 def overlap_bound(n: int, percent: int, k: int = K) -> int:
-    """Retained values that a pair at the threshold shares at least, for a sketch of ``n`` values."""
+    """Retained values that a pair at the threshold shares at least, for a sketch of ``n`` values.
+
+    A whole set (``n < k``) shares at least ``s`` values with a partner of
+    ``m``, of which the partner's sketch drops ``m - k`` at most: the bound is
+    the least over all sizes that a partner can have.
+    """
     j = percent / 100
     if n < k:
-        return max(1, math.ceil(n * percent / 100 - 1e-9))
+        sizes = range(-(-n * percent // 100), n * 100 // percent + 1)
+        return max(1, min((-(-percent * (n + m) // (100 + percent)) - max(0, m - k) for m in sizes), default=1))
     return max(1, math.floor(k * j - SIGMAS * math.sqrt(k * j * (1 - j))))
 
 

@@ -216,6 +216,28 @@ def test_large_families_are_cut_into_blocks(spark, monkeypatch):
     assert got == brute_groups(rows, 3, 85)
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_overlap_bound_holds_for_all_sizes_around_the_sketch(percent):
+    for n in range(1, ND.K):
+        for m in range(1, 2 * ND.K):
+            for both in range(1, min(n, m) + 1):
+                if 100 * both >= percent * (n + m - both):
+                    dropped = max(0, m - ND.K)                       # the partner's sketch may drop shared values only
+                    assert both - dropped >= ND.overlap_bound(n, percent)
+                    assert m < ND.K or both - dropped >= ND.overlap_bound(ND.K, percent)
+
+
+@pytest.mark.parametrize("n, percent, shared, more", [(3, 85, 63, 11), (5, 80, 63, 15)])
+def test_isolated_pairs_around_the_sketch(spark, n, percent, shared, more):
+    """A set just under the sketch against one just over it, at the threshold, with words of their own."""
+    rows = []
+    for g in range(60):
+        words = [f"p{g}x{i}" for i in range(shared + n - 1 + more)]
+        rows += [(2 * g, " ".join(words[:shared + n - 1]), "en", "a", 0), (2 * g + 1, " ".join(words), "en", "a", 0)]
+    got = as_tuples(ND.near_groups(spark.createDataFrame(rows, SCHEMA), n, percent))
+    assert got == brute_groups(rows, n, percent)
+
+
 def test_near_dedup_keeps_one_of_each_group(spark, docs):
     out = ND.near_dedup(clashing(docs))
     assert out.columns == clashing(docs).columns
