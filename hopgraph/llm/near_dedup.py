@@ -12,10 +12,12 @@
    smallest one; the components of these links are the families.
 3. Inside a family, sketch overlaps give the union-sketch estimate of each
    pair, and the full sets confirm the pairs that pass.  A family is one group
-   of rows while its sets are under ``BLOCK_SHINGLES``; a larger one is cut
-   into blocks by a hash of the id, and every two blocks meet in a group of
-   their own, so no task holds more than two blocks.  A task returns only
-   links that join what is not yet joined, at most one per document.
+   of rows while its sets are under ``BLOCK_SHINGLES`` and its documents under
+   ``BLOCK_ROWS``; a larger one is cut into blocks by a hash of the id, and
+   every two blocks meet in a group of their own, so a task holds two blocks
+   (on average of these sizes) and their square matrices at a time.  A task
+   returns only links that join what is not yet joined, at most one per
+   document.
 4. The links' components are the groups; the smallest id of each stays.
 
 Full sets are rebuilt from the text for family members alone.
@@ -44,6 +46,7 @@ from hopgraph.llm.hashing import shingle_sets, text_chunks
 K = 64
 SIGMAS = 4.0
 BLOCK_SHINGLES = 1 << 20      # hashes of one block: 8 MB
+BLOCK_ROWS = 2048             # documents of one block: two blocks meet in matrices of 134 MB
 DENSE = 1 << 22               # cells of one incidence matrix
 
 
@@ -236,7 +239,8 @@ def near_groups(docs: DataFrame, n: int = 5, percent: int = 80, k: int = K) -> D
     classes = written(classes.select("cid", "n", "sketch", "print"), "nd-classes", "snappy")
     family = written(families(classes, percent, k), "nd-families")
     sizes = (family.join(classes.select("cid", "n"), "cid").groupBy("g")
-             .agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks")))
+             .agg(F.greatest(F.ceil(F.sum("n") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_ROWS))
+                  .cast("int").alias("blocks")))
     members = family.join(sizes, "g")
     heads = classes.select("cid", "print").join(members, "cid")
     texts = docs.join(heads.select(F.col("cid").alias("doc_id")).distinct(), "doc_id", "left_semi")

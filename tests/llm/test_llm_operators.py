@@ -216,6 +216,28 @@ def test_large_families_are_cut_into_blocks(spark, monkeypatch):
     assert got == brute_groups(rows, 3, 85)
 
 
+def test_blocks_are_bounded_by_rows(spark, monkeypatch):
+    """A family of short near copies is cut by its documents too, and the groups stay."""
+    r = random.Random(4)
+    text = sentence(60, r).split()
+    rows = [(i, " ".join(text[:30] + [f"n{i}"] + text[31:]), "en", "a", 0) for i in range(120)]
+    plain = ND.linker
+
+    def bounded(percent, k):
+        link = plain(percent, k)
+
+        def held(batches):
+            batches = list(batches)
+            groups = collections.Counter(t for b in batches for t in zip(*[b.column(c).to_pylist() for c in "gxy"]))
+            assert max(groups.values(), default=0) <= 60
+            yield from link(iter(batches))
+        return held
+
+    monkeypatch.setattr(ND, "BLOCK_ROWS", 16, raising=False)
+    monkeypatch.setattr(ND, "linker", bounded)
+    assert as_tuples(ND.near_groups(spark.createDataFrame(rows, SCHEMA), 3, 85)) == brute_groups(rows, 3, 85)
+
+
 @pytest.mark.parametrize("percent", [80, 85])
 def test_overlap_bound_holds_for_all_sizes_around_the_sketch(percent):
     for n in range(1, ND.K):
