@@ -342,6 +342,14 @@ def test_blocks_of_broken_markup():
     assert got[4].path[-3:] == ("div", "c.ad", "c.x") and got[5].link_chars == 4 and blocks(None) == blocks("") == []
 
 
+@pytest.mark.parametrize("icon", ['<svg class="i"/>', "<svg/>", '<svg aria-label="a>b" />', "<svg-icon>", "<svg-icon/>",
+                                  "<svg-icon></svg-icon>", "<title-bar></title-bar>", "<select-box>", "<style-x>",
+                                  "<svg><path d='M0'/><title>t</title></svg>", "<SVG viewBox='0 0 1 1'><g>x</g></SVG>"])
+def test_skipped_elements_end_where_they_end(icon):
+    got = blocks(f"<article><p>one</p>{icon}<p>two</p></article>")
+    assert [b.text for b in got] == ["one", "two"]
+
+
 def test_extraction_against_the_markup(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     extra = spark.createDataFrame([(-1, None, None), (-2, "u", ""), (None, "u", "<nav><a>Home</a></nav>")],
