@@ -14,8 +14,10 @@ of the ``TOP`` largest).  A logistic regression turns the evidence into a
 score; it is fitted on at most ``FIT_ROWS`` training documents, each scored by
 the counts of the other half of the training rows.
 
-The counts cover every training row.  Tables are hashed to a fixed number of
-buckets, which bounds what is broadcast at any corpus size.
+The counts cover every training row.  Tables hold exact (64-bit) keys, lie in
+the shared folder and grow with the corpus; nothing of them is broadcast.  The
+distinct words of each chunk of text are joined to them.  The models have no
+word history: they are unigrams that back off to stems.
 
 Cases: NULL and empty texts have no evidence and get the model's base score;
 labels are joined by id (the largest label of an id counts); rows with a NULL
@@ -37,7 +39,8 @@ from hopgraph.llm.fitting import Logistic
 from hopgraph.llm.hashing import PUNCTUATION, span_hashes, text_chunks, word_spans
 
 STEMS = (6, 4)             # bytes
-BITS = (21, 19, 17)        # buckets of the word, stem and short-stem tables
+SPACE = (1 << 21, 1 << 19, 1 << 17)     # words, stems and short stems that the smoothing reckons with
+MODELS = {"a": ((0,), (1,)), "b": ((2,), (3,)), "f": ((0, 2), (1, 3))}     # classes: ordinary, toxic
 DISCOUNT = 2.0
 LEAST_BACKOFF, MOST_BACKOFF = 0.05, 0.9
 WINDOW = 10
@@ -91,73 +94,39 @@ def _contexts(n: Column, left: Column) -> Column:
     return F.when(seen >= 48, n.cast("double")).otherwise(F.least(n.cast("double"), -64 * F.log1p(-seen / 64)))
 
 
-def _bucket(c: str, bits: int) -> Column:
-    return F.col(c).bitwiseAND(F.lit((1 << bits) - 1))
-
+def evidence(r: np.ndarray, bound: np.ndarray) -> np.ndarray:
+    """Features of every text from its tokens' ratios; text ``d`` has the tokens ``bound[d]`` to ``bound[d + 1]``."""
+    out = np.zeros((len(bound) - 1, 4))
+    total = np.concatenate([[0.0], np.cumsum(r)])
+    for d in range(len(out)):
+        a, b = bound[d], bound[d + 1]
+        if b > a:
+            w = min(WINDOW, b - a)
+            means = (total[a + w:b + 1] - total[a:b - w + 1]) / WINDOW
+            tops = [means.max()]
+            left = means.copy()
+            for _ in range(TOP - 1):              # passages that do not overlap
+                i = int(left.argmax())
+                left[max(0, i - w + 1):i + w] = -9.0
+                tops.append(max(0.0, left.max()))
+            out[d] = (total[b] - total[a]) / (b - a), tops[0], np.mean(tops), np.log(b - a)
+    return out
 
-class Model:
-    """Log-likelihood ratios (toxic over ordinary) by word, stem and short stem bucket."""
 
-    def __init__(self, tables: list, classes: tuple[list[int], list[int]]):
-        """``tables``: per level (bucket, bucket one level down, counts by class); ``classes``: ordinary, toxic."""
-        parts = []
-        for bucket, down, counts in tables:
-            parts.append((bucket, down, np.stack([counts[:, c].sum(1) for c in classes], 1).astype(np.float64)))
-        self.tables = []
-        below = None                                   # per bucket: probabilities by class, shared total
-        for level in (2, 1, 0):
-            bucket, down, count = parts[level]
-            size = 1 << BITS[level]
-            kept = np.maximum(count - DISCOUNT, 0)
-            whole = np.maximum(kept.sum(0), 1e-9)
-            both = count.sum(1)
-            weight = min(MOST_BACKOFF, max(LEAST_BACKOFF, np.minimum(both, DISCOUNT).sum() / max(1.0, both.sum())))
-            if below is None:
-                back = np.repeat(((both + 1) / (both.sum() + size))[:, None], 2, 1)
-            else:
-                p, total, unseen = below
-                seen = total[down] > 0
-                share = (both + 0.5) / (np.bincount(down, both, len(total))[down] + 0.5 * size ** 0.5)
-                back = np.where(seen[:, None], p[down], unseen) * share[:, None]
-            prob = (1 - weight) * kept / whole + weight * back
-            ratio = np.full(size, np.nan, np.float32)
-            ratio[bucket] = np.log(prob[:, 1] / prob[:, 0])
-            self.tables.append(ratio)
-            p = np.zeros((size, 2))
-            p[bucket] = prob
-            total = np.zeros(size)
-            total[bucket] = both
-            below = p, total, np.full(2, 1.0 / size)
-        self.tables.reverse()
-
-    def ratios(self, hashes: list[np.ndarray]) -> np.ndarray:
-        out = np.zeros(len(hashes[0]), np.float32)
-        for ratio, h, bits in reversed(list(zip(self.tables, hashes, BITS, strict=True))):
-            found = ratio[(h & np.uint64((1 << bits) - 1)).astype(np.int64)]
-            out = np.where(np.isnan(found), out, found)
-        return out
-
-    def evidence(self, column: pa.Array) -> np.ndarray:
-        """Features of every text."""
-        out = np.zeros((len(column), 4))
-        for row, end, data, offsets in text_chunks(column):
-            doc, hashes = keys(data, offsets)
-            r = self.ratios(hashes).astype(np.float64)
+def encode(batches):
+    """Rows (doc_id, cls, text) to one row a chunk: its distinct words with their stems, its tokens as numbers of them."""
+    for batch in batches:
+        ids, cls = batch.column("doc_id").to_pylist(), batch.column("cls").to_pylist()
+        for row, end, data, offsets in text_chunks(batch.column("text")):
+            doc, (w, s6, s4) = keys(data, offsets)
+            _, first, token = np.unique(w, return_index=True, return_inverse=True)
             bound = np.searchsorted(doc, np.arange(end - row + 1))
-            total = np.concatenate([[0.0], np.cumsum(r)])
-            for d in range(end - row):
-                a, b = bound[d], bound[d + 1]
-                if b > a:
-                    w = min(WINDOW, b - a)
-                    means = (total[a + w:b + 1] - total[a:b - w + 1]) / WINDOW
-                    tops = [means.max()]
-                    left = means.copy()
-                    for _ in range(TOP - 1):              # passages that do not overlap
-                        i = int(left.argmax())
-                        left[max(0, i - w + 1):i + w] = -9.0
-                        tops.append(max(0.0, left.max()))
-                    out[row + d] = (total[b] - total[a]) / (b - a), tops[0], np.mean(tops), np.log(b - a)
-        return out
+            values = [ids[row:end], cls[row:end], bound, *[h[first].view(np.int64) for h in (w, s6, s4)]]
+            types = [pa.int64(), pa.int32()] + [pa.int64()] * 4
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([v], pa.list_(t)) for v, t in zip(values, types, strict=True)]
+                + [pa.array([token.astype(np.int32).tobytes()], pa.binary())],
+                ["ids", "cls", "bound", "w", "s6", "s4", "tokens"])
 
 
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -169,8 +138,41 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.select("doc_id", "text", (F.when(fold == 2, 2).otherwise(0) + (F.col("y") > 0).cast("int")).alias("cls"))
 
 
-def gathered(train: DataFrame) -> list:
-    """The three count tables, by bucket: counted over all training rows, bounded by the bucket numbers."""
+def smoothed(counts: DataFrame, space: int, below: DataFrame | None, space_below: int = 0) -> DataFrame:
+    """(``key``, and for each model ``p0``, ``p1``, total ``t`` and log ratio ``r``) of one level.
+
+    ``counts``: (``key``, its key one level down ``down``, counts by class).
+    One row of sums comes to the driver; the level below is joined by key.
+    """
+    x = {m: [sum((F.col(f"c{c}") for c in cs[1:]), F.col(f"c{cs[0]}")).cast("double") for cs in classes]
+         for m, classes in MODELS.items()}
+    df = counts.select("key", "down", *[v.alias(f"x{i}_{m}") for m, two in x.items() for i, v in enumerate(two)])
+    kept = lambda i, m: F.greatest(F.col(f"x{i}_{m}") - DISCOUNT, F.lit(0.0))
+    both = lambda m: F.col(f"x0_{m}") + F.col(f"x1_{m}")
+    sums = df.agg(*[F.coalesce(F.sum(v), F.lit(0.0)).alias(f"{n}_{m}") for m in MODELS for n, v in (
+        ("k0", kept(0, m)), ("k1", kept(1, m)), ("t", both(m)), ("d", F.least(both(m), F.lit(DISCOUNT))))]).first()
+    if below is not None:
+        under = df.groupBy("down").agg(*[F.sum(both(m)).alias(f"g_{m}") for m in MODELS])
+        under = under.join(below.withColumnRenamed("key", "down").drop(*[f"r_{m}" for m in MODELS]).hint("merge"),
+                           "down", "left")
+        df = df.join(under.hint("merge"), "down")
+    out = [F.col("key")]
+    for m in MODELS:
+        weight = min(MOST_BACKOFF, max(LEAST_BACKOFF, sums[f"d_{m}"] / max(1.0, sums[f"t_{m}"])))
+        p = []
+        for i in (0, 1):
+            if below is None:
+                back = (both(m) + 1) / (sums[f"t_{m}"] + space)
+            else:
+                share = (both(m) + 0.5) / (F.col(f"g_{m}") + 0.5 * space ** 0.5)
+                back = F.when(F.col(f"t_{m}") > 0, F.col(f"p{i}_{m}")).otherwise(1.0 / space_below) * share
+            p.append((1 - weight) * kept(i, m) / max(sums[f"k{i}_{m}"], 1e-9) + weight * back)
+        out += [p[0].alias(f"p0_{m}"), p[1].alias(f"p1_{m}"), both(m).alias(f"t_{m}"), F.log(p[1] / p[0]).alias(f"r_{m}")]
+    return written(df.select(*out), "tox-level", "snappy")
+
+
+def levels(train: DataFrame) -> list[DataFrame]:
+    """Log ratios by word, stem and short stem, each a table of exact keys that grows with the corpus."""
     def of(c: int) -> Column:
         return F.when(F.col("cls") == c, F.col("n")).otherwise(0)
 
@@ -182,54 +184,85 @@ def gathered(train: DataFrame) -> list:
                   F.min("s6").alias("s6"), F.min("s4").alias("s4")))
     words = written(words, "tox-words", "snappy")
     has = [F.sum((F.col(f"c{c}") > 0).cast("long")).alias(f"c{c}") for c in range(4)]
-    add = [F.sum(f"c{c}").alias(f"c{c}") for c in range(4)]
     stems = words.groupBy("s6").agg(*has, F.min("s4").alias("s4"))
-    out = []
-    for df, own, down, agg, i in (
-            (words.where("c0 + c1 + c2 + c3 > 1.5"), "w", "s6", add, 0), (stems, "s6", "s4", add, 1),
-            (stems, "s4", "s4", has, 2)):
-        rows = (df.groupBy(_bucket(own, BITS[i]).alias("b"))
-                .agg(F.min(_bucket(down, BITS[min(2, i + 1)])).alias("d"), *agg).toArrow())
-        col = lambda c: rows.column(c).to_numpy()  # noqa: E731,B023
-        out.append((col("b"), col("d"), np.stack([col(f"c{c}") for c in range(4)], 1)))
-    return out
+    shorts = stems.groupBy("s4").agg(*has)
+    counts = [f"c{c}" for c in range(4)]
+    short = smoothed(shorts.select(F.col("s4").alias("key"), F.col("s4").alias("down"), *counts), SPACE[2], None)
+    stem = smoothed(stems.select(F.col("s6").alias("key"), F.col("s4").alias("down"), *counts), SPACE[1], short, SPACE[2])
+    # a word seen once has the ratio of its stem
+    word = smoothed(words.where("c0 + c1 + c2 + c3 > 1.5").select(F.col("w").alias("key"), F.col("s6").alias("down"), *counts),
+                    SPACE[0], stem, SPACE[1])
+    return [word, stem, short]
 
 
-def _scorer(shared, out: str) -> Callable:
+def features(rows: DataFrame, tables: list[DataFrame], models: tuple[str, ...], score: Callable, schema: str) -> DataFrame:
+    """``score`` over the chunks of ``rows`` (doc_id, cls, text), with the ratios of each chunk's words by ``models``.
+
+    The distinct words of all chunks meet the tables by key and back off where
+    a key is missing; the ratios return to the chunks by number.
+    """
+    chunks = written(rows.mapInArrow(encode, "ids array<long>, cls array<int>, bound array<long>, w array<long>, "
+                                     "s6 array<long>, s4 array<long>, tokens binary")
+                     .withColumn("chunk", F.monotonically_increasing_id()), "tox-chunks")
+    each = chunks.select("chunk", F.posexplode(F.arrays_zip("w", "s6", "s4")).alias("i", "e")).select("chunk", "i", "e.*")
+    known = each.groupBy("w").agg(F.min("s6").alias("s6"), F.min("s4").alias("s4"))
+    for key, df in zip(("w", "s6", "s4"), tables, strict=True):
+        level = df.select(F.col("key").alias(key), *[F.col(f"r_{m}").alias(f"{key}_{m}") for m in models])
+        known = known.join(level.hint("merge"), key, "left")
+    ratio = written(known.select("w", *[F.coalesce(f"w_{m}", f"s6_{m}", f"s4_{m}", F.lit(0.0)).cast("float").alias(m)
+                                        for m in models]), "tox-ratios", "snappy")
+    back = (each.select("chunk", "i", "w").join(ratio.hint("merge"), "w").groupBy("chunk")
+            .agg(F.sort_array(F.collect_list(F.struct("i", *models))).alias("rs"))
+            .select("chunk", *[F.col(f"rs.{m}").alias(f"r_{m}") for m in models]))
+    return (chunks.select("chunk", "ids", "cls", "bound", "tokens").join(back.hint("merge"), "chunk", "left")
+            .mapInArrow(score, schema))
+
+
+def _parts(batch: pa.RecordBatch, models: tuple[str, ...]):
+    """(ids, classes, features by model) of every chunk."""
+    for i in range(batch.num_rows):
+        row = {c: batch.column(c)[i] for c in ("ids", "cls", "bound")}
+        token = np.frombuffer(batch.column("tokens")[i].as_py(), np.int32)
+        found = [batch.column(f"r_{m}")[i].values for m in models]       # None: a chunk without words
+        ratios = [np.zeros(0) if f is None else f.to_numpy(zero_copy_only=False).astype(np.float64)[token] for f in found]
+        bound = row["bound"].values.to_numpy()
+        yield row["ids"].values, row["cls"].values, [evidence(r, bound) for r in ratios]
+
+
+def _crossed(batches):
+    """Features of training rows, each by the counts of the other half."""
+    for batch in batches:
+        for _, cls, (a, b) in _parts(batch, ("a", "b")):
+            cls = cls.to_numpy()
+            x = np.where((cls >= 2)[:, None], a, b)
+            yield pa.RecordBatch.from_arrays([pa.array(x[:, i]) for i in range(4)] + [pa.array((cls % 2).astype(np.int32))],
+                                             ["f0", "f1", "f2", "f3", "y"])
+
+
+def _scorer(logistic: Logistic) -> Callable:
     def score(batches):
-        models, logistic = shared.value
         for batch in batches:
-            if logistic is None:                   # each row by the counts of the other half
-                cls = np.asarray(batch.column("cls"))
-                e = [m.evidence(batch.column("text")) for m in models]
-                x = np.where((cls >= 2)[:, None], e[0], e[1])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x[:, i]) for i in range(x.shape[1])] + [pa.array((cls % 2).astype(np.int32))],
-                    ["f0", "f1", "f2", "f3", "y"])
-            else:
-                p = logistic(models[0].evidence(batch.column("text")))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(p)], ["doc_id", out])
+            for ids, _, (x,) in _parts(batch, ("f",)):
+                yield pa.RecordBatch.from_arrays([ids, pa.array(logistic(x))], ["doc_id", "score"])
     return score
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(``doc_id``, ``score``) for every row of ``docs`` (doc_id, text)."""
-    sc = docs.sparkSession.sparkContext
     train = written(training_rows(docs, labels), "tox-train")
-    tables = gathered(train)
     n = train.groupBy("cls").count().collect()     # four rows
     count = {r["cls"]: r["count"] for r in n}
     rows = sum(count.values())
     if not all((count.get(c, 0) + count.get(c + 2, 0)) for c in (0, 1)):
         return docs.select("doc_id", F.lit(0.0).alias("score"))
-    halves = sc.broadcast(([Model(tables, ([0], [1])), Model(tables, ([2], [3]))], None))
+    tables = levels(train)
     part = F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(1 << 20)) < int((1 << 20) * min(1.0, 1.1 * FIT_ROWS / rows))
-    fit = (train.where(part).mapInArrow(_scorer(halves, ""), "f0 double, f1 double, f2 double, f3 double, y int")
-           .limit(FIT_ROWS).toArrow())
+    fit = features(train.where(part), tables, ("a", "b"), _crossed,
+                   "f0 double, f1 double, f2 double, f3 double, y int").limit(FIT_ROWS).toArrow()
     x = np.stack([fit.column(f"f{i}").to_numpy() for i in range(4)], 1)
     logistic = Logistic(x, fit.column("y").to_numpy())
-    both = sc.broadcast(([Model(tables, ([0, 2], [1, 3]))], logistic))
-    return docs.select("doc_id", "text").mapInArrow(_scorer(both, "score"), "doc_id long, score double")
+    return features(docs.select("doc_id", F.lit(-1).alias("cls"), "text"), tables, ("f",), _scorer(logistic),
+                    "doc_id long, score double")
 
 
 def op9_toxicity(spark, sf_dir) -> DataFrame:

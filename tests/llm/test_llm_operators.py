@@ -429,6 +429,19 @@ def test_toxicity_on_held_out_rows(spark):
     assert tuple(blind) == (0.0, 0.0)
 
 
+def test_words_keep_their_own_counts(spark):
+    """Words that agree in any number of low hash bits stay apart, and an unseen word has no ratio."""
+    docs, labels, _ = labelled_corpus(spark, 300)
+    train = TX.training_rows(docs, labels)
+    texts = [r.text for r in train.select("text").collect()]
+    words = {h for _, _, d, o in text_chunks(pa.array(texts)) for h in TX.keys(d, o)[1][0].view(np.int64).tolist()}
+    word, stem, short = TX.levels(train)
+    got = {r.key for r in word.select("key").collect()}
+    assert got <= words and len(got) > 300
+    assert word.count() == word.select("key").distinct().count()
+    assert any(k < 0 or k >> 21 for k in got)                   # whole keys, not bucket numbers
+
+
 def test_held_out_labels_are_not_read(spark):
     docs, labels, _ = labelled_corpus(spark, 400)
     turned = labels.withColumn("toxic", F.when(TX.fold_of(F.col("doc_id")) == 1, 1 - F.col("toxic")).otherwise(F.col("toxic")))
