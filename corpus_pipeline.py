@@ -37,7 +37,7 @@ def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents sampled to the target shares of source, language and topic."""
-    return sample(docs, budget=MIX_BUDGET)
+    return sample(docs, budget=MIX_BUDGET, fill=True)
 
 
 def shard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,7 +8,8 @@ probability with which its documents are sampled.
 Targets are shares by value.  A dimension without given targets takes the
 tempered natural shares (tokens to the power ``temper``, normalised); values
 that given targets leave out share the rest by their tokens.  Probabilities
-are clipped at 1, so a cell that is scarcer than its target is kept whole.
+are clipped at 1, so a cell that is scarcer than its target is kept whole; with
+``fill`` the other cells are raked again to the budget that is left.
 Sampling hashes the document id, so a rerun or a retried task draws alike.
 
 Cases: NULL source, language or topic is a value of its own; a text without
@@ -85,10 +86,47 @@ def rake(cells: DataFrame, targets: dict | None = None, rounds: int = ROUNDS,
     return df.drop(*[f"{d}_target" for d in DIMS])
 
 
+def filled(raked: DataFrame, goals: dict[str, DataFrame], whole: float, budget: float, rounds: int = ROUNDS,
+           most: int = 40) -> DataFrame:
+    """Raked cells with ``take``: tokens to draw, at most all of a cell, to the budget and the marginals.
+
+    Full cells stay at their tokens; the others are raked to what the
+    marginals leave, ``rounds`` times, and then scaled to what the budget
+    leaves until no further cell is full.  A marginal whose cells are all full
+    cannot be reached; the budget then goes to the others.
+    """
+    full = F.col("take") >= F.col("tokens") * (1 - 1e-12)
+    at = F.sum(F.when(full, F.col("take")).otherwise(0.0)).alias("fixed")
+    free = F.sum(F.when(full, 0.0).otherwise(F.col("take"))).alias("free")
+
+    def step(df: DataFrame, ratio: Column) -> Column:
+        return F.when(full, F.col("take")).otherwise(F.least(F.col("tokens").cast("double"), F.col("take") * ratio))
+
+    goal = min(1.0, float(budget)) * whole
+    df = raked.withColumn("take", F.least(F.col("tokens").cast("double"), F.col("weight") * goal))
+    for d in DIMS:
+        df = df.join(goals[d].withColumnRenamed("target", f"{d}_target"), d)
+    df = written(df, "mix-fill")
+    for _ in range(rounds):
+        for d in DIMS:
+            left = F.greatest(F.col(f"{d}_target") * goal - F.col("fixed"), F.lit(1e-9) * goal)
+            df = written(df.join(df.groupBy(d).agg(at, free), d).withColumn("take", step(df, left / F.col("free")))
+                         .drop("fixed", "free"), "mix-fill")
+    for _ in range(most):
+        sums = df.agg(at, free).first()                       # one row
+        if not sums["free"] or abs(sums["fixed"] + sums["free"] - goal) <= 1e-9 * goal:
+            break
+        ratio = max(goal - sums["fixed"], 1e-9 * goal) / sums["free"]
+        df = written(df.withColumn("take", step(df, F.lit(ratio))), "mix-fill")
+    return df.drop(*[f"{d}_target" for d in DIMS])
+
+
 def mix(docs: DataFrame, targets: dict | None = None, budget: float = BUDGET, rounds: int = ROUNDS,
-        temper: float = TEMPER, seed: str = SEED, topic: Column | None = None) -> DataFrame:
+        temper: float = TEMPER, seed: str = SEED, topic: Column | None = None, fill: bool = False) -> DataFrame:
     """``_row`` (the input row), ``topic``, ``tokens``, ``prob`` and ``sampled`` for every document.
 
+    With ``fill`` the budget that full cells cannot take goes to the others.
+
     ``docs`` needs doc_id, text, source and lang.  The text is read twice (for
     the token totals, then for the draw) and never shuffled: only cell totals
     are, and the table of cell probabilities is joined by its measured size.
@@ -100,9 +138,13 @@ def mix(docs: DataFrame, targets: dict | None = None, budget: float = BUDGET, ro
     cells = written(keyed.groupBy(*DIMS).agg(F.sum("tokens").alias("tokens")), "mix-cells")
     whole = cells.agg(F.sum("tokens").cast("double").alias("s")).scalar()
     raked = rake(cells, targets, rounds, temper)
-    odds = written(raked.select(
-        *DIMS, F.least(F.lit(1.0), F.lit(float(budget)) * whole * F.col("weight") / F.col("tokens")).alias("p")),
-        "mix-odds")
+    p = F.least(F.lit(1.0), F.lit(float(budget)) * whole * F.col("weight") / F.col("tokens"))
+    total = cells.agg(F.sum("tokens").cast("double")).first()[0] if fill else None
+    if total:
+        goals = {d: marginal_targets(cells, d, (targets or {}).get(d), temper) for d in DIMS}
+        raked = filled(raked, goals, total, budget, rounds)
+        p = F.least(F.lit(1.0), F.col("take") / F.col("tokens"))
+    odds = written(raked.select(*DIMS, p.alias("p")), "mix-odds")
     draw = F.conv(F.substring(F.md5(F.concat(
         F.lit(seed + ":"), F.coalesce(F.col("_row.doc_id").cast("string"), F.lit("null"))).cast("binary")),
         1, 12), 16, 10).cast("double") / F.lit(float(1 << 48))

@@ -117,6 +117,21 @@ def test_raking_meets_the_targets(spark):
     assert {r[0]: round(r[1], 4) for r in out.groupBy("lang").sum("weight").collect()} == {"=x": .4, "=y": .6}
 
 
+def test_mix_gives_back_what_full_cells_cannot_take(spark):
+    """The expected draw of the pipeline's mix meets its budget, and marginals that can be met."""
+    r = random.Random(6)
+    rows = [(i, sentence(50, r), "en" if i % 5 else "de", "big" if i % 10 else "small", 0) for i in range(400)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    out = MX.mix(df, {"source": {"big": .7, "small": .3}}, budget=.9, topic=F.lit("t"), rounds=3, fill=True)
+    got = {x[0]: x[1] for x in out.groupBy("_row.source").agg(F.sum(F.col("tokens") * F.col("prob"))).collect()}
+    assert sum(got.values()) == pytest.approx(.9 * 400 * 50, rel=1e-6)
+    assert got["small"] == pytest.approx(40 * 50)                 # cannot reach 0.3: whole
+    out = MX.mix(df, {"source": {"big": .85, "small": .15}}, budget=.6, topic=F.lit("t"), rounds=3, fill=True)
+    got = {x[0]: x[1] for x in out.groupBy("_row.source").agg(F.sum(F.col("tokens") * F.col("prob"))).collect()}
+    assert sum(got.values()) == pytest.approx(.6 * 400 * 50, rel=1e-6)
+    assert got["small"] == pytest.approx(.15 * .6 * 400 * 50, rel=.02)
+
+
 def test_suspect_hosts_lose_only_failing_documents(spark):
     r = random.Random(9)
     good = [(i, sentence(80, r), "en", f"h{i % 8}", 0) for i in range(160)]
