@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from hopgraph.llm import (
     decontaminate,
+    exact_dedup,
     html_labeller,
     line_dedup,
     mixing,
@@ -11,6 +12,7 @@ from hopgraph.llm import (
     quality_classifier,
     quality_rules,
     sharding,
+    spelling,
     token_counts,
     toxicity,
 )
@@ -26,9 +28,13 @@ QUERIES = {
     "op8_token_counts": token_counts.op8_token_counts,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_quality_rules": quality_rules.op10_quality_rules,
+    "op11_spelling": spelling.op11_spelling,
+    "op13_exact_dedup": exact_dedup.op13_exact_dedup,
 }
 ORACLE_SQL = {
     "op1_line_dedup": line_dedup.SQL,
     "op2_mixing": mixing.SQL,
     "op10_quality_rules": quality_rules.SQL,
+    "op11_spelling": spelling.SQL,
+    "op13_exact_dedup": exact_dedup.SQL,
 }
