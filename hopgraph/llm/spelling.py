@@ -44,10 +44,11 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MIN_LENGTH, MIN_COUNT, TIMES = 7, 2, 10
 DAMAGED = 31                       # one (document, run) of so many loses a letter
 LONGEST_CLASS = 64
-WORDS_PER_SHARD = 1 << 18          # 1 MB of filter
+WORDS_PER_SHARD = 1 << 16          # 256 KB of filter
 BITS_PER_WORD = 32
 ROUND_BYTES = 32 << 20             # filters broadcast at a time
 ROWS_AT_ONCE = 4096                # words whose probes are worked on together
+WORDS_PER_TASK = 20_000            # words that one task probes
 
 _P = np.uint64(0x9E3779B97F4A7C15 | 1)
 _P_INV = np.uint64(pow(int(_P), -1, 1 << 64))
@@ -137,10 +138,31 @@ def bloom_filter(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
-def bloom_has(lanes: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+class Shards:
+    """The filters of one length class, one after the other; parts that are not held hold nothing."""
+
+    def __init__(self, bits: dict[int, bytes], n_parts: int):
+        self.n_parts = n_parts
+        held = sorted(bits)
+        self.lanes = np.concatenate([np.frombuffer(bits[p], np.uint64).reshape(-1, 4) for p in held])
+        self.blocks = np.zeros(n_parts, np.uint64)
+        self.blocks[held] = [len(bits[p]) // 32 for p in held]
+        self.first = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.blocks)[:-1]])
+
+    def hits(self, hashes: np.ndarray) -> np.ndarray:
+        """Places of the hashes that may be held."""
+        if self.n_parts == 1:
+            return np.flatnonzero(bloom_has(self.lanes, hashes))
+        part = shard_of(hashes, self.n_parts)
+        some = np.flatnonzero(self.blocks[part])
+        h, part = hashes[some], part[some]
+        return some[bloom_has(self.lanes, h, self.first[part] + h % self.blocks[part])]
+
+
+def bloom_has(lanes: np.ndarray, hashes: np.ndarray, block: np.ndarray | None = None) -> np.ndarray:
     """Which hashes may be in the filter: each lane looks only at what the lane before let through."""
     left = np.arange(len(hashes))
-    block = (hashes % np.uint64(len(lanes))).astype(np.int64)
+    block = (hashes % np.uint64(len(lanes)) if block is None else block).astype(np.int64)
     bits = _bits(hashes)
     for k in range(4):
         mask = _lane(bits[left], k)
@@ -210,7 +232,7 @@ def probe(vocab: DataFrame, filters: dict[tuple[int, int], bytes], parts: dict[i
     held = set(classes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lanes = {k: np.frombuffer(v, np.uint64).reshape(-1, 4) for k, v in shared.value.items()}
+        shards = {c: Shards({p: v for (k, p), v in shared.value.items() if k == c}, parts[c]) for c in held}
         tried = np.array(alphabet, np.uint8)
         for b in batches:
             words, counts = b.column("word").to_pylist(), b.column("n").to_numpy()
@@ -221,19 +243,15 @@ def probe(vocab: DataFrame, filters: dict[tuple[int, int], bytes], parts: dict[i
                     c = min(size, LONGEST_CLASS)
                     if size < min_length or c not in held:
                         continue
-                    part = shard_of(h, parts[c]) if parts[c] > 1 else None
-                    for p in range(parts[c]):
-                        if (c, p) not in lanes:
-                            continue
-                        some = np.arange(len(h)) if part is None else np.flatnonzero(part == p)
-                        for j in some[bloom_has(lanes[c, p], h[some])]:
-                            r = at[rows[j]]
-                            found.append((words[r], int(counts[r]), spelt(words[r], place, int(new[j])), size < n))
+                    for j in shards[c].hits(h):
+                        r = at[rows[j]]
+                        found.append((words[r], int(counts[r]), spelt(words[r], place, int(new[j])), size < n))
                 if found:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(col) for col in zip(*found, strict=True)], names=["word", "n", "near", "shorter"])
 
     rows = vocab.where(F.col("class").isin(sorted(set(mine)))).select("word", "n")
+    rows = rows.repartition(rows.count() // WORDS_PER_TASK + 1, "word")
     return rows.mapInArrow(run, "word string, n long, near string, shorter boolean")
 
 
