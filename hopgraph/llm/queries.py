@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from hopgraph.llm import (
+    conversations,
     decontaminate,
     exact_dedup,
     html_labeller,
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_quality_rules": quality_rules.op10_quality_rules,
     "op11_spelling": spelling.op11_spelling,
+    "op12_conversation_repair": conversations.op12_conversation_repair,
     "op13_exact_dedup": exact_dedup.op13_exact_dedup,
 }
 ORACLE_SQL = {
