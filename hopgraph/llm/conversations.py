@@ -399,3 +399,80 @@ def repair(conversations: DataFrame) -> DataFrame:
 
 def op12_conversation_repair(spark, sf_dir) -> DataFrame:
     return repair(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+
+
+#: forward over the rows: the cheapest and ASCII-least edits into each state, at most one insertion before a row
+#: (a second one would bring back the state or cost more) and at most two after the last
+SQL = r"""
+WITH RECURSIVE crc_bits AS (
+  SELECT i::BIGINT AS i, i::BIGINT AS c, 0 AS k FROM range(256) r(i)
+  UNION ALL
+  SELECT i, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, k + 1 FROM crc_bits WHERE k < 8),
+crc AS (SELECT list(c ORDER BY i) AS t FROM crc_bits WHERE k = 8),
+hashed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(list_reduce(
+           list_transform(range(octet_length(encode(key))),
+             lambda j: (instr('123456789ABCDEF', substr(hex(encode(key)), 2 * j + 1, 1)) * 16
+                        + instr('123456789ABCDEF', substr(hex(encode(key)), 2 * j + 2, 1)))::BIGINT),
+           lambda c, b: xor(c // 256, t[(xor(c, b) % 256) + 1]), 4294967295::BIGINT), 4294967295) % 20 AS fate
+  FROM (SELECT *, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations), crc),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN fate = 1 THEN '' WHEN fate = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE WHEN fate = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM hashed WHERE fate <> 0),
+ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i,
+         right(rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS last
+  FROM damaged),
+faults AS (
+  SELECT *, left(role, 1) AS ini,
+         CASE WHEN last = '' THEN 'blank'
+              WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+              WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS prev
+  FROM ordered),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (prev IS NOT NULL AND prev || ini NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM faults GROUP BY conv_id),
+next(state, ini, role) AS (
+  VALUES ('', 's', NULL), ('', 'u', 'user'), ('s', 'u', 'user'), ('a', 'u', 'user'), ('u', 'a', 'assistant')),
+dp AS (
+  SELECT conv_id, 0::BIGINT AS i, '' AS state, {'cost': 0, 'audit': '', 'said': []::VARCHAR[]} AS best FROM counts
+  UNION ALL
+  SELECT conv_id, i + 1, state, min(best) FROM (
+    SELECT d.conv_id, d.i, e.state, {'cost': d.best.cost + e.cost, 'audit': d.best.audit || e.audit,
+                                     'said': list_concat(d.best.said, e.said)} AS best
+    FROM (
+      SELECT conv_id, i, state, best FROM dp
+      UNION ALL
+      SELECT dp.conv_id, dp.i, n.ini, {'cost': best.cost + 2, 'audit': best.audit || 'I',
+                                       'said': list_append(best.said, n.role || ':')}
+      FROM dp JOIN next n ON n.state = dp.state AND n.role IS NOT NULL) d
+    JOIN faults f ON f.conv_id IS NOT DISTINCT FROM d.conv_id AND f.i = d.i + 1,
+    LATERAL (
+      SELECT d.state AS state, 3 AS cost, 'D' AS audit, []::VARCHAR[] AS said
+      UNION ALL
+      SELECT n.ini, (f.fault = 'truncated')::INT, 'K', [f.role || ':' || f.text] FROM next n
+      WHERE n.state = d.state AND n.ini = f.ini AND f.fault IN ('', 'truncated')
+      UNION ALL
+      SELECT n.ini, 2 + (f.fault = 'truncated')::INT, 'R', [n.role || ':' || f.text] FROM next n
+      WHERE n.state = d.state AND n.role IS NOT NULL AND f.fault IN ('', 'truncated')) e)
+  GROUP BY conv_id, i, state),
+ends AS (
+  SELECT dp.conv_id, min({'cost': best.cost + CASE state WHEN 's' THEN 4 WHEN 'u' THEN 2 ELSE 0 END,
+                          'audit': best.audit || CASE state WHEN 's' THEN 'II' WHEN 'u' THEN 'I' ELSE '' END,
+                          'said': list_concat(best.said, CASE state WHEN 's' THEN ['user:', 'assistant:']
+                                                         WHEN 'u' THEN ['assistant:'] ELSE [] END)}) AS best
+  FROM dp JOIN counts c ON c.conv_id IS NOT DISTINCT FROM dp.conv_id AND c.n = dp.i GROUP BY dp.conv_id)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.cost, 0)::BIGINT AS cost,
+       coalesce(best.audit, '') AS audit, sha256(coalesce(array_to_string(best.said, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
+"""

@@ -38,5 +38,6 @@ ORACLE_SQL = {
     "op2_mixing": mixing.SQL,
     "op10_quality_rules": quality_rules.SQL,
     "op11_spelling": spelling.SQL,
+    "op12_conversation_repair": conversations.SQL,
     "op13_exact_dedup": exact_dedup.SQL,
 }

@@ -7,6 +7,8 @@ import random
 import re
 import zlib
 
+import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -119,3 +121,11 @@ def test_block_costs_meet_the_whole():
             for q in range(4):
                 both = min(x[4 * p + m] + y[4 * m + q] for m in range(4))
                 assert both == z[4 * p + q] or min(both, z[4 * p + q]) >= CV.NEVER
+
+
+def test_sql_states_the_same_repair():
+    rows = [r for r in hard_rows() if r[0] != 903]
+    con = duckdb.connect()
+    con.register("conversations", pa.table({c: pa.array([r[i] for r in rows], t) for i, (c, t) in enumerate(
+        [("conv_id", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), ("text", pa.string())])}))
+    assert sorted(con.execute(CV.SQL).fetchall(), key=repr) == plain(rows)
