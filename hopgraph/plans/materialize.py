@@ -1,9 +1,9 @@
 """Materialisation kinds (K1-K5).
 
 The row logic of upserts and interval reloads is plain DataFrame transforms
-over (stored rows, batch); the caller writes what they return.  Two catalog
-tables apply it to the partitions that a batch touches: ``BucketedTable``
-(keyed upserts) and ``HourlyTable`` (interval reloads).
+over (stored rows, batch); the caller writes what they return.
+``HourlyTable`` applies interval reloads to the hours they cover;
+``hopgraph.plans.stored`` upserts into tables bucketed by key.
 """
 
 from __future__ import annotations
@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hopgraph.functions.scalar import as_datetime
-from hopgraph.operators.aggregate import audit_unique
 from hopgraph.operators.projection import ts_literal
 from hopgraph.session import scratch_root
 
@@ -93,16 +92,12 @@ class HourlyTable:
         t = F.col(self.time_col)
         return df.withColumn("_day", F.to_date(t)).withColumn("_hour", F.hour(t))
 
-    def _partitions(self, first: dt.date, last: dt.date) -> list[tuple[dt.date, int]]:
-        """Catalog partitions of the days first..last (metadata only, at most 24 per day)."""
-        out, day = [], first
-        while day <= last:
-            rows = self.spark.sql(
-                f"SHOW PARTITIONS {self.qualified} PARTITION (_day = DATE'{day.isoformat()}')").collect()
-            for (spec,) in rows:
-                kv = dict(p.split("=", 1) for p in spec.split("/"))
-                out.append((dt.date.fromisoformat(kv["_day"]), int(kv["_hour"])))
-            day += dt.timedelta(days=1)
+    def _partitions(self) -> list[tuple[dt.date, int]]:
+        """The table's catalog partitions (metadata only, 24 per stored day), listed once."""
+        out = []
+        for (spec,) in self.spark.sql(f"SHOW PARTITIONS {self.qualified}").collect():
+            kv = dict(p.split("=", 1) for p in spec.split("/"))
+            out.append((dt.date.fromisoformat(kv["_day"]), int(kv["_hour"])))
         return out
 
     def reload(self, build, start, end) -> None:
@@ -112,7 +107,7 @@ class HourlyTable:
             F.col(self.time_col).between(ts_literal(lo), ts_literal(hi))))
         if not self.spark.catalog.tableExists(self.qualified):
             batch.limit(0).write.format("parquet").partitionBy(*self.PARTS).saveAsTable(self.qualified)
-        inside = [(d, h) for d, h in self._partitions(lo.date(), hi.date())
+        inside = [(d, h) for d, h in self._partitions()
                   if lo <= dt.datetime.combine(d, dt.time(h)) <= hi]
         run = uuid.uuid4().hex
         columns = self.spark.table(self.qualified).columns
@@ -134,91 +129,3 @@ class HourlyTable:
 
     def read(self) -> DataFrame:
         return self.spark.table(self.qualified).drop(*self.PARTS)
-
-
-class BucketedTable:
-    """Keyed upserts that rewrite only the key buckets a batch touches (K1 at scale).
-
-    A catalog table partitioned by ``_bucket = pmod(xxhash64(keys), buckets)``.
-    ``upsert`` reads the touched buckets only, replaces rows whose key is in
-    the batch (last batch wins, as K1; NULL keys never match), writes the
-    result to a new folder and then points those partitions at it
-    (``ALTER TABLE ... PARTITION ... SET LOCATION``, metadata only).  Nothing
-    reads and overwrites one path; untouched buckets are neither read nor
-    written, so a small crawl batch costs its buckets, not the table.  If a
-    run fails part-way through the location switches, re-running the same
-    batch completes it (the upsert is idempotent).  Superseded folders stay
-    until removed by the operator.
-    """
-
-    def __init__(self, spark: SparkSession, name: str, keys: Sequence[str], buckets: int = 64,
-                 database: str = "hopgraph_tables"):
-        self.spark, self.keys, self.buckets = spark, list(keys), buckets
-        self.qualified = f"{database}.{name}"
-        root = scratch_root(spark)
-        self.versions = f"{root}/bucket_versions/{name}"
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}/warehouse'")
-
-    def _with_bucket(self, df: DataFrame) -> DataFrame:
-        return df.withColumn("_bucket", F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
-
-    def _check_layout(self) -> None:
-        """Reject another bucket count or other keys than the table was made with."""
-        stored = dict(self.spark.sql(f"SHOW TBLPROPERTIES {self.qualified}").collect())
-        made = stored.get("hopgraph.buckets"), stored.get("hopgraph.keys")
-        if made != (str(self.buckets), ",".join(self.keys)):
-            raise ValueError(f"{self.qualified} has (buckets, keys) {made}, not {self.buckets}, {self.keys}")
-
-    def _existing(self) -> set[int]:
-        rows = self.spark.sql(f"SHOW PARTITIONS {self.qualified}").collect()   # at most `buckets` rows
-        return {int(spec.split("=", 1)[1]) for (spec,) in rows}
-
-    def _audit(self, rows: DataFrame) -> None:
-        """A3 as a gate: repeated keys fail the upsert before the table points at its rows."""
-        repeated = audit_unique(rows.dropna(subset=self.keys), self.keys).take(1)
-        if repeated:
-            raise ValueError(f"{self.qualified}: key {repeated[0].asDict()} is not unique")
-
-    def upsert(self, batch: DataFrame, order_col: str | None = None) -> list[int]:
-        """Apply ``batch``; returns the buckets it rewrote.
-
-        With ``order_col`` a stored row that is newer than the batch row of
-        the same key is kept (newest wins), for batches that may arrive out
-        of time order.
-        """
-        b = self._with_bucket(batch).persist()         # read for the bucket list, the keys and the write
-        try:
-            return self._apply(b, order_col)
-        finally:
-            b.unpersist()
-
-    def _apply(self, b: DataFrame, order_col: str | None) -> list[int]:
-        if not self.spark.catalog.tableExists(self.qualified):
-            b.limit(0).write.format("parquet").partitionBy("_bucket").saveAsTable(self.qualified)
-            self.spark.sql(f"ALTER TABLE {self.qualified} SET TBLPROPERTIES "
-                           f"('hopgraph.buckets' = '{self.buckets}', 'hopgraph.keys' = '{','.join(self.keys)}')")
-        self._check_layout()
-        touched = sorted(r[0] for r in b.select("_bucket").distinct().collect())   # at most `buckets`
-        if not touched:
-            return []
-        existing = self._existing()
-        stored = self.spark.table(self.qualified).where(F.col("_bucket").isin(touched))
-        merged = (upsert_by_key(stored, b, self.keys) if order_col is None
-                  else upsert_newest(stored, b, self.keys, order_col))
-        path = f"{self.versions}/{uuid.uuid4().hex}"
-        part = F.pmod(F.xxhash64(*self.keys, F.lit("file")), F.lit(4))
-        merged.repartition("_bucket", part).write.partitionBy("_bucket").parquet(path)
-        self._audit(self.spark.read.schema(stored.schema).parquet(path))
-        added = [k for k in touched if k not in existing]
-        if added:
-            specs = " ".join(f"PARTITION (_bucket = {k}) LOCATION '{path}/_bucket={k}'" for k in added)
-            self.spark.sql(f"ALTER TABLE {self.qualified} ADD IF NOT EXISTS {specs}")
-        for k in touched:
-            if k in existing:
-                self.spark.sql(f"ALTER TABLE {self.qualified} PARTITION (_bucket = {k}) "
-                               f"SET LOCATION '{path}/_bucket={k}'")
-        self.spark.catalog.refreshTable(self.qualified)
-        return touched
-
-    def read(self) -> DataFrame:
-        return self.spark.table(self.qualified).drop("_bucket")

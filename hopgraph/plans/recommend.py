@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hopgraph.operators.aggregate import distinct_rows, group_count, popularity_order
-from hopgraph.operators.joins import edge_join, not_in
+from hopgraph.operators.joins import edge_join, not_in, restrict_actor
 from hopgraph.operators.projection import actor_filter, in_range
 from hopgraph.plans.edges import BASE_COLUMNS, incremental_edges, typed_edges
 
@@ -96,6 +96,24 @@ def _model(core, raw: dict[str, DataFrame], variant: str, base_actor: str, start
     return core(incremental_edges(raw[cand_tbl], start, end, actors=base), None, exclude)
 
 
+def stored_views(core, edges: dict[str, DataFrame], variant: str, base_actor: str) -> DataFrame:
+    """A ranking view over stored M1 / M2 (``edges``): one semi-join and one aggregate, no window."""
+    cand_tbl, base_tbl, excl_tbl = VARIANTS[variant]
+    base = actor_filter(edges[base_tbl], base_actor).select("handle")
+    exclude = base if excl_tbl == base_tbl else actor_filter(edges[excl_tbl], base_actor).select("handle")
+    return core(restrict_actor(edges[cand_tbl], base), None, exclude)
+
+
+def recommend_stored(followers: DataFrame, follows: DataFrame, variant: str, base_actor: str) -> DataFrame:
+    """One of M7-M10 as the reference defines it: a view over the stored M1 and M2."""
+    return stored_views(two_hop, {"followers": followers, "follows": follows}, variant, base_actor)
+
+
+def popularity_stored(followers: DataFrame, follows: DataFrame, variant: str, base_actor: str) -> DataFrame:
+    """M12 over the stored M1 and M2."""
+    return stored_views(popularity, {"followers": followers, "follows": follows}, variant, base_actor)
+
+
 def recommend(raw_followers: DataFrame, raw_follows: DataFrame, variant: str,
               base_actor: str, start, end) -> DataFrame:
     """One of M7-M10 from the raw edge tables (literal ``follower_count``)."""

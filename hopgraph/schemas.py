@@ -35,6 +35,8 @@ EDGE_KEY = ["handle", "actor"]
 
 # Partition column of tables landed by load: the day of the load time.
 LOAD_DATE = "_dlt_load_date"
+# And below it the load itself, as text that no reader takes for a number.
+LOAD_PART = "_dlt_load"
 
 # Load ledger.
 LOADS = _s(

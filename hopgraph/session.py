@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "hopgraph", extra: dict | None = None) -> SparkSession:
@@ -59,3 +60,10 @@ def scratch_root(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unused directory under the scratch root."""
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written under the scratch root and read back: cuts the lineage, survives lost executors."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

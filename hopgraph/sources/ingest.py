@@ -6,9 +6,10 @@ import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from hopgraph.schemas import API_PAGE
+from hopgraph.sources.loads import row_id
 
 
 def ingest_pages(spark: SparkSession, path: str, kind: str, schema: StructType = API_PAGE) -> DataFrame:
@@ -69,6 +70,35 @@ def flatten_nested(df: DataFrame, sep: str = "__", snake: bool = True) -> DataFr
     return df.select(*cols)
 
 
+def child_tables(df: DataFrame, name: str, id_columns: list[str | Column], sep: str = "__",
+                 snake: bool = True) -> dict[str, DataFrame]:
+    """I3 for records with lists: a parent table and one child table for each list, at any depth.
+
+    The parent (``name``) has the flattened structs and a ``_dlt_id`` from
+    ``id_columns`` (which should tell its rows apart).  The list ``a`` becomes
+    the table ``name__a`` with one row an element: its fields (or ``value``, if
+    the elements are no structs), ``_dlt_parent_id``, its place ``_dlt_list_idx``
+    (from 0) and its own ``_dlt_id``.  A NULL or empty list has no rows; a NULL
+    element is a row of NULLs.  Joining a child to its parent gives back the lists.
+    """
+    out: dict[str, DataFrame] = {}
+
+    def grow(rows: DataFrame, table: str) -> None:
+        flat = flatten_nested(rows, sep, snake)
+        lists = [f for f in flat.schema.fields if isinstance(f.dataType, ArrayType)]
+        out[table] = flat.drop(*[f.name for f in lists])
+        for f in lists:
+            item = flat.select(F.col("_dlt_id").alias("_dlt_parent_id"),
+                               F.posexplode(f.name).alias("_dlt_list_idx", "_item"))
+            own = row_id(["_dlt_parent_id", "_dlt_list_idx"]).alias("_dlt_id")
+            fields = "_item.*" if isinstance(f.dataType.elementType, StructType) else F.col("_item").alias("value")
+            grow(item.select(fields, "_dlt_parent_id", F.col("_dlt_list_idx").cast("long").alias("_dlt_list_idx"), own),
+                 f"{table}{sep}{f.name}")
+
+    grow(df.withColumn("_dlt_id", row_id(id_columns)), name)
+    return out
+
+
 def typed_scan(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """I8: scan with a declared schema; ``key=value`` directories fill partition columns."""
     return spark.read.schema(schema).parquet(path)

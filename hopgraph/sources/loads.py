@@ -1,4 +1,9 @@
-"""Load bookkeeping: append a batch as one load (I4) and record it in the ledger."""
+"""Load bookkeeping: append a batch as one load (I4) and record it in the ledger.
+
+A load's files lie in a partition of their own, and the ledger entry comes
+last.  A run that stops in between leaves files without an entry: readers that
+go through ``finished_loads`` do not see them, and the retry overwrites them.
+"""
 
 from __future__ import annotations
 
@@ -11,7 +16,7 @@ from pyspark.sql import functions as F
 
 from hopgraph.functions.scalar import epoch_seconds_to_ts
 from hopgraph.operators.projection import ts_literal, typed_projection
-from hopgraph.schemas import LOAD_DATE, LOADS
+from hopgraph.schemas import LOAD_DATE, LOAD_PART, LOADS
 
 
 def row_id(columns: Sequence[str | Column]) -> Column:
@@ -40,6 +45,19 @@ def loads_between(landed: DataFrame, start, end) -> DataFrame:
     return landed.where(F.col(LOAD_DATE).between(day(start), day(end))).drop(LOAD_DATE)
 
 
+def load_part(load_id: Column) -> Column:
+    return F.concat(F.lit("load-"), load_id).alias(LOAD_PART)
+
+
+def finished_loads(landed: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Rows of the loads that the ledger lists as finished (status 0), without the load partition.
+
+    A semi-join on the partition column, so unfinished loads are pruned, not read.
+    """
+    done = ledger.where(F.col("status") == 0).select(load_part(F.col("load_id"))).distinct()
+    return landed.join(done, LOAD_PART, "left_semi").drop(LOAD_PART)
+
+
 def schema_hash(df: DataFrame) -> str:
     return hashlib.sha256(df.schema.json().encode()).hexdigest()
 
@@ -50,12 +68,12 @@ def append_load(df: DataFrame, path: str, load_id: str | Column, id_columns: Seq
     """I4: append ``df`` as one load: ``_dlt_load_id`` plus a per-row ``_dlt_id``.
 
     ``load_id`` is epoch-seconds text, either a literal or a scalar Column
-    (for example ``batch.select(...).scalar()``).  With ``ledger_path`` the
-    load is recorded there (I5), and a load that the ledger already lists is
-    not appended again, so a retried call adds nothing.  The files are
-    partitioned by the load's day (``LOAD_DATE``), for ``loads_between``; a
-    load id that is no number fails before anything is written.
-    Returns the load's rows.
+    (for example ``batch.select(...).scalar()``).  The files go to the load's
+    own partition (its day, ``LOAD_DATE``, then the load, ``LOAD_PART``), which
+    is overwritten: a retry replaces what a stopped run left.  With
+    ``ledger_path`` the load is recorded there afterwards (I5), and a load that
+    the ledger already lists is not written again.  A load id that is no number
+    fails before anything is written.  Returns the load's rows.
     """
     lid = F.lit(load_id) if isinstance(load_id, str) else load_id
     out = (df.withColumn("_dlt_load_id", lid)
@@ -63,7 +81,9 @@ def append_load(df: DataFrame, path: str, load_id: str | Column, id_columns: Seq
     spark = df.sparkSession
     if ledger_path is not None and _listed(spark, ledger_path, lid):
         return out
-    out.withColumn(LOAD_DATE, load_date()).write.mode("append").partitionBy(LOAD_DATE).parquet(path)
+    (out.select("*", load_date(), load_part(F.col("_dlt_load_id")))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(LOAD_DATE, LOAD_PART).parquet(path))
     if ledger_path is not None:
         entry = spark.range(1).select(
             lid.alias("load_id"), F.lit(schema_name).alias("schema_name"),

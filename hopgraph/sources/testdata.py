@@ -16,7 +16,7 @@ import hashlib
 import os
 import threading
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -44,6 +44,7 @@ LANDED_EDGE = StructType(RAW_EDGE.fields + [StructField("tbl", StringType(), Tru
 _landed: dict[tuple, str] = {}
 _scans: dict[tuple, DataFrame] = {}
 _lock = threading.Lock()
+_landing = threading.RLock()      # what is landed may read what was landed before
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -187,19 +188,43 @@ def pages_from_events(ev: DataFrame) -> DataFrame:
     )
 
 
+def page_chain_from_events(ev: DataFrame) -> DataFrame:
+    """The landed pages' cursors: (``kind``, ``actor``, ``cursor``, ``next_cursor``), with holes and circles.
+
+    A page returns the number of its actor's next page.  Every eleventh page
+    or so never landed; some actors' last page points back to their second.
+    """
+    p = edge_pairs(ev)
+    kind = F.when(F.col("e_type") == "click", "follows").otherwise("followers")
+    pages = p.select(kind.alias("kind"), F.col("e_user").alias("user"),
+                     (F.col("e_id") / PAGE_SIZE).cast("bigint").alias("page_no")).distinct()
+    w = Window.partitionBy("kind", "user").orderBy("page_no")
+    text = lambda c: F.col(c).cast("string")
+    rows = pages.select("kind", "user", "page_no", F.row_number().over(w).alias("i"),
+                        F.lead("page_no").over(w).alias("next"), F.nth_value("page_no", 2).over(
+                            w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("second"))
+    back = F.col("next").isNull() & (F.col("user") % 13 == 5)
+    return rows.where((F.col("page_no") * 7 + F.col("user")) % 11 != 3).select(
+        "kind", _u("user").alias("actor"), F.when(F.col("i") > 1, text("page_no")).alias("cursor"),
+        F.when(back, text("second")).otherwise(text("next")).alias("next_cursor"))
+
+
 def _source_key(spark: SparkSession, sf_dir: str, what: str) -> tuple:
     path = f"{sf_dir}/events.parquet"
     try:
         st = os.stat(path)
         stamp = (st.st_size, st.st_mtime_ns)
-    except OSError:
-        stamp = ()
+    except OSError:          # a store that only Spark reads: its files' sizes and times
+        meta = events(spark, sf_dir).select("_metadata.file_path", "_metadata.file_size",
+                                            "_metadata.file_modification_time").distinct()
+        stamp = tuple(meta.agg(F.count("*"), F.sum("file_size"), F.max("file_modification_time")).first())
     return (spark.sparkContext.applicationId, os.path.abspath(sf_dir), stamp, what)
 
 
-def _land_once(spark: SparkSession, sf_dir: str, what: str, write) -> str:
+def land_once(spark: SparkSession, sf_dir: str, what: str, write) -> str:
+    """A path under the scratch root that ``write(path)`` has filled, once per session and source."""
     key = _source_key(spark, sf_dir, what)
-    with _lock:
+    with _landing:
         if key not in _landed:
             path = fresh_path(spark, f"landed-{what}")
             write(path)
@@ -219,7 +244,7 @@ def landed_edges_path(spark: SparkSession, sf_dir: str) -> str:
         (raw_edges_from_events(events(spark, sf_dir))
          .sortWithinPartitions("tbl", "actor", "handle")
          .write.partitionBy("tbl").parquet(path))
-    return _land_once(spark, sf_dir, "edges", write)
+    return land_once(spark, sf_dir, "edges", write)
 
 
 def _scan(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -262,7 +287,7 @@ def landed_jetstream_path(spark: SparkSession, sf_dir: str) -> str:
         (jetstream_from_events(events(spark, sf_dir))
          .sortWithinPartitions("year", "month", "day", "time_us")
          .write.partitionBy("year", "month", "day").parquet(path))
-    return _land_once(spark, sf_dir, "jetstream", write)
+    return land_once(spark, sf_dir, "jetstream", write)
 
 
 def loads(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,8 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from hopgraph.plans.materialize import BucketedTable, HourlyTable, overwrite_interval, upsert_by_key, upsert_newest
+from hopgraph.plans import stored as ST
+from hopgraph.plans.materialize import HourlyTable, overwrite_interval, upsert_by_key, upsert_newest
 
 SCHEMA = "handle string, actor string, t timestamp_ntz, v string"
 
@@ -58,13 +59,52 @@ def test_interval_overwrite_split_equals_whole(spark):
     assert rows(cleared) == rows(whole.where(F.to_date("t") != F.lit(D[1].date())))
 
 
-def test_repeated_key_fails_the_upsert(spark):
-    """The uniqueness audit runs before the table points at the new rows."""
-    table = BucketedTable(spark, f"audit_{uuid.uuid4().hex[:8]}", ["handle", "actor"], buckets=4)
-    table.upsert(frame(spark, [("h", "a", D[0], "v1")]))
-    with pytest.raises(ValueError, match="not unique"):
-        table.upsert(frame(spark, [("h", "a", D[1], "x"), ("h", "a", D[2], "y")]))
-    assert rows(table.read()) == [("h", "a", D[0], "v1")]
+def name():
+    return f"t_{uuid.uuid4().hex[:8]}"
+
+
+KEYS = ["handle", "actor"]
+
+
+def test_repeated_key_fails_the_write(spark):
+    """The uniqueness audit is part of the job that writes: nothing is stored or published."""
+    first, second = name(), name()
+    ST.store(frame(spark, [("h", "a", D[0], "v1")]), first, KEYS, 4)
+    view = ST.publish(spark, f"v_{first}", first)
+    twice = frame(spark, [("h", "a", D[1], "x"), ("h", "a", D[2], "y"), (None, "a", D[1], "n"), (None, "a", D[1], "m")])
+    with pytest.raises(Exception, match="key is not unique"):
+        ST.upsert(first, twice, KEYS, second, 4)
+    with pytest.raises(Exception, match="key is not unique"):
+        ST.store(twice, name(), KEYS, 4)
+    assert not spark.catalog.tableExists(ST.qualified(spark, second))
+    assert rows(view) == [("h", "a", D[0], "v1")]
+    assert ST.store(twice.where("handle IS NULL"), name(), KEYS, 4).count() == 2       # NULL keys are not checked
+
+
+def test_stored_upsert_leaves_the_target_where_it_is(spark):
+    """Only the batch is exchanged; one file a bucket; the view moves when the new table is whole."""
+    first, second, third = name(), name(), name()
+    old = frame(spark, [(f"h{i}", "a", D[0], f"old{i}") for i in range(40)] + [(None, "a", D[0], "n")])
+    ST.store(old, first, KEYS, 8)
+    batch = frame(spark, [("h3", "a", D[2], "new3"), ("k", "a", D[2], "k"), (None, "a", D[2], "m")])
+    plan = ST.merged(spark.table(ST.qualified(spark, first)), batch, KEYS, 8)._jdf.queryExecution().executedPlan().toString()
+    target = plan[plan.index("SortMergeJoin"):].split("_new_handle", 2)[1]
+    assert plan.count("Exchange hashpartitioning") == 1 and "Exchange" not in target.split("FileScan")[0]
+    stored = ST.upsert(first, batch, KEYS, second, 8)
+    assert len(stored.inputFiles()) <= 8
+    assert rows(stored) == rows(upsert_by_key(old, batch, KEYS))
+    again = ST.upsert(second, batch.dropna(subset=KEYS), KEYS, third, 8)         # replaying changes nothing
+    assert rows(again) == rows(stored)
+    view = f"v_{first}"
+    assert ST.publish(spark, view, first).count() == 41 and ST.publish(spark, view, second).count() == 43
+
+
+def test_stored_upsert_newest(spark):
+    first, second = name(), name()
+    ST.store(frame(spark, [("h", "a", D[2], "new"), ("i", "a", D[0], "old")]), first, KEYS, 4)
+    batch = frame(spark, [("h", "a", D[0], "late"), ("i", "a", D[1], "newer"), ("k", "a", D[0], "k")])
+    assert rows(ST.upsert(first, batch, KEYS, second, 4, newest=["t"])) == [
+        ("h", "a", D[2], "new"), ("i", "a", D[1], "newer"), ("k", "a", D[0], "k")]
 
 
 def test_hourly_reload_touches_only_its_hours(spark):
@@ -85,45 +125,6 @@ def test_hourly_reload_touches_only_its_hours(spark):
     assert sorted(r["v"] for r in table.read().collect()) == ["v1-0", "v1-1", "v1-4", "v1-5", "v2-2"]
 
 
-def test_bucketed_upsert_rewrites_only_touched_buckets(spark):
-    import uuid
-    from hopgraph.plans.materialize import BucketedTable
-    table = BucketedTable(spark, f"b_{uuid.uuid4().hex[:8]}", ["handle", "actor"], buckets=8)
-    first = frame(spark, [(f"h{i}", "a", D[0], f"old{i}") for i in range(40)])
-    assert len(table.upsert(first)) == 8
-
-    def locations():
-        rows = spark.sql(f"SHOW PARTITIONS {table.qualified}").collect()
-        out = {}
-        for (spec,) in rows:
-            desc = spark.sql(f"DESCRIBE FORMATTED {table.qualified} PARTITION ({spec.replace('=', ' = ')})")
-            out[spec] = desc.where("col_name = 'Location'").first()["data_type"]
-        return out
-
-    before = locations()
-    touched = table.upsert(frame(spark, [("h3", "a", D[2], "new3")]))
-    after = locations()
-    assert len(touched) == 1
-    changed = {k for k in before if before[k] != after[k]}
-    assert changed == {f"_bucket={touched[0]}"}
-    got = {r["handle"]: r["v"] for r in table.read().collect()}
-    assert len(got) == 40 and got["h3"] == "new3" and got["h4"] == "old4"
-    once = rows(table.read())
-    table.upsert(frame(spark, [("h3", "a", D[2], "new3")]))        # replaying changes nothing
-    assert rows(table.read()) == once
-
-
-def test_bucket_count_is_stored(spark):
-    """Reopening a bucketed table with another bucket count is refused, so no key is written twice."""
-    name = f"layout_{uuid.uuid4().hex[:8]}"
-    batch = spark.range(20).selectExpr("id AS k", "id AS v")
-    BucketedTable(spark, name, ["k"], buckets=16).upsert(batch)
-    with pytest.raises(ValueError):
-        BucketedTable(spark, name, ["k"], buckets=64).upsert(batch)
-    BucketedTable(spark, name, ["k"], buckets=16).upsert(batch)
-    assert BucketedTable(spark, name, ["k"], buckets=16).read().count() == 20
-
-
 def test_hourly_reload_clips_and_empties(spark):
     """Rows outside the interval are not reloaded; hours the batch leaves empty are cleared."""
     rows = spark.createDataFrame([(dt.datetime(2024, 1, 1, h, 30), h) for h in range(4)],

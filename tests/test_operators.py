@@ -95,3 +95,23 @@ def test_flatten_and_tag(spark):
     row = tagged.first()
     assert row["actor"] == "u0" and row["indexed_at"] == "2024-12-04T00:00:00"
     assert tag_actor(flat, F.lit("u1")).first()["indexed_at"] == "x"
+
+
+def test_ranks_without_a_single_task(spark):
+    """Gapless row numbers over several partitions; no window gathers the rows."""
+    from pyspark.sql import functions as F
+    from hopgraph.operators.rank import ranked
+    df = spark.range(1000).select("id", (F.col("id") * 7919 % 13).alias("score")).repartition(6)
+    out = ranked(df, [F.col("score").desc(), F.col("id")])
+    assert [r["id"] for r in out.orderBy("rank").collect()] == [r["id"] for r in df.orderBy(F.col("score").desc(), "id").collect()]
+    assert [r["rank"] for r in out.orderBy("rank").collect()] == list(range(1, 1001))
+    assert ranked(df.where("false"), [F.col("id")]).collect() == []
+
+
+def test_two_hop_views_read_stored_edges_without_a_window(spark):
+    from hopgraph.queries import REGISTRY
+    from conftest import SF_SMALL
+    for name in ("dim_profiles", "view_model", "followers_of_followers", "followers_of_follows", "follows_of_followers",
+                 "follows_of_follows", "popularity_ranked_follows_of_follows"):
+        plan = REGISTRY[name].spark(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in plan

@@ -1,18 +1,17 @@
 """Streams equal their batch counterparts."""
 
 import datetime as dt
-import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
 from hopgraph.plans.edges import incremental_follows
 from hopgraph.plans.events import jetstream_events
-from hopgraph.plans.materialize import BucketedTable, upsert_by_key
+from hopgraph.plans.materialize import upsert_by_key
 from hopgraph.queries import FULL
 from hopgraph.schemas import EDGE_KEY, JETSTREAM, RAW_EDGE
 from hopgraph.sources import testdata as TD
-from hopgraph.streaming.edges import edges_stream_upsert
+from hopgraph.streaming.edges import edges_of_log, edges_stream, newest_edges
 from hopgraph.streaming.jetstream import jetstream_stream
 
 from conftest import SF_SMALL
@@ -38,35 +37,41 @@ def test_jetstream_stream_equals_batch(spark, scratch):
         jetstream_stream(spark, src, out, scratch("t1-ckpt-new"), *FULL)
 
 
-def test_edge_stream_in_time_order_equals_batch(spark, scratch):
+def test_newest_edges_equal_the_window_form(spark):
     raw = TD.raw_edges(spark, SF_SMALL, "follows")
-    src = scratch("t2-src")
-    days = [("2024-01-01", "2024-01-10"), ("2024-01-11", "2024-01-20"), ("2024-01-21", "2024-01-30")]
+    extra = raw.limit(30).withColumn("handle", F.lit(None).cast("string"))
+    both = raw.unionByName(extra)
+    assert rows(newest_edges(both, *FULL)) == rows(incremental_follows(both, *FULL))
+
+
+def test_edge_stream_restarts_and_takes_files_in_any_order(spark, scratch):
+    """Chunks land newest first, the stream stops in between and goes on from its checkpoint: equal to batch M2."""
+    raw = TD.raw_edges(spark, SF_SMALL, "follows")
+    src, log, ckpt = scratch("t2-src"), scratch("t2-log"), scratch("t2-ckpt")
     from hopgraph.functions.scalar import day_bounds, epoch_seconds_to_ts
-    for d1, d2 in days:   # land three chunks in load order, one folder each
+    chunks = [("2024-01-21", "2999-12-31"), ("1900-01-01", "2024-01-10"), ("2024-01-11", "2024-01-20")]
+    for n, (d1, d2) in enumerate(chunks):
         lo, hi = day_bounds(d1, d2)
-        raw.where(epoch_seconds_to_ts("_dlt_load_id").between(F.lit(lo), F.lit(hi))) \
-           .write.parquet(f"{src}/{d1}")
-    for newest in (True, False):
-        table = BucketedTable(spark, f"t2_{uuid.uuid4().hex[:8]}", EDGE_KEY, buckets=8)
-        for d1, _ in days:
-            q = edges_stream_upsert(spark, f"{src}/{d1}", table, scratch("t2-ckpt"), *FULL,
-                                    newest_wins=newest, max_files_per_trigger=2)
-            q.awaitTermination()
-        assert rows(table.read()) == rows(incremental_follows(raw, *FULL))
+        raw.where(epoch_seconds_to_ts("_dlt_load_id").between(F.lit(lo), F.lit(hi))).write.mode("append").parquet(src)
+        if n == 1:
+            continue                               # the second start finds two new chunks
+        edges_stream(spark, src, log, ckpt, *FULL, max_files_per_trigger=2).awaitTermination()
+    assert rows(edges_of_log(spark, log)) == rows(incremental_follows(raw, *FULL))
+    before = spark.read.parquet(log).count()
+    edges_stream(spark, src, log, ckpt, *FULL).awaitTermination()             # nothing new
+    assert spark.read.parquet(log).count() == before
 
 
-def test_edge_stream_out_of_order_needs_newest_wins(spark, scratch):
+def test_edge_stream_out_of_order_keeps_the_newest(spark, scratch):
     t0 = dt.datetime(2024, 1, 1)
+
     def raw(load, name):
         return spark.createDataFrame(
             [("did:x", "x", name, None, t0, None, t0, "a", load, f"id{load}", None, None)], RAW_EDGE)
-    src = scratch("t2-ooo")
-    raw("1704200000.000000", "new").write.parquet(f"{src}/first")
-    raw("1704100000.000000", "old").write.parquet(f"{src}/second")
-    bucketed = BucketedTable(spark, f"t2o_{uuid.uuid4().hex[:8]}", EDGE_KEY, buckets=4)
-    for part in ("first", "second"):
-        edges_stream_upsert(spark, f"{src}/{part}", bucketed, scratch("t2-ooo-bckpt"), *FULL).awaitTermination()
-    assert [r["display_name"] for r in bucketed.read().collect()] == ["new"]
-    new, old = (incremental_follows(spark.read.parquet(f"{src}/{part}"), *FULL) for part in ("first", "second"))
+    src, log, ckpt = scratch("t2-ooo"), scratch("t2-ooo-log"), scratch("t2-ooo-ckpt")
+    for load, text in (("1704200000.000000", "new"), ("1704100000.000000", "old")):
+        raw(load, text).write.mode("append").parquet(src)
+        edges_stream(spark, src, log, ckpt, *FULL).awaitTermination()
+    assert [r["display_name"] for r in edges_of_log(spark, log).collect()] == ["new"]
+    new, old = (incremental_follows(raw(*x), *FULL) for x in (("1704200000.000000", "new"), ("1704100000.000000", "old")))
     assert [r["display_name"] for r in upsert_by_key(new, old, EDGE_KEY).collect()] == ["old"]     # D7: last batch wins
