@@ -34,13 +34,13 @@ def not_in(df: DataFrame, column: str, exclude: DataFrame, exclude_col: str = "h
     SQL NOT IN keeps a row only when the set is empty, or the value is not
     NULL, not in the set, and the set holds no NULL.
 
-    The empty / NULL guards are two scalar subqueries over the set (Spark
-    merges them into one aggregate), evaluated when the query runs, and Spark
-    picks the anti join by its statistics.  There is no forced broadcast:
-    Spark's own NOT IN rewrite always broadcasts the set, whatever its size.
+    The empty / NULL guards are one scalar subquery over the set, evaluated
+    when the query runs, and Spark picks the anti join by its statistics.
+    There is no forced broadcast: Spark's own NOT IN rewrite always
+    broadcasts the set, whatever its size.
     """
     ex = exclude.select(F.col(exclude_col).alias("_ex_key"))
-    n_rows = ex.select(F.count(F.lit(1))).scalar()
-    n_nulls = ex.select(F.count_if(F.col("_ex_key").isNull())).scalar()
+    kind = F.when(F.count(F.lit(1)) == 0, "empty").when(F.count_if(F.col("_ex_key").isNull()) > 0, "null").otherwise("plain")
+    guard = ex.select(kind).scalar()
     kept = df.join(ex, F.col(column) == F.col("_ex_key"), "left_anti")
-    return kept.where((n_rows == 0) | (F.col(column).isNotNull() & (n_nulls == 0)))
+    return kept.where((guard == "empty") | (F.col(column).isNotNull() & (guard == "plain")))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from hopgraph.operators.aggregate import distinct_rows, group_count, popularity_order
 from hopgraph.operators.joins import edge_join, not_in, restrict_actor
 from hopgraph.operators.projection import actor_filter, in_range
-from hopgraph.plans.edges import BASE_COLUMNS, incremental_edges, typed_edges
+from hopgraph.plans.edges import incremental_edges, typed_edges
 
 VARIANTS = {
     # name: (candidate edge table, base set, excluded set)
@@ -49,9 +49,10 @@ def two_hop(edges: DataFrame, base: DataFrame | None, exclude: DataFrame) -> Dat
     commute): a hot handle is first collapsed by the map-side partial
     aggregate, and only distinct rows are shuffled by handle.
     """
-    distinct = distinct_rows(_hop(edges, base), BASE_COLUMNS)
+    keys = ["handle", "did", "display_name"]           # in one order: one exchange serves DISTINCT and COUNT
+    distinct = distinct_rows(_hop(edges, base), keys)
     kept = not_in(distinct, "handle", exclude, "handle")
-    counted = group_count(kept, ["handle", "did", "display_name"])
+    counted = group_count(kept, keys)
     return popularity_order(counted.select("handle", "did", "display_name", "follower_count"))
 
 
