@@ -1,136 +1,135 @@
 """Operator 9: toxicity by class-conditional Kneser-Ney models with shared backoff.
 
-Two models, one of the toxic and one of the ordinary training texts, give each
-word a probability.  A word backs off to its six-byte stem and that to its
-four-byte stem; as in Kneser-Ney smoothing, the lower levels count types (the
-different words of a stem, the different long stems of a short one), the
-counts are discounted, and the mass set free goes to a backoff weight and
-shares that both classes have in common.  So an expression that neither class
-knows moves nothing, and a rare one leans on its stem.
+Two models, one of the toxic and one of the ordinary training texts, give
+every word a probability after the word before it.  Both are class-based
+bigrams: ``P(w | v) = P(k(w) | k(v)) * P(w | k(w))``, the class of a word
+being its first two bytes, so that words keep their history.  Full word
+bigrams would need several times the input of disk (15 million of them in a
+0.1 GB table), which no limit here allows.
+
+* *History*: ``P(k | h)`` discounts the bigram counts of the class and backs
+  off to ``P(k)``, which discounts the class's own counts and backs off to the
+  number of different histories that ``k`` has been seen after, in both models'
+  texts together.
+* *Word*: ``P(w | k)`` runs down the prefixes of four and six bytes to the word.
+  At each step the counts within the prefix above are discounted; the mass set
+  free goes to shares that both models have in common: how many different
+  continuations a prefix has, and at the word its pooled count.
+
+Discounts come from the counts themselves (n1 / (n1 + 2 n2), by level and
+model); ``PRIOR`` events of the shared distribution are added to every context.
+A count is of documents: a word after the same history counts once in a text.
+What neither model has seen takes the ratio of its longest known prefix, so an
+expression that neither class knows moves nothing, and a rare one leans on its
+prefixes.
 
 A document's evidence is length-normalised: the mean log-likelihood ratio of
-its words, and that of its ``WINDOW``-word passages (the largest, and the mean
-of the ``TOP`` largest).  A logistic regression turns the evidence into a
-score; it is fitted on at most ``FIT_ROWS`` training documents, each scored by
-the counts of the other half of the training rows.
+its words, the largest mean of ``WINDOW`` words in a row, and the mean of its
+``TOP`` largest words.  A logistic regression turns the evidence into a score;
+it is fitted on at most ``FIT_ROWS`` training documents, each scored by the
+counts of the other half of the training rows.
 
-The counts cover every training row.  Tables hold exact (64-bit) keys, lie in
-the shared folder and grow with the corpus; nothing of them is broadcast.  The
-distinct words of each chunk of text are joined to them.  The models have no
-word history: they are unigrams that back off to stems.
+The counts cover every training row.  The table of ratios holds exact (64-bit)
+keys, lies in the shared folder and grows with the corpus; nothing of it is
+broadcast.  Texts are packed once, in groups of about ``GROUP_BYTES``, into a
+table bucketed by group; the distinct keys of each group are joined to the
+table, and the known ones return to their group, which does not move.
 
 Cases: NULL and empty texts have no evidence and get the model's base score;
 labels are joined by id (the largest label of an id counts); rows with a NULL
 id are scored, never learnt from; without labels of both classes every score
-is 0; an empty table gives an empty result; other columns may have any names.
+is 0; repeated rows count again; a very long text is a group of its own; an
+empty table gives an empty result; other columns may have any names.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hopgraph.llm.common import table, written
 from hopgraph.llm.fitting import Logistic
-from hopgraph.llm.hashing import PUNCTUATION, span_hashes, text_chunks, word_spans
+from hopgraph.llm.hashing import _LOWER, PUNCTUATION, mixed, span_hashes, text_chunks, word_spans
+from hopgraph.plans.stored import qualified
 
-STEMS = (6, 4)             # bytes
-SPACE = (1 << 21, 1 << 19, 1 << 17)     # words, stems and short stems that the smoothing reckons with
+PREFIXES = (4, 6)          # bytes, below the class of two
 MODELS = {"a": ((0,), (1,)), "b": ((2,), (3,)), "f": ((0, 2), (1, 3))}     # classes: ordinary, toxic
-DISCOUNT = 2.0
-LEAST_BACKOFF, MOST_BACKOFF = 0.05, 0.9
+PRIOR = 20.0
 WINDOW = 10
-TOP = 3
+TOP = 5
 FIT_ROWS = 20_000
+GROUP_BYTES = 24 << 20
 THRESHOLD = 0.7
 HELD_OUT = 1               # crc32(doc_id) mod 3
+#: sets the keys of the levels apart: two prefixes, words, class bigrams, classes
+LEVEL = list(mixed(np.arange(1, 6, dtype=np.uint64)))
+FEATURES = 4
 
 
 def fold_of(doc_id: Column) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(3)).cast("int")
 
 
-def keys(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-    """(document number, [word, stem, short stem] hashes) of every token of a chunk."""
-    s, e, doc = word_spans(data, offsets, PUNCTUATION)
-    if not len(s):
-        return doc, [np.zeros(0, np.uint64)] * 3
-    return doc, span_hashes(data, [(s, e)] + [(s, np.minimum(e, s + n)) for n in STEMS])
-
+# ------------------------------------------------------------------ words as keys
 
-def count_words(batches):
-    """Rows (text, cls) to (w, s6, s4, cls, n, left), summed within each chunk.
 
-    ``left`` is a 64-bit linear-counting sketch of the words that stand before.
+def keys(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
+    """(document number, keys of [four bytes, six bytes, word, class bigram, class], class, class before) of every word."""
+    s, e, doc = word_spans(data, offsets, PUNCTUATION)
+    if not len(s):
+        z = np.zeros(0, np.uint64)
+        return doc, [z] * 5, np.zeros(0, np.int32), np.zeros(0, np.int32)
+    low = _LOWER[data].astype(np.int32)
+    second = np.where(e - s > 1, low[np.minimum(s + 1, len(data) - 1)], 0)
+    k = (low[s] << 8) | second
+    h = np.concatenate([[0], k[:-1]]).astype(np.int32)
+    h[np.concatenate([[True], doc[1:] != doc[:-1]])] = 0             # a text's first word has no history
+    hashes = span_hashes(data, [(s, np.minimum(e, s + n)) for n in PREFIXES] + [(s, e)])
+    bigram = (h.astype(np.uint64) << np.uint64(16)) | k.astype(np.uint64)
+    return doc, [mixed(x ^ lv) for x, lv in zip([*hashes, mixed(bigram), mixed(k.astype(np.uint64))], LEVEL, strict=True)], k, h
+
+
+def _firsts(*columns: np.ndarray) -> np.ndarray:
+    """Places of the first of each distinct tuple, by one mixed key."""
+    key = np.zeros(len(columns[0]), np.uint64)
+    for c in columns:
+        key = mixed(key ^ c.astype(np.uint64)) + np.uint64(1)
+    return np.unique(key, return_index=True)[1]
+
+
+def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (text, cls) to counts by key and class, summed within a chunk.
+
+    ``level`` 2 has words with the keys of their prefixes and their class; 3 has class bigrams
+    with the key of the class in the prefixes' place.
     """
     for batch in batches:
-        cls = np.asarray(batch.column("cls"), np.uint64)
+        cls = np.asarray(batch.column("cls"), np.int64)
         for row, _, data, offsets in text_chunks(batch.column("text")):
-            doc, (w, s6, s4) = keys(data, offsets)
+            doc, (s4, s6, w, big, two), k, h = keys(data, offsets)
             if not len(w):
                 continue
-            before = np.concatenate([[np.uint64(0)], w[:-1]]) >> np.uint64(58)
-            before[1:][doc[1:] != doc[:-1]] = 0
-            key = w ^ (cls[row + doc] * np.uint64(0x9E3779B97F4A7C15))
-            order = np.argsort(key, kind="stable")
-            key = key[order]
-            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-            left = np.bitwise_or.reduceat(np.uint64(1) << before[order], first)
-            n = np.diff(np.append(first, len(key)))
-            at = order[first]
-            yield pa.RecordBatch.from_arrays([
-                pa.array(w[at].view(np.int64)), pa.array(s6[at].view(np.int64)), pa.array(s4[at].view(np.int64)),
-                pa.array(cls[row + doc[at]].astype(np.int32)), pa.array(n.astype(np.int64)),
-                pa.array(left.view(np.int64))], ["w", "s6", "s4", "cls", "n", "left"])
-
-
-def _contexts(n: Column, left: Column) -> Column:
-    """Occurrences, counted once for each word before while those are few (so copies add nothing)."""
-    seen = F.bit_count(left).cast("double")
-    return F.when(seen >= 48, n.cast("double")).otherwise(F.least(n.cast("double"), -64 * F.log1p(-seen / 64)))
-
-
-def evidence(r: np.ndarray, bound: np.ndarray) -> np.ndarray:
-    """Features of every text from its tokens' ratios; text ``d`` has the tokens ``bound[d]`` to ``bound[d + 1]``."""
-    out = np.zeros((len(bound) - 1, 4))
-    total = np.concatenate([[0.0], np.cumsum(r)])
-    for d in range(len(out)):
-        a, b = bound[d], bound[d + 1]
-        if b > a:
-            w = min(WINDOW, b - a)
-            means = (total[a + w:b + 1] - total[a:b - w + 1]) / WINDOW
-            tops = [means.max()]
-            left = means.copy()
-            for _ in range(TOP - 1):              # passages that do not overlap
-                i = int(left.argmax())
-                left[max(0, i - w + 1):i + w] = -9.0
-                tops.append(max(0.0, left.max()))
-            out[d] = (total[b] - total[a]) / (b - a), tops[0], np.mean(tops), np.log(b - a)
-    return out
-
-
-def encode(batches):
-    """Rows (doc_id, cls, text) to one row a chunk: its distinct words with their stems, its tokens as numbers of them."""
-    for batch in batches:
-        ids, cls = batch.column("doc_id").to_pylist(), batch.column("cls").to_pylist()
-        for row, end, data, offsets in text_chunks(batch.column("text")):
-            doc, (w, s6, s4) = keys(data, offsets)
-            _, first, token = np.unique(w, return_index=True, return_inverse=True)
-            bound = np.searchsorted(doc, np.arange(end - row + 1))
-            values = [ids[row:end], cls[row:end], bound, *[h[first].view(np.int64) for h in (w, s6, s4)]]
-            types = [pa.int64(), pa.int32()] + [pa.int64()] * 4
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([v], pa.list_(t)) for v, t in zip(values, types, strict=True)]
-                + [pa.array([token.astype(np.int32).tobytes()], pa.binary())],
-                ["ids", "cls", "bound", "w", "s6", "s4", "tokens"])
+            once = _firsts(doc, w, h)
+            for level, key in ((2, w), (3, big)):
+                c = cls[row + doc[once]]
+                own = mixed(key[once] ^ (c.astype(np.uint64) + np.uint64(1)))
+                _, back, n = np.unique(own, return_index=True, return_counts=True)
+                at = once[back]
+                up = [s6, s4] if level == 2 else [two, two]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(at), level, np.int32))] + [pa.array(x[at].view(np.int64)) for x in (key, *up)]
+                    + [pa.array(k[at]), pa.array(h[at]), pa.array(cls[row + doc[at]].astype(np.int32)),
+                       pa.array(n.astype(np.int64))], ["level", "key", "s6", "s4", "k", "h", "cls", "n"])
 
 
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(``text``, ``cls``, ``u``): labelled rows outside the held-out third; cls = 2 * half + toxic."""
+    """(``doc_id``, ``text``, ``cls``): labelled rows outside the held-out third; cls = 2 * half + toxic."""
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("y"))
     fold = fold_of(F.col("doc_id"))
     # a merge join at every size: labels grow with the corpus, and AQE can split a repeated id
@@ -138,111 +137,249 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.select("doc_id", "text", (F.when(fold == 2, 2).otherwise(0) + (F.col("y") > 0).cast("int")).alias("cls"))
 
 
-def smoothed(counts: DataFrame, space: int, below: DataFrame | None, space_below: int = 0) -> DataFrame:
-    """(``key``, and for each model ``p0``, ``p1``, total ``t`` and log ratio ``r``) of one level.
+# ------------------------------------------------------------------ smoothing (native)
 
-    ``counts``: (``key``, its key one level down ``down``, counts by class).
-    One row of sums comes to the driver; the level below is joined by key.
-    """
-    x = {m: [sum((F.col(f"c{c}") for c in cs[1:]), F.col(f"c{cs[0]}")).cast("double") for cs in classes]
-         for m, classes in MODELS.items()}
-    df = counts.select("key", "down", *[v.alias(f"x{i}_{m}") for m, two in x.items() for i, v in enumerate(two)])
-    kept = lambda i, m: F.greatest(F.col(f"x{i}_{m}") - DISCOUNT, F.lit(0.0))
-    both = lambda m: F.col(f"x0_{m}") + F.col(f"x1_{m}")
+
+COUNTS = [f"c{c}" for c in range(4)]
+
+
+def _n(i: int, m: str) -> Column:
+    """The count of class ``i`` under model ``m``."""
+    first, *more = MODELS[m][i]
+    return sum((F.col(f"c{c}") for c in more), F.col(f"c{first}")).cast("double")
+
+
+def _discounts(df: DataFrame) -> dict[tuple[int, str], float]:
+    """n1 / (n1 + 2 n2) of each class and model of a level: one row."""
+    row = df.agg(*[F.count_if(_n(i, m) == v).alias(f"n{v}_{i}_{m}") for m in MODELS for i in (0, 1) for v in (1, 2)]).first()
+    return {(i, m): row[f"n1_{i}_{m}"] / max(1, row[f"n1_{i}_{m}"] + 2 * row[f"n2_{i}_{m}"]) for m in MODELS for i in (0, 1)}
+
+
+def _seen(m: str) -> Column:
+    return _n(0, m) + _n(1, m) > 0
+
+
+def top_level(df: DataFrame) -> DataFrame:
+    """``P(k)`` of the classes: discounted counts over the shared number of histories (``t_*``)."""
+    d = _discounts(df)
     sums = df.agg(*[F.coalesce(F.sum(v), F.lit(0.0)).alias(f"{n}_{m}") for m in MODELS for n, v in (
-        ("k0", kept(0, m)), ("k1", kept(1, m)), ("t", both(m)), ("d", F.least(both(m), F.lit(DISCOUNT))))]).first()
-    if below is not None:
-        under = df.groupBy("down").agg(*[F.sum(both(m)).alias(f"g_{m}") for m in MODELS])
-        under = under.join(below.withColumnRenamed("key", "down").drop(*[f"r_{m}" for m in MODELS]).hint("merge"),
-                           "down", "left")
-        df = df.join(under.hint("merge"), "down")
-    out = [F.col("key")]
+        ("n0", _n(0, m)), ("n1", _n(1, m)), ("f0", F.least(_n(0, m), F.lit(d[0, m]))),
+        ("f1", F.least(_n(1, m), F.lit(d[1, m]))), ("t", F.col(f"t_{m}").cast("double")))]).first()
+    p = [F.when(_seen(m), (F.greatest(_n(i, m) - d[i, m], F.lit(0.0))
+                           + (sums[f"f{i}_{m}"] + PRIOR) * F.col(f"t_{m}") / max(1.0, sums[f"t_{m}"]))
+                / (sums[f"n{i}_{m}"] + PRIOR)).alias(f"p{i}_{m}") for m in MODELS for i in (0, 1)]
+    return df.select("key", "k", *COUNTS, *p)
+
+
+def next_level(df: DataFrame, above: DataFrame, share: Callable[[str], Column]) -> DataFrame:
+    """``P`` of a level from the one above: ``df`` has ``key``, its key above ``up``, counts; ``share`` the common share's weight."""
+    d = _discounts(df)
+    under = df.groupBy("up").agg(
+        *[F.sum(F.least(_n(i, m), F.lit(d[i, m]))).alias(f"f{i}_{m}") for m in MODELS for i in (0, 1)],
+        *[F.sum(share(m)).alias(f"g_{m}") for m in MODELS])
+    over = above.select(F.col("key").alias("up"), *[F.col(f"p{i}_{m}").alias(f"q{i}_{m}") for m in MODELS for i in (0, 1)],
+                        *[_n(i, m).alias(f"n{i}_{m}") for m in MODELS for i in (0, 1)])
+    df = df.join(under.join(over.hint("merge"), "up").hint("merge"), "up")
+    p = []
     for m in MODELS:
-        weight = min(MOST_BACKOFF, max(LEAST_BACKOFF, sums[f"d_{m}"] / max(1.0, sums[f"t_{m}"])))
-        p = []
         for i in (0, 1):
-            if below is None:
-                back = (both(m) + 1) / (sums[f"t_{m}"] + space)
-            else:
-                share = (both(m) + 0.5) / (F.col(f"g_{m}") + 0.5 * space ** 0.5)
-                back = F.when(F.col(f"t_{m}") > 0, F.col(f"p{i}_{m}")).otherwise(1.0 / space_below) * share
-            p.append((1 - weight) * kept(i, m) / max(sums[f"k{i}_{m}"], 1e-9) + weight * back)
-        out += [p[0].alias(f"p0_{m}"), p[1].alias(f"p1_{m}"), both(m).alias(f"t_{m}"), F.log(p[1] / p[0]).alias(f"r_{m}")]
-    return written(df.select(*out), "tox-level", "snappy")
-
-
-def levels(train: DataFrame) -> list[DataFrame]:
-    """Log ratios by word, stem and short stem, each a table of exact keys that grows with the corpus."""
-    def of(c: int) -> Column:
-        return F.when(F.col("cls") == c, F.col("n")).otherwise(0)
-
-    def lefts(c: int) -> Column:
-        return F.when(F.col("cls") == c, F.col("left")).otherwise(0)
-
-    words = (train.mapInArrow(count_words, "w long, s6 long, s4 long, cls int, n long, left long").groupBy("w")
-             .agg(*[_contexts(F.sum(of(c)), F.bit_or(lefts(c))).alias(f"c{c}") for c in range(4)],
-                  F.min("s6").alias("s6"), F.min("s4").alias("s4")))
-    words = written(words, "tox-words", "snappy")
-    has = [F.sum((F.col(f"c{c}") > 0).cast("long")).alias(f"c{c}") for c in range(4)]
-    stems = words.groupBy("s6").agg(*has, F.min("s4").alias("s4"))
-    shorts = stems.groupBy("s4").agg(*has)
-    counts = [f"c{c}" for c in range(4)]
-    short = smoothed(shorts.select(F.col("s4").alias("key"), F.col("s4").alias("down"), *counts), SPACE[2], None)
-    stem = smoothed(stems.select(F.col("s6").alias("key"), F.col("s4").alias("down"), *counts), SPACE[1], short, SPACE[2])
-    # a word seen once has the ratio of its stem
-    word = smoothed(words.where("c0 + c1 + c2 + c3 > 1.5").select(F.col("w").alias("key"), F.col("s6").alias("down"), *counts),
-                    SPACE[0], stem, SPACE[1])
-    return [word, stem, short]
-
-
-def features(rows: DataFrame, tables: list[DataFrame], models: tuple[str, ...], score: Callable, schema: str) -> DataFrame:
-    """``score`` over the chunks of ``rows`` (doc_id, cls, text), with the ratios of each chunk's words by ``models``.
-
-    The distinct words of all chunks meet the tables by key and back off where
-    a key is missing; the ratios return to the chunks by number.
-    """
-    chunks = written(rows.mapInArrow(encode, "ids array<long>, cls array<int>, bound array<long>, w array<long>, "
-                                     "s6 array<long>, s4 array<long>, tokens binary")
-                     .withColumn("chunk", F.monotonically_increasing_id()), "tox-chunks")
-    each = chunks.select("chunk", F.posexplode(F.arrays_zip("w", "s6", "s4")).alias("i", "e")).select("chunk", "i", "e.*")
-    known = each.groupBy("w").agg(F.min("s6").alias("s6"), F.min("s4").alias("s4"))
-    for key, df in zip(("w", "s6", "s4"), tables, strict=True):
-        level = df.select(F.col("key").alias(key), *[F.col(f"r_{m}").alias(f"{key}_{m}") for m in models])
-        known = known.join(level.hint("merge"), key, "left")
-    ratio = written(known.select("w", *[F.coalesce(f"w_{m}", f"s6_{m}", f"s4_{m}", F.lit(0.0)).cast("float").alias(m)
-                                        for m in models]), "tox-ratios", "snappy")
-    back = (each.select("chunk", "i", "w").join(ratio.hint("merge"), "w").groupBy("chunk")
-            .agg(F.sort_array(F.collect_list(F.struct("i", *models))).alias("rs"))
-            .select("chunk", *[F.col(f"rs.{m}").alias(f"r_{m}") for m in models]))
-    return (chunks.select("chunk", "ids", "cls", "bound", "tokens").join(back.hint("merge"), "chunk", "left")
-            .mapInArrow(score, schema))
-
-
-def _parts(batch: pa.RecordBatch, models: tuple[str, ...]):
-    """(ids, classes, features by model) of every chunk."""
-    for i in range(batch.num_rows):
-        row = {c: batch.column(c)[i] for c in ("ids", "cls", "bound")}
-        token = np.frombuffer(batch.column("tokens")[i].as_py(), np.int32)
-        found = [batch.column(f"r_{m}")[i].values for m in models]       # None: a chunk without words
-        ratios = [np.zeros(0) if f is None else f.to_numpy(zero_copy_only=False).astype(np.float64)[token] for f in found]
-        bound = row["bound"].values.to_numpy()
-        yield row["ids"].values, row["cls"].values, [evidence(r, bound) for r in ratios]
+            kept = F.greatest(_n(i, m) - d[i, m], F.lit(0.0))
+            free = F.try_divide((F.col(f"f{i}_{m}") + PRIOR) * share(m), F.col(f"g_{m}"))
+            p.append(F.when(_seen(m), F.col(f"q{i}_{m}") * (kept + free) / (F.col(f"n{i}_{m}") + PRIOR)).alias(f"p{i}_{m}"))
+    return df.select("key", *[c for c in ("up", "k") if c in df.columns], *COUNTS, *p)
+
+
+def _ratio(m: str, over: str | None = None) -> Column:
+    r = F.try_divide(f"p1_{m}", f"p0_{m}")
+    return F.log(r if over is None else F.try_divide(r, over)).cast("float").alias(f"r_{m}")
+
+
+def bigram_level(df: DataFrame, top: DataFrame) -> DataFrame:
+    """``P(k | h)`` of the class bigrams (``key``, ``k``, ``h``, counts), backing off to ``P(k)``."""
+    d = _discounts(df)
+    context = df.groupBy("h").agg(*[F.sum(v).alias(f"{n}{i}_{m}") for m in MODELS for i in (0, 1) for n, v in (
+        ("n", _n(i, m)), ("f", F.least(_n(i, m), F.lit(d[i, m]))))])
+    q = top.select("k", *[F.col(f"p{i}_{m}").alias(f"q{i}_{m}") for m in MODELS for i in (0, 1)])
+    df = df.join(F.broadcast(q), "k").join(F.broadcast(context), "h")                # at most 2^16 classes each
+    p = [F.when(_seen(m), (F.greatest(_n(i, m) - d[i, m], F.lit(0.0)) + (F.col(f"f{i}_{m}") + PRIOR) * F.col(f"q{i}_{m}"))
+                / (F.col(f"n{i}_{m}") + PRIOR)).alias(f"p{i}_{m}") for m in MODELS for i in (0, 1)]
+    return df.select("key", *p)
+
+
+def ratios(train: DataFrame) -> DataFrame:
+    """(``key``, ``r_a``, ``r_b``, ``r_f``): log ratios of prefixes and words given their class, of classes and class bigrams."""
+    counted = train.mapInArrow(count_words, "level int, key long, s6 long, s4 long, k int, h int, cls int, n long")
+    of = [F.sum(F.when(F.col("cls") == c, F.col("n")).otherwise(0)).alias(f"c{c}") for c in range(4)]
+    rows = written(counted.groupBy("level", "key").agg(
+        *of, *[F.min(c).alias(c) for c in ("s6", "s4", "k", "h")]), "tox-counts", "snappy")
+    words, pairs = rows.where("level = 2"), rows.where("level = 3")
+    sums = [F.sum(c).alias(c) for c in COUNTS]
+    types = [F.sum(_seen(m).cast("long")).alias(f"t_{m}") for m in MODELS]        # different continuations
+    six = written(words.groupBy("s6").agg(*sums, *types, F.min("s4").alias("s4"), F.min("k").alias("k")), "tox-six", "snappy")
+    four = written(six.groupBy("s4").agg(*sums, *types, F.min("k").alias("k")), "tox-four", "snappy")
+    histories = pairs.groupBy("k").agg(*types, F.min("s4").alias("key"))
+    two = written(four.groupBy("k").agg(*sums).join(histories, "k"), "tox-two", "snappy")
+    top = written(top_level(two), "tox-level", "snappy")
+    count = lambda m: F.col(f"t_{m}").cast("double")
+    l4 = written(next_level(four.select(F.col("s4").alias("key"), F.col("k").alias("up"), "k", *COUNTS,
+                                        *[f"t_{m}" for m in MODELS]),
+                            top.drop("key").withColumnRenamed("k", "key"), count), "tox-level", "snappy")
+    l6 = written(next_level(six.select(F.col("s6").alias("key"), F.col("s4").alias("up"), "k", *COUNTS,
+                                       *[f"t_{m}" for m in MODELS]), l4, count), "tox-level", "snappy")
+    lw = next_level(words.select("key", F.col("s6").alias("up"), "k", *COUNTS), l6, lambda m: _n(0, m) + _n(1, m))
+    out = top.unionByName(bigram_level(pairs.select("key", "k", "h", *COUNTS), top), allowMissingColumns=True).select(
+        "key", *[_ratio(m) for m in MODELS])
+    base = F.broadcast(top.select("k", *[F.try_divide(f"p1_{m}", f"p0_{m}").alias(f"b_{m}") for m in MODELS]))
+    for level in (l4, l6, lw):
+        out = out.unionByName(level.join(base, "k").select("key", *[_ratio(m, f"b_{m}") for m in MODELS]))
+    return written(out, "tox-ratios", "snappy")
+
+
+# ------------------------------------------------------------------ evidence of documents
+
+
+def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (doc_id, cls, text) to groups: (ids, cls, sizes, packed texts)."""
+    ids, cls, texts, size = [], [], [], 0
+
+    def group() -> pa.RecordBatch:
+        blob = zstandard.ZstdCompressor(level=3).compress(b"".join(texts))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([ids], pa.list_(pa.int64())), pa.array([cls], pa.list_(pa.int32())),
+             pa.array([[len(t) for t in texts]], pa.list_(pa.int64())), pa.array([blob], pa.binary())],
+            ["ids", "cls", "sizes", "blob"])
+
+    for batch in batches:
+        for i, c, t in zip(*(batch.column(x).to_pylist() for x in ("doc_id", "cls", "text")), strict=True):
+            raw = (t or "").encode()
+            if texts and size + len(raw) > GROUP_BYTES:
+                yield group()
+                ids, cls, texts, size = [], [], [], 0
+            ids.append(i)
+            cls.append(c)
+            texts.append(raw)
+            size += len(raw)
+    if texts:
+        yield group()
+
+
+def pieces(sizes: np.ndarray, blob: bytes) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first document, end, bytes, offsets) of a packed group, about a megabyte at a time."""
+    data = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    column = pa.LargeStringArray.from_buffers(len(sizes), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data))
+    yield from text_chunks(column)
+
+
+def group_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Packed groups to (group, key): the distinct keys of all levels."""
+    for batch in batches:
+        for g, sizes, blob in zip(batch.column("group").to_pylist(), batch.column("sizes"), batch.column("blob"), strict=True):
+            found = [np.unique(np.concatenate(keys(data, offsets)[1]))
+                     for _, _, data, offsets in pieces(sizes.values.to_numpy(), blob.as_py())]
+            if found:
+                all_keys = np.unique(np.concatenate(found)).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(all_keys), g, np.int64)), pa.array(all_keys)],
+                                                 ["group", "key"])
+
+
+def word_ratios(levels: list[np.ndarray], known: np.ndarray, r: np.ndarray) -> np.ndarray:
+    """The ratio of every word: its longest known prefix given its class, and its class given the one before (or alone)."""
+    def look(key: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(known, key), len(known) - 1)
+        return np.where(known[at] == key, r[at], np.nan)
+    if not len(known):
+        return np.zeros(len(levels[0]))
+    four, six, word, bigram, two = (look(x.view(np.int64)) for x in levels)
+    own = np.where(~np.isnan(word), word, np.where(~np.isnan(six), six, np.nan_to_num(four)))
+    return own + np.where(~np.isnan(bigram), bigram, np.nan_to_num(two))
+
+
+def evidence(r: np.ndarray, bound: np.ndarray) -> np.ndarray:
+    """Features of every text from its words' ratios; text ``d`` has the words ``bound[d]`` to ``bound[d + 1]``."""
+    out = np.zeros((len(bound) - 1, FEATURES))
+    total = np.concatenate([[0.0], np.cumsum(r)])
+    for d in range(len(out)):
+        a, b = bound[d], bound[d + 1]
+        if b > a:
+            w = min(WINDOW, b - a)
+            passages = (total[a + w:b + 1] - total[a:b - w + 1]) / WINDOW
+            own = r[a:b]
+            top = np.partition(own, len(own) - TOP)[-TOP:] if len(own) > TOP else own
+            out[d] = (total[b] - total[a]) / (b - a), passages.max(), top.sum() / TOP, np.log(b - a)
+    return out
 
 
-def _crossed(batches):
+def features(rows: DataFrame, table_of_ratios: DataFrame, models: tuple[str, ...], score: Callable, schema: str) -> DataFrame:
+    """``score`` over the packed groups of ``rows`` (doc_id, cls, text), with the known ratios of their keys by ``models``."""
+    spark = rows.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = qualified(spark, f"tox_groups_{uuid.uuid4().hex[:10]}")
+    packed = rows.mapInArrow(pack, "ids array<long>, cls array<int>, sizes array<long>, blob binary")
+    (packed.withColumn("group", F.monotonically_increasing_id()).write.format("parquet")
+     .option("compression", "uncompressed").bucketBy(n, "group").saveAsTable(name))
+    groups = spark.table(name)
+    wanted = groups.select("group", "sizes", "blob").mapInArrow(group_keys, "group long, key long")
+    known = wanted.join(table_of_ratios.select("key", *[f"r_{m}" for m in models]).hint("merge"), "key")
+    back = known.groupBy("group").agg(F.collect_list(F.struct("key", *[f"r_{m}" for m in models])).alias("known"))
+    back = back.select("group", "known.key", *[F.col(f"known.r_{m}").alias(f"r_{m}") for m in models])
+    return groups.join(back.hint("merge"), "group", "left").mapInArrow(score, schema)
+
+
+def _groups(batch: pa.RecordBatch, models: tuple[str, ...]):
+    """(ids, classes, features by model) of every piece of every group."""
+    for i in range(batch.num_rows):
+        ids, cls, sizes = (batch.column(c)[i].values for c in ("ids", "cls", "sizes"))
+        found = batch.column("key")[i].values                          # None: nothing known
+        known = np.zeros(0, np.int64) if found is None else found.to_numpy()
+        order = np.argsort(known)
+        r = [np.zeros(0) if found is None else
+             batch.column(f"r_{m}")[i].values.to_numpy(zero_copy_only=False).astype(np.float64)[order] for m in models]
+        for a, b, data, offsets in pieces(sizes.to_numpy(), batch.column("blob")[i].as_py()):
+            doc, levels, _, _ = keys(data, offsets)
+            bound = np.searchsorted(doc, np.arange(b - a + 1))
+            yield ids[a:b], cls[a:b], [evidence(word_ratios(levels, known[order], x), bound) for x in r]
+
+
+def _crossed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Features of training rows, each by the counts of the other half."""
+    names = [f"f{i}" for i in range(FEATURES)]
     for batch in batches:
-        for _, cls, (a, b) in _parts(batch, ("a", "b")):
+        for _, cls, (a, b) in _groups(batch, ("a", "b")):
             cls = cls.to_numpy()
             x = np.where((cls >= 2)[:, None], a, b)
-            yield pa.RecordBatch.from_arrays([pa.array(x[:, i]) for i in range(4)] + [pa.array((cls % 2).astype(np.int32))],
-                                             ["f0", "f1", "f2", "f3", "y"])
+            yield pa.RecordBatch.from_arrays([pa.array(x[:, i]) for i in range(FEATURES)]
+                                             + [pa.array((cls % 2).astype(np.int32))], [*names, "y"])
+
 
+class Rising:
+    """A logistic regression in which more evidence never lowers the score.
+
+    Evidence that got a negative weight beside the rest is left out, the
+    worst first, and the length (the last feature) stays within what was seen.
+    """
 
-def _scorer(logistic: Logistic) -> Callable:
-    def score(batches):
+    def __init__(self, x: np.ndarray, y: np.ndarray):
+        self.low, self.high = (x[:, -1].min(), x[:, -1].max()) if len(x) else (0.0, 0.0)
+        self.used = list(range(x.shape[1]))
+        while True:
+            self.logistic = Logistic(x[:, self.used], y)
+            if self.logistic.constant is not None or len(self.used) == 1:
+                return
+            worst = int(np.argmin(self.logistic.weights[:len(self.used) - 1]))
+            if self.logistic.weights[worst] >= 0:
+                return
+            del self.used[worst]
+
+    def __call__(self, x: np.ndarray) -> np.ndarray:
+        x = np.column_stack([x[:, :-1], np.clip(x[:, -1], self.low, self.high)])
+        return self.logistic(x[:, self.used])
+
+
+def _scorer(logistic: Rising) -> Callable:
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, _, (x,) in _parts(batch, ("f",)):
+            for ids, _, (x,) in _groups(batch, ("f",)):
                 yield pa.RecordBatch.from_arrays([ids, pa.array(logistic(x))], ["doc_id", "score"])
     return score
 
@@ -255,13 +392,13 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rows = sum(count.values())
     if not all((count.get(c, 0) + count.get(c + 2, 0)) for c in (0, 1)):
         return docs.select("doc_id", F.lit(0.0).alias("score"))
-    tables = levels(train)
+    known = ratios(train)
     part = F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(1 << 20)) < int((1 << 20) * min(1.0, 1.1 * FIT_ROWS / rows))
-    fit = features(train.where(part), tables, ("a", "b"), _crossed,
-                   "f0 double, f1 double, f2 double, f3 double, y int").limit(FIT_ROWS).toArrow()
-    x = np.stack([fit.column(f"f{i}").to_numpy() for i in range(4)], 1)
-    logistic = Logistic(x, fit.column("y").to_numpy())
-    return features(docs.select("doc_id", F.lit(-1).alias("cls"), "text"), tables, ("f",), _scorer(logistic),
+    fit = features(train.where(part), known, ("a", "b"), _crossed,
+                   ", ".join(f"f{i} double" for i in range(FEATURES)) + ", y int").limit(FIT_ROWS).toArrow()
+    x = np.stack([fit.column(f"f{i}").to_numpy() for i in range(FEATURES)], 1)
+    logistic = Rising(x, fit.column("y").to_numpy())
+    return features(docs.select("doc_id", F.lit(-1).alias("cls"), "text"), known, ("f",), _scorer(logistic),
                     "doc_id long, score double")
 
 

@@ -444,17 +444,112 @@ def test_toxicity_on_held_out_rows(spark):
     assert tuple(blind) == (0.0, 0.0)
 
 
-def test_words_keep_their_own_counts(spark):
-    """Words that agree in any number of low hash bits stay apart, and an unseen word has no ratio."""
+def plain_ratios(rows):
+    """The smoothed log ratios of one model in plain Python: {prefix or word: ratio}, {(class before, class): ratio}."""
+    cut = (2, 4, 6, None)
+    n = [[collections.Counter(), collections.Counter()] for _ in cut]
+    big = [collections.Counter(), collections.Counter()]
+    for text, y in rows:
+        low = re.sub("[A-Z]", lambda m: m.group().lower(), text or "")
+        words = [w.encode() for w in re.findall(r"[a-z0-9\x80-\U0010ffff]+", low)]
+        for v, w in set(zip([b"", *[w[:2] for w in words]], words)):
+            big[y][v, w[:2]] += 1
+            for k, c in enumerate(cut):
+                n[k][y][w[:c]] += 1
+
+    def discount(c):
+        one, two = (sum(x == v for x in c.values()) for v in (1, 2))
+        return one / max(1, one + 2 * two)
+
+    def children(k):
+        out = collections.Counter()
+        for x in set(n[k + 1][0]) | set(n[k + 1][1]):
+            out[x[:cut[k]]] += 1
+        return out
+
+    share = [collections.Counter(k for _, k in set(big[0]) | set(big[1])), children(1), children(2), n[3][0] + n[3][1]]
+    p = [[{}, {}] for _ in cut]
+    for y in (0, 1):
+        total = sum(n[0][y].values())
+        d = discount(n[0][y])
+        free = sum(min(v, d) for v in n[0][y].values())
+        p[0][y] = {x: (max(n[0][y][x] - d, 0) + (free + TX.PRIOR) * t / sum(share[0].values())) / (total + TX.PRIOR)
+                   for x, t in share[0].items()}
+        for k in (1, 2, 3):
+            d = discount(n[k][y])
+            weight, freed = collections.Counter(), collections.Counter()
+            for x, v in share[k].items():
+                weight[x[:cut[k - 1]]] += v
+            for x, v in n[k][y].items():
+                freed[x[:cut[k - 1]]] += min(v, d)
+            for x, v in share[k].items():
+                up = x[:cut[k - 1]]
+                p[k][y][x] = p[k - 1][y][up] * (max(n[k][y][x] - d, 0) + (freed[up] + TX.PRIOR) * v / weight[up]) / (
+                    n[k - 1][y][up] + TX.PRIOR)
+    words = {(k, x): np.log(p[k][1][x] / p[k][0][x] / (p[0][1][x[:2]] / p[0][0][x[:2]])) for k in (1, 2, 3) for x in share[k]}
+    pair = {(None, k): np.log(p[0][1][k] / p[0][0][k]) for k in share[0]}
+    for h, k in set(big[0]) | set(big[1]):
+        q = []
+        for y in (0, 1):
+            d = discount(big[y])
+            here = [v for (x, _), v in big[y].items() if x == h]
+            q.append((max(big[y][h, k] - d, 0) + (sum(min(v, d) for v in here) + TX.PRIOR) * p[0][y][k])
+                     / (sum(here) + TX.PRIOR))
+        pair[h, k] = np.log(q[1] / q[0])
+    return words, pair
+
+
+def test_smoothed_ratios_equal_plain_python(spark):
+    """Every ratio of every model, and the evidence of words that back off, against plain counts."""
+    docs, labels, _ = labelled_corpus(spark, 260)
+    extra = spark.createDataFrame([(5000 + i, f"é{'ab' * i} vilewort q Zz_zz", "en", "a", 0) for i in range(9)], SCHEMA)
+    known = spark.createDataFrame([(5000 + i, 1, i % 2) for i in range(9)], "doc_id long, quality int, toxic int")
+    train = TX.training_rows(docs.unionByName(extra), labels.unionByName(known)).cache()
+    got = {r.key: (r.r_a, r.r_b, r.r_f) for r in TX.ratios(train).collect()}
+    rows = [(r.text, r.cls) for r in train.collect()]
+
+    def key(text, level, at):
+        _, _, data, offsets = next(iter(text_chunks(pa.array([text]))))
+        return int(TX.keys(data, offsets)[1][level].view(np.int64)[at])
+    seen = 0
+    for i, halves in enumerate(((0, 1), (2, 3), (0, 1, 2, 3))):
+        words, pair = plain_ratios([(t, c % 2) for t, c in rows if c in halves])
+        own = {}
+        for (k, x), r in words.items():
+            if k == 3:
+                text = x.decode()
+                own[key(text, 2, 0)] = r
+                for level, cut in ((0, 4), (1, 6)):
+                    own[key(text, level, 0)] = words[level + 1, x[:cut]]
+        assert len(own) == len(words)
+        for h, k in pair:
+            if h is None:
+                word = next(x for j, x in words if j == 3 and x[:2] == k)
+                own[key(word.decode(), 4, 0)] = pair[None, k]
+            elif h and h.isalnum() and k.isalnum():
+                own[key(f"{h.decode()} {k.decode()}", 3, 1)] = pair[h, k]
+        for at, r in own.items():
+            assert got[at][i] == pytest.approx(r, abs=1e-4)
+        seen += len(own)
+    assert seen > 1500
+    # a word never seen takes its longest known prefix; what nobody has seen moves nothing
+    known_keys = np.array(sorted(got), np.int64)
+    r = np.array([np.nan if got[k][2] is None else got[k][2] for k in known_keys.tolist()])
+    words, _ = plain_ratios([(t, c % 2) for t, c in rows])
+    _, _, data, offsets = next(iter(text_chunks(pa.array(["grosstxyz", "~", "ωψ"]))))
+    levels = TX.keys(data, offsets)[1]
+    levels[3][:] = levels[4][:] = 1                             # without history and class
+    assert TX.word_ratios(levels, known_keys, r) == pytest.approx([words[2, b"grosst"], 0.0], abs=1e-4)
+
+
+def test_toxicity_of_repeated_and_very_long_texts(spark):
     docs, labels, _ = labelled_corpus(spark, 300)
-    train = TX.training_rows(docs, labels)
-    texts = [r.text for r in train.select("text").collect()]
-    words = {h for _, _, d, o in text_chunks(pa.array(texts)) for h in TX.keys(d, o)[1][0].view(np.int64).tolist()}
-    word, stem, short = TX.levels(train)
-    got = {r.key for r in word.select("key").collect()}
-    assert got <= words and len(got) > 300
-    assert word.count() == word.select("key").distinct().count()
-    assert any(k < 0 or k >> 21 for k in got)                   # whole keys, not bucket numbers
+    long = " ".join(R.choice(WORDS) for _ in range(400_000))
+    odd = spark.createDataFrame([(9000, long, "en", "a", 0), (9000, long, "en", "a", 0), (9001, "é" * 100_000, "en", "a", 0),
+                                 (9002, "vilewort nastyterm " * 50, "en", "a", 0)], SCHEMA)
+    got = sorted((r.doc_id, r.score) for r in TX.toxicity(docs.unionByName(odd), labels).where("doc_id >= 9000").collect())
+    assert [i for i, _ in got] == [9000, 9000, 9001, 9002] and got[0] == got[1]
+    assert all(s < TX.THRESHOLD for _, s in got[:3]) and got[3][1] > TX.THRESHOLD
 
 
 def test_held_out_labels_are_not_read(spark):
@@ -486,7 +581,8 @@ def test_sparse_hosts_shrink_to_the_prior(spark):
 
 def test_empty_tables(spark, empty, tmp_path):
     for t, schema in (("documents", SCHEMA), ("labels", "doc_id long, quality int, toxic int"),
-                      ("pages", "page_id long, url string, html string"), ("benchmark", "item_id long, text string")):
+                      ("pages", "page_id long, url string, html string"), ("benchmark", "item_id long, text string"),
+                      ("conversations", "conv_id long, turn long, role string, text string")):
         spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{t}.parquet")
     from hopgraph.llm.queries import QUERIES
     for name, query in QUERIES.items():
