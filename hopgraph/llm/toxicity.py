@@ -32,8 +32,9 @@ counts of the other half of the training rows.
 The counts cover every training row.  The table of ratios holds exact (64-bit)
 keys, lies in the shared folder and grows with the corpus; nothing of it is
 broadcast.  Texts are packed once, in groups of about ``GROUP_BYTES``, into a
-table bucketed by group; the distinct keys of each group are joined to the
-table, and the known ones return to their group, which does not move.
+table bucketed by group, and do not move again: labels come to the groups by
+id, the distinct keys of each group are joined to the table of ratios, and the
+known ones return to their group.
 
 Cases: NULL and empty texts have no evidence and get the model's base score;
 labels are joined by id (the largest label of an id counts); rows with a NULL
@@ -64,7 +65,8 @@ PRIOR = 20.0
 WINDOW = 10
 TOP = 5
 FIT_ROWS = 20_000
-GROUP_BYTES = 24 << 20
+GROUP_BYTES = 16 << 20
+SUM_ROWS = 1_000_000
 THRESHOLD = 0.7
 HELD_OUT = 1               # crc32(doc_id) mod 3
 #: sets the keys of the levels apart: two prefixes, words, class bigrams, classes
@@ -103,38 +105,127 @@ def _firsts(*columns: np.ndarray) -> np.ndarray:
     return np.unique(key, return_index=True)[1]
 
 
+COUNT_COLUMNS = [("level", np.int32), ("key", np.int64), ("s6", np.int64), ("s4", np.int64), ("k", np.int32),
+                 ("h", np.int32), ("cls", np.int32), ("n", np.int64)]
+
+
+def _summed(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
+    """Count rows added up by key and class."""
+    columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
+    own = mixed(columns[1].view(np.uint64) ^ (columns[6].astype(np.uint64) + np.uint64(1)))
+    _, first, which = np.unique(own, return_index=True, return_inverse=True)
+    n = np.bincount(which, weights=columns[7]).astype(np.int64)
+    return [*[c[first] for c in columns[:-1]], n]
+
+
 def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (text, cls) to counts by key and class, summed within a chunk.
+    """Packed groups with their labelled documents to counts by key and class, summed within a task.
 
     ``level`` 2 has words with the keys of their prefixes and their class; 3 has class bigrams
     with the key of the class in the prefixes' place.
     """
+    def out(rows: list[np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in rows], [n for n, _ in COUNT_COLUMNS])
+
+    parts: list[list[np.ndarray]] = []
+    size = 0
     for batch in batches:
-        cls = np.asarray(batch.column("cls"), np.int64)
-        for row, _, data, offsets in text_chunks(batch.column("text")):
-            doc, (s4, s6, w, big, two), k, h = keys(data, offsets)
-            if not len(w):
-                continue
-            once = _firsts(doc, w, h)
-            for level, key in ((2, w), (3, big)):
-                c = cls[row + doc[once]]
-                own = mixed(key[once] ^ (c.astype(np.uint64) + np.uint64(1)))
-                _, back, n = np.unique(own, return_index=True, return_counts=True)
-                at = once[back]
-                up = [s6, s4] if level == 2 else [two, two]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(at), level, np.int32))] + [pa.array(x[at].view(np.int64)) for x in (key, *up)]
-                    + [pa.array(k[at]), pa.array(h[at]), pa.array(cls[row + doc[at]].astype(np.int32)),
-                       pa.array(n.astype(np.int64))], ["level", "key", "s6", "s4", "k", "h", "cls", "n"])
-
-
-def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(``doc_id``, ``text``, ``cls``): labelled rows outside the held-out third; cls = 2 * half + toxic."""
+        for _, cls, pieces_ in _labelled(batch):
+            for a, _, data, offsets in pieces_:
+                doc, (s4, s6, w, big, two), k, h = keys(data, offsets)
+                if not len(w):
+                    continue
+                once = _firsts(doc, w, h)
+                c = cls[a + doc[once]]
+                one = np.ones(len(once), np.int64)
+                for level, of in ((2, (w, s6, s4)), (3, (big, two, two))):
+                    new = _summed([[np.full(len(once), level, np.int32), *[x[once].view(np.int64) for x in of], k[once],
+                                    h[once], c, one]])
+                    parts.append(new)
+                    size += len(new[0])
+                if size > SUM_ROWS:
+                    parts = [_summed(parts)]
+                    size = len(parts[0][0])
+                    if size > SUM_ROWS // 2:
+                        yield out(parts[0])
+                        parts, size = [], 0
+    if parts:
+        yield out(_summed(parts))
+
+
+# ------------------------------------------------------------------ packed texts and their labels
+
+
+def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (doc_id, text) to groups: (ids, sizes, packed texts)."""
+    ids, texts, size = [], [], 0
+
+    def group() -> pa.RecordBatch:
+        blob = zstandard.ZstdCompressor(level=3).compress(b"".join(texts))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([ids], pa.list_(pa.int64())), pa.array([[len(t) for t in texts]], pa.list_(pa.int64())),
+             pa.array([blob], pa.binary())], ["ids", "sizes", "blob"])
+
+    for batch in batches:
+        for i, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            raw = (t or "").encode()
+            if texts and size + len(raw) > GROUP_BYTES:
+                yield group()
+                ids, texts, size = [], [], 0
+            ids.append(i)
+            texts.append(raw)
+            size += len(raw)
+    if texts:
+        yield group()
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """(``group``, ``ids``, ``sizes``, ``blob``): all texts, stored by group."""
+    spark = docs.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = qualified(spark, f"tox_groups_{uuid.uuid4().hex[:10]}")
+    groups = docs.select("doc_id", "text").mapInArrow(pack, "ids array<long>, sizes array<long>, blob binary")
+    (groups.withColumn("group", F.monotonically_increasing_id()).write.format("parquet")
+     .option("compression", "uncompressed").bucketBy(n, "group").saveAsTable(name))
+    return spark.table(name)
+
+
+def labelled(groups: DataFrame, labels: DataFrame) -> DataFrame:
+    """(``group``, ``doc_id``, ``pos``, ``cls``): labelled documents outside the held-out third; cls = 2 * half + toxic."""
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("y"))
     fold = fold_of(F.col("doc_id"))
+    rows = groups.select("group", F.posexplode("ids").alias("pos", "doc_id")).where(fold != HELD_OUT)
     # a merge join at every size: labels grow with the corpus, and AQE can split a repeated id
-    rows = docs.select("doc_id", "text").where(fold != HELD_OUT).join(known.hint("merge"), "doc_id")
-    return rows.select("doc_id", "text", (F.when(fold == 2, 2).otherwise(0) + (F.col("y") > 0).cast("int")).alias("cls"))
+    rows = rows.join(known.hint("merge"), "doc_id")
+    return rows.select("group", "doc_id", "pos",
+                       (F.when(fold == 2, 2).otherwise(0) + (F.col("y") > 0).cast("int")).alias("cls"))
+
+
+def with_labels(groups: DataFrame, rows: DataFrame) -> DataFrame:
+    """Groups that hold documents of ``rows``, with those documents' places and classes."""
+    lists = rows.groupBy("group").agg(F.collect_list("pos").alias("pos"), F.collect_list("cls").alias("cls"))
+    return groups.join(lists.hint("merge"), "group")
+
+
+def pieces(sizes: np.ndarray, data: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first document, end, bytes, offsets) of a group's texts, about a megabyte at a time."""
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+    yield from text_chunks(pa.LargeStringArray.from_buffers(len(sizes), pa.py_buffer(offsets), pa.py_buffer(data)))
+
+
+def _labelled(batch: pa.RecordBatch):
+    """(row, classes, pieces) of every group: only its labelled documents, if it comes with labels, or all."""
+    names = batch.schema.names
+    for i in range(batch.num_rows):
+        sizes = batch.column("sizes")[i].values.to_numpy()
+        data = np.frombuffer(zstandard.ZstdDecompressor().decompress(batch.column("blob")[i].as_py()), np.uint8)
+        cls = None
+        if "pos" in names:
+            pos, cls = (np.asarray(batch.column(c)[i].values.to_numpy()) for c in ("pos", "cls"))
+            begin = np.concatenate([[0], np.cumsum(sizes)])
+            data = np.concatenate([data[begin[p]:begin[p + 1]] for p in pos])
+            sizes = sizes[pos]
+        yield i, cls, pieces(sizes, data)
 
 
 # ------------------------------------------------------------------ smoothing (native)
@@ -206,9 +297,9 @@ def bigram_level(df: DataFrame, top: DataFrame) -> DataFrame:
     return df.select("key", *p)
 
 
-def ratios(train: DataFrame) -> DataFrame:
+def ratios(groups: DataFrame) -> DataFrame:
     """(``key``, ``r_a``, ``r_b``, ``r_f``): log ratios of prefixes and words given their class, of classes and class bigrams."""
-    counted = train.mapInArrow(count_words, "level int, key long, s6 long, s4 long, k int, h int, cls int, n long")
+    counted = groups.select("sizes", "blob", "pos", "cls").mapInArrow(count_words, "level int, key long, s6 long, s4 long, k int, h int, cls int, n long")
     of = [F.sum(F.when(F.col("cls") == c, F.col("n")).otherwise(0)).alias(f"c{c}") for c in range(4)]
     rows = written(counted.groupBy("level", "key").agg(
         *of, *[F.min(c).alias(c) for c in ("s6", "s4", "k", "h")]), "tox-counts", "snappy")
@@ -238,47 +329,14 @@ def ratios(train: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ evidence of documents
 
 
-def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (doc_id, cls, text) to groups: (ids, cls, sizes, packed texts)."""
-    ids, cls, texts, size = [], [], [], 0
-
-    def group() -> pa.RecordBatch:
-        blob = zstandard.ZstdCompressor(level=3).compress(b"".join(texts))
-        return pa.RecordBatch.from_arrays(
-            [pa.array([ids], pa.list_(pa.int64())), pa.array([cls], pa.list_(pa.int32())),
-             pa.array([[len(t) for t in texts]], pa.list_(pa.int64())), pa.array([blob], pa.binary())],
-            ["ids", "cls", "sizes", "blob"])
-
-    for batch in batches:
-        for i, c, t in zip(*(batch.column(x).to_pylist() for x in ("doc_id", "cls", "text")), strict=True):
-            raw = (t or "").encode()
-            if texts and size + len(raw) > GROUP_BYTES:
-                yield group()
-                ids, cls, texts, size = [], [], [], 0
-            ids.append(i)
-            cls.append(c)
-            texts.append(raw)
-            size += len(raw)
-    if texts:
-        yield group()
-
-
-def pieces(sizes: np.ndarray, blob: bytes) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first document, end, bytes, offsets) of a packed group, about a megabyte at a time."""
-    data = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
-    offsets = np.concatenate([[0], np.cumsum(sizes)])
-    column = pa.LargeStringArray.from_buffers(len(sizes), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data))
-    yield from text_chunks(column)
-
-
 def group_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Packed groups to (group, key): the distinct keys of all levels."""
     for batch in batches:
-        for g, sizes, blob in zip(batch.column("group").to_pylist(), batch.column("sizes"), batch.column("blob"), strict=True):
-            found = [np.unique(np.concatenate(keys(data, offsets)[1]))
-                     for _, _, data, offsets in pieces(sizes.values.to_numpy(), blob.as_py())]
+        for i, _, pieces_ in _labelled(batch):
+            found = [np.unique(np.concatenate(keys(data, offsets)[1])) for _, _, data, offsets in pieces_]
             if found:
                 all_keys = np.unique(np.concatenate(found)).view(np.int64)
+                g = batch.column("group")[i].as_py()
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(all_keys), g, np.int64)), pa.array(all_keys)],
                                                  ["group", "key"])
 
@@ -310,46 +368,41 @@ def evidence(r: np.ndarray, bound: np.ndarray) -> np.ndarray:
     return out
 
 
-def features(rows: DataFrame, table_of_ratios: DataFrame, models: tuple[str, ...], score: Callable, schema: str) -> DataFrame:
-    """``score`` over the packed groups of ``rows`` (doc_id, cls, text), with the known ratios of their keys by ``models``."""
-    spark = rows.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    name = qualified(spark, f"tox_groups_{uuid.uuid4().hex[:10]}")
-    packed = rows.mapInArrow(pack, "ids array<long>, cls array<int>, sizes array<long>, blob binary")
-    (packed.withColumn("group", F.monotonically_increasing_id()).write.format("parquet")
-     .option("compression", "uncompressed").bucketBy(n, "group").saveAsTable(name))
-    groups = spark.table(name)
-    wanted = groups.select("group", "sizes", "blob").mapInArrow(group_keys, "group long, key long")
-    known = wanted.join(table_of_ratios.select("key", *[f"r_{m}" for m in models]).hint("merge"), "key")
-    back = known.groupBy("group").agg(F.collect_list(F.struct("key", *[f"r_{m}" for m in models])).alias("known"))
-    back = back.select("group", "known.key", *[F.col(f"known.r_{m}").alias(f"r_{m}") for m in models])
+def features(groups: DataFrame, table_of_ratios: DataFrame, models: tuple[str, ...], score: Callable, schema: str) -> DataFrame:
+    """``score`` over packed groups, with the known ratios of their keys by ``models``."""
+    texts = [c for c in ("sizes", "blob", "pos", "cls") if c in groups.columns]
+    wanted = groups.select("group", *texts).mapInArrow(group_keys, "group long, key long")
+    known = wanted.join(table_of_ratios.select("key", *[F.coalesce(f"r_{m}", F.lit(float("nan")).cast("float")).alias(f"r_{m}")
+                                                        for m in models]).hint("merge"), "key")
+    # plain lists beside each other, none with a NULL: every row adds one element to each
+    back = known.groupBy("group").agg(*[F.collect_list(c).alias(c) for c in ("key", *[f"r_{m}" for m in models])])
     return groups.join(back.hint("merge"), "group", "left").mapInArrow(score, schema)
 
 
-def _groups(batch: pa.RecordBatch, models: tuple[str, ...]):
-    """(ids, classes, features by model) of every piece of every group."""
-    for i in range(batch.num_rows):
-        ids, cls, sizes = (batch.column(c)[i].values for c in ("ids", "cls", "sizes"))
+def _evidence(batch: pa.RecordBatch, models: tuple[str, ...]):
+    """(row, first document, end, classes, features by model) of every piece of every group."""
+    for i, cls, pieces_ in _labelled(batch):
         found = batch.column("key")[i].values                          # None: nothing known
         known = np.zeros(0, np.int64) if found is None else found.to_numpy()
         order = np.argsort(known)
+        known = known[order]
         r = [np.zeros(0) if found is None else
              batch.column(f"r_{m}")[i].values.to_numpy(zero_copy_only=False).astype(np.float64)[order] for m in models]
-        for a, b, data, offsets in pieces(sizes.to_numpy(), batch.column("blob")[i].as_py()):
+        for a, b, data, offsets in pieces_:
             doc, levels, _, _ = keys(data, offsets)
             bound = np.searchsorted(doc, np.arange(b - a + 1))
-            yield ids[a:b], cls[a:b], [evidence(word_ratios(levels, known[order], x), bound) for x in r]
+            yield i, a, b, cls, [evidence(word_ratios(levels, known, x), bound) for x in r]
 
 
 def _crossed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Features of training rows, each by the counts of the other half."""
+    """Features of labelled documents, each by the counts of the other half."""
     names = [f"f{i}" for i in range(FEATURES)]
     for batch in batches:
-        for _, cls, (a, b) in _groups(batch, ("a", "b")):
-            cls = cls.to_numpy()
-            x = np.where((cls >= 2)[:, None], a, b)
+        for _, a, b, cls, (first, second) in _evidence(batch, ("a", "b")):
+            c = cls[a:b]
+            x = np.where((c >= 2)[:, None], first, second)
             yield pa.RecordBatch.from_arrays([pa.array(x[:, i]) for i in range(FEATURES)]
-                                             + [pa.array((cls % 2).astype(np.int32))], [*names, "y"])
+                                             + [pa.array((c % 2).astype(np.int32))], [*names, "y"])
 
 
 class Rising:
@@ -379,27 +432,28 @@ class Rising:
 def _scorer(logistic: Rising) -> Callable:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, _, (x,) in _groups(batch, ("f",)):
+            for i, a, b, _, (x,) in _evidence(batch, ("f",)):
+                ids = batch.column("ids")[i].values[a:b]
                 yield pa.RecordBatch.from_arrays([ids, pa.array(logistic(x))], ["doc_id", "score"])
     return score
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(``doc_id``, ``score``) for every row of ``docs`` (doc_id, text)."""
-    train = written(training_rows(docs, labels), "tox-train")
+    groups = packed(docs)
+    train = written(labelled(groups, labels), "tox-train")
     n = train.groupBy("cls").count().collect()     # four rows
     count = {r["cls"]: r["count"] for r in n}
     rows = sum(count.values())
     if not all((count.get(c, 0) + count.get(c + 2, 0)) for c in (0, 1)):
         return docs.select("doc_id", F.lit(0.0).alias("score"))
-    known = ratios(train)
+    known = ratios(with_labels(groups, train))
     part = F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(1 << 20)) < int((1 << 20) * min(1.0, 1.1 * FIT_ROWS / rows))
-    fit = features(train.where(part), known, ("a", "b"), _crossed,
+    fit = features(with_labels(groups, train.where(part)), known, ("a", "b"), _crossed,
                    ", ".join(f"f{i} double" for i in range(FEATURES)) + ", y int").limit(FIT_ROWS).toArrow()
     x = np.stack([fit.column(f"f{i}").to_numpy() for i in range(FEATURES)], 1)
     logistic = Rising(x, fit.column("y").to_numpy())
-    return features(docs.select("doc_id", F.lit(-1).alias("cls"), "text"), known, ("f",), _scorer(logistic),
-                    "doc_id long, score double")
+    return features(groups, known, ("f",), _scorer(logistic), "doc_id long, score double")
 
 
 def op9_toxicity(spark, sf_dir) -> DataFrame:

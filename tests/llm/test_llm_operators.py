@@ -504,9 +504,13 @@ def test_smoothed_ratios_equal_plain_python(spark):
     docs, labels, _ = labelled_corpus(spark, 260)
     extra = spark.createDataFrame([(5000 + i, f"é{'ab' * i} vilewort q Zz_zz", "en", "a", 0) for i in range(9)], SCHEMA)
     known = spark.createDataFrame([(5000 + i, 1, i % 2) for i in range(9)], "doc_id long, quality int, toxic int")
-    train = TX.training_rows(docs.unionByName(extra), labels.unionByName(known)).cache()
-    got = {r.key: (r.r_a, r.r_b, r.r_f) for r in TX.ratios(train).collect()}
-    rows = [(r.text, r.cls) for r in train.collect()]
+    everything = docs.unionByName(extra)
+    groups = TX.packed(everything)
+    train = TX.labelled(groups, labels.unionByName(known))
+    got = {r.key: (r.r_a, r.r_b, r.r_f) for r in TX.ratios(TX.with_labels(groups, train)).collect()}
+    text = {r.doc_id: r.text for r in everything.collect()}
+    rows = [(text[r.doc_id], r.cls) for r in train.collect()]
+    assert {c for _, c in rows} == {0, 1, 2, 3} and len(rows) == sum(zlib.crc32(str(i).encode()) % 3 != 1 for i in text)
 
     def key(text, level, at):
         _, _, data, offsets = next(iter(text_chunks(pa.array([text]))))
