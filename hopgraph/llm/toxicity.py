@@ -59,18 +59,17 @@ from hopgraph.llm.fitting import Logistic
 from hopgraph.llm.hashing import _LOWER, PUNCTUATION, mixed, span_hashes, text_chunks, word_spans
 from hopgraph.plans.stored import qualified
 
-PREFIXES = (4, 6)          # bytes, below the class of two
 MODELS = {"a": ((0,), (1,)), "b": ((2,), (3,)), "f": ((0, 2), (1, 3))}     # classes: ordinary, toxic
 PRIOR = 20.0
 WINDOW = 10
 TOP = 5
-FIT_ROWS = 20_000
-GROUP_BYTES = 16 << 20
+FIT_ROWS = 6_000
+GROUP_BYTES = 32 << 20
 SUM_ROWS = 1_000_000
 THRESHOLD = 0.7
 HELD_OUT = 1               # crc32(doc_id) mod 3
-#: sets the keys of the levels apart: two prefixes, words, class bigrams, classes
-LEVEL = list(mixed(np.arange(1, 6, dtype=np.uint64)))
+#: keys of the levels are numbers of their bytes under a tag: four bytes, six, class bigram, class; words are hashes below zero
+FOUR, SIX, PAIR, CLASS = (i << 56 for i in (1, 2, 3, 4))
 FEATURES = 4
 
 
@@ -82,19 +81,26 @@ def fold_of(doc_id: Column) -> Column:
 
 
 def keys(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
-    """(document number, keys of [four bytes, six bytes, word, class bigram, class], class, class before) of every word."""
+    """(document number, keys of [four bytes, six bytes, word, class bigram, class], first six bytes, class before).
+
+    Six bytes are one number (shorter words end in zeros, which no word holds); their first four and their
+    class are that number shifted right.
+    """
     s, e, doc = word_spans(data, offsets, PUNCTUATION)
     if not len(s):
         z = np.zeros(0, np.uint64)
-        return doc, [z] * 5, np.zeros(0, np.int32), np.zeros(0, np.int32)
-    low = _LOWER[data].astype(np.int32)
-    second = np.where(e - s > 1, low[np.minimum(s + 1, len(data) - 1)], 0)
-    k = (low[s] << 8) | second
-    h = np.concatenate([[0], k[:-1]]).astype(np.int32)
+        return doc, [z] * 5, z, np.zeros(0, np.int32)
+    low = _LOWER[data].astype(np.uint64)
+    six = np.zeros(len(s), np.uint64)
+    for i in range(6):
+        six = (six << np.uint64(8)) | np.where(e - s > i, low[np.minimum(s + i, len(data) - 1)], np.uint64(0))
+    four, k = six >> np.uint64(16), six >> np.uint64(32)
+    h = np.concatenate([np.zeros(1, np.uint64), k[:-1]])
     h[np.concatenate([[True], doc[1:] != doc[:-1]])] = 0             # a text's first word has no history
-    hashes = span_hashes(data, [(s, np.minimum(e, s + n)) for n in PREFIXES] + [(s, e)])
-    bigram = (h.astype(np.uint64) << np.uint64(16)) | k.astype(np.uint64)
-    return doc, [mixed(x ^ lv) for x, lv in zip([*hashes, mixed(bigram), mixed(k.astype(np.uint64))], LEVEL, strict=True)], k, h
+    word = span_hashes(data, [(s, e)])[0] | np.uint64(1 << 63)
+    pair = (h << np.uint64(16)) | k
+    tagged = [x | np.uint64(tag) for x, tag in ((four, FOUR), (six, SIX), (pair, PAIR), (k, CLASS))]
+    return doc, [*tagged[:2], word, *tagged[2:]], six, h.astype(np.int32)
 
 
 def _firsts(*columns: np.ndarray) -> np.ndarray:
@@ -105,44 +111,41 @@ def _firsts(*columns: np.ndarray) -> np.ndarray:
     return np.unique(key, return_index=True)[1]
 
 
-COUNT_COLUMNS = [("level", np.int32), ("key", np.int64), ("s6", np.int64), ("s4", np.int64), ("k", np.int32),
-                 ("h", np.int32), ("cls", np.int32), ("n", np.int64)]
+COUNT_COLUMNS = ["key", "six", "h", "c0", "c1", "c2", "c3"]
 
 
 def _summed(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
-    """Count rows added up by key and class."""
+    """Count rows added up by key."""
     columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
-    own = mixed(columns[1].view(np.uint64) ^ (columns[6].astype(np.uint64) + np.uint64(1)))
-    _, first, which = np.unique(own, return_index=True, return_inverse=True)
-    n = np.bincount(which, weights=columns[7]).astype(np.int64)
-    return [*[c[first] for c in columns[:-1]], n]
+    _, first, which = np.unique(columns[0], return_index=True, return_inverse=True)
+    return [*[c[first] for c in columns[:3]], *[np.bincount(which, weights=c).astype(np.int64) for c in columns[3:]]]
 
 
 def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Packed groups with their labelled documents to counts by key and class, summed within a task.
+    """Packed groups with their labelled documents to counts by key, summed within a task.
 
-    ``level`` 2 has words with the keys of their prefixes and their class; 3 has class bigrams
-    with the key of the class in the prefixes' place.
+    ``key`` is a word's, with its first six bytes and ``h`` -1; or that of a class bigram, with the class before
+    as ``h`` and its class in the first bytes.
     """
     def out(rows: list[np.ndarray]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in rows], [n for n, _ in COUNT_COLUMNS])
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in rows], COUNT_COLUMNS)
 
     parts: list[list[np.ndarray]] = []
     size = 0
     for batch in batches:
         for _, cls, pieces_ in _labelled(batch):
             for a, _, data, offsets in pieces_:
-                doc, (s4, s6, w, big, two), k, h = keys(data, offsets)
+                doc, (_, _, w, big, _), six, h = keys(data, offsets)
                 if not len(w):
                     continue
                 once = _firsts(doc, w, h)
                 c = cls[a + doc[once]]
-                one = np.ones(len(once), np.int64)
-                for level, of in ((2, (w, s6, s4)), (3, (big, two, two))):
-                    new = _summed([[np.full(len(once), level, np.int32), *[x[once].view(np.int64) for x in of], k[once],
-                                    h[once], c, one]])
-                    parts.append(new)
-                    size += len(new[0])
+                counts = [(c == i).astype(np.int64) for i in range(4)]
+                bytes_ = six[once].view(np.int64)
+                words = [w[once].view(np.int64), bytes_, np.full(len(once), -1, np.int32), *counts]
+                pairs = [big[once].view(np.int64), bytes_ & np.int64(0xFFFF << 32), h[once], *counts]
+                parts += [_summed([words]), _summed([pairs])]
+                size += len(parts[-1][0]) + len(parts[-2][0])
                 if size > SUM_ROWS:
                     parts = [_summed(parts)]
                     size = len(parts[0][0])
@@ -161,7 +164,7 @@ def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     ids, texts, size = [], [], 0
 
     def group() -> pa.RecordBatch:
-        blob = zstandard.ZstdCompressor(level=3).compress(b"".join(texts))
+        blob = zstandard.ZstdCompressor(level=6).compress(b"".join(texts))
         return pa.RecordBatch.from_arrays(
             [pa.array([ids], pa.list_(pa.int64())), pa.array([[len(t) for t in texts]], pa.list_(pa.int64())),
              pa.array([blob], pa.binary())], ["ids", "sizes", "blob"])
@@ -299,16 +302,18 @@ def bigram_level(df: DataFrame, top: DataFrame) -> DataFrame:
 
 def ratios(groups: DataFrame) -> DataFrame:
     """(``key``, ``r_a``, ``r_b``, ``r_f``): log ratios of prefixes and words given their class, of classes and class bigrams."""
-    counted = groups.select("sizes", "blob", "pos", "cls").mapInArrow(count_words, "level int, key long, s6 long, s4 long, k int, h int, cls int, n long")
-    of = [F.sum(F.when(F.col("cls") == c, F.col("n")).otherwise(0)).alias(f"c{c}") for c in range(4)]
-    rows = written(counted.groupBy("level", "key").agg(
-        *of, *[F.min(c).alias(c) for c in ("s6", "s4", "k", "h")]), "tox-counts", "snappy")
-    words, pairs = rows.where("level = 2"), rows.where("level = 3")
+    counted = groups.select("sizes", "blob", "pos", "cls").mapInArrow(
+        count_words, "key long, six long, h int, c0 long, c1 long, c2 long, c3 long")
+    rows = written(counted.groupBy("key").agg(*[F.sum(c).alias(c) for c in COUNTS], F.min("six").alias("six"),
+                                              F.min("h").alias("h")), "tox-counts", "snappy")
+    rows = rows.withColumn("k", F.shiftright("six", 32)).withColumn("s6", F.col("six") + F.lit(SIX)).withColumn(
+        "s4", F.shiftright("six", 16) + F.lit(FOUR))
+    words, pairs = rows.where("h < 0"), rows.where("h >= 0")
     sums = [F.sum(c).alias(c) for c in COUNTS]
     types = [F.sum(_seen(m).cast("long")).alias(f"t_{m}") for m in MODELS]        # different continuations
     six = written(words.groupBy("s6").agg(*sums, *types, F.min("s4").alias("s4"), F.min("k").alias("k")), "tox-six", "snappy")
     four = written(six.groupBy("s4").agg(*sums, *types, F.min("k").alias("k")), "tox-four", "snappy")
-    histories = pairs.groupBy("k").agg(*types, F.min("s4").alias("key"))
+    histories = pairs.groupBy("k").agg(*types, (F.col("k") + F.lit(CLASS)).alias("key"))
     two = written(four.groupBy("k").agg(*sums).join(histories, "k"), "tox-two", "snappy")
     top = written(top_level(two), "tox-level", "snappy")
     count = lambda m: F.col(f"t_{m}").cast("double")
