@@ -5,11 +5,15 @@
    smallest id stands for it), so copies are never paired.
 2. Inverted lists of the retained values: a pair at the threshold shares at
    least ``overlap_bound`` of its retained values (4 standard deviations below
-   the mean; for sets smaller than the sketch the least over all partners).  So it shares one of the
-   rarest ``n - bound + 1`` values of either side, and only those are listed:
-   values of passages that many documents hold never form a list unless a
-   document holds little else.  Lists connect their members through the
-   smallest one; the components of these links are the families.
+   the mean; for sets smaller than the sketch the least over all partners).
+   So it shares ``t`` of the rarest ``n - bound + t`` values of either side,
+   and only those are listed (``t`` is ``SHARED``, or the bound if that is
+   less): values of passages that many documents hold never form a list unless
+   a document holds little else.  Lists of up to ``LIST`` classes give their
+   pairs, and the pairs found ``t`` times over all lists are candidates.  A
+   longer list connects its members through the smallest one.  The components
+   of these links are the families: a pair that shares fewer listed values, by
+   chance, joins nothing.
 3. Inside a family, sketch overlaps give the union-sketch estimate of each
    pair, and the full sets confirm the pairs that pass.  A family is one group
    of rows while its sets are under ``BLOCK_SHINGLES`` and its documents under
@@ -45,6 +49,8 @@ from hopgraph.llm.hashing import shingle_sets, text_chunks
 
 K = 64
 SIGMAS = 4.0
+SHARED = 8                    # listed values that a pair has to share
+LIST = 64                     # classes of a list that gives pairs
 BLOCK_SHINGLES = 1 << 20      # hashes of one block: 8 MB
 BLOCK_ROWS = 2048             # documents of one block: two blocks meet in matrices of 134 MB
 DENSE = 1 << 22               # cells of one incidence matrix
@@ -211,20 +217,38 @@ def linker(percent: int, k: int) -> Callable:
     return link
 
 
+def counted_pairs(lists: DataFrame) -> DataFrame:
+    """(``a``, ``b``): classes that share as many listed values as both must; every value is held by LIST rows at most.
+
+    ``lists`` has ``v``, ``cid`` and ``t``, the shared values that the class asks for.
+    """
+    held = lists.groupBy("v").agg(F.sort_array(F.collect_list(F.struct("cid", "t"))).alias("ms"))
+    pairs = F.flatten(F.transform("ms", lambda x, i: F.transform(
+        F.slice("ms", i + 2, F.size("ms")),
+        lambda y: F.struct(x["cid"].alias("a"), y["cid"].alias("b"), F.least(x["t"], y["t"]).alias("t")))))
+    return (held.select(F.inline(pairs)).groupBy("a", "b").agg(F.count("*").alias("c"), F.min("t").alias("t"))
+            .where("c >= t").select("a", "b"))
+
+
 def families(classes: DataFrame, percent: int, k: int = K) -> DataFrame:
-    """(``cid``, ``g``): classes that share a listed value, directly or through others."""
+    """(``cid``, ``g``): classes that share enough listed values, directly or through others."""
     values = classes.select("cid", F.least("n", F.lit(k)).alias("s"), F.explode("sketch").alias("v"))
     often = values.groupBy("v").agg(F.count("*").alias("df")).where("df > 1")
     bounds = F.array(*[F.lit(overlap_bound(i, percent, k)) for i in range(k + 1)])
     # a class's retained values that others hold too, rarest first; those that no one shares are its rarest
     shared = (values.join(often, "v").groupBy("cid", "s")
               .agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("vs"))
-              .withColumn("take", F.size("vs") - F.get(bounds, F.col("s").cast("int")) + 1).where("take > 0"))
-    listed = written(shared.select("cid", F.explode(F.slice("vs", F.lit(1), F.col("take"))).alias("e"))
-                     .select("cid", F.col("e.v").alias("v")), "nd-lists")
+              .withColumn("bound", F.get(bounds, F.col("s").cast("int")))
+              .withColumn("t", F.least("bound", F.lit(SHARED)))
+              .withColumn("take", F.size("vs") - F.col("bound") + F.col("t")).where("take > 0"))
+    listed = written(shared.select("cid", "t", F.explode(F.slice("vs", F.lit(1), F.col("take"))).alias("e"))
+                     .select("cid", "t", F.col("e.v").alias("v")), "nd-lists")
     heads = listed.groupBy("v").agg(F.min("cid").alias("head"), F.count("*").alias("m")).where("m > 1")
-    pairs = listed.join(heads, "v").where("cid <> head").select(F.col("cid").alias("a"), F.col("head").alias("b"))
-    return components(pairs.distinct()).select(F.col("node").alias("cid"), F.col("component").alias("g"))
+    met = listed.join(heads, "v")
+    near = counted_pairs(met.where(F.col("m") <= LIST))
+    stars = met.where((F.col("m") > LIST) & (F.col("cid") != F.col("head"))).select(
+        F.col("cid").alias("a"), F.col("head").alias("b")).distinct()
+    return components(near.unionByName(stars)).select(F.col("node").alias("cid"), F.col("component").alias("g"))
 
 
 def near_groups(docs: DataFrame, n: int = 5, percent: int = 80, k: int = K) -> DataFrame:

@@ -275,6 +275,38 @@ def test_isolated_pairs_around_the_sketch(spark, n, percent, shared, more):
     assert got == brute_groups(rows, n, percent)
 
 
+def test_texts_of_few_words_form_no_families_by_chance(spark):
+    """4,000 independent texts over 150 words share many shingles; hardly any pair is a candidate."""
+    r = random.Random(11)
+    words = [f"w{i}" for i in range(150)]
+    weights = [1 / (i + 1) for i in range(150)]
+    rows = [(i, " ".join(r.choices(words, weights, k=300)), "en", "a", 0) for i in range(4000)]
+    near = rows[7][1].split()
+    near[100] = "other"
+    rows.append((5000, " ".join(near), "en", "a", 0))
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    prints = df.select("doc_id", "text").mapInArrow(ND.sketcher(3, ND.K), "cid long, n long, print binary, sketch array<long>")
+    family = ND.families(prints.select("cid", "n", "sketch"), 85).collect()
+    assert {r.cid for r in family} >= {7, 5000} and len(family) < 40
+    groups = {r.doc_id: r.component_id for r in ND.near_groups(df, 3, 85).where("component_id <> doc_id").collect()}
+    assert groups == {5000: 7}
+
+
+@pytest.mark.parametrize("size", [2, 8])
+def test_long_and_short_lists_find_the_same_groups(spark, monkeypatch, size):
+    monkeypatch.setattr(ND, "LIST", size)
+    r = random.Random(21)
+    rows = []
+    for g in range(12):
+        base = sentence(r.randint(20, 150), r).split()
+        for i in range(r.randint(1, 14)):
+            w = base[:]
+            for _ in range(r.randint(0, 3)):
+                w[r.randrange(len(w))] = r.choice(WORDS)
+            rows.append((100 * g + i, " ".join(w), "en", "a", 0))
+    assert as_tuples(ND.near_groups(spark.createDataFrame(rows, SCHEMA), 3, 85)) == brute_groups(rows, 3, 85)
+
+
 def test_near_dedup_keeps_one_of_each_group(spark, docs):
     out = ND.near_dedup(clashing(docs))
     assert out.columns == clashing(docs).columns
