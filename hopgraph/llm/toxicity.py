@@ -65,7 +65,7 @@ WINDOW = 10
 TOP = 5
 FIT_ROWS = 6_000
 GROUP_BYTES = 32 << 20
-SUM_ROWS = 1_000_000
+SUM_ROWS = 400_000
 THRESHOLD = 0.7
 HELD_OUT = 1               # crc32(doc_id) mod 3
 #: keys of the levels are numbers of their bytes under a tag: four bytes, six, class bigram, class; words are hashes below zero
@@ -149,7 +149,7 @@ def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if size > SUM_ROWS:
                     parts = [_summed(parts)]
                     size = len(parts[0][0])
-                    if size > SUM_ROWS // 2:
+                    if size > SUM_ROWS * 3 // 4:
                         yield out(parts[0])
                         parts, size = [], 0
     if parts:
