@@ -3,6 +3,7 @@
 import collections
 import random
 import re
+import time
 import zlib
 
 import duckdb
@@ -366,16 +367,101 @@ def test_decontamination(spark, docs):
     assert DC.contaminated(both, bench.limit(0)).count() == 0
 
 
-def test_decontamination_in_blocks(spark, monkeypatch):
-    """A benchmark beyond one block is taken in several, with the same result."""
+def plain_overlaps(docs, items):
+    """{(document, item): (matches, length, place, item tokens)} by trying every mask at every pair of places."""
+    def words(t):
+        return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", (t or "").lower())
+
+    out = {}
+    for (d, dt), (i, it) in ((x, y) for x in docs for y in items):
+        a, b = words(dt), words(it)
+        if len(b) < DC.MIN_TOKENS:
+            continue
+        hits = {x - y for span, places in DC.MASKS for x in range(len(a) - span + 1) for y in range(len(b) - span + 1)
+                if all(a[x + p] == b[y + p] for p in places)}
+        best = (0, 0, 0)
+        for g in hits:
+            lo, hi = max(0, g), min(len(a), len(b) + g)
+            top, start, score, low, low_at = (0, 0, 0), 0, 0, 0, 0
+            for k in range(lo, hi):
+                score += 1 if a[k] == b[k - g] else -2
+                if score < low:
+                    low, low_at = score, k + 1 - lo
+                if score - low > top[0]:
+                    top, start = (score - low, low_at, k + 1 - lo), low_at
+            m, n = sum(a[k] == b[k - g] for k in range(lo + start, lo + top[2])), top[2] - start
+            if m >= min(DC.MIN_MATCH, -(-len(b) * DC.WHOLE_PCT // 100)) and 100 * m >= n * DC.IDENTITY_PCT:
+                best = max(best, (m, -n, -(lo + start)))
+        if best[0]:
+            out[d, i] = (best[0], -best[1], -best[2], len(b))
+    return out
+
+
+def overlap_cases(seed=21):
+    """Texts over two, six and many words, with items planted whole, cut and with substitutions."""
+    r = random.Random(seed)
+    items, docs = [], []
+    for n, vocabulary in ((8, 6), (14, 6), (30, 50), (40, 400), (25, 2), (12, 1), (7, 300)):
+        items.append(" ".join(f"w{r.randrange(vocabulary)}" for _ in range(n)))
+    for k in range(45):
+        body = [f"w{r.randrange((2, 6, 50, 400)[k % 4])}" for _ in range(r.randint(0, 50))]
+        piece = r.choice(items).split()
+        a = r.randrange(len(piece) // 2)
+        piece = [w if r.random() > 0.12 else "SUB" for w in piece[a:]]
+        docs.append(", ".join(body[:20] + piece + body[20:]) if k % 5 else " ".join(body))
+    docs += ["w0 " * 70, "", None, docs[1], docs[1]]
+    items += ["w0 " * 20, "", None, items[3], "w1 w2"]
+    return list(enumerate(docs)), list(enumerate(items))
+
+
+def test_decontamination_against_brute_force(spark):
+    d, i = overlap_cases()
+    df = spark.createDataFrame([(k, t, "en", "a", 0) for k, t in d], SCHEMA).repartition(3)
+    got = {(r[0], r[1]): tuple(r[2:]) for r in
+           DC.contaminated(df, spark.createDataFrame(i, "item_id long, text string")).collect()}
+    want = plain_overlaps(d, i)
+    assert got == want and len(got) > 30
+
+
+@pytest.mark.parametrize("many", [1, 8, 1 << 20])
+def test_stretches_by_correlation_and_by_places(monkeypatch, many):
+    monkeypatch.setattr(DC, "MANY", many)
+    d, i = overlap_cases(4)
+    got = {}
+    for (a, x), (b, y) in ((x, y) for x in d for y in i):
+        tokens, item = DC.tokens_of(x or ""), DC.Item(y or "")
+        best = DC.best_stretch(tokens, DC.seeds_of(tokens), item)
+        if best:
+            got[a, b] = (*best, len(item.tokens))
+    assert got == plain_overlaps(d, i)
+
+
+def test_one_word_repeated_is_not_quadratic():
+    t0 = time.time()
+    for n, m in ((2000, 3000), (20_000, 60_000)):
+        item, tokens = DC.Item("again " * n), DC.tokens_of("again " * m)
+        assert DC.best_stretch(tokens, DC.seeds_of(tokens), item) == (n, n, 0)
+    assert time.time() - t0 < 20
+
+
+def test_decontamination_of_hot_items_and_copies(spark):
+    """A third of the documents are copies that hold an item, and the item is repeated: all rows, one verification."""
+    r = random.Random(2)
+    item = sentence(30, r)
+    rows = [(k, f"start {item} end" if k % 3 == 0 else sentence(40, r), "en", "a", 0) for k in range(300)]
+    bench = spark.createDataFrame([(k, item) for k in range(20)] + [(99, sentence(25, r))], "item_id long, text string")
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    hits = DC.contaminated(docs, bench)
+    assert {(h.doc_id, h.item_id) for h in hits.collect()} == {(d, i) for d in range(0, 300, 3) for i in range(20)}
+    assert DC._matches(docs, DC._items(bench))[1].count() == 1
+    assert {x.doc_id for x in DC.decontaminate(docs, bench).collect()} == {k for k in range(300) if k % 3}
+
+
+def test_decontamination_finds_all_verbatim_items(spark):
     d = spark.read.parquet(f"{SF}/documents.parquet")
     b = spark.read.parquet(f"{SF}/benchmark.parquet")
-    one = as_tuples(DC.contaminated(d, b))
-    monkeypatch.setattr(DC, "BLOCK_CHARS", 4000)
-    assert as_tuples(DC.contaminated(d, b)) == one and one
-    texts, items = d.collect(), b.collect()
-    verbatim = {(x.doc_id, y.item_id) for x in texts for y in items if y.text in x.text}
-    assert verbatim <= {(r[0], r[1]) for r in one}
+    found = {(r[0], r[1]) for r in DC.contaminated(d, b).collect()}
+    assert {(x.doc_id, y.item_id) for x in d.collect() for y in b.collect() if y.text in x.text} <= found and found
 
 
 # ------------------------------------------------------------------ 7
