@@ -10,9 +10,10 @@ least ``MIN_MATCH`` tokens, or ``WHOLE_PCT`` percent of the item where that is
 fewer, with ``IDENTITY_PCT`` percent of its tokens equal.
 
 Equal items and equal documents are worked on once, by the SHA-256 of their
-text, and joined back to their ids at the end.  Only a bitmap of the items'
-seeds is broadcast, at most ``BITMAP_BITS`` bits however large the benchmark
-is; it lets a document without a hit leave the map side without a row.  Seeds,
+text, and joined back to their ids at the end.  Only a Bloom filter of the
+items' seeds is broadcast, at most ``FILTER_BITS`` bits however large the
+benchmark is; it lets nearly all documents without a hit leave the map side
+without a row.  Seeds,
 pairs and texts of the others meet in joins, which Spark broadcasts only by
 the measured size of a written table and splits where a key is hot.
 
@@ -45,8 +46,10 @@ MIN_TOKENS = 6
 MIN_MATCH = 13
 WHOLE_PCT = 70
 IDENTITY_PCT = 75
-BITMAP_BITS = 1 << 27        # 16 MB at most
-PIECE_BITS = 1 << 19         # one group of the bitmap's aggregate
+FILTER_BITS = 1 << 28        # 32 MB at most
+BITS_EACH = 128              # bits for each distinct seed, up to that
+PROBES = 6
+PIECE_BITS = 1 << 19         # one group of the filter's aggregate
 MANY = 1 << 20               # pairs of places of one hash taken at once
 CACHE_TOKENS = 1 << 21       # tokens of items that a task keeps hashed
 
@@ -146,34 +149,43 @@ def _piece(bits: int) -> Callable:
     return build
 
 
-def seed_bitmap(seeds: DataFrame) -> np.ndarray:
-    """Bits of all seed hashes by their low bits, about 16 for each hash and ``BITMAP_BITS`` at most."""
+def seed_filter(seeds: DataFrame) -> np.ndarray:
+    """Bloom filter of all seed hashes (``PROBES`` places each), of ``FILTER_BITS`` bits at most."""
     n = seeds.select("h").distinct().count()
-    size = min(BITMAP_BITS, max(PIECE_BITS, 1 << (16 * n).bit_length()))
-    low = F.col("h").bitwiseAND(F.lit(size - 1))
-    pieces = (seeds.select(low.alias("at")).distinct()
+    size = min(FILTER_BITS, max(PIECE_BITS, 1 << (BITS_EACH * n).bit_length()))
+    low, step = F.col("h").bitwiseAND(F.lit((1 << 32) - 1)), F.shiftrightunsigned("h", 32).bitwiseOR(F.lit(1))
+    at = F.explode(F.array(*[(low + step * F.lit(j)).bitwiseAND(F.lit(size - 1)) for j in range(PROBES)]))
+    pieces = (seeds.select("h").distinct().select(at.alias("at")).distinct()
               .select(F.shiftright("at", PIECE_BITS.bit_length() - 1).alias("piece"),
                       F.col("at").bitwiseAND(F.lit(PIECE_BITS - 1)).alias("bit"))
               .groupBy("piece").applyInPandas(_piece(PIECE_BITS), "piece long, bits binary"))
     out = np.zeros(size >> 3, np.uint8)
-    step = PIECE_BITS >> 3
-    for r in pieces.collect():                                # 64 KB each, 256 at most
-        out[r["piece"] * step:(r["piece"] + 1) * step] = np.frombuffer(r["bits"], np.uint8)
+    width = PIECE_BITS >> 3
+    for r in pieces.collect():                                # 64 KB each, 512 at most
+        out[r["piece"] * width:(r["piece"] + 1) * width] = np.frombuffer(r["bits"], np.uint8)
     return out
 
 
+def probed(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """The places of ``h`` whose hashes the filter may hold."""
+    i = np.arange(len(h))
+    for j in range(PROBES):
+        at = ((h & np.uint64((1 << 32) - 1)) + np.uint64(j) * (h >> np.uint64(32) | np.uint64(1))) & np.uint64(len(bits) * 8 - 1)
+        keep = (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+        i, h = i[keep], h[keep]
+    return i
+
+
 def _candidates(shared) -> Callable:
     def search(batches):
-        bitmap = shared.value
-        low = np.uint64(len(bitmap) * 8 - 1)
+        bits = shared.value
         for batch in batches:
             for row, _, data, offsets in text_chunks(batch.column("text")):
                 tokens, doc = word_hashes(data, offsets, PUNCTUATION)
                 found = []
                 for span, places in MASKS:
                     h = gram_hashes(tokens, span, places)
-                    at = h & low
-                    i = np.flatnonzero(bitmap[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1)
+                    i = probed(bits, h)
                     i = i[doc[i] == doc[i + span - 1]]
                     found.append(np.stack([doc[i], h[i].view(np.int64)], 1))
                 rows = np.unique(np.concatenate(found), axis=0)
@@ -225,7 +237,7 @@ def _matches(docs: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
     seeds = written(texts.mapInArrow(_item_seeds, "item_key binary, h long"), "decon-seeds")
     doc_type = docs.schema["doc_id"].dataType.simpleString()
     hits = written(docs.select("doc_id", "text").mapInArrow(
-        _candidates(sc.broadcast(seed_bitmap(seeds))),
+        _candidates(sc.broadcast(seed_filter(seeds))),
         f"doc_id {doc_type}, key binary, text string, hashes array<long>"), "decon-hits")
     pairs = written(hits.select("key", F.explode("hashes").alias("h")).distinct().join(seeds, "h")
                     .select("key", "item_key").distinct(), "decon-pairs")
