@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -105,10 +105,22 @@ class HourlyTable:
         lo, hi = self.hour_bounds(start, end)
         batch = self._with_parts(build(lo, hi).where(
             F.col(self.time_col).between(ts_literal(lo), ts_literal(hi))))
+        self._replace(batch, lambda hour: lo <= hour <= hi)
+
+    def reload_hours(self, build, hours: Sequence[dt.datetime]) -> None:
+        """Replace single hours, in one job, with their rows of ``build(lo, hi)`` over the span of them all."""
+        wanted = {self.hour_bounds(h, h)[0] for h in hours}
+        if not wanted:
+            return
+        parts = self.spark.createDataFrame([(h.date(), h.hour) for h in sorted(wanted)], "_day date, _hour int")
+        rows = self._with_parts(build(*self.hour_bounds(min(wanted), max(wanted))))
+        self._replace(rows.join(parts, self.PARTS, "left_semi").select(*rows.columns), wanted.__contains__)
+
+    def _replace(self, batch: DataFrame, covers: Callable[[dt.datetime], bool]) -> None:
+        """Overwrite the hours that ``batch`` holds, then drop the other hours that ``covers`` names."""
         if not self.spark.catalog.tableExists(self.qualified):
             batch.limit(0).write.format("parquet").partitionBy(*self.PARTS).saveAsTable(self.qualified)
-        inside = [(d, h) for d, h in self._partitions()
-                  if lo <= dt.datetime.combine(d, dt.time(h)) <= hi]
+        inside = [(d, h) for d, h in self._partitions() if covers(dt.datetime.combine(d, dt.time(h)))]
         run = uuid.uuid4().hex
         columns = self.spark.table(self.qualified).columns
         staged = f"{scratch_root(self.spark)}/hourly_batches/{run}"

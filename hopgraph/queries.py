@@ -861,6 +861,15 @@ def q_jetstream_stream(spark, sf_dir):
     return _events_for_compare(spark.read.parquet(out).drop("batch_id"))
 
 
+@register("jetstream_hourly_stream", jetstream_sql(clean=False))
+def q_jetstream_hourly_stream(spark, sf_dir):
+    """Hours filled by the stream; the landed files carry no order, so the delay spans them all."""
+    src, table = TD.landed_jetstream_path(spark, sf_dir), _hourly(spark, "events_stream")
+    SJ.hourly_stream(spark, src, table, fresh_path(spark, "stream-hours-ckpt"), *FULL, delay="36500 days",
+                     max_files_per_trigger=16, derived_days=True).awaitTermination()
+    return _events_for_compare(table.read())
+
+
 @register("edges_stream_upsert", O.with_ctes(
     f"SELECT {EDGE_SELECT} FROM incremental_follows", ["incremental_follows"], _inc("follows")))
 def q_edges_stream_upsert(spark, sf_dir):
