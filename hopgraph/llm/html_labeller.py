@@ -5,8 +5,8 @@ is a vector of its hashed tag-path labels, its hashed words and some measures;
 a bidirectional LSTM (numpy) reads the whole sequence and labels every block
 as article or not, so a block's label rests on all of its page.
 
-It is trained here on a bounded sample of the pages, ``TRAIN_PAGES`` of at
-most ``TRAIN_CHARS`` characters.  Labels come from elements and names whose
+It is trained here on a bounded sample, ``TRAIN_PAGES`` distinct pages, the
+first ``TRAIN_CHARS`` characters of each (for training only).  Labels come from elements and names whose
 meaning is plain (``article``, ``nav``, ``footer``, an ``ad`` class ...);
 blocks without such a sign carry no loss.  Besides the pages themselves, the
 sample's texts are set into other page frames (sidebars, notices, adverts,
@@ -14,9 +14,10 @@ forms, reader comments, other article containers), with path labels left out
 at random, so that words, measures and neighbours count as well.
 
 Cases: a NULL or empty page, and one without an article block, gives an empty
-text; broken markup is read as far as it goes; very long pages are read whole;
-repeated pages give the same text; no pages give an empty result; other
-columns may have any names.
+text; broken markup is read as far as it goes; very long pages are read whole,
+and train like others if there are no shorter ones; repeated pages give the
+same text and train once; no pages give an empty result; other columns may
+have any names.
 """
 
 from __future__ import annotations
@@ -323,9 +324,14 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     """(``page_id``, ``url``, ``text``, ``n_chars``) for every row of ``pages``; map-side only after the fit."""
     # a hash draws about the sample's size first, so that no task sends a full sample of its own
     share = int((1 << 30) * min(1.0, 1.5 * TRAIN_PAGES / max(1, pages.count())))
-    sample = (pages.where(F.length("html") <= TRAIN_CHARS).select("html", F.xxhash64("html").alias("h"))
-              .where(F.pmod("h", F.lit(1 << 30)) < share).orderBy("h").limit(TRAIN_PAGES))
-    model = fit([r["html"] for r in sample.collect()])
+    drawn = (pages.where("html <> ''")
+             .select(F.substring("html", 1, TRAIN_CHARS).alias("html"), F.xxhash64("html").alias("h")))
+    for most in (share, 1 << 30):                             # all hashes, if the few distinct pages missed the draw
+        sample = (drawn.where(F.pmod("h", F.lit(1 << 30)) < most).dropDuplicates(["h"])
+                  .orderBy("h").limit(TRAIN_PAGES).collect())
+        if sample:
+            break
+    model = fit([r["html"] for r in sample])
     shared = pages.sparkSession.sparkContext.broadcast(model)
     return pages.select("page_id", "url", "html").mapInArrow(
         _extractor(shared), "page_id long, url string, text string, n_chars long")

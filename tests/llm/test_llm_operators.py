@@ -495,6 +495,25 @@ def test_extraction_against_the_markup(spark):
         assert got[p.page_id].text == want and got[p.page_id].n_chars == len(want) and want
 
 
+def test_labeller_of_long_and_repeated_pages(spark):
+    """All pages beyond the training length, most of them copies of one page: the article still stands alone."""
+    r = random.Random(12)
+
+    def page(k):
+        menu = "".join(f"<li><a href='/{w}'>{w}</a></li>" for w in sentence(5, r).split())
+        body = [sentence(60, r) for _ in range(220)]
+        html = (f"<html><body><nav><ul>{menu}</ul></nav><article><h1>Title {k}</h1>" + "".join(f"<p>{b}</p>" for b in body)
+                + f"</article><footer><p>imprint {sentence(8, r)}</p></footer></body></html>")
+        return html, "\n\n".join([f"Title {k}", *body])
+
+    made = [page(k) for k in range(12)]
+    assert min(len(h) for h, _ in made) > HL.TRAIN_CHARS
+    rows = [(k, "u", made[min(k, 11)][0]) for k in range(40)]
+    got = {x.page_id: x.text for x in HL.extract_pages(
+        spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    assert all(got[k] == made[min(k, 11)][1] for k in range(40))
+
+
 def test_labeller_in_other_frames(spark):
     """Trained on the given pages, held against frames made from another seed."""
     pages = [r.html for r in spark.read.parquet(f"{SF}/pages.parquet").select("html").collect()]
